@@ -104,9 +104,9 @@ def distinct_sources(df: DataFrame, approximate: bool = False, error: float = 0.
 
 
 def source_list_by_hour(df: DataFrame) -> DataFrame:
-    return active_only(df).groupBy(hour_of("timestamp").alias("hour")).agg(
-        F.array_sort(F.collect_set("source")).alias("source_list")
-    )
+    """Sorted distinct sources per hour; duplicates are gone before the lists are built."""
+    pairs = active_only(df).select(hour_of("timestamp").alias("hour"), "source").distinct()
+    return pairs.groupBy("hour").agg(F.array_sort(F.collect_list("source")).alias("source_list"))
 
 
 def ingestion_health(df: DataFrame, as_of: datetime | str | Column) -> DataFrame:

@@ -37,8 +37,12 @@ def scan_posts_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(POSTS).json(path)
 
 
+# Quotes are doubled as in RFC 4180, and times keep their microseconds, which the CSV defaults would cut.
+CSV_FORMAT = {"header": "true", "escape": '"', "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def read_csv(spark: SparkSession, path: str, schema: str, **options) -> DataFrame:
-    return spark.read.options(header=True, **options).schema(schema).csv(path)
+    return spark.read.options(**CSV_FORMAT, **options).schema(schema).csv(path)
 
 
 def scan_customers_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -76,7 +80,7 @@ def metric_labels(name: str | Column) -> Column:
 
 def write_csv_gz(df: DataFrame, path: str) -> None:
     """Cold export: CSV with a header, gzip; array and other nested columns must be texts already."""
-    df.write.option("header", True).option("compression", "gzip").csv(path)
+    df.write.options(**CSV_FORMAT).option("compression", "gzip").csv(path)
 
 
 def write_by_month(df: DataFrame, path: str, column: str = "timestamp", mode: str = "append") -> None:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.events import dedupe_by_key, good_events, parse_events
 from ..operators.spread import running_position
+from ..schemas import EVENT_STATUSES
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -131,3 +133,68 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 def newest(df: DataFrame, column: str = "timestamp"):
     """The newest instant of a table as a scalar subquery, the ``as_of`` of reproducible reports."""
     return df.agg(F.max(column).alias("as_of")).scalar()
+
+
+def requested_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A long request list ``(position, id)`` with repeated ids and ids that no record has."""
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("position"), (F.floor(F.col("event_id") / 2) * 3).alias("id")
+    )
+
+
+def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event ledger: the first good event of every key, in all states."""
+    firsts = dedupe_by_key(good_events(parse_events(event_log(spark, sf_dir))))
+    status = F.get(F.array(*[F.lit(s) for s in EVENT_STATUSES]), (F.col("event_id") % 5).cast("int"))
+    text, stamp = F.lit(None).cast("string"), F.lit(None).cast("timestamp_ntz")
+    return firsts.withColumn("status", status).select(
+        F.col("event_id").alias("id"), F.col("topic").alias("kafka_topic"), F.col("part").alias("kafka_partition"),
+        F.col("off").alias("kafka_offset"), "idempotency_key", "event_type", "payload", "status",
+        (F.col("event_id") % 4).cast("int").alias("processing_attempts"), text.alias("error_message"),
+        text.alias("error_details"), (F.col("status") == "dead_letter").alias("dead_letter_queue"),
+        F.when(F.col("status") == "dead_letter", F.lit("retries exhausted")).alias("dlq_reason"), stamp.alias("processed_at"),
+        F.col("ts").alias("created_at"), F.col("ts").alias("updated_at"),
+        F.when(F.expr("event_id % 11 = 0"), F.col("ts") + F.expr("INTERVAL '1' DAY")).alias("deleted_at"),
+    )
+
+
+def transition_log(rows: DataFrame) -> DataFrame:
+    """Status changes of ledger rows: an attempt that may fail, another one, then completion or the dead letters."""
+    fails, dies = F.expr("id % 3 = 0"), F.expr("id % 7 = 0")
+    text = F.lit(None).cast("string")
+
+    def change(seq: int, status: str, message=text, details=text):
+        at = F.col("created_at") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(seq))
+        return F.struct(
+            F.lit(seq).alias("seq"), F.lit(status).alias("status"), at.alias("at"), message.alias("message"), details.alias("details")
+        )
+
+    failed = change(2, "failed", F.concat(F.lit("error "), F.col("id").cast("string")), F.lit('{"step":"load"}'))
+    end = F.when(dies, change(4, "dead_letter", F.lit("retries exhausted"))).otherwise(change(4, "completed"))
+    steps = F.array(change(1, "processing"), F.when(fails, failed), F.when(fails, change(3, "processing")), end)
+    return rows.select("id", F.inline(F.filter(steps, lambda s: s.isNotNull())))
+
+
+def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated deliveries of every message; bad ones always fail, good ones sometimes."""
+    parsed = parse_events(event_log(spark, sf_dir)).select("event_id", "part", "off", "error")
+    attempts = F.explode(F.sequence(F.lit(1), (F.col("event_id") % 7 + 1).cast("int")))
+    tried = parsed.withColumn("attempt_no", attempts)
+    return tried.withColumn("ok", F.col("error").isNull() & F.expr("(event_id + attempt_no) % 3 = 0")).drop("error")
+
+
+def page_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses of the pages, every fourth page twice, as scraped items with their order of arrival."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    again = pages.filter("page_id % 4 = 0").withColumn("seen_no", F.lit(2))
+    items = pages.withColumn("seen_no", F.lit(1)).unionByName(again)
+    return items.select("url", "page_id", "seen_no", F.concat(F.lit("page "), F.col("page_id").cast("string")).alias("title"))
+
+
+def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as API posts; some have no title or body."""
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"),
+        F.when(F.expr("doc_id % 7 <> 0"), F.concat(F.lit("title "), F.col("doc_id").cast("string"))).alias("title"),
+        F.when(F.expr("doc_id % 5 <> 0"), F.col("text")).alias("body"),
+    )
