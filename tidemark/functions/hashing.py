@@ -23,9 +23,10 @@ def sha256_mod(text: Column, modulus: int) -> Column:
 
 
 def short_hash(text: str | Column) -> Column:
-    """Six hex digits of a stable text hash."""
-    return F.lower(F.lpad(F.hex(F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFF))), 6, "0"))
+    """Six hex digits, the low 24 bits of the text's SHA-256."""
+    return F.right(F.sha2(text, 256), F.lit(6))
 
 
 def shard_of(text: str | Column, shards: int) -> Column:
-    return F.pmod(F.xxhash64(text), F.lit(shards)).cast("int")
+    """Shard number from the high 32 bits of the text's SHA-256."""
+    return F.pmod(F.conv(F.substring(F.sha2(text, 256), 1, 8), 16, 10).cast("bigint"), F.lit(shards)).cast("int")

@@ -6,9 +6,10 @@ import json
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def sorted_json(raw: pd.Series) -> pd.Series:
     """The same JSON value with sorted keys and ``", "`` / ``": "`` separators."""
     return raw.map(lambda text: None if text is None else json.dumps(json.loads(text), sort_keys=True, default=str))

@@ -101,3 +101,16 @@ def epoch_micros(ts: str | Column) -> Column:
     """Microseconds of the wall clock since 1970, independent of the session zone."""
     ts = F.col(ts) if isinstance(ts, str) else ts
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+
+
+def event_time(ts: str | Column) -> Column:
+    """The wall clock as an instant in UTC, for watermarks, which do not take the zone-free type."""
+    return F.timestamp_micros(epoch_micros(ts))
+
+
+def from_event_time(at: str | Column) -> Column:
+    """Back to the wall clock, whatever the session zone."""
+    micros = F.unix_micros(at).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(8,0)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), micros.cast("decimal(18,6)")
+    )

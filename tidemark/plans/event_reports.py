@@ -176,9 +176,7 @@ def retry_outcomes(spark, sf):
     return events.retry_outcomes(tables.deliveries(spark, sf))
 
 
-@report(
-    "accepted_within_ttl",
-    """WITH RECURSIVE log AS (
+TTL_FOLD = """WITH RECURSIVE log AS (
       SELECT event_id, event_type || ':' || (user_id % 20) AS key, ts,
         ROW_NUMBER() OVER (PARTITION BY event_type, user_id % 20 ORDER BY ts, event_id) AS n FROM events),
     fold AS (
@@ -187,8 +185,10 @@ def retry_outcomes(spark, sf):
       SELECT l.event_id, l.key, l.ts, l.n, CASE WHEN l.ts > f.state + INTERVAL 6 HOUR THEN l.ts ELSE f.state END,
         l.ts > f.state + INTERVAL 6 HOUR
       FROM fold f JOIN log l ON l.key = f.key AND l.n = f.n + 1)
-    SELECT event_id, key, ts, accepted FROM fold""",
-)
+    SELECT event_id, key, ts, accepted FROM fold"""
+
+
+@report("accepted_within_ttl", TTL_FOLD)
 def accepted_within_ttl(spark, sf):
     key = F.concat_ws(":", "event_type", (F.col("user_id") % 20).cast("string"))
     log = tables.table(spark, sf, "events").select("event_id", key.alias("key"), "ts")

@@ -373,6 +373,6 @@ def text_hashes(spark, sf):
     return pages.withColumn("position", sha256_mod(F.concat(F.lit("0:"), "url"), 95850))
 
 
-@report("short_text_hashes")
+@report("short_text_hashes", "SELECT page_id, url, right(sha256(url), 6) AS hash FROM pages")
 def short_text_hashes(spark, sf):
     return table(spark, sf, "pages").select("page_id", "url", short_hash("url").alias("hash"))

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..functions.scalars import number_at
+from ..functions.scalars import event_time, from_event_time, number_at
 from ..operators.analytics import combine_hours
 from ..operators.events import dead_letter_json, dead_letters, parse_events
 from ..sources.files import metric_lines
@@ -48,7 +48,8 @@ def read_dead_letters(spark: SparkSession, out: str) -> DataFrame:
 
 def first_by_key(events: DataFrame, key: str, at: str, lateness: str) -> DataFrame:
     """One row per key; state for a key is dropped when it can no longer be repeated within ``lateness``."""
-    return events.withWatermark(at, lateness).dropDuplicatesWithinWatermark([key])
+    timed = events.withColumn("_at", event_time(at)).withWatermark("_at", lateness)
+    return timed.dropDuplicatesWithinWatermark([key]).drop("_at")
 
 
 def each_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> DataStreamWriter:
@@ -79,16 +80,17 @@ def hourly_parts_stream(records: DataFrame, lateness: str = "1 hour", value_path
     the number of parts of an hour.
     """
     value = number_at("raw_data", value_path)
-    rows = records.withWatermark("timestamp", lateness).filter(F.col("deleted_at").isNull()).withColumn("value", value)
+    timed = records.withColumn("_at", event_time("timestamp")).withWatermark("_at", lateness)
+    rows = timed.filter(F.col("deleted_at").isNull()).withColumn("value", value)
     filled = F.coalesce("value", F.lit(0.0))
     return (
-        rows.groupBy(F.window("timestamp", "1 hour"), "source")
+        rows.groupBy(F.window("_at", "1 hour"), "source")
         .agg(
             F.count(F.lit(1)).alias("rows"), F.count_if("processed").alias("processed_rows"),
             F.sum(filled).alias("value_sum"), F.count(filled).alias("value_count"),
             F.min("value").alias("low"), F.max("value").alias("high"),
         )
-        .select(F.col("window.start").alias("hour"), "source", "rows", "processed_rows", "value_sum", "value_count", "low", "high")
+        .select(from_event_time("window.start").alias("hour"), "source", "rows", "processed_rows", "value_sum", "value_count", "low", "high")
     )
 
 

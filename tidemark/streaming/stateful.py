@@ -1,118 +1,83 @@
 """Rules that keep a state per key over micro-batches: admission, time-to-live dedupe, delivery attempts.
 
 The rules are those of ``operators.ratelimit``. Rows of a key are taken in time order inside a micro-batch and in
-order of arrival across micro-batches. The state store must be RocksDB.
+order of arrival across micro-batches; the size of a micro-batch bounds what a key brings along.
 """
 
 from __future__ import annotations
 
+import json
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.scalars import epoch_micros
-from ..operators.ratelimit import sliding_window_step, token_bucket_step, ttl_step
+from ..operators.ratelimit import Step, sliding_window_step, token_bucket_step, ttl_step
 from ..schemas import DEDUPE_TTL_SECONDS, MAX_DELIVERIES, SLIDING_LIMIT, SLIDING_SECONDS, TOKEN_CAPACITY, TOKEN_REFILL_PER_SECOND
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 DECISION = "key string, event_id bigint, ts timestamp_ntz, allowed boolean, remaining double, wait_seconds double"
+STATE = "state string"
 
 
-def use_rocksdb(spark) -> None:
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-
-
-class _Decider(StatefulProcessor):
-    """Runs a rule whose state is a short tuple of numbers."""
-
-    def __init__(self, make_step, load, dump, ttl_millis: int | None = None):
-        self.make_step, self.load, self.dump, self.ttl_millis = make_step, load, dump, ttl_millis
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.step = self.make_step()
-        self.state = handle.getValueState("state", "numbers array<double>, times array<bigint>", self.ttl_millis)
+def _decide(
+    requests: DataFrame, make_step: Callable[[], Step], load: Callable[[Any], Any], dump: Callable[[Any], Any]
+) -> DataFrame:
+    """One decision per request; the state of a key is a short JSON text."""
 
-    def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(["micros", "event_id"])
-        state = self.load(*self.state.get()) if self.state.exists() else None
+    def decide(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        step = make_step()
+        rows = pd.concat(list(batches)).sort_values(["micros", "event_id"])
+        current = load(json.loads(state.get[0])) if state.exists else None
         out = []
-        for event_id, ts, micros in zip(batch["event_id"], batch["ts"], batch["micros"]):
-            state, allowed, left, wait = self.step(state, int(micros))
+        for event_id, ts, micros in zip(rows["event_id"], rows["ts"], rows["micros"]):
+            current, allowed, left, wait = step(current, int(micros))
             out.append((key[0], int(event_id), ts, bool(allowed), float(left), float(wait)))
-        numbers, times = self.dump(state)
-        self.state.update((numbers, times))
+        state.update((json.dumps(dump(current)),))
         yield pd.DataFrame(out, columns=["key", "event_id", "ts", "allowed", "remaining", "wait_seconds"])
 
-    def close(self) -> None:
-        pass
-
-
-def _decide(requests: DataFrame, processor: StatefulProcessor) -> DataFrame:
-    rows = requests.select("key", "event_id", "ts", epoch_micros("ts").alias("micros"))
-    return rows.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=DECISION, outputMode="Append", timeMode="ProcessingTime"
-    )
+    timed = requests.select("key", "event_id", "ts", epoch_micros("ts").alias("micros"))
+    return timed.groupBy("key").applyInPandasWithState(decide, DECISION, STATE, "append", GroupStateTimeout.NoTimeout)
 
 
 def token_bucket_stream(
     requests: DataFrame, capacity: int = TOKEN_CAPACITY, refill_per_second: float = TOKEN_REFILL_PER_SECOND
 ) -> DataFrame:
-    return _decide(requests, _Decider(
-        lambda: token_bucket_step(capacity, refill_per_second),
-        load=lambda numbers, times: (float(numbers[0]), int(times[0])),
-        dump=lambda state: ([float(state[0])], [int(state[1])]),
-    ))
+    return _decide(requests, lambda: token_bucket_step(capacity, refill_per_second), load=tuple, dump=list)
 
 
 def sliding_window_stream(requests: DataFrame, limit: int = SLIDING_LIMIT, window_seconds: int = SLIDING_SECONDS) -> DataFrame:
-    return _decide(requests, _Decider(
-        lambda: sliding_window_step(limit, window_seconds),
-        load=lambda numbers, times: deque(int(t) for t in times),
-        dump=lambda state: ([], [int(t) for t in state]),
-    )).withColumnRenamed("wait_seconds", "reset_in")
+    decided = _decide(requests, lambda: sliding_window_step(limit, window_seconds), load=deque, dump=list)
+    return decided.withColumnRenamed("wait_seconds", "reset_in")
 
 
 def dedupe_ttl_stream(events: DataFrame, ttl_seconds: int = DEDUPE_TTL_SECONDS) -> DataFrame:
-    return _decide(events, _Decider(
-        lambda: ttl_step(ttl_seconds),
-        load=lambda numbers, times: int(times[0]),
-        dump=lambda state: ([], [int(state)]),
-    )).select("key", "event_id", "ts", F.col("allowed").alias("accepted"))
-
+    decided = _decide(events, lambda: ttl_step(ttl_seconds), load=lambda s: s, dump=lambda s: s)
+    return decided.select("key", "event_id", "ts", F.col("allowed").alias("accepted"))
 
-class _Attempts(StatefulProcessor):
-    def __init__(self, max_attempts: int):
-        self.max_attempts = max_attempts
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("count", "attempts int")
+def retry_stream(deliveries: DataFrame, max_attempts: int = MAX_DELIVERIES) -> DataFrame:
+    """Outcome of every delivery ``(part, off, attempt_no, ok)``: done, to be tried again, or dead letter."""
 
-    def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values("attempt_no")
-        attempts = int(self.count.get()[0]) if self.count.exists() else 0
+    def count(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(batches)).sort_values("attempt_no")
+        attempts = int(state.get[0]) if state.exists else 0
         out = []
-        for attempt_no, ok in zip(batch["attempt_no"], batch["ok"]):
+        for attempt_no, ok in zip(rows["attempt_no"], rows["ok"]):
             attempts = 0 if ok else attempts + 1
-            dead = attempts >= self.max_attempts
+            dead = attempts >= max_attempts
             out.append((key[0], key[1], int(attempt_no), "done" if ok else "dead_letter" if dead else "retry", attempts))
             attempts = 0 if dead else attempts
         if attempts:
-            self.count.update((attempts,))
-        else:
-            self.count.clear()
+            state.update((attempts,))
+        elif state.exists:
+            state.remove()
         yield pd.DataFrame(out, columns=["part", "off", "attempt_no", "outcome", "attempts"])
 
-    def close(self) -> None:
-        pass
-
-
-def retry_stream(deliveries: DataFrame, max_attempts: int = MAX_DELIVERIES) -> DataFrame:
-    """Outcome of every delivery ``(part, off, attempt_no, ok)``."""
-    return deliveries.groupBy("part", "off").transformWithStateInPandas(
-        statefulProcessor=_Attempts(max_attempts),
-        outputStructType="part int, off bigint, attempt_no int, outcome string, attempts int",
-        outputMode="Append", timeMode="None",
+    return deliveries.groupBy("part", "off").applyInPandasWithState(
+        count, "part int, off bigint, attempt_no int, outcome string, attempts int", "attempts int", "append",
+        GroupStateTimeout.NoTimeout,
     )
