@@ -84,9 +84,9 @@ def write_csv_gz(df: DataFrame, path: str) -> None:
 
 
 def write_by_month(df: DataFrame, path: str, column: str = "timestamp", mode: str = "append") -> None:
-    """Write to monthly folders, one shuffle by month and hour so that neither a month nor a file gets too large."""
-    rows = df.withColumn("ym", month_of(column))
-    rows.repartition("ym", F.window(column, "6 hours")["start"]).write.mode(mode).partitionBy("ym").parquet(path)
+    """Write to monthly folders. The rebalance splits a large month over tasks and merges small ones."""
+    rows = df.withColumn("ym", month_of(column)).hint("rebalance", "ym")
+    rows.write.mode(mode).partitionBy("ym").parquet(path)
 
 
 def doc_store_append(docs: DataFrame, path: str, as_of: datetime | str | Column | None = None) -> None:
