@@ -101,5 +101,25 @@ def test_expected_totals(spark):
 
 def test_quiet_gaps_cut_a_key(spark):
     rows = [(i, "k", (i // 10) * 500_000 + i % 10) for i in range(100)]
-    cut = ratelimit._stretches(ratelimit._instants(frame(spark, rows), 2), 60)
-    assert cut.select("stretch").distinct().count() == 10
+    instants = ratelimit._instants(frame(spark, rows), 2)
+    cut = ratelimit._cells(instants, 60, 1000)
+    assert cut.select("stretch").distinct().count() == 10 and cut.filter("piece > 0").count() == 0
+    assert ratelimit._cells(instants, 1000, 10).select("piece").distinct().count() == 10
+
+
+@pytest.mark.parametrize("seed", [3])
+def test_long_stretches_go_in_rounds(spark, seed):
+    rows = [(event_id, key, ms // 6) for event_id, key, ms in bursty(seed, 400)]
+    requests = frame(spark, rows)
+    tokens = {
+        r.event_id: (r.allowed, round(r.remaining, 6), round(r.wait_seconds, 6))
+        for r in ratelimit.token_bucket(requests, 20, 0.1, rows_per_task=60).collect()
+    }
+    assert tokens == loop_tokens(rows, 20, 0.1)
+    sliding = ratelimit.sliding_window(requests, 4, 60, rows_per_task=40).collect()
+    assert {r.event_id: (r.allowed, r.remaining, r.reset_in) for r in sliding} == loop_sliding(rows, 4, 60)
+    assert {r.event_id: r.accepted for r in ratelimit.dedupe_ttl(requests, 90, rows_per_task=50).collect()} == loop_ttl(rows, 90)
+
+
+def test_no_requests(spark):
+    assert ratelimit.token_bucket(frame(spark, [(1, "k", 0)]).filter("false")).count() == 0

@@ -6,14 +6,19 @@ The rules depend on the order of a key's requests, but not on all of its history
   a key's requests are reduced to one bounded row per instant before they are shuffled by key;
 * after a quiet stretch the state is the initial one again, so a key is cut there. The cuts are found from the
   first and last instant per key and time cell, never from a sort of the whole key;
-* a stretch is folded as a stream of sorted rows with a constant-size state;
+* a stretch with more instants than one task should take is cut into pieces as well, which run one after another:
+  the state at the end of a piece is a row of the next round. Without such a stretch there is a single round;
+* a piece is folded as a stream of sorted rows with a constant-size state;
 * the decisions go back to the requests by key and instant, which spreads a hot key over all tasks.
 """
 
 from __future__ import annotations
 
+import json
 from collections import deque
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 import pandas as pd
@@ -23,15 +28,32 @@ from ..functions.scalars import epoch_micros
 from ..schemas import (
     DEDUPE_TTL_SECONDS, FIXED_LIMIT, SLIDING_LIMIT, SLIDING_SECONDS, TOKEN_CAPACITY, TOKEN_REFILL_PER_SECOND,
 )
+from ..session import settle
 from .spread import salted_join
 
 MICROS = 1_000_000
+ROWS_PER_TASK = 5_000_000
 # A rule takes the state and the time in whole microseconds, so that equal times compare as equal.
 Step = Callable[[Any, int], tuple[Any, bool, float, float]]
 
 
-def token_bucket_step(capacity: float, refill: float) -> Step:
-    """State ``(tokens, last)``. Returns the state, allowed, tokens left and seconds until a token."""
+@dataclass(frozen=True)
+class Rule:
+    """A step and the way its state is written as JSON between rounds or micro-batches."""
+
+    step: Step
+    load: Callable[[Any], Any]
+    dump: Callable[[Any], Any]
+
+    def read_state(self, text: str) -> Any:
+        return self.load(json.loads(text))
+
+    def write_state(self, state: Any) -> str:
+        return json.dumps(self.dump(state))
+
+
+def token_bucket_rule(capacity: float, refill: float) -> Rule:
+    """State ``(tokens, last)``. A step returns the state, allowed, tokens left and seconds until a token."""
 
     def step(state, now):
         tokens, last = state if state is not None else (float(capacity), now)
@@ -41,12 +63,11 @@ def token_bucket_step(capacity: float, refill: float) -> Step:
             tokens -= 1
         return (tokens, now), allowed, tokens, max(0.0, (1.0 - tokens) / refill)
 
-    return step
+    return Rule(step, load=tuple, dump=list)
 
 
-def sliding_window_step(limit: int, window: float) -> Step:
-    """State: times of the allowed requests. Returns the state, allowed, requests left and seconds to reset."""
-
+def sliding_window_rule(limit: int, window: float) -> Rule:
+    """State: times of the allowed requests. A step returns the state, allowed, requests left and seconds to reset."""
     width = int(window * MICROS)
 
     def step(state, now):
@@ -60,78 +81,123 @@ def sliding_window_step(limit: int, window: float) -> Step:
         left = float(limit - used - 1) if allowed else 0.0
         return times, allowed, left, max(0, times[0] + width - now) / MICROS if times else 0.0
 
-    return step
+    return Rule(step, load=deque, dump=list)
 
 
-def ttl_step(ttl: float) -> Step:
+def ttl_rule(ttl: float) -> Rule:
     """State: time of the last acceptance, which duplicates do not refresh."""
 
     def step(state, now):
         accepted = state is None or now - state > ttl * MICROS
         return (now if accepted else state), accepted, 0.0, 0.0
 
-    return step
+    return Rule(step, load=int, dump=int)
 
 
 def _instants(requests: DataFrame, per_instant: int) -> DataFrame:
     """One row per key and instant with the ids that can change the state, at most ``per_instant`` of them."""
     order = Window.partitionBy("key", "ts").orderBy("event_id")
     heads = requests.select("key", "ts", "event_id").withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_instant)
-    return heads.groupBy("key", "ts").agg(F.array_sort(F.collect_list("event_id")).alias("ids"))
+    return (
+        heads.groupBy("key", "ts")
+        .agg(F.array_sort(F.collect_list("event_id")).alias("ids"))
+        .withColumn("micros", epoch_micros("ts"))
+    )
 
 
-def _stretches(instants: DataFrame, quiet_seconds: float) -> DataFrame:
-    """Adds ``stretch``: a key's instants fall into a new one after a gap longer than ``quiet_seconds``.
+def _cells(instants: DataFrame, quiet_seconds: float, rows_per_task: int) -> DataFrame:
+    """Time cells of every key with their ``stretch`` and ``piece``.
 
-    A gap longer than a cell always spans a cell border, so first and last instant per cell find every one.
+    A key falls into a new stretch after a gap longer than ``quiet_seconds``. Such a gap is longer than a cell, so
+    the first and last instant of the cells find every one. A stretch starts a new piece when the cells so far
+    hold another ``rows_per_task`` instants.
     """
-    width = int(quiet_seconds * MICROS)
-    celled = instants.withColumn("micros", epoch_micros("ts")).withColumn("_cell", F.floor(F.col("micros") / width))
+    quiet = int(quiet_seconds * MICROS)
     by_time = Window.partitionBy("key").orderBy("_cell")
-    cells = (
-        celled.groupBy("key", "_cell")
-        .agg(F.min("micros").alias("_low"), F.max("micros").alias("_high"))
-        .withColumn("_new", F.coalesce((F.col("_low") - F.lag("_high").over(by_time) > width).cast("int"), F.lit(1)))
+    earlier = Window.partitionBy("key", "stretch").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        instants.groupBy("key", _cell_of(quiet_seconds))
+        .agg(F.min("micros").alias("_low"), F.max("micros").alias("_high"), F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_new", F.coalesce((F.col("_low") - F.lag("_high").over(by_time) > quiet).cast("int"), F.lit(1)))
         .withColumn("stretch", F.sum("_new").over(by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .select("key", "_cell", "stretch")
+        .withColumn("piece", F.floor(F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) / F.lit(rows_per_task)))
+        .select("key", "_cell", "stretch", "piece")
     )
-    return celled.join(cells, ["key", "_cell"]).drop("_cell")
 
 
-def _fold(stretches: DataFrame, make_step: Callable[[], Step], partitions: int | None) -> DataFrame:
-    """Runs the rule over the sorted instants of every stretch, carrying the state from batch to batch."""
+def _cell_of(quiet_seconds: float):
+    return F.floor(F.col("micros") / F.lit(max(MICROS, int(quiet_seconds * MICROS) // 8))).alias("_cell")
+
+
+def _fold(rows: DataFrame, make_rule: Callable[[], Rule], partitions: int | None) -> DataFrame:
+    """Runs the rule over the sorted instants of every piece, carrying the state from batch to batch.
+
+    A row with a ``state`` and no ids opens a piece with the state that the one before it has left. Every piece
+    ends with such a row for the next one.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        step = make_step()
+        rule = make_rule()
+        columns = ["key", "stretch", "ts", "decisions", "state"]
         group, state = None, None
         for batch in batches:
             out = []
-            for key, stretch, ts, micros, ids in zip(batch["key"], batch["stretch"], batch["ts"], batch["micros"], batch["ids"]):
+            for key, stretch, ts, micros, ids, opening in zip(*(batch[c] for c in ("key", "stretch", "ts", "micros", "ids", "state"))):
                 if (key, stretch) != group:
+                    if group is not None:
+                        out.append((*group, None, None, rule.write_state(state)))
                     group, state = (key, stretch), None
+                if opening is not None:
+                    state = rule.read_state(opening)
+                    continue
                 decisions = []
                 for event_id in ids:
-                    state, allowed, left, wait = step(state, micros)
+                    state, allowed, left, wait = rule.step(state, int(micros))
                     decisions.append({"event_id": int(event_id), "allowed": bool(allowed), "remaining": left, "wait_seconds": wait})
-                out.append((key, ts, decisions))
-            yield pd.DataFrame(out, columns=["key", "ts", "decisions"])
+                out.append((key, stretch, ts, decisions, None))
+            yield pd.DataFrame(out, columns=columns)
+        if group is not None:
+            yield pd.DataFrame([(*group, None, None, rule.write_state(state))], columns=columns)
 
-    columns = ["key", "stretch", "ts", "micros", "ids"]
-    shuffled = (
-        stretches.select(*columns).repartition(partitions, "key", "stretch") if partitions
-        else stretches.select(*columns).repartition("key", "stretch")
-    )
+    keys = ["key", "stretch"]
+    shuffled = rows.repartition(partitions, *keys) if partitions else rows.repartition(*keys)
     item = "struct<event_id: bigint, allowed: boolean, remaining: double, wait_seconds: double>"
-    return shuffled.sortWithinPartitions("key", "stretch", "micros").mapInPandas(
-        run, f"key string, ts timestamp_ntz, decisions array<{item}>"
-    )
+    schema = f"key string, stretch bigint, ts timestamp_ntz, decisions array<{item}>, state string"
+    return shuffled.sortWithinPartitions(*keys, "micros").mapInPandas(run, schema)
+
+
+def _decided(
+    instants: DataFrame, make_rule: Callable[[], Rule], quiet_seconds: float, partitions: int | None, rows_per_task: int
+) -> DataFrame:
+    """The decisions of every key and instant."""
+    cells = _cells(instants, quiet_seconds, rows_per_task)
+    rounds = (cells.agg(F.max("piece").alias("p")).first()["p"] or 0) + 1
+    placed = instants.withColumn("_cell", _cell_of(quiet_seconds)).join(cells, ["key", "_cell"])
+    rows = placed.select("key", "stretch", "ts", "micros", "ids", F.lit(None).cast("string").alias("state"), "piece")
+    if rounds == 1:
+        return _fold(rows.drop("piece"), make_rule, partitions).filter(F.col("state").isNull()).select("key", "ts", "decisions")
+    done, states = [], None
+    for piece in range(rounds):
+        current = rows.filter(F.col("piece") == piece).drop("piece")
+        if states is not None:
+            waiting = current.select("key", "stretch").distinct()
+            opening = states.join(waiting, ["key", "stretch"], "left_semi").select(
+                "key", "stretch", F.lit(None).cast("timestamp_ntz").alias("ts"), F.lit(-(2**63)).alias("micros"),
+                F.array().cast("array<bigint>").alias("ids"), "state",
+            )
+            current = current.unionByName(opening)
+        result = settle(_fold(current, make_rule, partitions), "rule-round")
+        states = result.filter(F.col("state").isNotNull()).select("key", "stretch", "state")
+        done.append(result.filter(F.col("state").isNull()).select("key", "ts", "decisions"))
+    return reduce(DataFrame.unionByName, done)
 
 
 def _decide(
-    requests: DataFrame, make_step: Callable[[], Step], per_instant: int, quiet_seconds: float, partitions: int | None
+    requests: DataFrame, make_rule: Callable[[], Rule], per_instant: int, quiet_seconds: float, partitions: int | None,
+    rows_per_task: int,
 ) -> DataFrame:
-    instants = _instants(requests, per_instant)
-    decided = _fold(_stretches(instants, quiet_seconds), make_step, partitions)
+    instants = settle(_instants(requests, per_instant), "instants")
+    decided = _decided(instants, make_rule, quiet_seconds, partitions, rows_per_task)
     own = F.get(F.filter("decisions", lambda d: d["event_id"] == F.col("event_id")), F.lit(0))
     # A request beyond the listed ones of its instant is refused in the state the last listed one left.
     last = F.element_at("decisions", -1)
@@ -147,7 +213,8 @@ def _decide(
 
 
 def token_bucket(
-    requests: DataFrame, capacity: int = TOKEN_CAPACITY, refill_per_second: float = TOKEN_REFILL_PER_SECOND, partitions: int | None = None
+    requests: DataFrame, capacity: int = TOKEN_CAPACITY, refill_per_second: float = TOKEN_REFILL_PER_SECOND,
+    partitions: int | None = None, rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Adds ``allowed``, ``remaining`` tokens and ``wait_seconds`` until the next token.
 
@@ -155,20 +222,24 @@ def token_bucket(
     ``capacity`` requests of one instant can be served; one more shows the state the others are refused in.
     """
     quiet = capacity / refill_per_second + 1
-    return _decide(requests, lambda: token_bucket_step(capacity, refill_per_second), capacity + 1, quiet, partitions)
+    return _decide(requests, lambda: token_bucket_rule(capacity, refill_per_second), capacity + 1, quiet, partitions, rows_per_task)
 
 
 def sliding_window(
-    requests: DataFrame, limit: int = SLIDING_LIMIT, window_seconds: int = SLIDING_SECONDS, partitions: int | None = None
+    requests: DataFrame, limit: int = SLIDING_LIMIT, window_seconds: int = SLIDING_SECONDS,
+    partitions: int | None = None, rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Adds ``allowed``, ``remaining`` requests and ``reset_in`` seconds until the oldest one expires."""
-    decided = _decide(requests, lambda: sliding_window_step(limit, window_seconds), limit + 1, window_seconds, partitions)
+    rule = lambda: sliding_window_rule(limit, window_seconds)
+    decided = _decide(requests, rule, limit + 1, window_seconds, partitions, rows_per_task)
     return decided.withColumnRenamed("wait_seconds", "reset_in")
 
 
-def dedupe_ttl(events: DataFrame, ttl_seconds: int = DEDUPE_TTL_SECONDS, partitions: int | None = None) -> DataFrame:
+def dedupe_ttl(
+    events: DataFrame, ttl_seconds: int = DEDUPE_TTL_SECONDS, partitions: int | None = None, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """Adds ``accepted``: the key is new, or its last acceptance is longer ago than the time to live."""
-    decided = _decide(events, lambda: ttl_step(ttl_seconds), 1, ttl_seconds, partitions)
+    decided = _decide(events, lambda: ttl_rule(ttl_seconds), 1, ttl_seconds, partitions, rows_per_task)
     return decided.withColumnRenamed("allowed", "accepted").drop("remaining", "wait_seconds")
 
 

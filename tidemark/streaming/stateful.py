@@ -6,37 +6,32 @@ order of arrival across micro-batches; the size of a micro-batch bounds what a k
 
 from __future__ import annotations
 
-import json
-from collections import deque
 from collections.abc import Callable, Iterator
-from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.scalars import epoch_micros
-from ..operators.ratelimit import Step, sliding_window_step, token_bucket_step, ttl_step
+from ..operators.ratelimit import Rule, sliding_window_rule, token_bucket_rule, ttl_rule
 from ..schemas import DEDUPE_TTL_SECONDS, MAX_DELIVERIES, SLIDING_LIMIT, SLIDING_SECONDS, TOKEN_CAPACITY, TOKEN_REFILL_PER_SECOND
 
 DECISION = "key string, event_id bigint, ts timestamp_ntz, allowed boolean, remaining double, wait_seconds double"
 STATE = "state string"
 
 
-def _decide(
-    requests: DataFrame, make_step: Callable[[], Step], load: Callable[[Any], Any], dump: Callable[[Any], Any]
-) -> DataFrame:
-    """One decision per request; the state of a key is a short JSON text."""
+def _decide(requests: DataFrame, make_rule: Callable[[], Rule]) -> DataFrame:
+    """One decision per request; the state of a key is a short text."""
 
     def decide(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        step = make_step()
+        rule = make_rule()
         rows = pd.concat(list(batches)).sort_values(["micros", "event_id"])
-        current = load(json.loads(state.get[0])) if state.exists else None
+        current = rule.read_state(state.get[0]) if state.exists else None
         out = []
         for event_id, ts, micros in zip(rows["event_id"], rows["ts"], rows["micros"]):
-            current, allowed, left, wait = step(current, int(micros))
+            current, allowed, left, wait = rule.step(current, int(micros))
             out.append((key[0], int(event_id), ts, bool(allowed), float(left), float(wait)))
-        state.update((json.dumps(dump(current)),))
+        state.update((rule.write_state(current),))
         yield pd.DataFrame(out, columns=["key", "event_id", "ts", "allowed", "remaining", "wait_seconds"])
 
     timed = requests.select("key", "event_id", "ts", epoch_micros("ts").alias("micros"))
@@ -46,17 +41,15 @@ def _decide(
 def token_bucket_stream(
     requests: DataFrame, capacity: int = TOKEN_CAPACITY, refill_per_second: float = TOKEN_REFILL_PER_SECOND
 ) -> DataFrame:
-    return _decide(requests, lambda: token_bucket_step(capacity, refill_per_second), load=tuple, dump=list)
+    return _decide(requests, lambda: token_bucket_rule(capacity, refill_per_second))
 
 
 def sliding_window_stream(requests: DataFrame, limit: int = SLIDING_LIMIT, window_seconds: int = SLIDING_SECONDS) -> DataFrame:
-    decided = _decide(requests, lambda: sliding_window_step(limit, window_seconds), load=deque, dump=list)
-    return decided.withColumnRenamed("wait_seconds", "reset_in")
+    return _decide(requests, lambda: sliding_window_rule(limit, window_seconds)).withColumnRenamed("wait_seconds", "reset_in")
 
 
 def dedupe_ttl_stream(events: DataFrame, ttl_seconds: int = DEDUPE_TTL_SECONDS) -> DataFrame:
-    decided = _decide(events, lambda: ttl_step(ttl_seconds), load=lambda s: s, dump=lambda s: s)
-    return decided.select("key", "event_id", "ts", F.col("allowed").alias("accepted"))
+    return _decide(events, lambda: ttl_rule(ttl_seconds)).select("key", "event_id", "ts", F.col("allowed").alias("accepted"))
 
 
 def retry_stream(deliveries: DataFrame, max_attempts: int = MAX_DELIVERIES) -> DataFrame:
