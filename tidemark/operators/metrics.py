@@ -92,16 +92,21 @@ def counter_rate(samples: DataFrame, series: Sequence[str], width_seconds: int)
 
 
 def error_ratio(rates: DataFrame, status: str = "status", prefix: str = "5", warning: float = 0.01, critical: float = 0.05) -> DataFrame:
-    """Share of the rate with a status of the given class per window, with its severity."""
-    bad = F.sum(F.when(F.startswith(F.col(status), F.lit(prefix)), F.col("rate")).otherwise(0.0))
-    totals = rates.groupBy("window_start").agg(F.try_divide(bad, F.sum("rate")).alias("ratio"))
+    """Share of the rate with a status of the given class per window, with its severity.
+
+    All rates of a window cover the same time, so the increases give the same share; they are whole numbers for
+    counters, whose sum does not depend on the order of the rows.
+    """
+    bad = F.sum(F.when(F.startswith(F.col(status), F.lit(prefix)), F.col("increase")).otherwise(0.0))
+    totals = rates.groupBy("window_start").agg(F.try_divide(bad, F.sum("increase")).alias("ratio"))
     severity = F.when(F.col("ratio") > critical, "critical").when(F.col("ratio") > warning, "warning").otherwise("ok")
     return totals.withColumn("severity", severity)
 
 
-def traffic_drop(rates: DataFrame, threshold: float = 0.01) -> DataFrame:
+def traffic_drop(rates: DataFrame, width_seconds: int, threshold: float = 0.01) -> DataFrame:
     """Windows whose total rate is below the threshold."""
-    return rates.groupBy("window_start").agg(F.sum("rate").alias("total_rate")).filter(F.col("total_rate") < threshold)
+    total = (F.sum("increase") / F.lit(width_seconds)).alias("total_rate")
+    return rates.groupBy("window_start").agg(total).filter(F.col("total_rate") < threshold)
 
 
 def service_down(ups: DataFrame, job: str = "job", at: str = "ts") -> DataFrame:

@@ -121,19 +121,19 @@ def bloom_set_bits(spark, sf):
 @report(
     "bloom_probe",
     f"""{with_views(PAGE_URLS)}, bits AS ({BLOOM_BITS.replace('FROM page_urls', 'FROM (SELECT url FROM pages)')}),
-    stored AS (SELECT DISTINCT b.position FROM bits b JOIN pages p USING (url) WHERE p.page_id % 2 = 0)
+    stored AS (SELECT DISTINCT b.position FROM bits b JOIN pages p USING (url) WHERE p.url LIKE 'https:%')
     SELECT url, bool_and(position IN (SELECT position FROM stored)) AS maybe_seen FROM bits GROUP BY url""",
 )
 def bloom_probe(spark, sf):
-    """All addresses against a filter of those on even pages."""
+    """All addresses against a filter of the https ones."""
     pages = table(spark, sf, "pages").select("page_id", "url")
-    return sketch.bloom_probe(pages, "url", sketch.bloom_build(pages.filter("page_id % 2 = 0"), "url"))
+    return sketch.bloom_probe(pages, "url", sketch.bloom_build(pages.filter("url LIKE 'https:%'"), "url"))
 
 
-@report("unseen_urls", "SELECT DISTINCT url FROM pages WHERE url NOT IN (SELECT url FROM pages WHERE page_id % 2 = 0)")
+@report("unseen_urls", "SELECT DISTINCT url FROM pages WHERE url NOT IN (SELECT url FROM pages WHERE url LIKE 'https:%')")
 def unseen_urls(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", "url")
-    seen = pages.filter("page_id % 2 = 0")
+    seen = pages.filter("url LIKE 'https:%'")
     return sketch.unseen_urls(pages, seen, sketch.bloom_build(seen, "url"))
 
 

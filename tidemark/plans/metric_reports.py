@@ -125,7 +125,7 @@ def request_rates(spark, sf):
 
 
 RATIO = f"""{RATES}, ratios AS (
-  SELECT window_start, CASE WHEN sum(rate) = 0 THEN NULL ELSE sum(CASE WHEN starts_with(status, '<class>') THEN rate ELSE 0 END) / sum(rate) END AS ratio
+  SELECT window_start, CASE WHEN sum(increase) = 0 THEN NULL ELSE sum(CASE WHEN starts_with(status, '<class>') THEN increase ELSE 0 END) / sum(increase) END AS ratio
   FROM rates GROUP BY 1)"""
 SEVERITY = "CASE WHEN ratio > 0.05 THEN 'critical' WHEN ratio > 0.01 THEN 'warning' ELSE 'ok' END AS severity"
 
@@ -140,9 +140,9 @@ def client_error_ratio(spark, sf):
     return metrics.error_ratio(_rates(spark, sf), prefix="4").withColumn("ratio", F.round("ratio", 9))
 
 
-@report("traffic_drops", f"{RATES} SELECT window_start, round(sum(rate), 9) AS total_rate FROM rates GROUP BY 1 HAVING sum(rate) < 0.012")
+@report("traffic_drops", f"{RATES} SELECT window_start, round(sum(increase) / {WIDTH}, 9) AS total_rate FROM rates GROUP BY 1 HAVING sum(increase) / {WIDTH} < 0.012")
 def traffic_drops(spark, sf):
-    return metrics.traffic_drop(_rates(spark, sf), 0.012).withColumn("total_rate", F.round("total_rate", 9))
+    return metrics.traffic_drop(_rates(spark, sf), WIDTH, 0.012).withColumn("total_rate", F.round("total_rate", 9))
 
 
 @report(
