@@ -179,3 +179,30 @@ def test_filters_reach_the_scan(spark):
     spark.range(10).select("id", F.lit("s").alias("source"), F.lit(None).cast("timestamp_ntz").alias("deleted_at"), F.lit("x").alias("unused")).write.parquet(path)
     plan = reads.by_source(reads.active_only(spark.read.parquet(path)), "s").select("id")._jdf.queryExecution().executedPlan().toString()
     assert "IsNull(deleted_at)" in plan and "EqualTo(source,s)" in plan and "unused" not in plan
+
+
+def test_active_view_and_approximate_count(spark, rows):
+    from tidemark.operators.analytics import distinct_sources
+
+    reads.register_active_view(rows, "v_active_records")
+    assert spark.sql("SELECT count(*) AS n FROM v_active_records").first().n == 4
+    assert distinct_sources(rows, approximate=True).first().unique_sources == 2
+
+
+def test_backoff_grows_to_its_ceiling_with_bounded_jitter(spark):
+    from tidemark.functions.scalars import backoff_seconds
+
+    delays = spark.range(8).select(
+        "id", backoff_seconds("id", 1.0, 30.0).alias("plain"), backoff_seconds("id", 1.0, 30.0, 0.2).alias("spread")
+    ).collect()
+    assert [r.plain for r in delays] == [1, 2, 4, 8, 16, 30, 30, 30]
+    assert all(0.8 * r.plain <= r.spread <= 1.2 * r.plain for r in delays)
+
+
+def test_synthetic_records(spark):
+    from datetime import date
+
+    found = files.generate_records(spark.range(1002).withColumnRenamed("id", "n")).collect()
+    assert (found[0].source, found[4].source, found[5].source) == ("sensor-alpha", "webhook-receiver", "sensor-alpha")
+    assert found[1001].raw_data == '{"value":1001,"batch":1}' and found[1001].tags == ["tag-1", "bucket-1"]
+    assert files.dated_path("s3://cold/", date(2024, 3, 1)) == "s3://cold/2024-03-01"

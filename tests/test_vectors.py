@@ -87,3 +87,16 @@ def test_reindexing_replaces_points(spark, make_records):
     texts = {r.id: r.text for r in vectors.build_search_document(rows).collect()}
     assert texts[1] == 'source: a\ntimestamp: 2024-03-01T10:00:00\ntags: a\ndata: {"a": [2, "\\u00e9"], "b": 1}'
     assert "timestamp: 2024-03-01T10:00:00.500000" in texts[2]
+
+
+def test_a_model_can_take_the_place_of_tf_idf(spark):
+    import pandas as pd
+    from pyspark.sql.types import ArrayType, FloatType
+
+    @F.pandas_udf(ArrayType(FloatType()))
+    def lengths(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda text: [float(len(text)), 1.0])
+
+    frame = spark.createDataFrame([(1, "ab"), (2, "abc"), (3, "ab"), (4, None)], "id BIGINT, text STRING")
+    found = {r.id: r.vector for r in vectors.embed_texts(frame, encoder=lengths).collect()}
+    assert found == {1: [2.0, 1.0], 2: [3.0, 1.0], 3: [2.0, 1.0], 4: None}

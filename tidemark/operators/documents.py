@@ -85,14 +85,15 @@ def dedupe_urls(items: DataFrame, *order: str) -> DataFrame:
 
 
 def find_by_source(docs: DataFrame, source: str, limit: int = 50) -> DataFrame:
-    """Newest documents of a source."""
-    return (
+    """Newest documents of a source, with an id that stays the same for the same address and time."""
+    newest = (
         docs.filter(F.col("source") == source)
         .select("source", "url", "title", "content", "scraped_at")
         .orderBy(F.desc("scraped_at"), "url")
         .limit(limit)
         .withColumn("scraped_at", iso_text("scraped_at"))
     )
+    return newest.withColumn("id", F.substring(F.sha2(F.concat_ws("|", "url", "scraped_at"), 256), 1, 24))
 
 
 def shard_urls(items: DataFrame, shards: int) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 from typing import Any
 
@@ -72,25 +72,36 @@ def distinct_texts(df: DataFrame, text: str = "text") -> DataFrame:
     return df.select(F.sha2(text, 256).alias("text_key"), text).dropDuplicates(["text_key"])
 
 
-def embed_texts(df: DataFrame, text: str = "text", dim: int = EMBEDDING_DIM) -> DataFrame:
-    """Adds ``vector``, a unit-length TF-IDF vector of hashed words; each distinct text is embedded once.
-
-    Copies of one text may be a large share of the rows, so the way back to them is salted.
-    """
+def tf_idf_vectors(texts: DataFrame, text: str, dim: int) -> DataFrame:
+    """``text_key`` and ``vector`` of distinct texts: unit-length TF-IDF of hashed words."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import IDF, HashingTF, Normalizer, Tokenizer
     from pyspark.ml.functions import vector_to_array
 
-    distinct = distinct_texts(df.filter(F.col(text).isNotNull()), text)
     stages = [
         Tokenizer(inputCol=text, outputCol="_words"),
         HashingTF(numFeatures=dim, inputCol="_words", outputCol="_tf"),
         IDF(inputCol="_tf", outputCol="_idf"),
         Normalizer(inputCol="_idf", outputCol="_unit"),
     ]
-    vectors = Pipeline(stages=stages).fit(distinct).transform(distinct).select(
+    return Pipeline(stages=stages).fit(texts).transform(texts).select(
         "text_key", vector_to_array("_unit", "float32").alias("vector")
     )
+
+
+def embed_texts(
+    df: DataFrame, text: str = "text", dim: int = EMBEDDING_DIM, encoder: Callable[[Column], Column] | None = None
+) -> DataFrame:
+    """Adds ``vector``; each distinct text is embedded once. ``encoder``, such as a pandas UDF around a model, maps
+    the text column to the vector column; without one it is TF-IDF.
+
+    Copies of one text may be a large share of the rows, so the way back to them is salted.
+    """
+    distinct = distinct_texts(df.filter(F.col(text).isNotNull()), text)
+    if encoder is None:
+        vectors = tf_idf_vectors(distinct, text, dim)
+    else:
+        vectors = distinct.select("text_key", encoder(F.col(text)).alias("vector"))
     keyed = df.withColumn("text_key", F.sha2(text, 256))
     return salted_join(keyed, vectors, ["text_key"], "left", salt_by=F.struct(*[c for c in df.columns if c != text])).drop("text_key")
 

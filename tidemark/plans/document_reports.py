@@ -146,8 +146,8 @@ def sharded_urls(spark, sf):
 
 
 def _newest_docs(source: str) -> str:
-    return f"""{with_views(DOCS)} SELECT source, url, title, content, strftime(scraped_at, '%Y-%m-%dT%H:%M:%S') AS scraped_at
-    FROM docs WHERE source = '{source}' ORDER BY docs.scraped_at DESC, url LIMIT 50"""
+    return f"""{with_views(DOCS)} SELECT substr(sha256(url || '|' || strftime(scraped_at, '%Y-%m-%dT%H:%M:%S')), 1, 24) AS id,
+      source, url, title, content, strftime(scraped_at, '%Y-%m-%dT%H:%M:%S') AS scraped_at FROM docs WHERE source = '{source}' ORDER BY docs.scraped_at DESC, url LIMIT 50"""
 
 
 @report("newest_docs_of_source", _newest_docs("src3"))
@@ -264,8 +264,9 @@ def scanned_requests(spark, sf):
 
 @report(
     "generated_records",
-    """SELECT 'source-' || (event_id % 5) AS source, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(event_id) AS "timestamp",
-      '{"value":' || event_id || ',"batch":' || (event_id // 1000) || '}' AS raw_data, 'seed,batch-' || (event_id // 1000) AS tags FROM events""",
+    """SELECT ['sensor-alpha', 'sensor-beta', 'api-ingest', 'etl-pipeline', 'webhook-receiver'][1 + event_id % 5] AS source,
+      TIMESTAMP '2024-01-01 00:00:00' + to_seconds(event_id) AS "timestamp",
+      '{"value":' || event_id || ',"batch":' || (event_id // 1000) || '}' AS raw_data, 'tag-' || (event_id % 10) || ',bucket-' || (event_id % 5) AS tags FROM events""",
 )
 def generated_records(spark, sf):
     return files.generate_records(table(spark, sf, "events").select(F.col("event_id").alias("n")))

@@ -46,6 +46,10 @@ DEAD_LETTER_TOPIC = "records.events.dlq"
 RECORD_CREATED = "record.created"
 DOC_SCRAPED = "doc.scraped"
 
+# Sources of the synthetic records, in turn.
+SYNTHETIC_SOURCES = ["sensor-alpha", "sensor-beta", "api-ingest", "etl-pipeline", "webhook-receiver"]
+SYNTHETIC_BATCH_ROWS = 1000
+
 # Names the metrics snapshot keeps.
 SNAPSHOT_METRICS = ["http_requests_total", "records_created_total", "http_responses_total"]
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.scalars import instant, month_of, wall_clock
-from ..schemas import POSTS, REQUESTS, SNAPSHOT_METRICS
+from ..schemas import POSTS, REQUESTS, SNAPSHOT_METRICS, SYNTHETIC_BATCH_ROWS, SYNTHETIC_SOURCES
 
 
 def scan_requests_json(spark: SparkSession, path: str, as_of: datetime | str | Column, extra: str = "") -> DataFrame:
@@ -96,14 +96,22 @@ def doc_store_append(docs: DataFrame, path: str, as_of: datetime | str | Column
 
 
 def generate_records(numbers: DataFrame, number: str = "n") -> DataFrame:
-    """Synthetic records for whole numbers: five sources in turn, one second apart from 2024-01-01."""
+    """Synthetic records for whole numbers from 0: the sources in turn, one second apart from 2024-01-01."""
     n = F.col(number)
     at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
         F.lit(0), F.lit(0), F.lit(0), n.cast("decimal(18,6)")
     )
+    sources = F.array(*[F.lit(source) for source in SYNTHETIC_SOURCES])
     return numbers.select(
-        F.concat(F.lit("source-"), (n % 5).cast("string")).alias("source"),
+        F.get(sources, (n % len(SYNTHETIC_SOURCES)).cast("int")).alias("source"),
         at.alias("timestamp"),
-        F.to_json(F.struct(n.alias("value"), F.floor(n / 1000).alias("batch"))).alias("raw_data"),
-        F.array(F.lit("seed"), F.concat(F.lit("batch-"), F.floor(n / 1000).cast("string"))).alias("tags"),
+        F.to_json(F.struct(n.alias("value"), F.floor(n / SYNTHETIC_BATCH_ROWS).alias("batch"))).alias("raw_data"),
+        F.array(
+            F.concat(F.lit("tag-"), (n % 10).cast("string")), F.concat(F.lit("bucket-"), (n % 5).cast("string"))
+        ).alias("tags"),
     )
+
+
+def dated_path(root: str, day: date) -> str:
+    """Folder of one day's export."""
+    return f"{root.rstrip('/')}/{day.isoformat()}"
