@@ -6,7 +6,12 @@ from pyspark.sql import Column, functions as F
 
 
 def sha256_mod(text: Column, modulus: int) -> Column:
-    """The whole 256-bit digest, read as one number, modulo ``modulus``.
+    """The whole 256-bit digest of a text, read as one number, modulo ``modulus``."""
+    return digest_mod(F.sha2(text, 256), modulus)
+
+
+def digest_mod(digest: Column, modulus: int) -> Column:
+    """A hex digest of 64 digits, read as one number, modulo ``modulus``.
 
     The digest is folded chunk by chunk so that every step fits a BIGINT.
     """
@@ -14,7 +19,6 @@ def sha256_mod(text: Column, modulus: int) -> Column:
     if modulus >= 2**47:
         raise ValueError("modulus must stay below 2**47")
     digits = bits // 4
-    digest = F.sha2(text, 256)
     folded = F.lit(0).cast("bigint")
     for start in range(1, 65, digits):
         chunk = F.conv(F.substring(digest, start, digits), 16, 10).cast("bigint")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalars import instant
 from ..schemas import DOC_SCRAPED, LAG_CRITICAL, LAG_WARNING, MAX_DELIVERIES, RECORD_CREATED
+from ..session import settle
 from .spread import running_position
 
 
@@ -124,7 +125,7 @@ def seen_events(incoming: DataFrame, ledger: DataFrame) -> DataFrame:
 
 def create_events(ledger: DataFrame, incoming: DataFrame, as_of: datetime | str | Column, order: str = "event_id") -> DataFrame:
     """The ledger after inserting ``incoming``; a key that exists keeps its row, offset and payload."""
-    fresh = unseen_events(dedupe_by_key(incoming, order=order), ledger)
+    fresh = settle(unseen_events(dedupe_by_key(incoming, order=order), ledger), "new-events")
     highest = ledger.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).scalar()
     now = instant(as_of)
     text = F.lit(None).cast("string")

@@ -10,6 +10,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import days as days_interval, instant, month_of
+from ..session import settle
 from .reads import active_only
 from .spread import running_position, salted_join
 
@@ -24,7 +25,11 @@ def _marked(table: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def next_ids(table: DataFrame, incoming: DataFrame, order: str) -> DataFrame:
-    """Ids for new rows: they continue after the largest stored id, in ``order``."""
+    """Ids for new rows: they continue after the largest stored id, in ``order``.
+
+    The rows are read twice, to count and to number, so they are written first.
+    """
+    incoming = settle(incoming, "new-rows")
     highest = table.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).scalar()
     numbered = running_position(incoming, order, out="_n")
     return numbered.withColumn("_highest", highest).withColumn("id", F.col("_highest") + F.col("_n")).drop("_n", "_highest")
@@ -53,7 +58,7 @@ def resolve_upsert(table: DataFrame, incoming: DataFrame, order: str) -> DataFra
     """
     firsts = incoming.groupBy(*KEY).agg(F.min(order).alias("_first"))
     taken = table.select(*KEY, F.col("id").alias("_taken_id"), F.col("deleted_at").isNotNull().alias("_gone"))
-    matched = firsts.join(taken, KEY, "left")
+    matched = settle(firsts.join(taken, KEY, "left"), "matched-keys")
     created = next_ids(table, matched.filter(F.col("_taken_id").isNull()), "_first").select(*KEY, "_first", "id", F.lit("created").alias("_state"))
     stored = matched.filter(F.col("_taken_id").isNotNull()).select(
         *KEY, "_first", F.col("_taken_id").alias("id"), F.when(F.col("_gone"), "conflict_deleted").otherwise("existing").alias("_state")

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.scalars import epoch_micros
@@ -96,13 +96,14 @@ def ttl_rule(ttl: float) -> Rule:
 
 def _instants(requests: DataFrame, per_instant: int) -> DataFrame:
     """One row per key and instant with the ids that can change the state, at most ``per_instant`` of them."""
-    order = Window.partitionBy("key", "ts").orderBy("event_id")
-    heads = requests.select("key", "ts", "event_id").withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_instant)
-    return (
-        heads.groupBy("key", "ts")
-        .agg(F.array_sort(F.collect_list("event_id")).alias("ids"))
-        .withColumn("micros", epoch_micros("ts"))
-    )
+    rows = requests.select("key", "ts", "event_id")
+    if per_instant == 1:
+        lists = rows.groupBy("key", "ts").agg(F.array(F.min("event_id")).alias("ids"))
+    else:
+        order = Window.partitionBy("key", "ts").orderBy("event_id")
+        heads = rows.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_instant)
+        lists = heads.groupBy("key", "ts").agg(F.array_sort(F.collect_list("event_id")).alias("ids"))
+    return lists.withColumn("micros", epoch_micros("ts"))
 
 
 def _cells(instants: DataFrame, quiet_seconds: float, rows_per_task: int) -> DataFrame:
@@ -135,35 +136,52 @@ def _fold(rows: DataFrame, make_rule: Callable[[], Rule], partitions: int | None
     A row with a ``state`` and no ids opens a piece with the state that the one before it has left. Every piece
     ends with such a row for the next one.
     """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    item = pa.struct([("event_id", pa.int64()), ("allowed", pa.bool_()), ("remaining", pa.float64()), ("wait_seconds", pa.float64())])
+
+    def packed(rows: list[tuple], decisions: list[tuple]) -> pa.RecordBatch:
+        """Rows ``(key, stretch, micros, number of decisions, state)`` with their decisions, which follow in order."""
+        keys, stretches, times, counts, states = zip(*rows) if rows else [()] * 5
+        starts, total = [], 0
+        for count in counts:
+            starts.append(None if count is None else total)
+            total += count or 0
+        fields = zip(*decisions) if decisions else [()] * 4
+        items = pa.StructArray.from_arrays([pa.array(values, f.type) for values, f in zip(fields, item)], fields=list(item))
+        lists = pa.ListArray.from_arrays(pa.array([*starts, total], pa.int32()), items)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys, pa.string()), pa.array(stretches, pa.int64()), pa.array(times, pa.timestamp("us")), lists,
+             pa.array(states, pa.string())],
+            names=["key", "stretch", "ts", "decisions", "state"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rule = make_rule()
-        columns = ["key", "stretch", "ts", "decisions", "state"]
         group, state = None, None
         for batch in batches:
-            out = []
-            for key, stretch, ts, micros, ids, opening in zip(*(batch[c] for c in ("key", "stretch", "ts", "micros", "ids", "state"))):
+            done, decisions = [], []
+            for key, stretch, micros, ids, opening in zip(*(column.to_pylist() for column in batch.columns)):
                 if (key, stretch) != group:
                     if group is not None:
-                        out.append((*group, None, None, rule.write_state(state)))
+                        done.append((*group, None, None, rule.write_state(state)))
                     group, state = (key, stretch), None
                 if opening is not None:
                     state = rule.read_state(opening)
                     continue
-                decisions = []
                 for event_id in ids:
-                    state, allowed, left, wait = rule.step(state, int(micros))
-                    decisions.append({"event_id": int(event_id), "allowed": bool(allowed), "remaining": left, "wait_seconds": wait})
-                out.append((key, stretch, ts, decisions, None))
-            yield pd.DataFrame(out, columns=columns)
+                    state, allowed, left, wait = rule.step(state, micros)
+                    decisions.append((event_id, allowed, left, wait))
+                done.append((key, stretch, micros, len(ids), None))
+            yield packed(done, decisions)
         if group is not None:
-            yield pd.DataFrame([(*group, None, None, rule.write_state(state))], columns=columns)
+            yield packed([(*group, None, None, rule.write_state(state))], [])
 
-    keys = ["key", "stretch"]
-    shuffled = rows.repartition(partitions, *keys) if partitions else rows.repartition(*keys)
-    item = "struct<event_id: bigint, allowed: boolean, remaining: double, wait_seconds: double>"
-    schema = f"key string, stretch bigint, ts timestamp_ntz, decisions array<{item}>, state string"
-    return shuffled.sortWithinPartitions(*keys, "micros").mapInPandas(run, schema)
+    by = ["key", "stretch"]
+    shuffled = rows.repartition(partitions, *by) if partitions else rows.repartition(*by)
+    schema = (
+        "key string, stretch bigint, ts timestamp_ntz, "
+        "decisions array<struct<event_id: bigint, allowed: boolean, remaining: double, wait_seconds: double>>, state string"
+    )
+    return shuffled.select(*by, "micros", "ids", "state").sortWithinPartitions(*by, "micros").mapInArrow(run, schema)
 
 
 def _decided(
@@ -173,7 +191,7 @@ def _decided(
     cells = _cells(instants, quiet_seconds, rows_per_task)
     rounds = (cells.agg(F.max("piece").alias("p")).first()["p"] or 0) + 1
     placed = instants.withColumn("_cell", _cell_of(quiet_seconds)).join(cells, ["key", "_cell"])
-    rows = placed.select("key", "stretch", "ts", "micros", "ids", F.lit(None).cast("string").alias("state"), "piece")
+    rows = placed.select("key", "stretch", "micros", "ids", F.lit(None).cast("string").alias("state"), "piece")
     if rounds == 1:
         return _fold(rows.drop("piece"), make_rule, partitions).filter(F.col("state").isNull()).select("key", "ts", "decisions")
     done, states = [], None
@@ -182,8 +200,7 @@ def _decided(
         if states is not None:
             waiting = current.select("key", "stretch").distinct()
             opening = states.join(waiting, ["key", "stretch"], "left_semi").select(
-                "key", "stretch", F.lit(None).cast("timestamp_ntz").alias("ts"), F.lit(-(2**63)).alias("micros"),
-                F.array().cast("array<bigint>").alias("ids"), "state",
+                "key", "stretch", F.lit(-(2**63)).alias("micros"), F.array().cast("array<bigint>").alias("ids"), "state",
             )
             current = current.unionByName(opening)
         result = settle(_fold(current, make_rule, partitions), "rule-round")

@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.hashing import sha256_mod
+from ..functions.hashing import digest_mod, sha256_mod
 from ..schemas import BLOOM_CAPACITY, BLOOM_ERROR_RATE
 
 WORD = 64
@@ -29,7 +29,12 @@ def bloom_positions(item: str | Column, capacity: int = BLOOM_CAPACITY, error_ra
 
 
 def _bits(df: DataFrame, item: str, capacity: int, error_rate: float, *keep: str) -> DataFrame:
-    positions = df.select(*keep, F.explode(bloom_positions(item, capacity, error_rate)).alias("_position"))
+    """One row per item and seed. Digest and position are columns of their own, so each is computed once."""
+    size = bloom_size(capacity, error_rate)
+    last = bloom_hashes(size, capacity) - 1
+    seeded = df.select(*keep, F.col(item).alias("_item"), F.explode(F.sequence(F.lit(0), F.lit(last))).alias("_seed"))
+    digests = seeded.select(*keep, F.sha2(F.concat_ws(":", F.col("_seed").cast("string"), "_item"), 256).alias("_digest"))
+    positions = digests.select(*keep, digest_mod(F.col("_digest"), size).alias("_position"))
     return positions.select(
         *keep, F.floor(F.col("_position") / WORD).alias("word"), F.pmod("_position", F.lit(WORD)).cast("int").alias("bit")
     )
