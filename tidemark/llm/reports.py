@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, mixing, quality, simhash, slots
+from . import bpe, mixing, pii, quality, simhash, slots
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +46,13 @@ def op4_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", *[c for c in mixed.columns if c.startswith("mix_")])
 
 
+@query
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_private(table(spark, sf_dir, "documents"))
+    counts = [f"n_{kind}" for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 @query
 def op7_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slots.shard_by_bytes(table(spark, sf_dir, "documents"))
