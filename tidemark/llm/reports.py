@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, mixing, pii, quality, simhash, slots
+from . import bpe, mixing, pii, quality, simhash, slots, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,3 +56,8 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slots.shard_by_bytes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
