@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, mixing, mtree, pii, quality, simhash, slots, style_tree, toxicity
+from . import bpe, mixing, mtree, pii, quality, repeats, simhash, slots, style_tree, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -68,6 +68,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated_strings(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return style_tree.main_texts(table(spark, sf_dir, "pages"))
