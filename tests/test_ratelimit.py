@@ -121,5 +121,33 @@ def test_long_stretches_go_in_rounds(spark, seed):
     assert {r.event_id: r.accepted for r in ratelimit.dedupe_ttl(requests, 90, rows_per_task=50).collect()} == loop_ttl(rows, 90)
 
 
+def dense(n=90):
+    """Half a second apart, some instants repeated, one long gap."""
+    return [(i, "hot", (i - i % 4) * 500 + (200_000 if i > 60 else 0)) for i in range(n)] + [(1000 + i, "cold", i * 7000) for i in range(12)]
+
+
+@pytest.mark.parametrize("size", [1, 5, 7, 60, 5_000_000])
+def test_pieces_never_change_a_decision(spark, size):
+    rows = dense(60 if size == 1 else 90)
+    requests = frame(spark, rows)
+    tokens = {
+        r.event_id: (r.allowed, round(r.remaining, 6), round(r.wait_seconds, 6))
+        for r in ratelimit.token_bucket(requests, 10, 0.5, rows_per_task=size).collect()
+    }
+    assert tokens == loop_tokens(rows, 10, 0.5)
+    sliding = ratelimit.sliding_window(requests, 6, 30, rows_per_task=size).collect()
+    assert {r.event_id: (r.allowed, r.remaining, r.reset_in) for r in sliding} == loop_sliding(rows, 6, 30)
+    assert {r.event_id: r.accepted for r in ratelimit.dedupe_ttl(requests, 12, rows_per_task=size).collect()} == loop_ttl(rows, 12)
+
+
+def test_requests_without_key_or_time_come_back_undecided(spark):
+    requests = frame(spark, [(1, "k", 0), (2, None, 0), (3, "k", None), (4, None, None)])
+    for decided, column in (
+        (ratelimit.token_bucket(requests, 3, 1.0), "allowed"), (ratelimit.sliding_window(requests, 3, 5), "allowed"),
+        (ratelimit.dedupe_ttl(requests, 5), "accepted"), (ratelimit.fixed_window(requests, 3), "allowed"),
+    ):
+        assert {r["event_id"]: r[column] for r in decided.collect()} == {1: True, 2: None, 3: None, 4: None}
+
+
 def test_no_requests(spark):
     assert ratelimit.token_bucket(frame(spark, [(1, "k", 0)]).filter("false")).count() == 0

@@ -7,9 +7,12 @@ The rules depend on the order of a key's requests, but not on all of its history
 * after a quiet stretch the state is the initial one again, so a key is cut there. The cuts are found from the
   first and last instant per key and time cell, never from a sort of the whole key;
 * a stretch with more instants than one task should take is cut into pieces as well, which run one after another:
-  the state at the end of a piece is a row of the next round. Without such a stretch there is a single round;
+  the state at the end of a piece is a row of the next round. Pieces are numbered per stretch without gaps, so a
+  round holds the next piece of every stretch that has one, and without a long stretch there is one round;
 * a piece is folded as a stream of sorted rows with a constant-size state;
 * the decisions go back to the requests by key and instant, which spreads a hot key over all tasks.
+
+A request without a key or a time has no place in any order: it is returned undecided, with nulls.
 """
 
 from __future__ import annotations
@@ -96,7 +99,7 @@ def ttl_rule(ttl: float) -> Rule:
 
 def _instants(requests: DataFrame, per_instant: int) -> DataFrame:
     """One row per key and instant with the ids that can change the state, at most ``per_instant`` of them."""
-    rows = requests.select("key", "ts", "event_id")
+    rows = requests.select("key", "ts", "event_id").filter("key IS NOT NULL AND ts IS NOT NULL")
     if per_instant == 1:
         lists = rows.groupBy("key", "ts").agg(F.array(F.min("event_id")).alias("ids"))
     else:
@@ -111,7 +114,7 @@ def _cells(instants: DataFrame, quiet_seconds: float, rows_per_task: int) -> Dat
 
     A key falls into a new stretch after a gap longer than ``quiet_seconds``. Such a gap is longer than a cell, so
     the first and last instant of the cells find every one. A stretch starts a new piece when the cells so far
-    hold another ``rows_per_task`` instants.
+    hold another ``rows_per_task`` instants; a single cell with more than that still makes one piece.
     """
     quiet = int(quiet_seconds * MICROS)
     by_time = Window.partitionBy("key").orderBy("_cell")
@@ -121,7 +124,8 @@ def _cells(instants: DataFrame, quiet_seconds: float, rows_per_task: int) -> Dat
         .agg(F.min("micros").alias("_low"), F.max("micros").alias("_high"), F.count(F.lit(1)).alias("_rows"))
         .withColumn("_new", F.coalesce((F.col("_low") - F.lag("_high").over(by_time) > quiet).cast("int"), F.lit(1)))
         .withColumn("stretch", F.sum("_new").over(by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .withColumn("piece", F.floor(F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) / F.lit(rows_per_task)))
+        .withColumn("_full", F.floor(F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) / F.lit(rows_per_task)))
+        .withColumn("piece", F.dense_rank().over(Window.partitionBy("key", "stretch").orderBy("_full")) - 1)
         .select("key", "_cell", "stretch", "piece")
     )
 
@@ -187,19 +191,21 @@ def _fold(rows: DataFrame, make_rule: Callable[[], Rule], partitions: int | None
 def _decided(
     instants: DataFrame, make_rule: Callable[[], Rule], quiet_seconds: float, partitions: int | None, rows_per_task: int
 ) -> DataFrame:
-    """The decisions of every key and instant."""
+    """The decisions of every key and instant.
+
+    The placed instants are written once, in a folder per piece, and each round reads its own.
+    """
     cells = _cells(instants, quiet_seconds, rows_per_task)
-    rounds = (cells.agg(F.max("piece").alias("p")).first()["p"] or 0) + 1
     placed = instants.withColumn("_cell", _cell_of(quiet_seconds)).join(cells, ["key", "_cell"])
-    rows = placed.select("key", "stretch", "micros", "ids", F.lit(None).cast("string").alias("state"), "piece")
-    if rounds == 1:
-        return _fold(rows.drop("piece"), make_rule, partitions).filter(F.col("state").isNull()).select("key", "ts", "decisions")
+    rows = settle(placed.select("key", "stretch", "micros", "ids", F.lit(None).cast("string").alias("state"), "piece"), "rule-pieces", "piece")
+    rounds = (rows.agg(F.max("piece").alias("p")).first()["p"] or 0) + 1
     done, states = [], None
     for piece in range(rounds):
         current = rows.filter(F.col("piece") == piece).drop("piece")
         if states is not None:
-            waiting = current.select("key", "stretch").distinct()
-            opening = states.join(waiting, ["key", "stretch"], "left_semi").select(
+            # Every stretch of this round was in the one before; those that have ended leave their state behind.
+            going = current.select("key", "stretch").distinct()
+            opening = states.join(going, ["key", "stretch"], "left_semi").select(
                 "key", "stretch", F.lit(-(2**63)).alias("micros"), F.array().cast("array<bigint>").alias("ids"), "state",
             )
             current = current.unionByName(opening)
@@ -219,10 +225,10 @@ def _decide(
     # A request beyond the listed ones of its instant is refused in the state the last listed one left.
     last = F.element_at("decisions", -1)
     return (
-        requests.join(decided, ["key", "ts"])
+        requests.join(decided, ["key", "ts"], "left")
         .withColumn("_own", own)
         .withColumn("_last", last)
-        .withColumn("allowed", F.coalesce(F.col("_own.allowed"), F.lit(False)))
+        .withColumn("allowed", F.when(F.col("decisions").isNotNull(), F.coalesce(F.col("_own.allowed"), F.lit(False))))
         .withColumn("remaining", F.coalesce("_own.remaining", "_last.remaining"))
         .withColumn("wait_seconds", F.coalesce("_own.wait_seconds", "_last.wait_seconds"))
         .drop("_own", "_last", "decisions")
@@ -260,19 +266,23 @@ def dedupe_ttl(
     return decided.withColumnRenamed("allowed", "accepted").drop("remaining", "wait_seconds")
 
 
-def fixed_window(requests: DataFrame, limit: int = FIXED_LIMIT, window: str = "1 minute") -> DataFrame:
-    """Adds ``allowed``: the request is among the first ``limit`` of its key and window.
+def fixed_window(requests: DataFrame, limit: int = FIXED_LIMIT, window_seconds: int = 60) -> DataFrame:
+    """Adds ``window_start`` and ``allowed``: the request is among the first ``limit`` of its key and window.
 
-    Only the first ``limit`` requests of a window are ranked; their last one is the bar for all others.
+    Only the first ``limit`` requests of a window are ranked; their last one is the bar for all others. A request
+    without a key or a time is returned undecided.
     """
     place = F.struct("ts", "event_id")
-    windowed = requests.withColumn("window_start", F.window("ts", window)["start"])
+    width = window_seconds * MICROS
+    start = F.timestamp_micros(F.floor(epoch_micros("ts") / F.lit(width)) * F.lit(width)).cast("timestamp_ntz")
+    windowed = requests.withColumn("window_start", start)
     order = Window.partitionBy("key", "window_start").orderBy("ts", "event_id")
     bars = (
-        windowed.withColumn("_n", F.row_number().over(order))
+        windowed.filter("key IS NOT NULL AND ts IS NOT NULL")
+        .withColumn("_n", F.row_number().over(order))
         .filter(F.col("_n") <= limit)
         .groupBy("key", "window_start")
         .agg(F.max(place).alias("_bar"))
     )
-    joined = salted_join(windowed, bars, ["key", "window_start"], salt_by=F.col("event_id"))
+    joined = salted_join(windowed, bars, ["key", "window_start"], "left", salt_by=F.col("event_id"))
     return joined.withColumn("allowed", place <= F.col("_bar")).drop("_bar")
