@@ -55,8 +55,7 @@ def test_cursor_round_trip_and_invalid_cursor(rows):
 def test_deep_offset_equals_plain_offset(spark):
     many = spark.range(500).select((F.col("id") * 7 - 1000).alias("id"), F.lit("s").alias("source"), F.lit(None).alias("deleted_at"))
     for skip in (0, 3, 250, 498, 700):
-        plain = ids(reads.offset_page(many, skip, 20))
-        assert ids(reads.offset_page(many, skip, 20, width=64, deep_from=0)) == plain
+        assert ids(reads.offset_page(many, skip, 20)) == [i * 7 - 1000 for i in range(skip, min(500, skip + 20))]
 
 
 def test_missing_ids_keep_the_first_position(spark, rows):

@@ -23,8 +23,9 @@ def instant(value: datetime | str | Column) -> Column:
 
 
 def hour_of(ts: str | Column) -> Column:
-    """Start of the hour. ``date_trunc`` would leave the zone-free type, the tumbling window keeps it."""
-    return F.window(ts, "1 hour")["start"]
+    """Start of the hour, null for a null time. ``date_trunc`` would leave the zone-free type, day and hour keep it."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    return ts.cast("date").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.hour(ts))
 
 
 def month_of(ts: str | Column) -> Column:

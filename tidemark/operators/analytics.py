@@ -193,16 +193,15 @@ def top_by_source_positional(
 
 
 def nest_by_source(ranked: DataFrame, rows_per_part: int = 10_000) -> DataFrame:
-    """Ranked rows as one ordered list per source.
+    """Ranked rows as ordered lists: ``part`` 0 of a source holds its first ``rows_per_part`` rows, part 1 the next.
 
-    Ties can make a source arbitrarily large; such a source is returned in several numbered parts, so that no
-    list outgrows a task.
+    Rows of equal rank are in id order. Ties can make a source arbitrarily large; the parts keep every list within a task.
     """
-    parts = ranked.groupBy("source").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_part)).alias("_parts"))
+    tied = Window.partitionBy("source", "rank").orderBy("id")
     item = F.struct("rank", "id", "timestamp", "value", "processed")
+    position = F.col("rank") + F.row_number().over(tied) - 2
     return (
-        ranked.join(parts, "source")
-        .withColumn("part", F.pmod(F.xxhash64("id"), F.col("_parts")))
+        ranked.withColumn("part", F.floor(position / F.lit(rows_per_part)).cast("bigint"))
         .groupBy("source", "part")
         .agg(F.array_sort(F.collect_list(item)).alias("rows"))
     )

@@ -68,17 +68,17 @@ def counter_rate(samples: DataFrame, series: Sequence[str], width_seconds: int)
     """Increase and rate per series and window; a drop of the counter counts as a restart from 0.
 
     Rows are compared inside a window only. What happens between two windows follows from their last and first
-    values, so a long series is never sorted as a whole.
+    values, so a long series is never sorted as a whole. Samples of one time count in the order of their values.
     """
     series = list(series)
     windowed = samples.withColumn("window_start", F.window("ts", f"{width_seconds} seconds")["start"])
-    inside = Window.partitionBy(*series, "window_start").orderBy("ts")
+    inside = Window.partitionBy(*series, "window_start").orderBy("ts", "value")
     before = F.lag("value").over(inside)
     step = F.when(before.isNull(), 0.0).when(F.col("value") < before, F.col("value")).otherwise(F.col("value") - before)
     per_window = (
         windowed.withColumn("_step", step)
         .groupBy(*series, "window_start")
-        .agg(F.sum("_step").alias("_inside"), F.min_by("value", "ts").alias("_first"), F.max_by("value", "ts").alias("_last"))
+        .agg(F.sum("_step").alias("_inside"), F.min_by("value", F.struct("ts", "value")).alias("_first"), F.max_by("value", F.struct("ts", "value")).alias("_last"))
     )
     previous = F.lag("_last").over(Window.partitionBy(*series).orderBy("window_start"))
     across = (
@@ -111,7 +111,7 @@ def traffic_drop(rates: DataFrame, width_seconds: int, threshold: float = 0.01)
 
 def service_down(ups: DataFrame, job: str = "job", at: str = "ts") -> DataFrame:
     """Jobs whose last ``up`` sample is 0."""
-    return ups.groupBy(job).agg(F.max_by("up", at).alias("up"), F.max(at).alias("last_seen")).filter(F.col("up") == 0)
+    return ups.groupBy(job).agg(F.max_by("up", F.struct(at, "up")).alias("up"), F.max(at).alias("last_seen")).filter(F.col("up") == 0)
 
 
 def sustained_alert(points: DataFrame, series: Sequence[str], firing: str, hold_seconds: int, at: str = "window_start") -> DataFrame:

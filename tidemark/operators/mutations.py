@@ -25,11 +25,7 @@ def _marked(table: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def next_ids(table: DataFrame, incoming: DataFrame, order: str) -> DataFrame:
-    """Ids for new rows: they continue after the largest stored id, in ``order``.
-
-    The rows are read twice, to count and to number, so they are written first.
-    """
-    incoming = settle(incoming, "new-rows")
+    """Ids for new rows: they continue after the largest stored id, in ``order``."""
     highest = table.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).scalar()
     numbered = running_position(incoming, order, out="_n")
     return numbered.withColumn("_highest", highest).withColumn("id", F.col("_highest") + F.col("_n")).drop("_n", "_highest")
@@ -54,9 +50,10 @@ def resolve_upsert(table: DataFrame, incoming: DataFrame, order: str) -> DataFra
 
     The first arrival of a key wins. Keys are reduced to one row each before they meet the table; the way back
     to the incoming rows is salted, because one key may cover a large part of them. A key held by a
-    soft-deleted row still counts as taken.
+    soft-deleted row still counts as taken. A row without a source or a time cannot be stored: its outcome is
+    ``invalid`` and it has no id.
     """
-    firsts = incoming.groupBy(*KEY).agg(F.min(order).alias("_first"))
+    firsts = incoming.dropna(subset=KEY).groupBy(*KEY).agg(F.min(order).alias("_first"))
     taken = table.select(*KEY, F.col("id").alias("_taken_id"), F.col("deleted_at").isNotNull().alias("_gone"))
     matched = settle(firsts.join(taken, KEY, "left"), "matched-keys")
     created = next_ids(table, matched.filter(F.col("_taken_id").isNull()), "_first").select(*KEY, "_first", "id", F.lit("created").alias("_state"))
@@ -66,17 +63,17 @@ def resolve_upsert(table: DataFrame, incoming: DataFrame, order: str) -> DataFra
     resolved = created.unionByName(stored)
     later = (F.col("_state") == "created") & (F.col(order) != F.col("_first"))
     return (
-        salted_join(incoming, resolved, KEY, salt_by=F.col(order))
-        .withColumn("outcome", F.when(later, F.lit("existing")).otherwise(F.col("_state")))
+        salted_join(incoming, resolved, KEY, "left", salt_by=F.col(order))
+        .withColumn("outcome", F.when(later, F.lit("existing")).otherwise(F.coalesce("_state", F.lit("invalid"))))
         .withColumnRenamed("id", "record_id")
         .drop("_first", "_state")
     )
 
 
 def upsert_records(table: DataFrame, incoming: DataFrame, order: str, as_of: datetime | str | Column) -> DataFrame:
-    """The table after an idempotent upsert: only keys that nobody holds are added."""
+    """The table after an idempotent upsert: only keys that nobody holds are added, rows without a whole key are not."""
     columns = ["raw_data", "tags"]
-    firsts = incoming.groupBy(*KEY).agg(F.min_by(F.struct(*columns), order).alias("_r"), F.min(order).alias("_first"))
+    firsts = incoming.dropna(subset=KEY).groupBy(*KEY).agg(F.min_by(F.struct(*columns), order).alias("_r"), F.min(order).alias("_first"))
     fresh = firsts.join(table.select(*KEY), KEY, "left_anti").select(*KEY, "_r.*", "_first")
     return table.unionByName(_new_rows(table, fresh, "_first", as_of))
 
@@ -86,7 +83,7 @@ def strict_conflicts(resolved: DataFrame) -> DataFrame:
     message = F.format_string(
         "A record with source='%s' and timestamp=%s already exists.", F.col("source"), F.col("timestamp").cast("string")
     )
-    return resolved.filter(F.col("outcome") != "created").select(
+    return resolved.filter(~F.col("outcome").isin("created", "invalid")).select(
         "source", "timestamp", F.lit("conflict").alias("error"), message.alias("message"), F.col("record_id").alias("existing_id")
     )
 
@@ -107,9 +104,14 @@ def mark_processed(table: DataFrame, ids: DataFrame, as_of: datetime | str | Col
     )
 
 
-def partial_update(table: DataFrame, changes: DataFrame, as_of: datetime | str | Column) -> DataFrame:
-    """Non-null fields of ``changes`` (one row per id) override; soft-deleted rows are changed too."""
-    fields = [c for c in changes.columns if c != "id"]
+def partial_update(table: DataFrame, changes: DataFrame, as_of: datetime | str | Column, order: str | None = None) -> DataFrame:
+    """Non-null fields of ``changes`` override; soft-deleted rows are changed too.
+
+    Of several changes of an id the last in ``order`` counts, without ``order`` the one with the largest fields.
+    """
+    fields = [c for c in changes.columns if c not in ("id", order)]
+    change = F.struct(*fields)
+    changes = changes.groupBy("id").agg(F.max_by(change, F.struct(order, change) if order else change).alias("_c")).select("id", "_c.*")
     renamed = changes.select("id", *[F.col(c).alias(f"_new_{c}") for c in fields], F.lit(True).alias("_hit"))
     joined = table.join(renamed, "id", "left")
     for field in fields:

@@ -10,8 +10,6 @@ from ..functions.cursor import cursor_text, decode_cursor
 from ..functions.scalars import check_range, hours as hours_interval, instant
 from ..schemas import TOP_HOURS
 
-DEEP_OFFSET = 10_000
-
 
 def active_only(df: DataFrame) -> DataFrame:
     return df.filter(F.col("deleted_at").isNull())
@@ -84,35 +82,9 @@ def count_active(df: DataFrame, source: str | None = None) -> DataFrame:
     return by_source(active_only(df), source).agg(F.count(F.lit(1)).alias("total"))
 
 
-def offset_page(
-    df: DataFrame, skip: int, limit: int, source: str | None = None, width: int = 1 << 16, deep_from: int = DEEP_OFFSET
-) -> DataFrame:
-    """Page by position in id order.
-
-    A shallow page is a plain top-k plan. A deep one first counts ids per cell, finds the cell where the page
-    starts, and sorts only the ids from there on, so the rows before it are counted but never sorted.
-    """
-    rows = by_source(active_only(df), source)
-    if skip + limit <= deep_from:
-        return rows.orderBy("id").offset(skip).limit(limit)
-    celled = rows.withColumn("_cell", F.floor(F.col("id").cast("decimal(20,0)") / F.lit(width)).cast("bigint"))
-    up_to = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cells = (
-        celled.groupBy("_cell")
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .withColumn("_end", F.sum("_size").over(up_to))
-        .withColumn("_start", F.col("_end") - F.col("_size"))
-        .filter((F.col("_end") > skip) & (F.col("_start") < skip + limit))
-        .select("_cell", "_start")
-    )
-    within = F.row_number().over(Window.partitionBy("_cell").orderBy("id")) + F.col("_start")
-    return (
-        celled.join(cells, "_cell")
-        .withColumn("_pos", within)
-        .filter((F.col("_pos") > skip) & (F.col("_pos") <= skip + limit))
-        .drop("_cell", "_start", "_pos")
-        .orderBy("id")
-    )
+def offset_page(df: DataFrame, skip: int, limit: int, source: str | None = None) -> DataFrame:
+    """Page by position in id order, at any depth. The work grows with ``skip``; ``keyset_page`` has no such cost."""
+    return by_source(active_only(df), source).orderBy("id").offset(skip).limit(limit)
 
 
 def page_meta(df: DataFrame, skip: int, limit: int, source: str | None = None) -> DataFrame:

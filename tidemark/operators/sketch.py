@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.hashing import digest_mod, sha256_mod
-from ..schemas import BLOOM_CAPACITY, BLOOM_ERROR_RATE
+from ..schemas import BLOOM_ERROR_RATE
 
 WORD = 64
 
@@ -20,7 +20,7 @@ def bloom_hashes(size: int, capacity: int) -> int:
     return max(1, int(size / capacity * math.log(2)))
 
 
-def bloom_positions(item: str | Column, capacity: int = BLOOM_CAPACITY, error_rate: float = BLOOM_ERROR_RATE) -> Column:
+def bloom_positions(item: str | Column, capacity: int, error_rate: float = BLOOM_ERROR_RATE) -> Column:
     """Bit positions of an item: one digest per seed."""
     item = F.col(item) if isinstance(item, str) else item
     size = bloom_size(capacity, error_rate)
@@ -40,8 +40,12 @@ def _bits(df: DataFrame, item: str, capacity: int, error_rate: float, *keep: str
     )
 
 
-def bloom_build(df: DataFrame, item: str, capacity: int = BLOOM_CAPACITY, error_rate: float = BLOOM_ERROR_RATE) -> DataFrame:
-    """The filter over all items: ``(word, bits)`` rows, only words with a set bit. Combined before the shuffle."""
+def bloom_build(df: DataFrame, item: str, capacity: int, error_rate: float = BLOOM_ERROR_RATE) -> DataFrame:
+    """The filter over all items: ``(word, bits)`` rows, only words with a set bit. Combined before the shuffle.
+
+    ``capacity`` is the number of distinct items to hold at the error rate; more items still lose none, but more
+    others look seen. Build, merge and probe need the same one.
+    """
     bits = _bits(df.filter(F.col(item).isNotNull()), item, capacity, error_rate)
     return bits.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
 
@@ -52,7 +56,7 @@ def bloom_merge(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def bloom_probe(
-    df: DataFrame, item: str, bloom: DataFrame, capacity: int = BLOOM_CAPACITY, error_rate: float = BLOOM_ERROR_RATE
+    df: DataFrame, item: str, bloom: DataFrame, capacity: int, error_rate: float = BLOOM_ERROR_RATE
 ) -> DataFrame:
     """Each distinct item with ``maybe_seen``: false means certainly not in the filter."""
     distinct = df.select(item).filter(F.col(item).isNotNull()).distinct()
@@ -63,7 +67,7 @@ def bloom_probe(
 
 
 def unseen_urls(
-    items: DataFrame, seen: DataFrame, bloom: DataFrame, capacity: int = BLOOM_CAPACITY, error_rate: float = BLOOM_ERROR_RATE
+    items: DataFrame, seen: DataFrame, bloom: DataFrame, capacity: int, error_rate: float = BLOOM_ERROR_RATE
 ) -> DataFrame:
     """Distinct addresses that ``seen`` does not hold.
 

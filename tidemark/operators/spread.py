@@ -6,29 +6,34 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import settle
 
-def running_position(
-    df: DataFrame, order: str, keys: Sequence[str] = (), out: str = "position", width: int = 1 << 20
-) -> DataFrame:
-    """1-based position of every row inside its (non-null) keys, ordered by a unique whole number.
 
-    The number line is cut into cells of ``width``. Cell sizes are counted first, a running total over the
-    cells gives every cell its start, and only the rows of one cell (at most ``width``) are sorted together.
+def spread_over(df: DataFrame, least: int) -> int:
+    """In how many parts to split a hot group: as many as the session shuffles into, which is set with the data."""
+    return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def running_position(df: DataFrame, order: str, keys: Sequence[str] = (), out: str = "position") -> DataFrame:
+    """1-based position of every row inside its (non-null) keys, ordered by a unique column of any spacing.
+
+    The rows are written in range partitions with sampled bounds. Each partition's rows are counted, a running total
+    over the partitions gives each its start, and only the rows of one partition are sorted together.
     """
     keys = list(keys)
-    celled = df.withColumn("_cell", F.floor(F.col(order).cast("decimal(20,0)") / F.lit(width)).cast("bigint"))
-    earlier = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    ranged = settle(df.repartitionByRange(order).withColumn("_slice", F.spark_partition_id()), "ranges")
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        celled.groupBy(*keys, "_cell")
+        ranged.groupBy(*keys, "_slice")
         .agg(F.count(F.lit(1)).alias("_size"))
-        .select(*keys, "_cell", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
+        .select(*keys, "_slice", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
     )
-    inside = F.row_number().over(Window.partitionBy(*keys, "_cell").orderBy(order))
+    inside = F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(order))
     return (
-        celled.withColumn("_inside", inside)
-        .join(starts, [*keys, "_cell"])
+        ranged.withColumn("_inside", inside)
+        .join(starts, [*keys, "_slice"])
         .withColumn(out, F.col("_start") + F.col("_inside"))
-        .drop("_cell", "_inside", "_start")
+        .drop("_slice", "_inside", "_start")
     )
 
 
@@ -37,12 +42,13 @@ def value_levels(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.groupBy(key, value).agg(F.count(F.lit(1)).alias("ties"))
 
 
-def rank_levels(levels: DataFrame, key: str, value: str, cuts: int = 128) -> DataFrame:
+def rank_levels(levels: DataFrame, key: str, value: str, cuts: int | None = None) -> DataFrame:
     """Adds ``rank`` (1 = highest value, ties share a rank) and ``total`` rows per key to value levels.
 
     A key with very many values is cut at approximate quantiles. The cuts only decide where to split; the
     ranks are exact because row counts of the slices above are added.
     """
+    cuts = cuts or spread_over(levels, 16)
     shares = [i / cuts for i in range(1, cuts)]
     bounds = levels.groupBy(key).agg(
         F.percentile_approx(value, shares).alias("_bounds"), F.sum("ties").alias("total")
@@ -68,12 +74,13 @@ def rank_levels(levels: DataFrame, key: str, value: str, cuts: int = 128) -> Dat
 
 
 def salted_join(
-    many: DataFrame, one: DataFrame, on: Sequence[str], how: str = "inner", salts: int = 16, salt_by: Column | None = None
+    many: DataFrame, one: DataFrame, on: Sequence[str], how: str = "inner", salts: int | None = None, salt_by: Column | None = None
 ) -> DataFrame:
     """Join where one key may hold a large share of ``many``; ``one`` has at most one row per key.
 
     The many side is spread over ``salts`` sub-keys, the one side is repeated once per sub-key.
     """
+    salts = salts or spread_over(many, 16)
     spread = many.withColumn("_salt", F.pmod(F.xxhash64(salt_by) if salt_by is not None else F.xxhash64(*many.columns), F.lit(salts)))
     copies = one.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
     return spread.join(copies, [*on, "_salt"], how).drop("_salt")

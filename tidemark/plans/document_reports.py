@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import documents, sketch
+from ..schemas import BLOOM_CAPACITY
 from ..session import fresh_path
 from ..sources import files, tables, versions
 from ..sources.tables import table
@@ -107,7 +108,7 @@ BLOOM_BITS = """SELECT url, CAST(((((a * s + b) % 95850) * s + c) % 95850 * s +
     FROM words""",
 )
 def bloom_words(spark, sf):
-    return sketch.bloom_build(tables.page_urls(spark, sf), "url")
+    return sketch.bloom_build(tables.page_urls(spark, sf), "url", BLOOM_CAPACITY)
 
 
 @report(
@@ -115,7 +116,7 @@ def bloom_words(spark, sf):
     f"""{with_views(PAGE_URLS)}, bits AS ({BLOOM_BITS}) SELECT position // 64 AS word, count(DISTINCT position) AS set_bits FROM bits GROUP BY 1""",
 )
 def bloom_set_bits(spark, sf):
-    return sketch.bloom_build(tables.page_urls(spark, sf), "url").select("word", F.bit_count("bits").cast("bigint").alias("set_bits"))
+    return sketch.bloom_build(tables.page_urls(spark, sf), "url", BLOOM_CAPACITY).select("word", F.bit_count("bits").cast("bigint").alias("set_bits"))
 
 
 @report(
@@ -127,14 +128,14 @@ def bloom_set_bits(spark, sf):
 def bloom_probe(spark, sf):
     """All addresses against a filter of the https ones."""
     pages = table(spark, sf, "pages").select("page_id", "url")
-    return sketch.bloom_probe(pages, "url", sketch.bloom_build(pages.filter("url LIKE 'https:%'"), "url"))
+    return sketch.bloom_probe(pages, "url", sketch.bloom_build(pages.filter("url LIKE 'https:%'"), "url", BLOOM_CAPACITY), BLOOM_CAPACITY)
 
 
 @report("unseen_urls", "SELECT DISTINCT url FROM pages WHERE url NOT IN (SELECT url FROM pages WHERE url LIKE 'https:%')")
 def unseen_urls(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", "url")
     seen = pages.filter("url LIKE 'https:%'")
-    return sketch.unseen_urls(pages, seen, sketch.bloom_build(seen, "url"))
+    return sketch.unseen_urls(pages, seen, sketch.bloom_build(seen, "url", BLOOM_CAPACITY), BLOOM_CAPACITY)
 
 
 @report(

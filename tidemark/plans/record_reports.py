@@ -106,7 +106,7 @@ def offset_page(spark, sf):
 
 @report("deep_offset_page", f"{ON_RECORDS} SELECT {COLUMNS} FROM active ORDER BY id LIMIT 100 OFFSET 5000")
 def deep_offset_page(spark, sf):
-    return reads.offset_page(tables.records(spark, sf), 5000, 100, width=512, deep_from=1000)
+    return reads.offset_page(tables.records(spark, sf), 5000, 100)
 
 
 @report("offset_page_meta", f"{ON_RECORDS} SELECT count(*) AS total, 250 < count(*) AS has_more FROM active")

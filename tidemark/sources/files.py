@@ -52,8 +52,12 @@ def scan_customers_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_metric_text(spark: SparkSession, path: str) -> DataFrame:
-    """Metric exposition text as ``(name, value)``; names keep their labels, the last line of a name counts."""
-    return metric_lines(spark.read.text(path).withColumn("line", F.monotonically_increasing_id()))
+    """Metric exposition text as ``(name, value)``; names keep their labels, the last line of a name counts.
+
+    Lines are ordered by file name, place of the read block in the file, and place in the block.
+    """
+    line = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("place"))
+    return metric_lines(spark.read.text(path).withColumn("line", line))
 
 
 def metric_lines(lines: DataFrame) -> DataFrame:
