@@ -68,13 +68,15 @@ def extract_quotes(
     )
 
 
-def posts_to_items(posts: DataFrame, base: str, limit: int | None = None, source: str = "jsonplaceholder") -> DataFrame:
-    """API posts as scraped items."""
+def posts_to_items(
+    posts: DataFrame, base: str = "https://jsonplaceholder.typicode.com", limit: int | None = None, source: str = "jsonplaceholder"
+) -> DataFrame:
+    """API posts as scraped items; a post is a page of one item."""
     rows = posts if limit is None else posts.orderBy("id").limit(limit)
     return rows.select(
+        F.col("id").alias("page_id"), F.lit(0).alias("position"),
         F.concat(F.lit(base + "/posts/"), F.col("id").cast("string")).alias("url"),
-        F.coalesce("title", F.lit("")).alias("title"), F.coalesce("body", F.lit("")).alias("content"),
-        F.lit(source).alias("source"), "id",
+        F.coalesce("title", F.lit("")).alias("title"), F.coalesce("body", F.lit("")).alias("content"), F.lit(source).alias("source"),
     )
 
 
@@ -101,8 +103,12 @@ def shard_urls(items: DataFrame, shards: int) -> DataFrame:
     return items.withColumn("shard", shard_of("url", shards)).repartition(shards, "shard", "url")
 
 
+#: The columns that order the items of a run; every extractor gives them besides url, title, content and source.
+ITEM_ORDER = ("page_id", "position")
+
+
 class ExtractorRegistry:
-    """Named extractors ``(pages, **options) -> items``."""
+    """Named extractors ``(pages, **options) -> items`` with ``ITEM_ORDER``, ``url``, ``title``, ``content``, ``source``."""
 
     def __init__(self) -> None:
         self._extractors: dict[str, Extractor] = {}

@@ -72,10 +72,15 @@ def resolve_upsert(table: DataFrame, incoming: DataFrame, order: str) -> DataFra
 
 def upsert_records(table: DataFrame, incoming: DataFrame, order: str, as_of: datetime | str | Column) -> DataFrame:
     """The table after an idempotent upsert: only keys that nobody holds are added, rows without a whole key are not."""
+    return table.unionByName(added_records(table, table, incoming, order, as_of))
+
+
+def added_records(table: DataFrame, held: DataFrame, incoming: DataFrame, order: str, as_of: datetime | str | Column) -> DataFrame:
+    """The rows an upsert adds. ``held`` is the part of the table that may hold an incoming key, such as its months."""
     columns = ["raw_data", "tags"]
     firsts = incoming.dropna(subset=KEY).groupBy(*KEY).agg(F.min_by(F.struct(*columns), order).alias("_r"), F.min(order).alias("_first"))
-    fresh = firsts.join(table.select(*KEY), KEY, "left_anti").select(*KEY, "_r.*", "_first")
-    return table.unionByName(_new_rows(table, fresh, "_first", as_of))
+    fresh = firsts.join(held.select(*KEY), KEY, "left_anti").select(*KEY, "_r.*", "_first")
+    return _new_rows(table, fresh, "_first", as_of)
 
 
 def strict_conflicts(resolved: DataFrame) -> DataFrame:
@@ -166,10 +171,13 @@ def older_than(column: str, days: int, as_of: datetime | str | Column) -> Column
     return F.col(column) < instant(as_of) - days_interval(days)
 
 
-def to_archive(hot: DataFrame, archive: DataFrame, days: int, as_of: datetime | str | Column) -> DataFrame:
-    """Old active rows that the archive does not hold yet, with their month."""
-    old = active_only(hot).filter(older_than("created_at", days, as_of))
-    return old.join(archive.select("id", "timestamp"), ["id", "timestamp"], "left_anti").withColumn("ym", month_of("timestamp"))
+def old_active(hot: DataFrame, days: int, as_of: datetime | str | Column) -> DataFrame:
+    return active_only(hot).filter(older_than("created_at", days, as_of))
+
+
+def to_archive(old: DataFrame, archive: DataFrame) -> DataFrame:
+    """Old rows that the archive does not hold yet."""
+    return old.join(archive.select("id", "timestamp"), ["id", "timestamp"], "left_anti").select(*old.columns)
 
 
 def left_in_hot(hot: DataFrame, days: int, as_of: datetime | str | Column) -> DataFrame:

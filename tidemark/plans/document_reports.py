@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import documents, sketch
 from ..schemas import BLOOM_CAPACITY
 from ..session import fresh_path
-from ..sources import files, tables, versions
+from ..sources import files, months, tables, versions
 from ..sources.tables import table
 from . import flows
 from .registry import report, with_views
@@ -80,7 +80,8 @@ def post_items(spark, sf):
     """Posts written as landed JSON, read back and shaped."""
     path = fresh_path(spark, "posts")
     tables.posts(spark, sf).write.json(path)
-    return documents.posts_to_items(files.scan_posts_json(spark, path), "https://posts.example")
+    items = documents.posts_to_items(files.scan_posts_json(spark, path), "https://posts.example")
+    return items.withColumnRenamed("page_id", "id").drop("position")
 
 
 @report(
@@ -167,7 +168,7 @@ def stored_docs(spark, sf):
     )
 
 
-@report("scrape_counts", f"{LINKS} SELECT count(DISTINCT url) AS scraped, count(DISTINCT url) AS stored FROM items")
+@report("scrape_counts", f"{LINKS} SELECT count(DISTINCT url) AS scraped, count(DISTINCT url) AS stored, CAST(0 AS BIGINT) AS failed FROM items")
 def scrape_counts(spark, sf):
     counts, _ = flows.scrape_job(
         table(spark, sf, "pages"), "hn", fresh_path(spark, "doc-store"), AS_OF, row_selector="nav li", link_selector="a"
@@ -175,6 +176,15 @@ def scrape_counts(spark, sf):
     return counts
 
 
+@report("scrape_counts_second_run", f"{LINKS} SELECT count(DISTINCT url) AS scraped, CAST(0 AS BIGINT) AS stored, CAST(0 AS BIGINT) AS failed FROM items")
+def scrape_counts_second_run(spark, sf):
+    """What the first run has stored is not stored again."""
+    pages, store = table(spark, sf, "pages"), fresh_path(spark, "doc-store")
+    flows.scrape_job(pages, "hn", store, AS_OF, row_selector="nav li", link_selector="a")
+    counts, _ = flows.scrape_job(pages, "hn", store, AS_OF, row_selector="nav li", link_selector="a")
+    return counts
+
+
 @report(
     "scrape_messages",
     f"""{LINKS} SELECT '{{"event_type":"doc.scraped","payload":{{"source":"hn","count":' || count(DISTINCT url) || '}}}}' AS value FROM items""",
@@ -195,7 +205,7 @@ ON_CHECKED = with_views(RECORDS, ACTIVE, REQUESTS, CHECKED)
       arg_min(array_to_string(errs, ','), event_id) FILTER (WHERE len(errs) > 0) AS first_error FROM checked GROUP BY batch_id""",
 )
 def ingest_summary(spark, sf):
-    root = flows.load_archive(spark, tables.records(spark, sf))
+    root = months.new_table(spark, tables.records(spark, sf))
     summary, _ = flows.ingest_job(spark, root, tables.record_requests(spark, sf), "event_id", AS_OF)
     return summary
 
@@ -207,7 +217,7 @@ def ingest_summary(spark, sf):
     FROM (SELECT source, parsed_at, min(event_id) AS first_id FROM checked WHERE len(errs) = 0 GROUP BY 1, 2)""",
 )
 def ingest_messages(spark, sf):
-    root = flows.load_archive(spark, tables.records(spark, sf))
+    root = months.new_table(spark, tables.records(spark, sf))
     _, messages = flows.ingest_job(spark, root, tables.record_requests(spark, sf), "event_id", AS_OF)
     return messages
 
@@ -223,9 +233,35 @@ NEWEST = '(SELECT max("timestamp") FROM records)'
 )
 def archive_job(spark, sf):
     rows = tables.records(spark, sf)
-    hot = flows.load_archive(spark, rows)
-    archive = rows.filter("timestamp < TIMESTAMP_NTZ '2024-01-08 00:00:00'")
-    return flows.archive_job(spark, hot, fresh_path(spark, "archive"), archive, 10, tables.newest(rows))
+    return flows.archive_job(spark, months.new_table(spark, rows), _archived(spark, rows), 10, tables.newest(rows))
+
+
+def _archived(spark, rows):
+    return months.new_table(spark, rows.filter("timestamp < TIMESTAMP_NTZ '2024-01-08 00:00:00'"))
+
+
+@report(
+    "archive_job_twice",
+    f"""{with_views(RECORDS)} SELECT CAST(0 AS BIGINT) AS archived, n AS hot_before, n AS hot_after FROM (
+      SELECT count(*) FILTER (WHERE deleted_at IS NOT NULL OR created_at >= {NEWEST} - INTERVAL 10 DAY) AS n FROM records)""",
+)
+def archive_job_twice(spark, sf):
+    """A second run finds nothing to move."""
+    rows = tables.records(spark, sf)
+    hot, archive = months.new_table(spark, rows), _archived(spark, rows)
+    flows.archive_job(spark, hot, archive, 10, tables.newest(rows))
+    return flows.archive_job(spark, hot, archive, 10, tables.newest(rows))
+
+
+@report("ingest_twice", f"""{ON_CHECKED} SELECT (SELECT count(*) FROM records) + count(DISTINCT (source, parsed_at)) AS n,
+      count(DISTINCT (source, parsed_at)) AS logged FROM checked WHERE len(errs) = 0""")
+def ingest_twice(spark, sf):
+    """Rows of the table and of the run log after the same batch came twice."""
+    root, runs = months.new_table(spark, tables.records(spark, sf)), fresh_path(spark, "runs")
+    for _ in range(2):
+        flows.ingest_job(spark, root, tables.record_requests(spark, sf), "event_id", AS_OF, runs=runs)
+    logged = spark.read.parquet(runs).agg(F.sum("rows").alias("logged"))
+    return months.read_months(spark, root).agg(F.count(F.lit(1)).alias("n")).withColumn("logged", logged.scalar())
 
 
 @report(
@@ -235,7 +271,7 @@ def archive_job(spark, sf):
 )
 def export_and_trim(spark, sf):
     rows = tables.records(spark, sf)
-    root = flows.load_archive(spark, rows)
+    root = months.new_table(spark, rows)
     return flows.export_and_trim(spark, root, fresh_path(spark, "cold-export"), 20, tables.newest(rows))
 
 
@@ -289,9 +325,7 @@ def _customer_csv(spark, sf):
     table(spark, sf, "customer").select(broken.alias("value")).write.text(path)
     from ..operators.quality import validate_customers
 
-    schema = "id STRING, email STRING, age STRING, purchase_date DATE, corrupt_line STRING"
-    rows = spark.read.schema(schema).csv(path, mode="PERMISSIVE", columnNameOfCorruptRecord="corrupt_line")
-    return validate_customers(rows)
+    return validate_customers(files.scan_customers_csv(spark, path, header="false"))
 
 
 @report(

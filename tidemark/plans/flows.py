@@ -7,34 +7,54 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.scalars import instant
 from ..operators import analytics, documents, events, mutations, quality
-from ..session import fresh_path, settle
-from ..sources import files, versions
+from ..session import settle
+from ..sources import files, months, versions
 
 
 def scrape_job(
     pages: DataFrame, source: str, store: str, as_of: datetime | str | Column, limit: int | None = None,
-    registry: documents.ExtractorRegistry | None = None, order: tuple[str, ...] = ("page_id", "position"), **options,
+    registry: documents.ExtractorRegistry | None = None, **options,
 ) -> tuple[DataFrame, DataFrame]:
-    """Extract, drop repeated addresses, store, announce. Returns the counts and the messages to publish."""
+    """Extract, drop repeated addresses, store, announce. Returns the counts and the messages to publish.
+
+    Counts are of this run: ``scraped`` items, ``stored`` new ones, ``failed`` ones without an address. An address
+    that the store holds for the source is not stored again, so a second run stores nothing. A request's ``limit``
+    outside the allowed 1 to 100 rows per page becomes the nearest of the two.
+    """
+    spark = pages.sparkSession
     registry = registry or documents.default_registry()
     if limit is not None:
         options["limit"] = documents.clamp_limit(limit)
-    found = registry.apply(source, pages, source=source, **options)
-    items = settle(documents.dedupe_urls(found, *order).drop(*order), "scraped")
-    files.doc_store_append(items, store, as_of)
-    stored = pages.sparkSession.read.parquet(store).filter(F.col("source") == source)
-    counts = items.agg(F.count(F.lit(1)).alias("scraped")).withColumn("stored", stored.agg(F.count(F.lit(1))).scalar())
+    found = settle(registry.apply(source, pages, source=source, **options), "scraped")
+    items = documents.dedupe_urls(found.filter("url IS NOT NULL"), *documents.ITEM_ORDER).drop(*documents.ITEM_ORDER)
+    known = files.read_doc_store(spark, store, items.schema).filter(F.col("source") == source).select("source", "url")
+    fresh = settle(items.join(known, ["source", "url"], "left_anti").select(*items.columns), "scraped-new")
+    files.doc_store_append(fresh, store, as_of)
+    counts = items.agg(F.count(F.lit(1)).alias("scraped")).select(
+        "scraped", fresh.agg(F.count(F.lit(1))).scalar().alias("stored"),
+        found.filter("url IS NULL").agg(F.count(F.lit(1))).scalar().alias("failed"),
+    )
     return counts, events.doc_scraped_events(items)
 
 
+def log_run(spark: SparkSession, runs: str, job: str, as_of: datetime | str | Column, rows: int) -> None:
+    """Append a successful run to the run log that ``reads.last_success`` reads."""
+    at = instant(as_of)
+    spark.range(1).select(
+        F.lit(job).alias("job"), at.alias("completed_at"), F.lit("success").alias("status"), F.lit(rows).cast("bigint").alias("rows")
+    ).write.mode("append").parquet(runs)
+
+
 def ingest_job(
-    spark: SparkSession, root: str, requests: DataFrame, position: str, as_of: datetime | str,
-    transform: Callable[[DataFrame], DataFrame] | None = None, batch: str = "batch_id",
+    spark: SparkSession, path: str, requests: DataFrame, position: str, as_of: datetime | str,
+    transform: Callable[[DataFrame], DataFrame] | None = None, batch: str = "batch_id", runs: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Validate, load what is new into the versioned records table, summarise per batch.
+    """Validate, append what is new to the monthly records table, summarise per batch, log the run.
 
-    Returns the summary and the change messages of the inserted rows. A batch that is loaded again adds nothing.
+    Returns the summary and the change messages of the inserted rows. Only the months of the batch are searched for its
+    keys, and only new rows are written. A batch that is loaded again adds nothing.
     """
     rows = transform(requests) if transform else requests
     checked = settle(quality.validate_requests(rows, as_of), "checked")
@@ -42,50 +62,52 @@ def ingest_job(
     incoming = valid.select(
         F.col(position).alias("arrival"), "source", F.col("parsed_at").alias("timestamp"), F.col("data").alias("raw_data"), "tags"
     )
-    before = versions.read_version(spark, root)
-    versions.write_version(mutations.upsert_records(before, incoming, "arrival", as_of), root)
-    inserted = versions.read_version(spark, root).join(before.select("id"), "id", "left_anti")
+    table = months.read_months(spark, path)
+    held = months.read_months(spark, path, months=months.months_of(incoming))
+    inserted = settle(mutations.added_records(table.drop("ym"), held, incoming, "arrival", as_of), "inserted")
+    months.append_months(inserted, path)
+    if runs is not None:
+        log_run(spark, runs, "ingest", as_of, inserted.count())
     return quality.batch_ingest_summary(checked, position, batch), events.record_created_events(inserted)
 
 
-def archive_job(
-    spark: SparkSession, hot_root: str, archive_path: str, archive: DataFrame, days: int, as_of: datetime | str | Column
-) -> DataFrame:
-    """Move old active rows to the monthly archive: append first, then publish the smaller hot table.
+def archive_job(spark: SparkSession, hot_path: str, archive_path: str, days: int, as_of: datetime | str | Column) -> DataFrame:
+    """Move old active rows to the monthly archive: append first, then rewrite the months of the hot table they leave.
 
-    If the job stops in between, a second run finds the rows in the archive and only finishes the hot side.
+    What the archive holds already is not appended again. So if the job stops in between, a second run only finishes
+    the hot side, and a run without old rows writes nothing.
     """
-    hot = versions.read_version(spark, hot_root)
-    moved = settle(mutations.to_archive(hot, archive, days, as_of).drop("ym"), "archive-move")
-    files.write_by_month(moved, archive_path)
-    versions.write_version(mutations.left_in_hot(hot, days, as_of), hot_root)
-    left = versions.read_version(spark, hot_root).agg(F.count(F.lit(1))).scalar()
-    before = hot.agg(F.count(F.lit(1))).scalar()
-    return moved.agg(F.count(F.lit(1)).alias("archived")).withColumn("hot_before", before).withColumn("hot_after", left)
-
-
-def export_and_trim(spark: SparkSession, archive_root: str, target: str, days: int, as_of: datetime | str | Column) -> DataFrame:
-    """Cold rows to CSV; they leave the archive only after the export holds as many rows."""
-    archive = versions.read_version(spark, archive_root)
-    cold = mutations.cold_rows(archive, days, as_of)
+    hot = months.read_months(spark, hot_path).drop("ym")
+    before = hot.count()
+    old = settle(mutations.old_active(hot, days, as_of), "archive-move")
+    touched = months.months_of(old)
+    moved = settle(mutations.to_archive(old, months.read_months(spark, archive_path, months=touched)), "archive-new")
+    months.append_months(moved, archive_path)
+    if touched:
+        left = mutations.left_in_hot(months.read_months(spark, hot_path, months=touched).drop("ym"), days, as_of)
+        months.replace_months(left, hot_path, touched)
+    after = months.read_months(spark, hot_path).agg(F.count(F.lit(1))).scalar()
+    return moved.agg(F.count(F.lit(1)).alias("archived")).withColumn("hot_before", F.lit(before).cast("bigint")).withColumn("hot_after", after)
+
+
+def export_and_trim(spark: SparkSession, archive_path: str, target: str, days: int, as_of: datetime | str | Column) -> DataFrame:
+    """Cold rows to CSV; they leave the archive's months only after the export holds as many rows."""
+    archive = months.read_months(spark, archive_path).drop("ym")
+    cold = settle(mutations.cold_rows(archive, days, as_of), "cold-rows")
     texts = cold.withColumn("tags", F.to_json("tags"))
     files.write_csv_gz(texts, target)
-    exported = files.read_csv(spark, target, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema)).count()
-    expected = cold.count()
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema)
+    exported, expected = files.read_csv(spark, target, schema, multiLine="true").count(), cold.count()
     if exported != expected:
         raise RuntimeError(f"export holds {exported} of {expected} rows, the archive stays as it is")
-    versions.write_version(mutations.warm_rows(archive, days, as_of), archive_root)
-    kept = versions.read_version(spark, archive_root)
+    touched = months.months_of(cold)
+    if touched:
+        warm = mutations.warm_rows(months.read_months(spark, archive_path, months=touched).drop("ym"), days, as_of)
+        months.replace_months(warm, archive_path, touched)
+    kept = months.read_months(spark, archive_path)
     return kept.agg(F.count(F.lit(1)).alias("kept")).withColumn("exported", F.lit(exported).cast("bigint"))
 
 
 def refresh_stats(spark: SparkSession, records: DataFrame, root: str, as_of: datetime | str | Column) -> int:
     """Rebuild the hourly table as a new version; when it fails, readers keep the old one."""
     return versions.write_version(analytics.hourly_stats(records, as_of), root)
-
-
-def load_archive(spark: SparkSession, rows: DataFrame) -> str:
-    """A new versioned table holding ``rows``; returns its folder."""
-    root = fresh_path(spark, "table")
-    versions.write_version(rows, root)
-    return root

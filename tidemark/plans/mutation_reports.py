@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.scalars import month_of
 from ..operators import joins, mutations, quality
 from ..session import fresh_path
 from ..sources import files, tables, versions
@@ -206,7 +207,8 @@ OLD = f"created_at < {NEWEST} - INTERVAL 10 DAY AND deleted_at IS NULL"
 )
 def archive_additions(spark, sf):
     rows = tables.records(spark, sf)
-    return mutations.to_archive(rows, _archive(rows), 10, tables.newest(rows))
+    moved = mutations.to_archive(mutations.old_active(rows, 10, tables.newest(rows)), _archive(rows))
+    return moved.withColumn("ym", month_of("timestamp"))
 
 
 @report("hot_after_archive", f"{ON_RECORDS} SELECT {COLUMNS} FROM records WHERE NOT ({OLD})")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.scalars import instant, month_of, wall_clock
 from ..schemas import POSTS, REQUESTS, SNAPSHOT_METRICS, SYNTHETIC_BATCH_ROWS, SYNTHETIC_SOURCES
@@ -42,13 +43,13 @@ CSV_FORMAT = {"header": "true", "escape": '"', "timestampNTZFormat": "yyyy-MM-dd
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, **options) -> DataFrame:
-    return spark.read.options(**CSV_FORMAT, **options).schema(schema).csv(path)
+    return spark.read.options(**{**CSV_FORMAT, **options}).schema(schema).csv(path)
 
 
-def scan_customers_csv(spark: SparkSession, path: str) -> DataFrame:
+def scan_customers_csv(spark: SparkSession, path: str, **options) -> DataFrame:
     """Customer CSV with every field as text; lines that do not fit keep their text in ``corrupt_line``."""
     schema = "id STRING, email STRING, age STRING, purchase_date DATE, corrupt_line STRING"
-    return read_csv(spark, path, schema, mode="PERMISSIVE", columnNameOfCorruptRecord="corrupt_line")
+    return read_csv(spark, path, schema, mode="PERMISSIVE", columnNameOfCorruptRecord="corrupt_line", **options)
 
 
 def scan_metric_text(spark: SparkSession, path: str) -> DataFrame:
@@ -99,6 +100,14 @@ def doc_store_append(docs: DataFrame, path: str, as_of: datetime | str | Column
     rows.write.mode("append").partitionBy("source").parquet(path)
 
 
+def read_doc_store(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Stored documents; a store that nobody has written yet is empty. ``schema`` is that of the items."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def generate_records(numbers: DataFrame, number: str = "n") -> DataFrame:
     """Synthetic records for whole numbers from 0: the sources in turn, one second apart from 2024-01-01."""
     n = F.col(number)
