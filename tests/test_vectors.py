@@ -28,10 +28,10 @@ def test_filter_conditions(points):
             vectors.metadata_filter(broken)
 
 
-def test_batch_search_equals_brute_force_in_several_blocks(spark, points, monkeypatch):
-    monkeypatch.setattr(vectors, "QUERY_BLOCK", 7)
+@pytest.mark.parametrize("query_block, point_block", [(7, 11), (4096, 32_768)])
+def test_batch_search_equals_brute_force_in_blocks(spark, points, query_block, point_block):
     queries = points.filter("id < 20").select(F.col("id").alias("query_id"), "vector")
-    found = vectors.cosine_topk_batch(points, queries, 5).collect()
+    found = vectors.cosine_topk_batch(points, queries, 5, query_block=query_block, point_block=point_block).collect()
     rows = points.collect()
     matrix = np.array([r.vector for r in rows])
     unit = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
@@ -48,11 +48,34 @@ def test_topk_bounds_and_single_query(points):
             vectors.cosine_topk(points, query, k)
 
 
-def test_all_cells_give_the_exact_result(points):
+def test_all_cells_give_the_exact_result(spark, points):
     query = points.filter("id = 9").first().vector
     index = vectors.CellIndex.build(points, lists=4)
     exact = vectors.cosine_topk(points, query, 10)
-    assert vectors.recall(index.search(query, 10, probes=4), exact).first()["recall"] == 1.0
+    assert vectors.recall(index.search(spark, query, 10, probes=4), exact).first()["recall"] == 1.0
+
+
+def test_cells_that_are_not_probed_are_not_read(spark, points):
+    import re
+
+    index = vectors.CellIndex.build(points, lists=4)
+    plan = index.search(spark, points.first().vector, 3, probes=1)._jdf.queryExecution().toString()
+    assert re.search(r"PartitionFilters: \[.*cell", plan)
+
+
+def test_zero_vectors_have_one_score(spark):
+    points = spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 0.0]), (3, None)], "id BIGINT, vector ARRAY<DOUBLE>")
+    assert {r.id: r.score for r in vectors.cosine_topk(points.filter("id < 3"), [1.0, 0.0], 5).collect()} == {1: 0.0, 2: 1.0}
+    queries = spark.createDataFrame([(7, [1.0, 0.0]), (8, [0.0, 0.0])], "query_id BIGINT, vector ARRAY<DOUBLE>")
+    found = {(r.query_id, r.id): r.score for r in vectors.cosine_topk_batch(points, queries, 5).collect()}
+    assert found == {(7, 1): 0.0, (7, 2): 1.0, (8, 1): 0.0, (8, 2): 0.0}
+
+
+def test_the_last_document_of_an_id_is_indexed(spark):
+    docs = spark.createDataFrame([(1, "old words", 1), (1, "new words", 2), (2, "other", 1)], "id BIGINT, text STRING, at INT")
+    docs = docs.withColumn("metadata", F.struct(F.lit("s").alias("source")))
+    found = {r.id: r.payload.text for r in vectors.index_documents(None, docs, 16, order="at").collect()}
+    assert found == {1: "new words", 2: "other"}
 
 
 def test_embedding_equals_tf_idf_by_hand(spark):

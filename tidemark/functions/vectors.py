@@ -25,7 +25,9 @@ def norm(a: Column) -> Column:
 
 
 def cosine_similarity(a: Column, b: Column) -> Column:
-    return F.try_divide(dot(a, b), norm(a) * norm(b))
+    """0 where a vector has no length, null where one is null."""
+    lengths = norm(a) * norm(b)
+    return F.when(lengths == 0, 0.0).otherwise(F.try_divide(dot(a, b), lengths))
 
 
 def l2_distance(a: Column, b: Column) -> Column:

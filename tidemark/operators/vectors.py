@@ -3,23 +3,26 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from typing import Any
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.json_text import sorted_json
 from ..functions.scalars import check_range, iso_text
 from ..functions.vectors import as_vector, cosine_similarity, l2_distance
 from ..schemas import EMBEDDING_DIM, SEARCH_ROWS
+from ..session import fresh_path
 from .mutations import upsert_points
 from .reads import active_only, missing_ids, recent_records, semi_by_ids
 from .spread import salted_join
 
-QUERY_BLOCK = 512
+QUERY_BLOCK = 4096
+POINT_BLOCK = 32_768
 
 
 def _condition(spec: dict[str, Any]) -> Column:
@@ -106,11 +109,14 @@ def embed_texts(
     return salted_join(keyed, vectors, ["text_key"], "left", salt_by=F.struct(*[c for c in df.columns if c != text])).drop("text_key")
 
 
-def index_documents(points: DataFrame | None, documents: DataFrame, dim: int = EMBEDDING_DIM) -> DataFrame:
-    """Points ``(id, vector, payload)`` after embedding and upserting ``(id, text, metadata)``."""
-    embedded = embed_texts(documents, "text", dim).select(
-        "id", "vector", F.struct("text", "metadata.*").alias("payload"), F.lit(0).alias("_seq")
-    )
+def index_documents(points: DataFrame | None, documents: DataFrame, dim: int = EMBEDDING_DIM, order: str | None = None) -> DataFrame:
+    """Points ``(id, vector, payload)`` after embedding and upserting ``(id, text, metadata)``.
+
+    Of several documents with one id the last in ``order`` counts, without ``order`` the one with the largest text.
+    """
+    place = F.struct(order, "text") if order else F.col("text")
+    last = documents.groupBy("id").agg(F.max_by(F.struct("text", "metadata"), place).alias("_d")).select("id", "_d.*")
+    embedded = embed_texts(last, "text", dim).select("id", "vector", F.struct("text", "metadata.*").alias("payload"), F.lit(0).alias("_seq"))
     fresh = embedded.drop("_seq")
     return fresh if points is None else upsert_points(points, embedded, "_seq")
 
@@ -140,52 +146,46 @@ def cosine_topk(
     return apply_filter(points, spec).withColumn("score", score).orderBy(F.desc("score"), "id").limit(k)
 
 
-def _topk_block(points: DataFrame, queries: list, k: int, vector: str) -> DataFrame:
-    ids = [row["query_id"] for row in queries]
-    matrix = np.array([row["vector"] for row in queries], dtype=np.float64)
-    matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-300)
-    schema = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])
-
-    def best(scores: np.ndarray, point_ids: np.ndarray) -> np.ndarray:
-        return np.lexsort((point_ids, -scores))[:k]
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = [(np.empty(0), np.empty(0, dtype=np.int64))] * len(ids)
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            point_ids = batch.column(0).to_numpy(zero_copy_only=False)
-            block = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1).astype(np.float64)
-            lengths = np.maximum(np.linalg.norm(block, axis=1, keepdims=True), 1e-300)
-            scores = (block / lengths) @ matrix.T
-            for i in range(len(ids)):
-                all_scores = np.concatenate([kept[i][0], scores[:, i]])
-                all_ids = np.concatenate([kept[i][1], point_ids])
-                top = best(all_scores, all_ids)
-                kept[i] = (all_scores[top], all_ids[top])
-        for query_id, (top_scores, top_ids) in zip(ids, kept):
-            columns = [pa.array(np.full(len(top_ids), query_id, dtype=np.int64)), pa.array(top_ids), pa.array(top_scores)]
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
-
-    plain = points.filter(F.col(vector).isNotNull()).select(F.col("id").cast("bigint"), F.col(vector).cast("array<double>"))
-    return plain.mapInArrow(search, "query_id bigint, id bigint, score double")
-
-
-def cosine_topk_batch(points: DataFrame, queries: DataFrame, k: int, vector: str = "vector") -> DataFrame:
+def cosine_topk_batch(
+    points: DataFrame, queries: DataFrame, k: int, vector: str = "vector", query_block: int = QUERY_BLOCK, point_block: int = POINT_BLOCK
+) -> DataFrame:
     """The ``k`` best points for every query ``(query_id, vector)``.
 
-    Queries go out in blocks of bounded size. A task multiplies its vectors with a block and keeps ``k`` rows per
-    query, so only those meet in the final ranking; pairs are never materialised. More queries mean more blocks.
+    Points and queries are cut into blocks of bounded size by hash. Each pair of blocks meets in one group, which
+    multiplies two matrices and keeps ``k`` rows per query, so only those go to the final ranking. Nothing but the two
+    counts reaches the driver. A vector without length has similarity 0, a null one takes no part.
     """
     check_range("k", k, SEARCH_ROWS)
-    queries = queries.select(F.col("query_id").cast("bigint"), F.col("vector").cast("array<double>").alias("vector"))
-    total = queries.count()
-    blocks = max(1, math.ceil(total / QUERY_BLOCK))
-    slot = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
-    parts = [_topk_block(points, queries.filter(slot == b).collect(), k, vector) for b in range(blocks)]
+    left = points.filter(F.col(vector).isNotNull()).select(F.col("id").cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    right = queries.filter(F.col("vector").isNotNull()).select(F.col("query_id").cast("bigint").alias("query_id"), F.col("vector").cast("array<double>").alias("v"))
+    rows, columns = (max(1, math.ceil(df.count() / size)) for df, size in ((left, point_block), (right, query_block)))
+    blocks = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    slot = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    left = left.withColumn("row", slot("id", rows)).withColumn("column", blocks(columns))
+    right = right.withColumn("column", slot("query_id", columns)).withColumn("row", blocks(rows))
+
+    def unit(vectors: pd.Series) -> np.ndarray:
+        matrix = np.array(vectors.tolist(), dtype=np.float64)
+        return matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-300)
+
+    def search(own: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(own) and len(asked):
+            own = own.sort_values("id", kind="stable")
+            ids, stored = own["id"].to_numpy(), unit(own["v"])
+            for start in range(0, len(asked), 256):
+                part = asked.iloc[start:start + 256]
+                for query, scores in zip(part["query_id"], unit(part["v"]) @ stored.T):
+                    # Ties go to the lower id, so everything as good as the k-th best takes part in the sort.
+                    bar = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) > k else -np.inf
+                    best = np.flatnonzero(scores >= bar)
+                    best = best[np.argsort(-scores[best], kind="stable")][:k]
+                    found.append(pd.DataFrame({"query_id": query, "id": ids[best], "score": scores[best]}))
+        return pd.concat(found) if found else pd.DataFrame({"query_id": [], "id": [], "score": []}).astype({"query_id": "int64", "id": "int64"})
+
+    met = left.groupBy("row", "column").cogroup(right.groupBy("row", "column")).applyInPandas(search, "query_id bigint, id bigint, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    merged = reduce(DataFrame.unionByName, parts)
-    return merged.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return met.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
 def distance_threshold(
@@ -198,32 +198,42 @@ def distance_threshold(
 
 
 class CellIndex:
-    """Approximate search: vectors are grouped into cells around centres, a query reads only the nearest cells.
+    """Approximate search: vectors are stored in a folder per cell around a centre, a query reads only the nearest cells.
 
-    The centres are few (``lists``) and live on the driver; stored with ``partitionBy("cell")``, cells that are
-    not probed are not read at all.
+    The centres are few (``lists``) and live on the driver.
     """
 
-    def __init__(self, centres: np.ndarray, assigned: DataFrame, vector: str):
+    def __init__(self, centres: np.ndarray, path: str, schema: StructType, vector: str):
         self.centres = centres
-        self.assigned = assigned
+        self.path = path
+        self.schema = schema
         self.vector = vector
 
     @classmethod
-    def build(cls, points: DataFrame, lists: int, vector: str = "vector", seed: int = 7) -> CellIndex:
+    def build(
+        cls, points: DataFrame, lists: int, vector: str = "vector", seed: int = 7, sample: int = 100_000, path: str | None = None
+    ) -> CellIndex:
+        """Centres come from at most ``sample`` points, those with the smallest hash of their id; every point is stored."""
         from pyspark.ml.clustering import KMeans
         from pyspark.ml.functions import array_to_vector
 
-        features = points.withColumn("_features", array_to_vector(F.col(vector).cast("array<double>")))
+        features = points.filter(F.col(vector).isNotNull()).withColumn("_features", array_to_vector(F.col(vector).cast("array<double>")))
+        drawn = features.select("id", "_features").orderBy(F.xxhash64("id"), "id").limit(sample)
         means = KMeans(k=lists, seed=seed, featuresCol="_features", predictionCol="cell", distanceMeasure="cosine")
-        model = means.fit(features)
-        return cls(np.array(model.clusterCenters()), model.transform(features).drop("_features"), vector)
+        model = means.fit(drawn)
+        assigned = model.transform(features).drop("_features")
+        path = path or fresh_path(points.sparkSession, "cells")
+        assigned.hint("rebalance", "cell").write.partitionBy("cell").parquet(path)
+        return cls(np.array(model.clusterCenters()), path, assigned.schema, vector)
+
+    def cells(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(self.schema).parquet(self.path)
 
-    def search(self, query: Sequence[float], k: int, probes: int, spec: dict | None = None) -> DataFrame:
+    def search(self, spark: SparkSession, query: Sequence[float], k: int, probes: int, spec: dict | None = None) -> DataFrame:
         wanted = np.asarray(query, dtype=np.float64)
         closeness = self.centres @ wanted / np.maximum(np.linalg.norm(self.centres, axis=1), 1e-300)
-        cells = [int(cell) for cell in np.argsort(-closeness)[:probes]]
-        return cosine_topk(self.assigned.filter(F.col("cell").isin(cells)), query, k, spec, self.vector)
+        nearest = [int(cell) for cell in np.argsort(-closeness)[:probes]]
+        return cosine_topk(self.cells(spark).filter(F.col("cell").isin(nearest)), query, k, spec, self.vector)
 
 
 def recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:

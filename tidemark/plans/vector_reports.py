@@ -93,14 +93,58 @@ def _index(spark, sf):
 
 @report("nearest_points_by_cell")
 def nearest_points_by_cell(spark, sf):
-    return _rounded(_index(spark, sf).search(_query(spark, sf), 25, probes=8).select("id", "label", "cell", "score"), "score")
+    return _rounded(_index(spark, sf).search(spark, _query(spark, sf), 25, probes=8).select("id", "label", "cell", "score"), "score")
 
 
 @report("cell_search_recall")
 def cell_search_recall(spark, sf):
     query = _query(spark, sf)
     exact = vectors.cosine_topk(tables.points(spark, sf), query, 25)
-    return vectors.recall(_index(spark, sf).search(query, 25, probes=8), exact)
+    return vectors.recall(_index(spark, sf).search(spark, query, 25, probes=8), exact)
+
+
+@report(
+    "nearest_points_all_cells",
+    f"""{ON_POINTS} SELECT id, CAST(label AS BIGINT) AS label, round(list_cosine_similarity(vector, {QUERY}), 6) AS score
+    FROM points ORDER BY list_cosine_similarity(vector, {QUERY}) DESC, id LIMIT 25""",
+)
+def nearest_points_all_cells(spark, sf):
+    """With every cell probed the stored index gives the exact result."""
+    return _rounded(_index(spark, sf).search(spark, _query(spark, sf), 25, probes=16).select("id", "label", "score"), "score")
+
+
+@report("cell_recall_bound", "SELECT CAST(25 AS BIGINT) AS expected, true AS enough")
+def cell_recall_bound(spark, sf):
+    """Half of the cells find at least seven tenths of the nearest points."""
+    query = _query(spark, sf)
+    exact = vectors.cosine_topk(tables.points(spark, sf), query, 25)
+    found = vectors.recall(_index(spark, sf).search(spark, query, 25, probes=8), exact)
+    return found.select("expected", (F.col("recall") >= 0.7).alias("enough"))
+
+
+@report(
+    "embedding_shape",
+    """SELECT count(*) AS docs, count(DISTINCT text) AS texts, CAST(384 AS BIGINT) AS dim, true AS alike,
+    count(*) FILTER (WHERE trim(text) = '') AS without_words FROM documents WHERE text IS NOT NULL""",
+)
+def embedding_shape(spark, sf):
+    """Every text has 384 values of unit length, or none but zeros without words; copies have one vector."""
+    from ..functions.vectors import norm
+
+    docs = table(spark, sf, "documents").filter("text IS NOT NULL").select("doc_id", "text")
+    length = norm(F.col("vector").cast("array<double>"))
+    rows = vectors.embed_texts(docs).select(
+        F.sha2("text", 256).alias("text_key"), F.size("vector").alias("dim"), F.xxhash64("vector").alias("mark"), length.alias("length")
+    )
+    per_text = rows.groupBy("text_key").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("mark").alias("marks"), F.min("dim").alias("low"), F.max("dim").alias("high"),
+        F.max(F.abs(F.col("length") - 1)).alias("off"), F.max(F.when(F.col("length") == 0, F.col("length"))).alias("zero"),
+    )
+    fine = (F.col("marks") == 1) & (F.col("low") == F.col("high")) & ((F.col("off") < 1e-4) | F.col("zero").isNotNull())
+    return per_text.agg(
+        F.sum("n").alias("docs"), F.count(F.lit(1)).alias("texts"), F.max("high").alias("dim"), F.bool_and(fine).alias("alike"),
+        F.coalesce(F.sum(F.when(F.col("zero").isNotNull(), F.col("n"))), F.lit(0)).alias("without_words"),
+    )
 
 
 SEARCH_TEXT = f"""'source: ' || source || chr(10) || 'timestamp: ' || {iso('"timestamp"')} || chr(10) ||
