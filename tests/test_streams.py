@@ -40,7 +40,7 @@ def test_late_rows_after_the_watermark_are_left_out(spark):
     for batch in batches:
         land(records(spark, *batch), path)
         parts = flows.hourly_parts_stream(sources.table_stream(spark, path, schema), lateness="1 hour")
-        sources.run_available(flows.upsert_batches(parts, out, f"{out}-checkpoint"))
+        sources.run_available(flows.upsert_batches(parts, out, f"{out}-checkpoint", ["hour", "source"], "hour"))
     found = {r.hour.hour: (r.record_count, r.max_value, r.unique_sources) for r in flows.read_hourly_stats(spark, out).collect()}
     assert found == {10: (3, 3.0, 2), 13: (1, 7.0, 1), 14: (1, 9.0, 1)}
 
@@ -60,6 +60,34 @@ def test_state_carries_over_micro_batches(spark):
     assert {r.event_id: r.allowed for r in spark.read.parquet(out).collect()} == expected
 
 
+def test_state_of_a_quiet_key_is_dropped(spark):
+    path, out = fresh_path(spark, "requests"), fresh_path(spark, "decisions")
+    schema = "event_id BIGINT, key STRING, ts TIMESTAMP_NTZ"
+    batches = [[(0, "a", "00:00:00"), (1, "b", "00:00:01")], [(2, "b", "00:30:00")], [(3, "b", "00:30:01"), (4, "a", "00:30:02")]]
+    states = []
+    for batch in batches:
+        rows = spark.createDataFrame(batch, "event_id BIGINT, key STRING, at STRING")
+        land(rows.select("event_id", "key", F.concat(F.lit("2024-03-01 "), "at").cast("timestamp_ntz").alias("ts")), path)
+        decided = stateful.dedupe_ttl_stream(sources.table_stream(spark, path, schema), 60, "1 minute")
+        query = sources.run_available(decided.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-checkpoint"))
+        states.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert {r.event_id: r.accepted for r in spark.read.parquet(out).collect()} == {0: True, 1: True, 2: True, 3: False, 4: True}
+    assert states[1] == 1  # the state of the key that stayed quiet is gone
+
+
+def test_a_repeated_batch_changes_no_ledger(spark):
+    path, out = fresh_path(spark, "log"), fresh_path(spark, "ledger")
+    value = bytearray(b'{"event_type":"a","payload":1}')
+    rows = [("t", 0, i, f"k{i % 2}", value) for i in range(4)]
+    log = spark.createDataFrame(rows, "topic STRING, part INT, off BIGINT, key STRING, value BINARY")
+    land(log.withColumn("ts", F.lit("2024-03-01 00:00:00").cast("timestamp_ntz")).select("topic", "part", "off", "key", "ts", "value"), path)
+    for checkpoint in ("first", "again"):
+        writer = flows.consume_to_ledger(sources.file_log(spark, path), out, f"{out}-{checkpoint}", "2024-03-02 00:00:00")
+        sources.run_available(writer)
+        found = flows.read_ledger(spark, out).orderBy("id").collect()
+        assert [(r.id, r.idempotency_key, r.kafka_offset) for r in found] == [(1, "k0", 0), (2, "k1", 1)]
+
+
 def test_caller_hook_gets_every_batch(spark):
     path, out = fresh_path(spark, "hook"), fresh_path(spark, "hooked")
     land(spark.range(5), path)

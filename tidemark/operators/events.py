@@ -125,12 +125,17 @@ def seen_events(incoming: DataFrame, ledger: DataFrame) -> DataFrame:
 
 def create_events(ledger: DataFrame, incoming: DataFrame, as_of: datetime | str | Column, order: str = "event_id") -> DataFrame:
     """The ledger after inserting ``incoming``; a key that exists keeps its row, offset and payload."""
-    fresh = settle(unseen_events(dedupe_by_key(incoming, order=order), ledger), "new-events")
+    return ledger.unionByName(new_ledger_rows(ledger, incoming, as_of, order))
+
+
+def new_ledger_rows(ledger: DataFrame, incoming: DataFrame, as_of: datetime | str | Column, order: str = "event_id") -> DataFrame:
+    """The rows that ``incoming`` adds to the ledger, with the ids that follow its own."""
+    fresh = unseen_events(dedupe_by_key(incoming, order=order), ledger)
     highest = ledger.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).scalar()
     now = instant(as_of)
     text = F.lit(None).cast("string")
     stamp = F.lit(None).cast("timestamp_ntz")
-    rows = (
+    return (
         running_position(fresh, order, out="_n")
         .withColumn("_highest", highest)
         .select(
@@ -142,7 +147,6 @@ def create_events(ledger: DataFrame, incoming: DataFrame, as_of: datetime | str
             now.alias("created_at"), now.alias("updated_at"), stamp.alias("deleted_at"),
         )
     )
-    return ledger.unionByName(rows)
 
 
 def append_events(ledger: DataFrame, rows: DataFrame) -> DataFrame:

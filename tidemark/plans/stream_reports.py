@@ -50,6 +50,15 @@ def streamed_dead_letters(spark, sf):
     return flows.read_dead_letters(spark, _consumed(spark, sf))
 
 
+@report("streamed_ledger", f"{ON_LOG} SELECT DISTINCT idempotency_key, 'pending' AS status FROM event_log WHERE error IS NULL")
+def streamed_ledger(spark, sf):
+    """Keys of the ledger rows that the stream of the topic has added, each once."""
+    out = fresh_path(spark, "ledger")
+    log = sources.file_log(spark, _landed_log(spark, sf), files_per_batch=1)
+    sources.run_available(flows.consume_to_ledger(log, out, f"{out}-checkpoint", "2024-02-01 00:00:00"))
+    return flows.read_ledger(spark, out).select("idempotency_key", "status")
+
+
 @report("streamed_offsets", f"{ON_LOG} SELECT topic, part, max(off) AS last_offset, count(*) AS n FROM event_log GROUP BY 1, 2")
 def streamed_offsets(spark, sf):
     """Offsets reached per partition, from the rows that were written."""
@@ -96,7 +105,7 @@ def streamed_hourly_stats(spark, sf):
     out = fresh_path(spark, "hourly-parts")
     stream = sources.table_stream(spark, landed, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), 1)
     parts = flows.hourly_parts_stream(stream, lateness="60 days")
-    sources.run_available(flows.upsert_batches(parts, out, f"{out}-checkpoint"))
+    sources.run_available(flows.upsert_batches(parts, out, f"{out}-checkpoint", ["hour", "source"], "hour"))
     return flows.read_hourly_stats(spark, out)
 
 
@@ -109,9 +118,9 @@ def streamed_order_summary(spark, sf):
     schema = "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
     orders = sources.table_stream(spark, sf, schema, pattern="orders.parquet")
     out = fresh_path(spark, "order-summary")
-    summary = flows.order_summary_stream(orders, "o_custkey", "o_orderdate", "o_totalprice")
-    sources.run_available(flows.upsert_batches(summary, out, f"{out}-checkpoint"))
-    return flows.latest_rows(spark, out, ["customer_id", "day"])
+    summary = flows.order_summary_stream(orders, "o_custkey", "o_orderdate", "o_totalprice", "4000 days")
+    sources.run_available(flows.upsert_batches(summary, out, f"{out}-checkpoint", ["customer_id", "day"], "day"))
+    return flows.latest_rows(spark, out)
 
 
 @report(

@@ -1,7 +1,7 @@
 """Stateless and aggregating streams: consuming the event log, running summaries, change events, snapshots.
 
-Every ``foreachBatch`` writes into the folder of its batch with overwrite, so a batch that is run again after a
-failure leaves the same result.
+Every ``foreachBatch`` writes into the folder of its batch with overwrite, or merges whole values by key, so a batch
+that is run again after a failure leaves the same result.
 """
 
 from __future__ import annotations
@@ -13,7 +13,10 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.scalars import event_time, from_event_time, number_at
 from ..operators.analytics import combine_hours
-from ..operators.events import dead_letter_json, dead_letters, parse_events
+from ..operators.events import dead_letter_json, dead_letters, new_ledger_rows, parse_events
+from ..schemas import LEDGER
+from ..session import settle
+from ..sources import months
 from ..sources.files import metric_lines
 from .sources import batch_folder
 
@@ -57,20 +60,55 @@ def each_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint:
     return df.writeStream.outputMode(mode).foreachBatch(fn).option("checkpointLocation", checkpoint)
 
 
-def upsert_batches(df: DataFrame, out: str, checkpoint: str) -> DataStreamWriter:
-    """Writes the changed rows of a running aggregate, batch by batch; ``latest_rows`` reads the current state."""
+def upsert_batches(df: DataFrame, out: str, checkpoint: str, keys: list[str], at: str) -> DataStreamWriter:
+    """Merges the changed rows of a running aggregate into a table in monthly folders of the column ``at``.
+
+    A batch carries whole new values, so a batch that is run again leaves the same table. Only the months that it
+    touches are read and rewritten; ``latest_rows`` reads the table.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(batch_folder(out, batch_id))
+        spark = batch.sparkSession
+        changed = settle(batch, "changed-rows")
+        touched = months.months_of(changed, at)
+        if touched:
+            shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in changed.schema)
+            stored = months.read_months(spark, out, shape, touched).drop("ym")
+            merged = changed.unionByName(stored.join(changed.select(*keys), keys, "left_anti").select(*changed.columns))
+            months.replace_months(merged, out, touched, at)
 
     return each_batch(df, write, checkpoint, "update")
 
 
-def latest_rows(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
-    """The newest version of every row that ``upsert_batches`` has written."""
-    rows = spark.read.parquet(out)
-    rest = [c for c in rows.columns if c not in (*keys, "batch_id")]
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("_r")).select(*keys, "_r.*")
+def latest_rows(spark: SparkSession, out: str) -> DataFrame:
+    """The table that ``upsert_batches`` keeps."""
+    return spark.read.parquet(out).drop("ym")
+
+
+def consume_to_ledger(log: DataFrame, out: str, checkpoint: str, as_of: str) -> DataStreamWriter:
+    """Good events become pending ledger rows, one per idempotency key; the first that arrives wins.
+
+    Every micro-batch writes the rows it adds into its own folder, and compares with the folders of the others. So a
+    batch that is run again replaces its own rows by the same ones.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        parsed = parse_events(batch)
+        good = parsed.filter("error IS NULL").withColumnRenamed("key", "idempotency_key").withColumn("_place", F.struct("part", "off"))
+        ledger = read_ledger(spark, out, [batch_id])
+        new_ledger_rows(ledger, good, as_of, "_place").write.mode("overwrite").parquet(batch_folder(out, batch_id))
+
+    return each_batch(log, write, checkpoint)
+
+
+def read_ledger(spark: SparkSession, out: str, but: list[int] | None = None) -> DataFrame:
+    """The ledger that ``consume_to_ledger`` has written, without the rows of the batches ``but``."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(out)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], LEDGER)
+    rows = spark.read.schema(f"{LEDGER}, batch_id BIGINT").parquet(out)
+    return rows.filter(~F.col("batch_id").isin(but or [])).drop("batch_id")
 
 
 def hourly_parts_stream(records: DataFrame, lateness: str = "1 hour", value_path: str = "$.value") -> DataFrame:
@@ -95,13 +133,16 @@ def hourly_parts_stream(records: DataFrame, lateness: str = "1 hour", value_path
 
 
 def read_hourly_stats(spark: SparkSession, out: str) -> DataFrame:
-    return combine_hours(latest_rows(spark, out, ["hour", "source"]), with_list=True)
+    return combine_hours(latest_rows(spark, out), with_list=True)
 
 
-def order_summary_stream(orders: DataFrame, customer: str, ordered_at: str, amount: str) -> DataFrame:
-    """Running orders and amount per customer and day."""
-    return orders.groupBy(F.col(customer).alias("customer_id"), F.col(ordered_at).cast("date").alias("day")).agg(
-        F.count(F.lit(1)).alias("order_count"), F.sum(F.col(amount).cast("decimal(20,2)")).alias("total_amount")
+def order_summary_stream(orders: DataFrame, customer: str, ordered_at: str, amount: str, lateness: str = "1 day") -> DataFrame:
+    """Running orders and amount per customer and day; a day's state is dropped when the watermark has passed it."""
+    timed = orders.withColumn("_at", event_time(ordered_at)).withWatermark("_at", lateness)
+    return (
+        timed.groupBy(F.col(customer).alias("customer_id"), F.window("_at", "1 day"))
+        .agg(F.count(F.lit(1)).alias("order_count"), F.sum(F.col(amount).cast("decimal(20,2)")).alias("total_amount"))
+        .select("customer_id", from_event_time("window.start").cast("date").alias("day"), "order_count", "total_amount")
     )
 
 

@@ -12,18 +12,26 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..functions.scalars import epoch_micros
+from ..functions.scalars import epoch_micros, event_time
 from ..operators.ratelimit import Rule, sliding_window_rule, token_bucket_rule, ttl_rule
 from ..schemas import DEDUPE_TTL_SECONDS, MAX_DELIVERIES, SLIDING_LIMIT, SLIDING_SECONDS, TOKEN_CAPACITY, TOKEN_REFILL_PER_SECOND
 
 DECISION = "key string, event_id bigint, ts timestamp_ntz, allowed boolean, remaining double, wait_seconds double"
 STATE = "state string"
+LATENESS = "1 hour"
 
 
-def _decide(requests: DataFrame, make_rule: Callable[[], Rule]) -> DataFrame:
-    """One decision per request; the state of a key is a short text."""
+def _decide(requests: DataFrame, make_rule: Callable[[], Rule], quiet_seconds: float, lateness: str) -> DataFrame:
+    """One decision per request; the state of a key is a short text.
+
+    A key that has been quiet for ``quiet_seconds`` is in its first state again. Its state is dropped when the watermark,
+    ``lateness`` behind the newest request, has passed that time. Requests behind the watermark are not decided.
+    """
 
     def decide(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         rule = make_rule()
         rows = pd.concat(list(batches)).sort_values(["micros", "event_id"])
         current = rule.read_state(state.get[0]) if state.exists else None
@@ -32,24 +40,30 @@ def _decide(requests: DataFrame, make_rule: Callable[[], Rule]) -> DataFrame:
             current, allowed, left, wait = rule.step(current, int(micros))
             out.append((key[0], int(event_id), ts, bool(allowed), float(left), float(wait)))
         state.update((rule.write_state(current),))
+        forgotten = int(rows["micros"].iloc[-1] / 1000 + quiet_seconds * 1000) + 1
+        state.setTimeoutTimestamp(max(forgotten, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(out, columns=["key", "event_id", "ts", "allowed", "remaining", "wait_seconds"])
 
-    timed = requests.select("key", "event_id", "ts", epoch_micros("ts").alias("micros"))
-    return timed.groupBy("key").applyInPandasWithState(decide, DECISION, STATE, "append", GroupStateTimeout.NoTimeout)
+    timed = requests.withColumn("_at", event_time("ts")).withWatermark("_at", lateness)
+    timed = timed.select("key", "event_id", "ts", epoch_micros("ts").alias("micros"), "_at")
+    return timed.groupBy("key").applyInPandasWithState(decide, DECISION, STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def token_bucket_stream(
-    requests: DataFrame, capacity: int = TOKEN_CAPACITY, refill_per_second: float = TOKEN_REFILL_PER_SECOND
+    requests: DataFrame, capacity: int = TOKEN_CAPACITY, refill_per_second: float = TOKEN_REFILL_PER_SECOND, lateness: str = LATENESS
 ) -> DataFrame:
-    return _decide(requests, lambda: token_bucket_rule(capacity, refill_per_second))
+    return _decide(requests, lambda: token_bucket_rule(capacity, refill_per_second), capacity / refill_per_second + 1, lateness)
 
 
-def sliding_window_stream(requests: DataFrame, limit: int = SLIDING_LIMIT, window_seconds: int = SLIDING_SECONDS) -> DataFrame:
-    return _decide(requests, lambda: sliding_window_rule(limit, window_seconds)).withColumnRenamed("wait_seconds", "reset_in")
+def sliding_window_stream(
+    requests: DataFrame, limit: int = SLIDING_LIMIT, window_seconds: int = SLIDING_SECONDS, lateness: str = LATENESS
+) -> DataFrame:
+    decided = _decide(requests, lambda: sliding_window_rule(limit, window_seconds), window_seconds, lateness)
+    return decided.withColumnRenamed("wait_seconds", "reset_in")
 
 
-def dedupe_ttl_stream(events: DataFrame, ttl_seconds: int = DEDUPE_TTL_SECONDS) -> DataFrame:
-    return _decide(events, lambda: ttl_rule(ttl_seconds)).select("key", "event_id", "ts", F.col("allowed").alias("accepted"))
+def dedupe_ttl_stream(events: DataFrame, ttl_seconds: int = DEDUPE_TTL_SECONDS, lateness: str = LATENESS) -> DataFrame:
+    return _decide(events, lambda: ttl_rule(ttl_seconds), ttl_seconds, lateness).select("key", "event_id", "ts", F.col("allowed").alias("accepted"))
 
 
 def retry_stream(deliveries: DataFrame, max_attempts: int = MAX_DELIVERIES) -> DataFrame:
