@@ -9,8 +9,11 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
+from itertools import chain
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -18,9 +21,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .common import kept_in_worker
 
 NONE = 1 << 62
-PLACE = 1 << 32
+PLACE, SHORT = 1 << 32, 1 << 12
 CACHED_CHARS = 64
-CACHED_WORDS = 400_000
+#: Entries of the younger half of a cache; see ``Recent``.
+CACHED_WORDS = 300_000
 #: White space as Unicode defines it; str.split() also cuts at \\x1c-\\x1f.
 WHITE = "\t-\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
@@ -36,10 +40,11 @@ class SegmentTree:
     """Minimum over leaves, with point updates."""
 
     def __init__(self, leaves: list[int]):
-        self.half = 1 << max(0, (len(leaves) - 1).bit_length())
-        self.nodes = [NONE] * self.half + leaves + [NONE] * (self.half - len(leaves))
-        for i in range(self.half - 1, 0, -1):
-            self.nodes[i] = min(self.nodes[2 * i], self.nodes[2 * i + 1])
+        self.half = half = 1 << max(0, (len(leaves) - 1).bit_length())
+        self.nodes = nodes = [NONE] * half + leaves + [NONE] * (half - len(leaves))
+        for i in range(half - 1, 0, -1):
+            a, b = nodes[2 * i], nodes[2 * i + 1]
+            nodes[i] = a if a < b else b
 
     def root(self) -> int:
         return self.nodes[1]
@@ -48,11 +53,40 @@ class SegmentTree:
         nodes, i = self.nodes, leaf + self.half
         nodes[i] = value
         while i > 1:
+            other = nodes[i ^ 1]
+            if other < value:
+                value = other
             i >>= 1
-            least = min(nodes[2 * i], nodes[2 * i + 1])
-            if nodes[i] == least:
+            if nodes[i] == value:
                 break
-            nodes[i] = least
+            nodes[i] = value
+
+
+class Recent(dict):
+    """A bounded memory: when it is full it becomes the older half, and what is asked for again moves up."""
+
+    def __init__(self, size: int = CACHED_WORDS):
+        self.size, self.older = size, {}
+
+    def __missing__(self, key):
+        found = self.older.pop(key, None)
+        if found is None:
+            found = self.make(key)
+            if isinstance(key, str) and len(key) > CACHED_CHARS:
+                return found
+        if len(self) >= self.size:
+            self.older = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
+class Words(Recent):
+    """Word -> ids."""
+
+    def __init__(self, bpe: WordBpe):
+        super().__init__()
+        self.make = bpe.encode_word
 
 
 class WordBpe:
@@ -72,8 +106,10 @@ class WordBpe:
         self.names.update({i: s for s, i in self.special.items()})
         self.cut_special = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")")
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace("\\s", WHITE)
-        self.words_of = regex.compile(pattern).findall
-        self.chunks_of = regex.compile(f"[^{WHITE}]+").findall
+        self.all_words = regex.compile(pattern).findall
+        # The same for texts of ASCII alone, where the standard module is faster.
+        ascii_pattern = pattern.replace("\\p{L}", "A-Za-z").replace("\\p{N}", "0-9").replace(WHITE, "\\t-\\r ")
+        self.ascii_words = re.compile(ascii_pattern, re.ASCII).findall
         letters = byte_letters()
         self.first = [self.ids[x] for x in letters]
         self.last = [self.ids[x + self.end] for x in letters]
@@ -84,61 +120,59 @@ class WordBpe:
         n, merges = len(symbols), self.merges
         if n == 1:
             return symbols
-
-        def leaf(i: int, j: int) -> int:
-            found = merges.get((symbols[i], symbols[j]))
-            return NONE if found is None else found[0] * PLACE + i
-
-        tree = SegmentTree([leaf(i, i + 1) for i in range(n - 1)])
+        # A leaf holds rank and place in one number; short words keep it small.
+        place = SHORT if n <= SHORT else PLACE
+        leaves = []
+        for i in range(n - 1):
+            found = merges.get((symbols[i], symbols[i + 1]))
+            leaves.append(NONE if found is None else found[0] * place + i)
+        tree = SegmentTree(leaves)
+        put, nodes = tree.put, tree.nodes
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        while (best := tree.root()) != NONE:
-            i = best % PLACE
+        while (best := nodes[1]) != NONE:
+            i = best % place
             j = after[i]
-            symbols[i] = merges[symbols[i], symbols[j]][1]
+            merged = symbols[i] = merges[symbols[i], symbols[j]][1]
             symbols[j] = -1
             after[i] = k = after[j]
             if j < n - 1:
-                tree.put(j, NONE)
+                put(j, NONE)
+            found = None
             if k < n:
                 before[k] = i
-            tree.put(i, leaf(i, k) if k < n else NONE)
+                found = merges.get((merged, symbols[k]))
+            put(i, NONE if found is None else found[0] * place + i)
             if (h := before[i]) >= 0:
-                tree.put(h, leaf(h, i))
+                found = merges.get((symbols[h], merged))
+                put(h, NONE if found is None else found[0] * place + h)
         return [s for s in symbols if s >= 0]
 
-    def encode_chunk(self, chunk: str, words: dict[str, list[int]]) -> list[int]:
-        """Ids of a text without white space; ``words`` remembers short words."""
-        folded = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-        out: list[int] = []
-        for word in self.words_of(folded):
-            found = words.get(word)
-            if found is None:
-                found = self.encode_word(word)
-                if len(word) <= CACHED_CHARS:
-                    if len(words) >= CACHED_WORDS:
-                        words.clear()
-                    words[word] = found
-            out += found
-        return out
+    def words_of(self, text: str) -> list[str]:
+        """Folded words of a text without special tokens. Lower-casing goes by character, so sigma has one small form."""
+        if text.isascii():
+            return self.ascii_words(text.lower())
+        return self.all_words(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
 
     def pieces(self, text: str) -> list[str | int]:
-        """The text's chunks between white space, and ids in place of special tokens."""
+        """The text's words, and ids in place of special tokens."""
+        if "<|" not in text:
+            return self.words_of(text)
         out: list[str | int] = []
-        for part in self.cut_special.split(text) if "<|" in text else (text,):
+        for part in self.cut_special.split(text):
             if part in self.special:
                 out.append(self.special[part])
             else:
-                out += self.chunks_of(part)
+                out += self.words_of(part)
         return out
 
-    def encode(self, text: str | None, words: dict[str, list[int]] | None = None) -> list[int]:
-        words = {} if words is None else words
+    def encode(self, text: str | None, words: Words | None = None) -> list[int]:
+        words = Words(self) if words is None else words
         out: list[int] = []
         for piece in self.pieces(text or ""):
             if isinstance(piece, int):
                 out.append(piece)
             else:
-                out += self.encode_chunk(piece, words)
+                out += words[piece]
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -146,28 +180,24 @@ class WordBpe:
         return " ".join(self.names[i] for i in ids if i in self.names)
 
 
-class _Rendered(dict):
-    """Chunk -> (ids as text, tokens as text, number), filled on demand."""
+class Rendered(Recent):
+    """Word, or id of a special token -> (ids as text, tokens as text, ids), filled on demand."""
 
     def __init__(self, bpe: WordBpe):
-        self.bpe, self.words = bpe, {}
-
-    def __missing__(self, chunk: str | int) -> tuple[str, str, int]:
-        ids = [chunk] if isinstance(chunk, int) else self.bpe.encode_chunk(chunk, self.words)
-        found = (" ".join(map(str, ids)), self.bpe.decode(ids), len(ids))
-        if isinstance(chunk, str) and len(chunk) <= CACHED_CHARS:
-            if len(self) >= CACHED_WORDS // 2:
-                self.clear()
-            self[chunk] = found
-        return found
+        super().__init__()
+        self.bpe = bpe
+
+    def make(self, piece: str | int) -> tuple[str, str, list[int]]:
+        ids = [piece] if isinstance(piece, int) else self.bpe.encode_word(piece)
+        return " ".join(map(str, ids)), self.bpe.decode(ids), ids
 
 
-def _rendered(file_text: str) -> _Rendered:
+def _rendered(file_text: str) -> Rendered:
     kept = kept_in_worker("bpe")
     mark = hashlib.sha1(file_text.encode()).digest()
     if mark not in kept:
         kept.clear()
-        kept[mark] = _Rendered(WordBpe(file_text))
+        kept[mark] = Rendered(WordBpe(file_text))
     return kept[mark]
 
 
@@ -197,13 +227,12 @@ def encode_texts(docs: DataFrame, vocabulary: str, *, key: str = "doc_id", text:
         for batch in batches:
             out = []
             for doc, value in zip(batch["doc_id"], batch["text"]):
-                found = [x for x in map(known.__getitem__, bpe.pieces(value or "")) if x[2]]
-                joined = " ".join([x[0] for x in found])
+                found = list(map(known.__getitem__, bpe.pieces(value or "")))
                 row = (
-                    sum([x[2] for x in found]), hashlib.sha256(joined.encode()).hexdigest(),
+                    sum([len(x[2]) for x in found]), hashlib.sha256(" ".join([x[0] for x in found]).encode()).hexdigest(),
                     hashlib.sha256(" ".join([x[1] for x in found]).encode()).hexdigest(),
                 )
-                out.append((doc, list(map(int, joined.split())), *row) if ids else (doc, *row))
+                out.append((doc, np.fromiter(chain.from_iterable([x[2] for x in found]), np.int32, row[0]), *row) if ids else (doc, *row))
             names = ["doc_id", *["ids"] * ids, "n_tokens", "ids_sha256", "decoded_sha256"]
             yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
 
