@@ -23,7 +23,7 @@ def prose(rnd, n, bad):
 @pytest.fixture(scope="module")
 def model():
     rnd = random.Random(1)
-    texts = [toxicity.word_buckets(prose(rnd, rnd.randint(20, 300), i % 4 == 0)) for i in range(1200)]
+    texts = [toxicity.words_of(prose(rnd, rnd.randint(20, 300), i % 4 == 0)) for i in range(1200)]
     toxic = np.array([int(i % 4 == 0) for i in range(1200)])
     return toxicity.train(texts, toxic, np.ones(1200))
 
@@ -31,15 +31,17 @@ def model():
 def test_learns(model):
     rnd = random.Random(2)
     sums = model.sums()
-    got = [(i % 4 == 0, toxicity.score(model, sums, toxicity.word_buckets(prose(rnd, 150, i % 4 == 0)))) for i in range(800)]
+    rows = toxicity.Rows(model.known)
+    rate = lambda text: toxicity.score(model, sums, toxicity.word_rows(toxicity.words_of(text), rows))
+    got = [(i % 4 == 0, rate(prose(rnd, 150, i % 4 == 0))) for i in range(800)]
     assert np.mean([(s >= 0.3) == t for t, s in got]) > 0.97
-    assert 0 <= toxicity.score(model, sums, toxicity.word_buckets("")) < 0.3
+    assert 0 <= rate("") < 0.3 and rate("") == rate(None)
 
 
 def test_pooling_equals_a_plain_loop(model, monkeypatch):
     rnd = random.Random(3)
     for n in (0, 1, 2, 3, 50):
-        places = toxicity.word_buckets(prose(rnd, n, False) if n else "")
+        places = toxicity.word_rows(toxicity.words_of(prose(rnd, n, False) if n else ""), toxicity.Rows(model.known))
         expected = []
         for size, f, b in zip(toxicity.SIZES, model.filters, model.biases):
             windows = [sum(model.table[places[i + o]] @ f[o] for o in range(size)) for i in range(len(places) - size + 1)]
@@ -79,3 +81,11 @@ def test_odd_rows(spark):
     assert by_id[403]["predicted"] == 1 and by_id[400]["score"] == by_id[401]["score"] and not by_id[None]["held_out"]
     assert toxicity.rate(docs.limit(0), labels).count() == 0
     assert {r["score"] for r in toxicity.rate(docs, labels.limit(0)).collect()} == {0.5}
+
+
+def test_unknown_words_go_by_their_stem():
+    texts = [[b"vejus", b"other"], [b"vejute", b"other"], [b"vejuer"], [b"vejua"], [b"vejuo", "été".encode()]] * 2
+    known = toxicity.vocabulary(texts)
+    rows = toxicity.Rows(known)
+    assert rows[b"vejuxx"] == known[toxicity.stem_hash(b"vejus")] > 0 and rows[b"nothing"] == 0
+    assert toxicity.stem_hash("étéré".encode()) == toxicity.stem_hash("étér".encode()) != toxicity.stem_hash("été".encode())

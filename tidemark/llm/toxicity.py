@@ -1,6 +1,7 @@
 """Toxicity by a small convolutional text classifier, trained in numpy.
 
-Words are hashed to rows of an embedding table. Filters over one, two and three neighbouring words are max-pooled over the
+Words are hashed; the hashes that enough training texts have get rows of an embedding table, other words the row of their
+first letters, if that is common enough. Filters over one, two and three neighbouring words are max-pooled over the
 whole text and a logistic layer gives the score. For scoring, each filter's part at each offset is multiplied into the
 table beforehand, so a word costs one row of sums. Besides the score's fixed cut, a threshold per language is calibrated
 on labelled rows; language is no input of the score.
@@ -9,17 +10,19 @@ on labelled rows; language is no input of the score.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.functions import pandas_udf
 
 from ..session import settle
 from .common import kept_in_worker
 
-BUCKETS = 1 << 18
+LEAST = 5
+STEM = 4
 WIDTH = 12
 FILTERS = 8
 SIZES = (1, 2, 3)
@@ -35,9 +38,36 @@ CACHED_WORDS = 400_000
 PARTS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
 
-class _Buckets(dict):
+def words_of(text: str | None) -> list[bytes]:
+    return (text or "").lower().encode("utf-8", "replace").translate(PARTS).split()
+
+
+def word_hash(word: bytes) -> int:
+    return zlib.crc32(word)
+
+
+def stem_hash(word: bytes) -> int:
+    """Hash of a word's first letters, in a space of its own."""
+    return zlib.crc32(word[:4 * STEM].decode("utf-8", "replace")[:STEM].encode() + b"~") | 1 << 32
+
+
+def vocabulary(texts: list[list[bytes]], least: int = LEAST) -> dict[int, int]:
+    """Row of each hash of a word or stem that at least ``least`` texts have; row 0 is for what has none."""
+    seen: Counter = Counter()
+    for words in texts:
+        distinct = set(words)
+        seen.update({word_hash(w) for w in distinct} | {stem_hash(w) for w in distinct})
+    return {h: i for i, h in enumerate(sorted(h for h, n in seen.items() if n >= least), 1)}
+
+
+class Rows(dict):
+    """Word -> row, filled on demand and bounded."""
+
+    def __init__(self, known: dict[int, int]):
+        self.known = known
+
     def __missing__(self, word: bytes) -> int:
-        found = zlib.crc32(word) % (BUCKETS - 1) + 1
+        found = self.known.get(word_hash(word)) or self.known.get(stem_hash(word), 0)
         if len(word) <= 64:
             if len(self) >= CACHED_WORDS:
                 self.clear()
@@ -45,17 +75,16 @@ class _Buckets(dict):
         return found
 
 
-def word_buckets(text: str | None, cache: dict | None = None) -> np.ndarray:
-    """A text's words as rows of the embedding table; row 0 pads texts of fewer words than the widest filter."""
-    words = (text or "").lower().encode("utf-8", "replace").translate(PARTS).split()
-    found = list(map((_Buckets() if cache is None else cache).__getitem__, words))
-    return np.array(found + [0] * (max(SIZES) - len(found)), np.int32)
+def word_rows(words: list[bytes], rows: Rows) -> np.ndarray:
+    """A text's words as rows; row 0 also pads texts of fewer words than the widest filter."""
+    return np.array(list(map(rows.__getitem__, words)) + [0] * (max(SIZES) - len(words)), np.int32)
 
 
 @dataclass
 class Model:
-    """Table (only rows seen in training are not zero), filters ``[size][offset]`` as (width, filters), biases, output layer."""
+    """Rows of hashes, their table, filters ``[size][offset]`` as (width, filters), biases, output layer."""
 
+    known: dict[int, int]
     table: np.ndarray
     filters: list[np.ndarray]
     biases: list[np.ndarray]
@@ -91,19 +120,17 @@ def score(model: Model, sums: np.ndarray, places: np.ndarray) -> float:
     return float(squashed(pooled(model, sums, places) @ model.out + model.bias))
 
 
-def _start(texts: list[np.ndarray], toxic: np.ndarray, rnd) -> Model:
+def _start(texts: list[np.ndarray], toxic: np.ndarray, known: dict[int, int], rnd) -> Model:
     """Small random numbers, but for the first embedding column: how much likelier a word is in toxic texts, shrunk."""
     seen = [np.unique(t) for t in texts]
-    counts = np.zeros((2, BUCKETS))
+    counts = np.zeros((2, len(known) + 1))
     for places, label in zip(seen, toxic):
         counts[int(label), places] += 1
     n = np.maximum(np.bincount(toxic.astype(int), minlength=2), 1)
     lean = np.log((counts[1] + 0.5) / (n[1] + 1)) - np.log((counts[0] + 0.5) / (n[0] + 1))
-    known = counts.sum(axis=0)
-    table = np.zeros((BUCKETS, WIDTH), np.float32)
-    rows = np.flatnonzero(known)
-    table[rows] = rnd.normal(0, 0.05, (len(rows), WIDTH))
-    table[rows, 0] = (lean * known / (known + 5))[rows]
+    often = counts.sum(axis=0)
+    table = rnd.normal(0, 0.05, (len(known) + 1, WIDTH)).astype(np.float32)
+    table[:, 0] = lean * often / (often + 5)
     table[0] = 0
     filters = [rnd.normal(0, 0.1, (size, WIDTH, FILTERS)).astype(np.float32) for size in SIZES]
     for f in filters:
@@ -111,15 +138,18 @@ def _start(texts: list[np.ndarray], toxic: np.ndarray, rnd) -> Model:
         f[:, 0, FILTERS // 2:] -= 0.5 / len(f)
     biases = [np.zeros(FILTERS, np.float32) for _ in SIZES]
     out = np.tile(np.r_[np.full(FILTERS // 2, 0.5), np.full(FILTERS - FILTERS // 2, -0.1)], len(SIZES)).astype(np.float32)
-    return Model(table, filters, biases, out, -1.0)
+    return Model(known, table, filters, biases, out, -1.0)
 
 
-def train(texts: list[np.ndarray], toxic: np.ndarray, weights: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Model:
+def train(texts: list[list[bytes]], toxic: np.ndarray, weights: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Model:
     """Minibatch Adagrad on the weighted log loss; gradients reach the words that won a pooling."""
     rnd = np.random.default_rng(seed)
-    model = _start(texts, toxic, rnd)
+    known = vocabulary(texts)
+    rows_of = Rows(known)
+    texts = [word_rows(words, rows_of) for words in texts]
+    model = _start(texts, toxic, known, rnd)
     weights = weights / weights.mean()
-    memory = {"out": np.full(model.out.shape, 1e-6), "bias": 1e-6, "table": np.full(BUCKETS, 1e-6)}
+    memory = {"out": np.full(model.out.shape, 1e-6), "bias": 1e-6, "table": np.full(len(model.table), 1e-6)}
     memory |= {f"f{i}": np.full(f.shape, 1e-6) for i, f in enumerate(model.filters)}
     memory |= {f"b{i}": np.full(FILTERS, 1e-6) for i in range(len(SIZES))}
 
@@ -203,16 +233,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, words: int = S
     """
     known = one_label(labels, key, label).where(in_training(F.col("id")))
     totals = dict(known.groupBy("toxic").count().collect())
-    nth = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("id"), "id"))
-    drawn = known.withColumn("nth", nth).where(F.col("nth") <= sample // 2).drop("nth")
+    # A top-n per label keeps at most n rows of a task before anything moves.
+    halves = [known.where(c).orderBy(F.xxhash64("id"), "id").limit(sample // 2) for c in ("toxic < 1", "toxic >= 1")]
+    drawn = halves[0].union(halves[1])
     # Both bounds hold before a text moves: at most `sample` ids, and only short texts.
     short = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text")).where(F.coalesce(F.length("text"), F.lit(0)) <= 12 * words)
     rows = short.join(F.broadcast(drawn), "id").select("id", "text", "toxic").limit(2 * sample).collect()
     rows.sort(key=lambda r: (r["id"], r["text"] or ""))
     if not rows:
         return None
-    cache = _Buckets()
-    texts = [word_buckets(r["text"], cache)[:words] for r in rows]
+    texts = [words_of(r["text"])[:words] for r in rows]
     toxic = np.array([min(r["toxic"], 1) for r in rows])
     got = np.bincount(toxic, minlength=2)
     real = np.array([sum(n for t, n in totals.items() if min(t, 1) == c) for c in (0, 1)], float)
@@ -223,24 +253,18 @@ def scores(docs: DataFrame, model: Model | None, text: str = "text") -> Column:
     """Score column of a text; one half for all without a model."""
     if model is None:
         return F.lit(0.5)
-    used = np.flatnonzero(model.table.any(axis=1))
-    parts = (used.astype(np.int32), model.table[used], model.filters, model.biases, model.out, model.bias)
-    sent = docs.sparkSession.sparkContext.broadcast(parts)
-    mark = zlib.crc32(model.table[used].tobytes() + model.out.tobytes())
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    mark = zlib.crc32(model.table.tobytes() + model.out.tobytes())
 
     @pandas_udf(T.DoubleType())
     def scored(texts: pd.Series) -> pd.Series:
         kept = kept_in_worker("toxicity")
         if kept.get("mark") != mark:
-            rows, values, *rest = sent.value
-            table = np.zeros((BUCKETS, WIDTH), np.float32)
-            table[rows] = values
-            own = Model(table, *rest)
+            own = sent.value
             kept.clear()
-            kept.update(mark=mark, model=own, sums=own.sums(), cache=_Buckets())
-            own.table = table[:1]
-        own, sums, cache = kept["model"], kept["sums"], kept["cache"]
-        return pd.Series([score(own, sums, word_buckets(t, cache)) for t in texts], dtype="float64")
+            kept.update(mark=mark, model=own, sums=own.sums(), rows=Rows(own.known))
+        own, sums, rows = kept["model"], kept["sums"], kept["rows"]
+        return pd.Series([score(own, sums, word_rows(words_of(t), rows)) for t in texts], dtype="float64")
 
     return scored(F.col(f"`{text}`"))
 
