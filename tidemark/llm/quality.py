@@ -3,8 +3,8 @@
 Each rule turns a text into a number that grows with some fault. On labelled rows, per stratum and rule, cutoffs are
 tried from the mildest to the strictest; one is certified while the exact binomial test shows that it rejects at most
 the allowed part of good documents. Trying cutoffs in a fixed order needs no correction; over strata and rules the error
-is split evenly (Bonferroni). Of the certified cutoffs the one that rejects most bad documents is used, and among equals
-the mildest.
+is split evenly (Bonferroni). Of the certified cutoffs the one with the largest surplus of bad over good documents
+rejected is used, and among equals the mildest.
 """
 
 from __future__ import annotations
@@ -121,14 +121,14 @@ def _fraction(a: float, b: float, x: float) -> float:
 def certified(cells: list[int], good: list[int], bad: list[int], risk: float, error: float) -> tuple[int | None, int, int]:
     """``(cutoff, good rejected, bad rejected)`` for one stratum and rule: rows with a cell at or above the cutoff go.
 
-    None if no cutoff can be certified or if no certified one rejects a bad row.
+    None if no cutoff can be certified or if no certified one rejects more bad rows than good ones.
     """
     n, best, k, hits = sum(good), (None, 0, 0), 0, 0
     for at, g, b in sorted(zip(cells, good, bad), reverse=True):
         k, hits = k + g, hits + b
         if at < 1 or at_most(k, n, risk) > error:
             break
-        if hits > best[2]:
+        if hits - k > best[2] - best[1]:
             best = (at, k, hits)
     return best
 
