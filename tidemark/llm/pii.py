@@ -73,7 +73,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 SIGNS = re.compile("[0-9@]")
 EDGES = frozenset(" \t\n\r\x0b\x0c\"'<>()[]{},;|")
-NUMBERS = re.compile(r"(?<![0-9+])\(?[0-9][0-9().\-/ ]{5,28}[0-9]")
+NUMBERS = re.compile(r"(?<![0-9A-Za-z+])\(?[0-9][0-9().\-/ ]{5,28}[0-9](?![0-9A-Za-z])")
 WORD = re.compile(r"[^\W\d_]+")
 
 
