@@ -15,16 +15,17 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import kept_in_worker
+from .common import ROWS_AT_ONCE, kept_in_worker, no_cycles
 
 NONE = 1 << 62
 PLACE, SHORT = 1 << 32, 1 << 12
 CACHED_CHARS = 64
 #: Entries of the younger half of a cache; see ``Recent``.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 120_000
 #: White space as Unicode defines it; str.split() also cuts at \\x1c-\\x1f.
 WHITE = "\t-\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
@@ -220,24 +221,27 @@ def encode_texts(docs: DataFrame, vocabulary: str, *, key: str = "doc_id", text:
     """
     sent = docs.sparkSession.sparkContext.broadcast(read_vocabulary(docs.sparkSession, vocabulary))
     schema = "doc_id bigint, " + "ids array<int>, " * ids + "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    fields = [("doc_id", pa.int64()), *[("ids", pa.list_(pa.int32()))] * ids, ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
+    shape = pa.schema(fields)
 
     def run(batches):
         known = _rendered(sent.value)
         bpe = known.bpe
-        for batch in batches:
+        for batch, start in ((b, i) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE)):
             out = []
-            for doc, value in zip(batch["doc_id"], batch["text"]):
-                found = list(map(known.__getitem__, bpe.pieces(value or "")))
-                row = (
-                    sum([len(x[2]) for x in found]), hashlib.sha256(" ".join([x[0] for x in found]).encode()).hexdigest(),
-                    hashlib.sha256(" ".join([x[1] for x in found]).encode()).hexdigest(),
-                )
-                out.append((doc, np.fromiter(chain.from_iterable([x[2] for x in found]), np.int32, row[0]), *row) if ids else (doc, *row))
-            names = ["doc_id", *["ids"] * ids, "n_tokens", "ids_sha256", "decoded_sha256"]
-            yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+            part = batch.slice(start, ROWS_AT_ONCE)
+            with no_cycles():
+                for doc, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    found = list(map(known.__getitem__, bpe.pieces(value or "")))
+                    row = (
+                        sum([len(x[2]) for x in found]), hashlib.sha256(" ".join([x[0] for x in found]).encode()).hexdigest(),
+                        hashlib.sha256(" ".join([x[1] for x in found]).encode()).hexdigest(),
+                    )
+                    out.append((doc, np.fromiter(chain.from_iterable([x[2] for x in found]), np.int32, row[0]), *row) if ids else (doc, *row))
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out), shape)], schema=shape)
 
     rows = docs.select(F.col(f"`{key}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    return rows.mapInPandas(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def decode_ids(rows: DataFrame, vocabulary: str, *, ids: str = "ids") -> DataFrame:

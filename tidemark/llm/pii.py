@@ -14,11 +14,10 @@ import zlib
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
-from pyspark.sql.pandas.functions import pandas_udf
 
 from ..session import settle
+from .common import by_value
 
 KINDS = ("email", "ip", "card", "phone")
 #: Kinds the method adds: credentials, and anything else private that no fixed pattern takes.
@@ -239,19 +238,17 @@ FOUND = T.ArrayType(T.StructType([
 ]))
 
 
-@pandas_udf(FOUND)
-def voted(texts: pd.Series) -> pd.Series:
-    out = []
-    for text in texts:
-        text = text or ""
-        base = base_spans(text)
-        fixed = {(s, e) for s, _, e in base}
-        rows = []
-        for start, end in candidates(text, base):
-            mark = int.from_bytes(hashlib.blake2b(text[max(0, start - 24):end + 8].encode("utf-8", "replace"), digest_size=7).digest(), "big")
-            rows.append({"votes": votes(text, start, end, (start, end) in fixed), "mark": mark, "places": features(text, start, end)})
-        out.append(rows)
-    return pd.Series(out)
+@by_value(FOUND)
+def voted(value):
+    text = value or ""
+    base = base_spans(text)
+    fixed = {(s, e) for s, _, e in base}
+    rows = []
+    for start, end in candidates(text, base):
+        near = text[max(0, start - 24):end + 8].encode("utf-8", "replace")
+        mark = int.from_bytes(hashlib.blake2b(near, digest_size=7).digest(), "big")
+        rows.append((votes(text, start, end, (start, end) in fixed), mark, features(text, start, end)))
+    return rows
 
 
 def fit(docs: DataFrame, *, text: str = "text", per_pattern: int = PER_PATTERN, sample: int = SAMPLE) -> np.ndarray | None:
@@ -302,14 +299,11 @@ def span_columns(w: np.ndarray | None, text: Column) -> Column:
     """Struct ``n_email, n_ip, n_card, n_phone, base, spans``: counts of the fixed spans, and both lists as text."""
     kind = T.StructType([T.StructField(f"n_{k}", T.LongType()) for k in KINDS] + [T.StructField("base", T.StringType()), T.StructField("spans", T.StringType())])
 
-    @pandas_udf(kind)
-    def found(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for value in texts:
-            base, both = all_spans(value or "", w)
-            kinds = [k for _, k, _ in base]
-            rows.append((*[kinds.count(i) for i in range(len(KINDS))], listed(base), listed(both)))
-        return pd.DataFrame(rows, columns=kind.names)
+    @by_value(kind)
+    def found(value):
+        base, both = all_spans(value or "", w)
+        kinds = [k for _, k, _ in base]
+        return (*[kinds.count(i) for i in range(len(KINDS))], listed(base), listed(both))
 
     return found(text)
 
@@ -344,9 +338,9 @@ def redact(docs: DataFrame, *, text: str = "text", size: str | None = "n_chars")
     """
     w = fit(docs, text=text)
 
-    @pandas_udf(T.StringType())
-    def clean(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda v: None if v is None else redacted(v, w))
+    @by_value(T.StringType())
+    def clean(value):
+        return None if value is None else redacted(value, w)
 
     out = docs.withColumn(text, clean(F.col(f"`{text}`")))
     if size in docs.columns:

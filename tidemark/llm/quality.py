@@ -15,10 +15,9 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
-from pyspark.sql.pandas.functions import pandas_udf
 
 from ..session import settle
-from .common import spare
+from .common import by_value, spare
 
 SPACES = b" \t\n\r\x0b\x0c"
 SYMBOLS = b"#*$%&|<>"
@@ -73,9 +72,7 @@ def measure(text: str | None) -> tuple[int, ...]:
     )
 
 
-@pandas_udf(MEASURED)
-def measured(texts: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([measure(t) for t in texts], columns=COUNTS, dtype="int64")
+measured = by_value(MEASURED)(measure)
 
 
 def base_failed(c) -> Column:

@@ -10,14 +10,12 @@ from __future__ import annotations
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
-from pyspark.sql.pandas.functions import pandas_udf
 
 from ..session import settle
-from .common import spare
+from .common import by_value, spare
 from .components import components
 
 DISTANCE = 3
@@ -44,9 +42,10 @@ def fingerprint(text: str | None) -> int:
     return int.from_bytes(np.packbits(2 * ones > total, bitorder="little").tobytes(), "little")
 
 
-@pandas_udf(T.LongType())
-def fingerprints(texts: pd.Series) -> pd.Series:
-    return pd.Series(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64))
+@by_value(T.LongType())
+def fingerprints(text):
+    found = fingerprint(text)
+    return found - (1 << 64) if found >> 63 else found
 
 
 def variants(fingerprint: Column) -> Column:

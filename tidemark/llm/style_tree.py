@@ -14,11 +14,10 @@ import re
 from collections.abc import Iterator
 from hashlib import blake2b
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
-from pyspark.sql.pandas.functions import pandas_udf
 
 from ..session import settle
+from .common import by_value
 
 GAMMA = 0.9
 LOW = 0.3
@@ -47,7 +46,6 @@ ROLES = frozenset("navigation banner contentinfo complementary search form alert
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:][^\s=/>"']*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 MARKS = re.compile("[>\"']")
-SPACE = re.compile(r"\s+")
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
@@ -143,7 +141,7 @@ class Page:
         def flush() -> None:
             nonlocal linked, plain
             if text:
-                joined = SPACE.sub(" ", html.unescape("".join(text))).strip()
+                joined = " ".join(html.unescape("".join(text)).split())
                 if joined:
                     near = next(e for e in reversed(stack) if e.block or e is root)
                     self.blocks.append((joined, near.main, near.name in PROSE, near.trail, linked / max(1, linked + plain)))
@@ -258,20 +256,17 @@ NODES = T.ArrayType(T.StructType([
 ]))
 
 
-@pandas_udf(NODES)
-def nodes_of(pages: pd.Series) -> pd.Series:
+@by_value(NODES)
+def nodes_of(source):
     """A row per node and child sequence (kind ``s``), and per node and text below it (kind ``c``)."""
-    out = []
-    for source in pages:
-        page = Page(source)
-        has_main = any(main for _, main, _, _, _ in page.blocks)
-        rows = [(node, "s", value, n, False) for node, value, n in page.styles]
-        for text, main, prose, trail, _ in page.blocks:
-            if main or not has_main:
-                value = number(text)
-                rows += [(node, "c", value, 0, judged(main, prose)) for node in trail]
-        out.append([dict(zip(("node", "kind", "value", "children", "judged"), r)) for r in rows])
-    return pd.Series(out)
+    page = Page(source)
+    has_main = any(main for _, main, _, _, _ in page.blocks)
+    rows = [(node, "s", value, n, False) for node, value, n in page.styles]
+    for text, main, prose, trail, _ in page.blocks:
+        if main or not has_main:
+            value = number(text)
+            rows += [(node, "c", value, 0, judged(main, prose)) for node in trail]
+    return rows
 
 
 def importance(rows: DataFrame) -> DataFrame:
@@ -316,9 +311,9 @@ def main_texts(pages: DataFrame, low: float = LOW, seen: int = SEEN, *, key: str
     # What a page is told is part of its own nodes, so no group outgrows a page.
     told = settle(asked.join(weak, ["host", "node"]).groupBy("mark").agg(F.sort_array(F.collect_list("node")).alias("low")), "page-low-nodes")
 
-    @pandas_udf(T.StringType())
-    def cleaned(sources: pd.Series, lows: pd.Series) -> pd.Series:
-        return pd.Series([Page(s).main_text(frozenset() if w is None else frozenset(int(x) for x in w)) for s, w in zip(sources, lows)], dtype="object")
+    @by_value(T.StringType())
+    def cleaned(source, low):
+        return Page(source).main_text(frozenset(low or ()))
 
     out = rows.join(told, "mark", "left").withColumn("text", cleaned("html", "low"))
     return out.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))

@@ -16,10 +16,9 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
-from pyspark.sql.pandas.functions import pandas_udf
 
 from ..session import settle
-from .common import kept_in_worker
+from .common import by_value, kept_in_worker
 
 LEAST = 5
 STEM = 4
@@ -256,15 +255,15 @@ def scores(docs: DataFrame, model: Model | None, text: str = "text") -> Column:
     sent = docs.sparkSession.sparkContext.broadcast(model)
     mark = zlib.crc32(model.table.tobytes() + model.out.tobytes())
 
-    @pandas_udf(T.DoubleType())
-    def scored(texts: pd.Series) -> pd.Series:
+    @by_value(T.DoubleType(), keeps=True)
+    def scored(text):
         kept = kept_in_worker("toxicity")
         if kept.get("mark") != mark:
             own = sent.value
             kept.clear()
             kept.update(mark=mark, model=own, sums=own.sums(), rows=Rows(own.known))
         own, sums, rows = kept["model"], kept["sums"], kept["rows"]
-        return pd.Series([score(own, sums, word_rows(words_of(t), rows)) for t in texts], dtype="float64")
+        return score(own, sums, word_rows(words_of(text), rows))
 
     return scored(F.col(f"`{text}`"))
 
