@@ -104,3 +104,36 @@ def test_odd_rows(spark):
     assert judged.count() == len(ODD) + 1
     assert quality.judge(docs.limit(0), marks)[0].count() == 0
     assert quality.keep_good(docs.limit(0), marks).count() == 0
+
+
+def test_verdicts_equal_the_sql(spark):
+    import duckdb
+
+    from tidemark.llm.reports import ORACLES
+
+    duck = duckdb.connect()
+    for name in ("documents", "labels"):
+        duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
+    cursor = duck.execute(ORACLES["op1_quality_rules"])
+    columns = [c[0] for c in cursor.description]
+    assert sorted(map(tuple, op1_quality_rules(spark, SF).select(*columns).collect())) == sorted(cursor.fetchall())
+
+
+def test_chosen_cutoffs_equal_the_sql(spark, tmp_path):
+    import duckdb
+
+    from tidemark.llm.reports import ORACLES
+
+    rows, labels = rows_of(spark, 9000)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    marks = spark.createDataFrame(labels, "doc_id bigint, quality int")
+    for name, frame in (("documents", docs), ("labels", marks)):
+        frame.write.parquet(f"{tmp_path}/{name}.parquet")
+    duck = duckdb.connect()
+    for name in ("documents", "labels"):
+        duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    cursor = duck.execute(ORACLES["op1_quality_rules"])
+    columns = [c[0] for c in cursor.description]
+    expected = sorted(cursor.fetchall(), key=repr)
+    assert sorted(map(tuple, op1_quality_rules(spark, str(tmp_path)).select(*columns).collect()), key=repr) == expected
+    assert any(r[columns.index("rejected_by")] for r in expected)
