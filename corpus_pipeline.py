@@ -6,10 +6,13 @@ columns of ``documents``.
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import bpe, mixing, pii, quality, simhash
+from tidemark.llm.common import small_batches
 from tidemark.session import settle
 
 
@@ -41,12 +44,21 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def stage(fn):
+    @wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return fn(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality rules", quality_rules),
-    ("SimHash near-dedup", near_duplicates),
-    ("PII", private_data),
-    ("mixing sources to target weights", source_mix),
-    ("BPE encoding and decoding", token_ids),
+    ("quality rules", stage(quality_rules)),
+    ("SimHash near-dedup", stage(near_duplicates)),
+    ("PII", stage(private_data)),
+    ("mixing sources to target weights", stage(source_mix)),
+    ("BPE encoding and decoding", stage(token_ids)),
 ]
 
 #: Binomial cutoffs, fingerprints, a trained classifier and merges by rank are beyond SQL; tests/llm compare with brute force.
@@ -56,8 +68,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each but the last is written to the shared folder and read back."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (_, stage) in enumerate(STAGES, 1):
-        docs = stage(spark, docs, sf_dir)
+    for i, (_, step) in enumerate(STAGES, 1):
+        docs = step(spark, docs, sf_dir)
         if i < len(STAGES):
             docs = settle(docs, f"pipeline-{i}")
     return docs

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import bpe, mixing, mtree, pii, quality, repeats, simhash, slots, style_tree, toxicity
+from .common import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -15,8 +17,13 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,3 +99,89 @@ WITH usable AS (
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+ORACLES["op9_suffix_array"] = """
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, hex(coalesce(text, '')) AS x FROM documents
+), strings AS (
+    SELECT r, doc_id, i, substr(x, 2 * i + 1, 100) AS s
+    FROM (SELECT r, doc_id, x, unnest(range(0, length(x) // 2 - 49)) AS i FROM docs WHERE length(x) >= 100)
+), hits AS (
+    SELECT r, i FROM (SELECT r, i, doc_id, min(doc_id) OVER (PARTITION BY s) AS least FROM strings) WHERE least < doc_id
+), runs AS (
+    SELECT r, i, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS g
+    FROM (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 50 THEN 0 ELSE 1 END AS fresh FROM hits)
+), spans AS (
+    SELECT r, min(i) AS a, max(i) + 50 AS b FROM runs GROUP BY r, g
+), pieces AS (
+    SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM spans
+), cut AS (
+    SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+           string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+    FROM pieces JOIN docs USING (r) GROUP BY r
+)
+SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN cut.r IS NULL THEN x ELSE head || substr(x, 2 * last + 1) END)) AS kept_sha256
+FROM docs LEFT JOIN cut USING (r)
+"""
+
+ORACLES["op1_quality_rules"] = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, coalesce('=' || lang, 'null') AS stratum FROM documents
+), words AS (
+    SELECT r, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i
+    FROM (SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM docs)
+), windows AS (
+    SELECT r, i, word || ' ' || lead(word) OVER (PARTITION BY r ORDER BY i) || ' ' || lead(word, 2) OVER (PARTITION BY r ORDER BY i) AS g
+    FROM words
+), twice AS (
+    SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM windows WHERE g IS NOT NULL) WHERE n > 1
+), repeated AS (
+    SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM twice, (SELECT unnest([0, 1, 2]) AS k) GROUP BY r
+), word_counts AS (
+    SELECT r, count(*) AS n_words, sum(length(word)) AS word_chars FROM words GROUP BY r
+), lines AS (
+    SELECT r, row_number() OVER (PARTITION BY r, line) AS nth FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM docs)
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), line_counts AS (
+    SELECT r, count(*) AS n_lines, count(*) FILTER (WHERE nth > 1) AS n_dup_lines FROM lines GROUP BY r
+), counts AS (
+    SELECT r, doc_id, stratum, coalesce(n_words, 0) AS n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars,
+           CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+           coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
+           length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper, length(regexp_replace(t, '[^A-Za-z]', '', 'g')) AS n_letters
+    FROM docs LEFT JOIN word_counts USING (r) LEFT JOIN line_counts USING (r) LEFT JOIN repeated USING (r)
+), judged AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts
+), values_of AS (
+    SELECT r, stratum, base_failed, doc_id, unnest(['capitals', 'lines', 'repeats', 'symbols']) AS rule,
+           unnest([n_upper / greatest(n_letters, 1), n_dup_lines / greatest(n_lines, 1), n_repeat_words / greatest(n_words, 1),
+                   n_symbols / greatest(word_chars, 1)]) AS value
+    FROM judged
+), cells AS (
+    SELECT * EXCLUDE (value), CAST(least(floor(value * 1000), 1000) AS INTEGER) AS place FROM values_of
+), marks AS (
+    SELECT doc_id, max(quality) = 1 AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id
+), tally AS (
+    SELECT stratum, rule, place, count(*) FILTER (WHERE good) AS g, count(*) FILTER (WHERE NOT good) AS b
+    FROM cells JOIN marks USING (doc_id) WHERE NOT base_failed GROUP BY ALL
+), running AS (
+    SELECT *, sum(g) OVER down AS k, sum(b) OVER down AS hits, sum(g) OVER (PARTITION BY stratum, rule) AS n
+    FROM tally WINDOW down AS (PARTITION BY stratum, rule ORDER BY place DESC)
+), tested AS (
+    SELECT *, CASE WHEN k >= n THEN 1 ELSE list_sum(list_transform(range(0, CAST(k AS BIGINT) + 1), lambda j:
+             exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(0.01) + (n - j) * ln(0.99)))) END
+           > 0.05 / (4 * (SELECT count(DISTINCT stratum) FROM tally)) OR place < 1 AS fails
+    FROM running
+), allowed AS (
+    SELECT *, bool_or(fails) OVER (PARTITION BY stratum, rule ORDER BY place DESC) AS stopped FROM tested
+), cuts AS (
+    SELECT stratum, rule, arg_max(place, (hits - k) * 2000 + place) AS cut FROM allowed WHERE NOT stopped AND hits > k GROUP BY stratum, rule
+), hit AS (
+    SELECT r, string_agg(rule, ',' ORDER BY rule) AS rejected_by FROM cells JOIN cuts USING (stratum, rule) WHERE place >= cut GROUP BY r
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND rejected_by IS NULL AS kept, coalesce(rejected_by, '') AS rejected_by
+FROM judged LEFT JOIN hit USING (r)
+"""
