@@ -128,3 +128,13 @@ def test_odd_rows(spark):
 def test_query(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     assert values(op9_suffix_array(spark, SF)) == sorted(brute(rows), key=repr)
+
+
+def test_query_equals_the_sql(spark):
+    import duckdb
+
+    from tidemark.llm.reports import ORACLES
+
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    assert values(op9_suffix_array(spark, SF)) == sorted(duck.execute(ORACLES["op9_suffix_array"]).fetchall(), key=repr)
