@@ -1,8 +1,7 @@
 """Removal of byte strings that repeat an earlier document, over whole texts.
 
-A string of ``SPAN`` bytes is known by its anchor, the lowest hash among its ``GRAM``-byte pieces: equal strings have equal
-anchors at equal places, so documents that share a string share the anchor's hash. Consecutive strings with the same
-anchor make a stretch. One exchange of anchor and stretch hashes settles two cases: an anchor that no other document
+A string of ``SPAN`` bytes is known by its anchor, the lowest hash among its ``GRAM``-byte pieces, so documents that share a
+string share an anchor. Consecutive strings with the same anchor make a stretch. One exchange of anchor and stretch hashes settles two cases: an anchor that no other document
 has, and a stretch that a smaller document holds in full. What remains are stretches that agree in part, mostly at the
 ends of shared passages. Their bytes meet by anchor and are sorted into suffix arrays, whose common prefixes tell which
 strings a smaller document has.
@@ -13,24 +12,25 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F, types as T
-from pyspark.sql.pandas.functions import pandas_udf
 
 from ..session import settle
-from .common import kept_in_worker
+from .common import by_value, kept_in_worker
 from .suffixes import SPAN, shared_windows
 
 GRAM = 20
 WINDOW = SPAN - GRAM + 1
-BLOCK = 1 << 19
+BLOCK = 1 << 15
 #: Bytes of text whose anchors a task gathers before it sends them on.
-FLUSH = 24 << 20
+FLUSH = 4 << 20
 #: Anchors a bucket should hold, and the most stretches of an anchor that go into one suffix array.
-BUCKET = 1_000_000
+BUCKET = 700_000
 TOGETHER = 512
+#: Strings in a stretch, which only texts that repeat themselves reach, and bytes of text that are handled at once.
+LONGEST = 4096
+SLICE = 4 << 20
 LAST = (1 << 63) - 1
 LOW48 = np.uint64((1 << 48) - 1)
 
@@ -67,7 +67,7 @@ def _slide(values: np.ndarray, size: int, best) -> np.ndarray:
 
 
 def block_anchors(data: np.ndarray, firsts: np.ndarray, ends: np.ndarray):
-    """Anchors of adjoining texts: arrays of text, first and last start of the anchor's strings, anchor hash, stretch hash.
+    """Stretches of adjoining texts: arrays of text, first and last start of the stretch's strings, anchor, stretch hash.
 
     ``firsts`` and ``ends`` bound each text in ``data``. Texts shorter than ``SPAN`` have none.
     """
@@ -80,28 +80,23 @@ def block_anchors(data: np.ndarray, firsts: np.ndarray, ends: np.ndarray):
     np.cumsum(tables["bytes"][data] * tables["up"][:n], out=sums[1:])
     grams = mixed((sums[GRAM:] - sums[:-GRAM]) * tables["down"][:n - GRAM + 1])
     least = _slide(grams, WINDOW, np.minimum)
-    # Strings that would run from one text into the next count as lower than any anchor.
+    # Strings that would run from one text into the next have no anchor.
     edge = np.zeros(n + 1, np.int32)
     fits = ends - firsts >= SPAN
     np.add.at(edge, firsts[fits], 1)
     np.add.at(edge, ends[fits] - SPAN + 1, -1)
-    valid = np.cumsum(edge[:-1])[:len(least)] > 0
-    least[~valid] = 0
-    pad = np.zeros(WINDOW - 1, np.uint64)
-    places = np.flatnonzero(_slide(np.concatenate([pad, least, pad]), WINDOW, np.maximum) == grams)
-    places = places[grams[places] > 0]
-    own = grams[places]
-    first, last = np.full(len(places), n, np.int64), np.full(len(places), -1, np.int64)
-    for back in range(WINDOW):
-        start = places - back
-        inside = (start >= 0) & (start < len(least))
-        inside &= least[np.clip(start, 0, len(least) - 1)] == own
-        first = np.where(inside, np.minimum(first, start), first)
-        last = np.where(inside, np.maximum(last, start), last)
-    stop = last + SPAN
-    stretch = mixed((sums[stop] - sums[first]) * tables["down"][first] + (stop - first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    text = np.searchsorted(firsts, first, side="right") - 1
-    return text, first, last, own & LOW48, stretch & LOW48
+    least[np.cumsum(edge[:-1])[:len(least)] <= 0] = 0
+    heads = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
+    stops = np.r_[heads[1:], len(least)]
+    kept = least[heads] > 0
+    heads, stops = heads[kept], stops[kept]
+    if len(heads) and (stops - heads).max() > LONGEST:
+        # One piece of text over and over: its stretch is cut evenly.
+        heads, stops = (np.concatenate(x) for x in zip(*[(np.arange(a, b, LONGEST), np.minimum(np.arange(a, b, LONGEST) + LONGEST, b)) for a, b in zip(heads, stops)]))
+    last, stop = stops - 1, stops - 1 + SPAN
+    stretch = mixed((sums[stop] - sums[heads]) * tables["down"][heads] + (stop - heads).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    text = np.searchsorted(firsts, heads, side="right") - 1
+    return text, heads, last, least[heads] & LOW48, stretch & LOW48
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray):
@@ -128,6 +123,13 @@ def anchors(data: np.ndarray, offsets: np.ndarray):
         i = j
 
 
+def slices(batches, rows: int = 512):
+    """The rows of Arrow batches, few at a time: what is made of them in Python stays small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def as_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and each row's bounds in them; a null is empty."""
     column = column.cast(pa.large_binary()).fill_null(b"")
@@ -212,7 +214,7 @@ def send(buckets: int):
             rows = list(sent_rows(doc, h, f, buckets))
             return pa.RecordBatch.from_arrays([pa.array(list(c), t.type) for c, t in zip(zip(*rows), SENT)], schema=SENT) if rows else None
 
-        for batch in batches:
+        for batch in slices(batches):
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             data, offsets = as_bytes(batch.column(1))
             for text, _, _, h, f in anchors(data, offsets):
@@ -240,14 +242,22 @@ def _unpacked(rows) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 
 def compare(batches):
-    """All rows of a partition to ``(doc, kind, keys)``: stretches of a document that are covered, and those still open."""
-    kept = []
-    for batch in batches:
-        kept += zip(*(batch.column(i).to_pylist() for i in range(1, 6)))
-    if not kept:
-        return
+    """Rows sorted by bucket to ``(doc, kind, keys)``: stretches of a document that are covered, and those still open."""
+    kept, last = [], None
+    for batch in slices(batches, 64):
+        for bucket, *row in zip(*(column.to_pylist() for column in batch.columns)):
+            if bucket != last and kept:
+                yield from _compared(kept)
+                kept = []
+            kept.append(row)
+            last = bucket
+    if kept:
+        yield from _compared(kept)
+
+
+def _compared(kept: list):
     doc, h, f, kind = _unpacked(kept)
-    del kept
+    kept.clear()
     told = kind > SHARED
     out = [(doc[told], np.where(kind[told] == COVERED, COVERED, SHARED), key_of(h[told], f[told]))]
     doc, h, f, kind = doc[~told], h[~told], f[~told], kind[~told]
@@ -268,6 +278,7 @@ def compare(batches):
         key = key_of(h, f)
         out += [(doc[covered], np.full(covered.sum(), COVERED), key[covered]), (doc[still], np.full(still.sum(), SHARED), key[still])]
     doc, kind, key = (np.concatenate(x) for x in zip(*out))
+    out.clear()
     if not len(doc):
         return
     order = np.lexsort((kind, doc))
@@ -281,10 +292,9 @@ def compare(batches):
         )
 
 
-@pandas_udf(T.BinaryType())
-def squeezed(texts: pd.Series) -> pd.Series:
-    press = zstandard.ZstdCompressor(level=1)
-    return texts.map(lambda t: press.compress(t.encode("utf-8", "replace")))
+@by_value(T.BinaryType())
+def squeezed(text):
+    return zstandard.ZstdCompressor(level=1).compress(text.encode("utf-8", "replace"))
 
 
 def unsqueezed(raw: bytes) -> bytes:
@@ -299,30 +309,58 @@ def merged(first: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return first[head], stop[np.r_[np.flatnonzero(head)[1:] - 1, len(stop) - 1]]
 
 
+FOUND = pa.schema([
+    ("uid", pa.int64()), ("doc", pa.int64()), ("raw", pa.binary()), ("covered", pa.binary()), ("h", pa.int64()), ("first", pa.int64()), ("bytes", pa.binary()),
+])
+FOUND_DDL = "uid bigint, doc bigint, raw binary, covered binary, h bigint, first bigint, bytes binary"
+
+
+def _located(rows: list[tuple]) -> pa.RecordBatch:
+    """One batch of ``locate``: the texts are laid end to end, so that their anchors are computed together."""
+    texts = [unsqueezed(raw) for _, _, raw, _ in rows]
+    offsets = np.cumsum([0] + [len(x) for x in texts])
+    joined = b"".join(texts)
+    # A reply holds for its own text only: its key is mixed with the text's number.
+    salt = mixed(np.arange(1, len(rows) + 1, dtype=np.uint64))
+    known = {SHARED: [], COVERED: []}
+    for i, (_, _, _, replies) in enumerate(rows):
+        for reply in replies:
+            known[reply["kind"]].append(np.frombuffer(reply["keys"], np.uint64) ^ salt[i])
+    shared, covered = (np.concatenate(known[k] or [np.zeros(0, np.uint64)]) for k in (SHARED, COVERED))
+    parts = [(text, first, last, h, key_of(h, f) ^ salt[text]) for text, first, last, h, f in anchors(np.frombuffer(joined, np.uint8), offsets)]
+    none = np.zeros(0, np.int64)
+    text, first, last, h, key = (np.concatenate(x) for x in zip(*parts)) if parts else (none, none, none, none, none.view(np.uint64))
+    gone = np.isin(key, covered)
+    still = np.flatnonzero(np.isin(key, shared) & ~gone)
+    owner, start, stop = text[gone], first[gone], last[gone] + SPAN
+    cuts = np.searchsorted(owner, np.arange(len(rows) + 1))
+    spans = []
+    for i in range(len(rows)):
+        a, b = start[cuts[i]:cuts[i + 1]], stop[cuts[i]:cuts[i + 1]]
+        spans.append(np.stack(merged(a, b)).astype(np.int64).tobytes() if len(a) else b"")
+    uids, docs = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64)
+    at = offsets[text[still]]
+    pieces = [joined[a:b] for a, b in zip((at + first[still]).tolist(), (at + last[still] + SPAN).tolist())]
+    n, m = len(rows), len(still)
+    columns = [
+        np.r_[uids, uids[text[still]]], np.r_[docs, docs[text[still]]], [r[2] for r in rows] + [None] * m, spans + [None] * m,
+        [None] * n + h[still].tolist(), [None] * n + first[still].tolist(), [None] * n + pieces,
+    ]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, FOUND)], schema=FOUND)
+
+
 def locate(batches):
     """Texts with the keys of their covered and open stretches: the covered bytes, and each open stretch with its bytes."""
-    for batch in batches:
-        out = []
-        for uid, doc, raw, replies in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            text = unsqueezed(raw)
-            data = np.frombuffer(text, np.uint8)
-            known = {k: np.unique(np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in replies if r["kind"] == k] or [np.zeros(0, np.uint64)])) for k in (SHARED, COVERED)}
-            bounds = []
-            for _, first, last, h, f in anchors(data, np.array([0, len(data)])):
-                key = key_of(h, f)
-                covered = np.isin(key, known[COVERED])
-                bounds.append((first[covered], last[covered] + SPAN))
-                for x in np.flatnonzero(np.isin(key, known[SHARED]) & ~covered):
-                    a, b = int(first[x]), int(last[x]) + SPAN
-                    out.append((uid, doc, None, None, int(h[x]), a, text[a:b]))
-            first, stop = (np.concatenate(x) for x in zip(*bounds)) if bounds else (np.zeros(0, np.int64),) * 2
-            if len(first):
-                first, stop = merged(first, stop)
-            out.append((uid, doc, raw, np.stack([first, stop]).astype(np.int64).tobytes() if len(first) else b"", None, None, None))
-        if out:
-            types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
-            names = ["uid", "doc", "raw", "covered", "h", "first", "bytes"]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), types)], names=names)
+    waiting, size = [], 0
+    for batch in slices(batches):
+        for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            waiting.append(row)
+            size += 4 * len(row[2])
+            if size >= SLICE:
+                yield _located(waiting)
+                waiting, size = [], 0
+    if waiting:
+        yield _located(waiting)
 
 
 def sort_stretches(batches):
@@ -354,7 +392,7 @@ def sort_stretches(batches):
         return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*out)], names=["uid", "first", "stop"]) if out else None
 
     last = None
-    for batch in batches:
+    for batch in slices(batches, 8192):
         for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
             if row[4] != last and size >= 1 << 20:
                 if (out := solved()) is not None:
@@ -388,25 +426,21 @@ RESULT = T.StructType([
 ])
 
 
-@pandas_udf(RESULT)
-def cut_out(raws: pd.Series, covered: pd.Series, found: pd.Series) -> pd.DataFrame:
-    out = []
-    for raw, own, more in zip(raws, covered, found):
-        text = unsqueezed(raw)
-        first, stop = np.frombuffer(own, np.int64).reshape(2, -1)
-        if more is not None and len(more):
-            pairs = np.array([(m["first"], m["stop"]) for m in more], np.int64)
-            first, stop = np.concatenate([first, pairs[:, 0]]), np.concatenate([stop, pairs[:, 1]])
-        if not len(first):
-            out.append((0, 0, text))
-            continue
-        first, stop = merged(first, stop)
-        pieces, at = [], 0
-        for a, b in zip(first.tolist(), stop.tolist()):
-            pieces.append(text[at:a])
-            at = b
-        out.append((int((stop - first).sum()), len(first), b"".join(pieces) + text[at:]))
-    return pd.DataFrame(out, columns=["n_removed", "n_spans", "kept"])
+@by_value(RESULT)
+def cut_out(raw, own, more):
+    text = unsqueezed(raw)
+    first, stop = np.frombuffer(own, np.int64).reshape(2, -1)
+    if more:
+        pairs = np.array([(m["first"], m["stop"]) for m in more], np.int64)
+        first, stop = np.concatenate([first, pairs[:, 0]]), np.concatenate([stop, pairs[:, 1]])
+    if not len(first):
+        return 0, 0, text
+    first, stop = merged(first, stop)
+    pieces, at = [], 0
+    for a, b in zip(first.tolist(), stop.tolist()):
+        pieces.append(text[at:a])
+        at = b
+    return int((stop - first).sum()), len(first), b"".join(pieces) + text[at:]
 
 
 def repeated_strings(docs: DataFrame, *, key: str = "doc_id", text: str = "text", kept: bool = False) -> DataFrame:
@@ -428,17 +462,15 @@ def repeated_strings(docs: DataFrame, *, key: str = "doc_id", text: str = "text"
     total = facts.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = max(64, -(-2 * total // ((WINDOW + 1) * BUCKET)))
     sent = rows.select("doc", "text").mapInArrow(send(int(buckets)), SENT_DDL)
-    replies = sent.repartition(int(buckets), "bucket").mapInArrow(compare, "doc bigint, kind tinyint, keys binary")
+    replies = sent.repartition(int(buckets), "bucket").sortWithinPartitions("bucket").mapInArrow(compare, "doc bigint, kind tinyint, keys binary")
     asked = replies.groupBy("doc").agg(F.collect_list(F.struct("kind", "keys")).alias("replies"))
     joined = rows.select("doc", uid.alias("uid"), squeezed("text").alias("raw")).join(asked, "doc").select("uid", "doc", "raw", "replies")
-    found = settle(
-        joined.mapInArrow(locate, "uid bigint, doc bigint, raw binary, covered binary, h bigint, first bigint, bytes binary"), "repeats-found"
-    )
+    found = settle(joined.mapInArrow(locate, FOUND_DDL), "repeats-found")
     stretches = found.where("h IS NOT NULL").select("uid", "doc", "first", "bytes", "h")
-    # Copies of a stretch in one text, and of a whole row, are one.
-    sizes = stretches.groupBy("h").agg(F.count("*").alias("n"))
-    few = stretches.join(sizes.where(F.col("n") <= TOGETHER).select("h"), "h").select("uid", "doc", "first", "bytes", "h")
-    many = stretches.join(sizes.where(F.col("n") > TOGETHER).select("h"), "h").select("uid", "doc", "first", "bytes")
+    # Written first, the few hot anchors have a known size, and Spark need not move the stretches to look them up.
+    hot = settle(stretches.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > TOGETHER).select("h"), "repeats-hot")
+    few = stretches.join(hot, "h", "left_anti").select("uid", "doc", "first", "bytes", "h")
+    many = stretches.join(hot, "h", "left_semi").select("uid", "doc", "first", "bytes")
     solved = few.repartition("h").sortWithinPartitions("h").mapInArrow(sort_stretches, "uid bigint, first bigint, stop bigint").union(hot_strings(many))
     spans = solved.groupBy("uid").agg(F.collect_set(F.struct("first", "stop")).alias("found"))
     texts = found.where("raw IS NOT NULL").select("uid", "raw", "covered").dropDuplicates(["uid"])
