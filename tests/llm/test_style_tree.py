@@ -130,3 +130,34 @@ def test_importance(spark):
         n_s = sum(r[3] == "s" for r in mine)
         weight = style_tree.GAMMA ** (sum(r[5] for r in mine) / n_s)
         assert found[node] == pytest.approx((1 - weight) * entropy("s") + weight * entropy("c"))
+
+
+def unique(rnd, n):
+    return [" ".join(f"w{rnd.randrange(10**9)}" for _ in range(12)) for _ in range(n)]
+
+
+def cleaned(spark, pages):
+    frame = spark.createDataFrame([(i, "http://h/", p) for i, p in enumerate(pages)], "page_id bigint, url string, html string")
+    return {r["page_id"]: r["text"] for r in style_tree.main_texts(frame).collect()}
+
+
+def test_unique_texts_of_a_regular_container_stay(spark):
+    rnd = random.Random(6)
+    texts = [unique(rnd, 12) for _ in range(10)]
+    pages = [f"<body><div class='text'>{''.join(f'<p>{p}</p>' for p in t)}</div><div class='end'>All rights are with us.</div></body>" for t in texts]
+    inline = [unique(rnd, 1)[0] for _ in range(10)]
+    pages = [p.replace("<body>", f"<body><div class='lead'>{t}{'<b></b>' * 14}</div>") for p, t in zip(pages, inline)]
+    # A page crawled many times is one page.
+    found = cleaned(spark, pages + [pages[0]] * 200)
+    assert [found[i] for i in range(10)] == ["\n".join([lead, *t]) for lead, t in zip(inline, texts)]
+    assert {found[i] for i in range(10, 210)} == {found[0]}
+    two = cleaned(spark, [p.replace("<div class='end'>All rights are with us.</div>", "") for p in pages[:2]])
+    assert two == {i: "\n".join([inline[i], *texts[i]]) for i in range(2)}
+
+
+def test_branches_of_few_texts_each_go_as_a_whole(spark):
+    rnd = random.Random(8)
+    texts = [unique(rnd, 3) for _ in range(5)]
+    end = "<div class='end'><p class='a'>All rights are with us.</p><p class='b'>Read the terms.</p></div>"
+    pages = [f"<body><section>{''.join(f'<p>{p}</p>' for p in t)}</section>{end}</body>" for t in texts]
+    assert cleaned(spark, pages) == {i: "\n".join(t) for i, t in enumerate(texts)}

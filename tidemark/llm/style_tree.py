@@ -2,9 +2,10 @@
 
 The pages of a host are merged: elements on the same path of tags and classes are one node of the host's tree. A node's
 presentation importance is the entropy of its child sequences over the pages, its content importance that of the texts
-below it; both are divided by the largest possible entropy. What looks and reads the same on page after page has low
-importance, and branches of low importance are removed from each page. Sections whose markup says what they are (menus,
-footers, adverts, forms) have no importance; paragraphs and headings of an article keep theirs.
+below it; both are divided by the largest possible entropy. The text that stands in an element itself is a leaf below it.
+What looks and reads the same on page after page has low importance. A branch is noise, and removed from each page, if
+its node and all nodes below it have low importance. Sections whose markup says what they are (menus, footers, adverts,
+forms) have no importance; paragraphs and headings of an article keep theirs.
 """
 
 from __future__ import annotations
@@ -22,8 +23,6 @@ from .common import by_value
 GAMMA = 0.9
 LOW = 0.3
 SEEN = 8
-#: A block is judged by its own node and its first so many ancestors below the body.
-LEVELS = 4
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -119,21 +118,25 @@ def number(*parts) -> int:
 
 
 class Element:
-    __slots__ = ("name", "node", "out", "main", "trail", "depth", "children", "block")
+    __slots__ = ("name", "node", "out", "main", "at", "children", "block")
 
-    def __init__(self, name: str, node: int, out: bool, main: bool, trail: tuple[int, ...], depth: int):
-        self.name, self.node, self.out, self.main, self.trail, self.depth = name, node, out, main, trail, depth
+    def __init__(self, name: str, node: int, out: bool, main: bool, at: int):
+        self.name, self.node, self.out, self.main, self.at = name, node, out, main, at
         self.children: list[str] = []
         self.block = name in BLOCKS
 
 
 class Page:
-    """A parsed page: ``blocks`` of text with their nodes, and the child sequences of ``nodes``."""
+    """A parsed page: its ``places`` (elements below the body, and the texts in them), ``blocks`` of text, child sequences.
+
+    A place comes after the one it lies in, so what holds for branches is found in one run over them, at any depth.
+    """
 
     def __init__(self, source: str | None):
-        self.blocks: list[tuple[str, bool, bool, tuple[int, ...], float]] = []  # text, in an article, prose, nodes, link share
-        self.styles: list[tuple[int, int, int]] = []  # node, hash of child sequence, children
-        root = Element("#page", 0, False, False, (), 0)
+        self.places: list[tuple[int, int]] = []  # node, place around it or -1
+        self.blocks: list[tuple[str, bool, bool, int, float]] = []  # text, in an article, prose, place or -1, link share
+        self.styles: list[tuple[int, int, int]] = []  # place, hash of child sequence, children
+        root = Element("#page", 0, False, False, -1)
         stack, opened = [root], {}
         text: list[str] = []
         linked = plain = 0
@@ -144,15 +147,19 @@ class Page:
                 joined = " ".join(html.unescape("".join(text)).split())
                 if joined:
                     near = next(e for e in reversed(stack) if e.block or e is root)
-                    self.blocks.append((joined, near.main, near.name in PROSE, near.trail, linked / max(1, linked + plain)))
+                    at = -1
+                    if near.at >= 0:
+                        at = len(self.places)
+                        self.places.append((number(near.node, "#text"), near.at))
+                    self.blocks.append((joined, near.main, near.name in PROSE, at, linked / max(1, linked + plain)))
                 text.clear()
             linked = plain = 0
 
         def pop() -> None:
             gone = stack.pop()
             opened[gone.name] -= 1
-            if gone.block and not gone.out and gone.depth <= LEVELS:
-                self.styles.append((gone.node, number(*gone.children), len(gone.children)))
+            if gone.block and not gone.out and gone.at >= 0:
+                self.styles.append((gone.at, number(*gone.children), len(gone.children)))
 
         for kind, value, rest in tokens(source or ""):
             top = stack[-1]
@@ -179,7 +186,7 @@ class Page:
                 if value in ("html", "body") and opened.get(value):
                     continue
                 if value in VOID:
-                    if top.depth < LEVELS:
+                    if top.block:
                         top.children.append(value)
                     continue
                 found = attributes(rest) if rest else {}
@@ -193,14 +200,16 @@ class Page:
                     out = found.get("role", "").lower() in ROLES or "hidden" in found or found.get("aria-hidden", "").lower() == "true"
                 shown = f"{value}.{found.get('class', '')}"
                 if value in ("html", "body"):
-                    new = Element(value, number(value), out, False, (), 0)
+                    new = Element(value, number(value), out, False, -1)
                 elif value in BLOCKS:
-                    node = number(top.node, shown)
-                    trail = top.trail + (node,) if top.depth < LEVELS else top.trail[:LEVELS] + (node,)
-                    new = Element(value, node, out, top.main or value in MAIN or found.get("role", "").lower() == "main", trail, top.depth + 1)
+                    node, at = number(top.node, shown), top.at
+                    if not out:
+                        at = len(self.places)
+                        self.places.append((node, top.at))
+                    new = Element(value, node, out, top.main or value in MAIN or found.get("role", "").lower() == "main", at)
                 else:
-                    new = Element(value, top.node, out, top.main, top.trail, top.depth)
-                if top.depth <= LEVELS and len(top.children) < 64:
+                    new = Element(value, top.node, out, top.main, top.at)
+                if top.block and len(top.children) < 64:
                     top.children.append(shown)
                 stack.append(new)
                 opened[value] = opened.get(value, 0) + 1
@@ -227,14 +236,18 @@ class Page:
                     pop()
                 return
 
-    def main_text(self, low: frozenset[int] | set[int] = frozenset()) -> str:
-        """The kept blocks, one a line. ``low`` are the nodes of low importance on the page's host."""
+    def main_text(self, noise: frozenset[int] | set[int] = frozenset()) -> str:
+        """The kept blocks, one a line. ``noise`` are the nodes whose branches are noise on the page's host."""
         has_main = any(main for _, main, _, _, _ in self.blocks)
+        gone: list[bool] = []
+        if noise:
+            for node, around in self.places:
+                gone.append(node in noise or around >= 0 and gone[around])
         out = []
-        for text, main, prose, trail, links in self.blocks:
+        for text, main, prose, at, links in self.blocks:
             if has_main and not main:
                 continue
-            if judged(main, prose) and (links > 0.5 and not main or low and not low.isdisjoint(trail)):
+            if judged(main, prose) and (links > 0.5 and not main or noise and at >= 0 and gone[at]):
                 continue
             out.append(text)
         return "\n".join(out)
@@ -251,36 +264,80 @@ def host_of(url: Column) -> Column:
 
 
 NODES = T.ArrayType(T.StructType([
-    T.StructField("node", T.LongType()), T.StructField("kind", T.StringType()), T.StructField("value", T.LongType()),
-    T.StructField("children", T.IntegerType()), T.StructField("judged", T.BooleanType()),
+    T.StructField("node", T.LongType()), T.StructField("around", T.LongType()), T.StructField("kind", T.StringType()),
+    T.StructField("value", T.LongType()), T.StructField("n", T.LongType()), T.StructField("children", T.LongType()),
+    T.StructField("texts", T.LongType()), T.StructField("judged", T.BooleanType()),
 ]))
+WORD = (1 << 64) - 1
 
 
 @by_value(NODES)
 def nodes_of(source):
-    """A row per node and child sequence (kind ``s``), and per node and text below it (kind ``c``)."""
+    """A row per node and child sequence (kind ``s``), and per node and whole of the texts below it (kind ``c``).
+
+    ``n`` is how often the page has it, ``texts`` the number of texts in these places, ``judged`` whether importance
+    decides on any of them. The hash of a place's texts is the sum of theirs, so the rows are linear in the page.
+    """
     page = Page(source)
     has_main = any(main for _, main, _, _, _ in page.blocks)
-    rows = [(node, "s", value, n, False) for node, value, n in page.styles]
-    for text, main, prose, trail, _ in page.blocks:
-        if main or not has_main:
-            value = number(text)
-            rows += [(node, "c", value, 0, judged(main, prose)) for node in trail]
-    return rows
+    size = len(page.places)
+    sums, texts, asked = [0] * size, [0] * size, [False] * size
+    for text, main, prose, at, _ in page.blocks:
+        if at >= 0 and (main or not has_main):
+            sums[at], texts[at], asked[at] = number(text) & WORD, 1, judged(main, prose)
+    for at in range(size - 1, -1, -1):
+        around = page.places[at][1]
+        if around >= 0:
+            sums[around] = sums[around] + sums[at] & WORD
+            texts[around] += texts[at]
+            asked[around] = asked[around] or asked[at]
+    found: dict[tuple[int, int, str, int], list] = {}
+
+    def add(at: int, kind: str, value: int, children: int, held: int, decides: bool) -> None:
+        node, around = page.places[at]
+        row = found.setdefault((node, page.places[around][0] if around >= 0 else 0, kind, value), [0, 0, 0, False])
+        row[0] += 1
+        row[1] += children
+        row[2] += held
+        row[3] = row[3] or decides
+
+    for at, value, n in page.styles:
+        add(at, "s", value, n, 0, False)
+    for at in range(size):
+        if texts[at]:
+            add(at, "c", sums[at] - (sums[at] >> 63 << 64), 0, texts[at], asked[at])
+    return [(*key, *row) for key, row in found.items()]
+
+
+@by_value(T.ArrayType(T.LongType()))
+def above(rows):
+    """Nodes of a page's tree that have a node of no low importance below them. ``rows`` has ``node, around, low``."""
+    around = {r["node"]: r["around"] for r in rows}
+    out = set()
+    for r in rows:
+        if not r["low"]:
+            at = r["around"]
+            while at and at not in out:
+                out.add(at)
+                at = around.get(at, 0)
+    return list(out)
 
 
 def importance(rows: DataFrame) -> DataFrame:
-    """``(host, node, n_pages, importance)`` of a host's merged nodes.
+    """``(host, node, n_texts, importance)`` of a host's merged nodes.
 
-    ``rows`` has ``host, page, node, kind, value, children``. Equal values are counted first, per host and node, then the
-    counts are summed to entropies: no host's pages meet in one task. With l children on average, importance is
-    (1 - gamma^l) times the presentation's entropy plus gamma^l times the content's.
+    ``rows`` has ``host, node, kind, value, children``, and with ``n`` and ``texts`` stands for ``n`` such rows of so many
+    texts. Equal values are counted first, per host and node, then the counts are summed to entropies: no host's pages
+    meet in one task. With l children on average, importance is (1 - gamma^l) times the presentation's entropy plus
+    gamma^l times the content's.
     """
-    counted = rows.groupBy("host", "node", "kind", "value").agg(F.count("*").alias("n"), F.sum("children").alias("children"))
+    n = F.col("n") if "n" in rows.columns else F.lit(1)
+    texts = F.col("texts") if "texts" in rows.columns else F.when(F.col("kind") == "c", 1)
+    counted = rows.groupBy("host", "node", "kind", "value").agg(F.sum(n).alias("n"), F.sum("children").alias("children"), F.sum(texts).alias("texts"))
     total = counted.groupBy("host", "node").agg(
         *[F.sum(F.when(F.col("kind") == k, F.col("n"))).alias(f"n_{k}") for k in "sc"],
         *[F.sum(F.when(F.col("kind") == k, F.col("n") * F.log("n"))).alias(f"l_{k}") for k in "sc"],
-        F.sum("children").alias("children"),
+        F.sum("children").alias("children"), F.sum("texts").alias("texts"),
     )
 
     def entropy(k: str) -> Column:
@@ -290,26 +347,30 @@ def importance(rows: DataFrame) -> DataFrame:
     weight = F.pow(F.lit(GAMMA), F.coalesce(F.col("children") / F.col("n_s"), F.lit(0.0)))
     style, content = F.coalesce(entropy("s"), F.lit(1.0)), F.coalesce(entropy("c"), F.lit(1.0))
     value = F.when(F.col("n_s").isNull(), content).otherwise((1 - weight) * style + weight * content)
-    return total.select("host", "node", F.coalesce("n_c", F.lit(0)).alias("n_texts"), value.alias("importance"))
+    return total.select("host", "node", F.coalesce("texts", F.lit(0)).alias("n_texts"), value.alias("importance"))
 
 
 def main_texts(pages: DataFrame, low: float = LOW, seen: int = SEEN, *, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` of every row.
 
-    A node is removed where its importance is below ``low`` and the host shows at least ``seen`` texts in it; a host with
-    fewer pages keeps what its markup does not name. A null or empty page gives an empty text, a null address a host of
-    its own. Rows repeated in the table each come back with the same text, and count as pages. An empty table gives an
-    empty result. Other columns are not read.
+    A branch is removed where its node has an importance below ``low``, so have all nodes with text below it, and the host
+    shows at least ``seen`` texts in it; a host with fewer pages keeps what its markup does not name. A null or empty page
+    gives an empty text, a null address a host of its own. Rows repeated in the table each come back with the same text;
+    equal pages of a host count as one. An empty table gives an empty result. Other columns are not read.
     """
     mark = F.xxhash64(F.coalesce(F.col(f"`{page}`"), F.lit("")), host_of(F.col(f"`{url}`")))
     rows = pages.select(F.col(f"`{key}`").alias("page_id"), F.col(f"`{url}`").alias("url"), F.col(f"`{page}`").alias("html"), mark.alias("mark"))
-    seen_nodes = settle(
-        rows.select(host_of(F.col("url")).alias("host"), "mark", F.explode(nodes_of("html")).alias("x")).select("host", "mark", "x.*"), "page-nodes"
-    )
-    weak = importance(seen_nodes).where((F.col("importance") < low) & (F.col("n_texts") >= seen)).select("host", "node")
-    asked = seen_nodes.where("judged").select("host", "mark", "node").distinct()
-    # What a page is told is part of its own nodes, so no group outgrows a page.
-    told = settle(asked.join(weak, ["host", "node"]).groupBy("mark").agg(F.sort_array(F.collect_list("node")).alias("low")), "page-low-nodes")
+    parsed = rows.select(host_of(F.col("url")).alias("host"), "mark", F.explode(nodes_of("html")).alias("x")).select("host", "mark", "x.*")
+    # Equal pages have the same mark and the same rows.
+    seen_nodes = settle(parsed.distinct(), "page-nodes")
+    weak = settle(importance(seen_nodes).where(F.col("importance") < low).select("host", "node", "n_texts", F.lit(True).alias("low")), "low-nodes")
+    placed = seen_nodes.where("kind = 'c'").groupBy("host", "mark", "node", "around").agg(F.max("judged").alias("judged"))
+    told = settle(placed.join(weak, ["host", "node"], "left").withColumn("low", F.coalesce("low", F.lit(False))), "page-low-nodes")
+    # What stands in a list is part of one page, so no group outgrows a page.
+    trees = told.groupBy("host", "mark").agg(F.collect_list(F.struct("node", "around", "low")).alias("tree"))
+    mixed = settle(trees.select("host", F.explode(above("tree")).alias("node")).distinct(), "mixed-nodes")
+    noise = told.where(F.col("judged") & F.col("low") & (F.col("n_texts") >= seen)).join(mixed, ["host", "node"], "left_anti")
+    told = settle(noise.groupBy("mark").agg(F.sort_array(F.collect_list("node")).alias("low")), "page-noise-nodes")
 
     @by_value(T.StringType())
     def cleaned(source, low):
