@@ -5,6 +5,7 @@ import random
 from collections import Counter
 from html.parser import HTMLParser
 
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import style_tree
@@ -161,3 +162,16 @@ def test_branches_of_few_texts_each_go_as_a_whole(spark):
     end = "<div class='end'><p class='a'>All rights are with us.</p><p class='b'>Read the terms.</p></div>"
     pages = [f"<body><section>{''.join(f'<p>{p}</p>' for p in t)}</section>{end}</body>" for t in texts]
     assert cleaned(spark, pages) == {i: "\n".join(t) for i, t in enumerate(texts)}
+
+
+def test_whole_child_sequences_at_any_depth(spark):
+    rnd = random.Random(9)
+    style = lambda tail: {p.styles[-1][1:] for p in [style_tree.Page(f"<div class='text'>{'<p>a</p>' * 64}{tail}</div>")]}
+    assert style("<p>a</p>") != style("<h2>a</h2>") and {n for _, n in style("<p>a</p>" * 36)} == {100}
+    texts = [unique(rnd, 70) for _ in range(6)]
+    end = "<div class='end'><p class='a'>All rights are with us.</p><p class='b'>Read the terms.</p></div>"
+    deep = lambda inside: "<div>" * 9 + inside + "</div>" * 9
+    pages = [f"<body>{deep('<div>' + ''.join(f'<p>{p}</p>' for p in t) + '</div>' + end)}</body>" for t in texts]
+    assert cleaned(spark, pages) == {i: "\n".join(t) for i, t in enumerate(texts)}
+    rows = style_tree.nodes_of.func(pa.array(["<div>x" * 5_000]))[0]
+    assert len(rows) <= 4 * 5_000

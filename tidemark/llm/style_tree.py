@@ -209,7 +209,7 @@ class Page:
                     new = Element(value, node, out, top.main or value in MAIN or found.get("role", "").lower() == "main", at)
                 else:
                     new = Element(value, top.node, out, top.main, top.at)
-                if top.block and len(top.children) < 64:
+                if top.block:
                     top.children.append(shown)
                 stack.append(new)
                 opened[value] = opened.get(value, 0) + 1
