@@ -89,3 +89,24 @@ def test_unknown_words_go_by_their_stem():
     rows = toxicity.Rows(known)
     assert rows[b"vejuxx"] == known[toxicity.stem_hash(b"vejus")] > 0 and rows[b"nothing"] == 0
     assert toxicity.stem_hash("étéré".encode()) == toxicity.stem_hash("étér".encode()) != toxicity.stem_hash("été".encode())
+
+
+def test_long_texts_are_learnt_whole(spark):
+    rnd = random.Random(7)
+    ends = lambda bad: " ".join(f"w{rnd.randrange(50)}" for _ in range(9_000)) + (" vile scum" if bad else " kind words")
+    docs = spark.createDataFrame([(i, ends(i % 3 == 0), "en") for i in range(60)], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id bigint, toxic int")
+    assert docs.selectExpr("min(length(text))").first()[0] > 24_000
+    seen = {}
+    model = toxicity.fit(docs, labels)
+    rows = toxicity.Rows(model.known)
+    assert rows[b"vile"] and rows[b"kind"] and rows[b"vile"] != rows[b"kind"]
+    for r in toxicity.rate(docs, labels).collect():
+        seen.setdefault(r["doc_id"] % 3 == 0, []).append(r["score"])
+    assert min(seen[True]) > max(seen[False])
+
+
+def test_rows_that_do_not_fit_give_way():
+    assert toxicity.picked([5, 90, 5, 5, 5], 3, 20) == [0, 2, 3] and toxicity.picked([90, 80], 3, 20) == [1] and toxicity.picked([], 3, 20) == []
+    lengths = np.array([3, 3, 50, 1, 1, 1])
+    assert [b.tolist() for b in toxicity.batches(np.arange(6), lengths, 2, 10)] == [[0, 1], [2], [3, 4], [5]]

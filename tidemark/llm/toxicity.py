@@ -26,11 +26,14 @@ WIDTH = 12
 FILTERS = 8
 SIZES = (1, 2, 3)
 CUT = 0.3
-#: Bounds of the training sample: rows in all, and words of a row that may be drawn.
+#: Bounds of the training sample: rows in all, and words of a row on average (a row may have far more).
 SAMPLE = 6000
 SAMPLE_WORDS = 2000
+WORD_CHARS = 6
 EPOCHS = 6
 BATCH = 48
+#: A training batch ends before it has more words than this, unless one text has.
+BATCH_WORDS = 1 << 19
 CHUNK = 1 << 15
 CACHED_WORDS = 400_000
 #: Every ASCII character but letters and digits parts words, besides white space.
@@ -50,7 +53,17 @@ def stem_hash(word: bytes) -> int:
     return zlib.crc32(word[:4 * STEM].decode("utf-8", "replace")[:STEM].encode() + b"~") | 1 << 32
 
 
-def vocabulary(texts: list[list[bytes]], least: int = LEAST) -> dict[int, int]:
+class Split:
+    """The words of texts, one text at a time, as often as asked for."""
+
+    def __init__(self, texts: list[str | None]):
+        self.texts = texts
+
+    def __iter__(self):
+        return map(words_of, self.texts)
+
+
+def vocabulary(texts: list[list[bytes]] | Split, least: int = LEAST) -> dict[int, int]:
     """Row of each hash of a word or stem that at least ``least`` texts have; row 0 is for what has none."""
     seen: Counter = Counter()
     for words in texts:
@@ -140,7 +153,18 @@ def _start(texts: list[np.ndarray], toxic: np.ndarray, known: dict[int, int], rn
     return Model(known, table, filters, biases, out, -1.0)
 
 
-def train(texts: list[list[bytes]], toxic: np.ndarray, weights: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Model:
+def batches(order: np.ndarray, lengths: np.ndarray, rows: int = BATCH, words: int = BATCH_WORDS) -> list[np.ndarray]:
+    """``order`` in runs of at most ``rows`` texts, and of at most ``words`` words where a run has more than one text."""
+    out, start, held = [], 0, 0
+    for i, n in enumerate(lengths[order].tolist()):
+        if i > start and (i - start == rows or held + n > words):
+            out.append(order[start:i])
+            start, held = i, 0
+        held += n
+    return out + [order[start:]]
+
+
+def train(texts: list[list[bytes]] | Split, toxic: np.ndarray, weights: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Model:
     """Minibatch Adagrad on the weighted log loss; gradients reach the words that won a pooling."""
     rnd = np.random.default_rng(seed)
     known = vocabulary(texts)
@@ -156,10 +180,9 @@ def train(texts: list[list[bytes]], toxic: np.ndarray, weights: np.ndarray, epoc
         memory[name] += gradient ** 2
         return value - (rate * gradient / np.sqrt(memory[name])).astype(value.dtype if hasattr(value, "dtype") else float)
 
+    sizes = np.array([len(t) for t in texts])
     for _ in range(epochs):
-        order = rnd.permutation(len(texts))
-        for start in range(0, len(order), BATCH):
-            chosen = order[start:start + BATCH]
+        for chosen in batches(rnd.permutation(len(texts)), sizes):
             lengths = np.array([len(texts[i]) for i in chosen])
             places = np.concatenate([texts[i] for i in chosen])
             first = np.r_[0, np.cumsum(lengths)[:-1]]
@@ -224,28 +247,46 @@ def one_label(labels: DataFrame, key: str, label: str) -> DataFrame:
     )
 
 
+def picked(sizes: list[int], rows: int, budget: int) -> list[int]:
+    """Places of at most ``rows`` sizes that fit the budget together, in order; one that does not fit gives way to the next.
+
+    Where none fits alone, the smallest is taken, so that a label never goes without a text.
+    """
+    out = []
+    for i, n in enumerate(sizes):
+        if len(out) < rows and n <= budget:
+            out.append(i)
+            budget -= n
+    return out or [min(range(len(sizes)), key=sizes.__getitem__)][:rows] if sizes else []
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, words: int = SAMPLE_WORDS, *, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model | None:
     """A model from a bounded sample of the labelled rows outside the held-out quarter; None without any of them.
 
-    At most ``sample`` rows of at most ``words`` words each are drawn, half of either label where there are enough, by the
-    hash of their key; they are weighted back to the frequencies found. Longer texts are scored whole all the same.
+    At most ``sample`` rows of at most ``words`` words each on average are drawn, half of either label where there are
+    enough, by the hash of their key; they are weighted back to the frequencies found. A text of any length is learnt from
+    whole or not at all: what no longer fits the label's half of the words gives way to the next row.
     """
     known = one_label(labels, key, label).where(in_training(F.col("id")))
     totals = dict(known.groupBy("toxic").count().collect())
-    # A top-n per label keeps at most n rows of a task before anything moves.
-    halves = [known.where(c).orderBy(F.xxhash64("id"), "id").limit(sample // 2) for c in ("toxic < 1", "toxic >= 1")]
-    drawn = halves[0].union(halves[1])
-    # Both bounds hold before a text moves: at most `sample` ids, and only short texts.
-    short = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text")).where(F.coalesce(F.length("text"), F.lit(0)) <= 12 * words)
-    rows = short.join(F.broadcast(drawn), "id").select("id", "text", "toxic").limit(2 * sample).collect()
-    rows.sort(key=lambda r: (r["id"], r["text"] or ""))
-    if not rows:
+    texts = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text")).withColumn("mark", F.xxhash64("text"))
+    # Only sizes move before the rows are chosen; rows repeated in the table are one.
+    sized = texts.select("id", "mark", F.coalesce(F.length("text"), F.lit(0)).alias("size")).join(known, "id").dropDuplicates(["id", "mark"])
+    half = max(1, sample // 2)
+    chosen = []
+    for wanted in ("toxic < 1", "toxic >= 1"):
+        # A top-n per label keeps at most n rows of a task before anything moves.
+        near = sized.where(wanted).orderBy(F.xxhash64("id"), "id", "mark").limit(2 * half).collect()
+        chosen += [near[i] for i in picked([r["size"] for r in near], half, half * words * WORD_CHARS)]
+    if not chosen:
         return None
-    texts = [words_of(r["text"])[:words] for r in rows]
+    drawn = docs.sparkSession.createDataFrame([(r["id"], r["mark"], r["toxic"]) for r in chosen], sized.select("id", "mark", "toxic").schema)
+    rows = texts.join(F.broadcast(drawn), ["id", "mark"]).groupBy("id", "mark").agg(F.max("text").alias("text"), F.max("toxic").alias("toxic")).collect()
+    rows.sort(key=lambda r: (r["id"], r["text"] or ""))
     toxic = np.array([min(r["toxic"], 1) for r in rows])
     got = np.bincount(toxic, minlength=2)
     real = np.array([sum(n for t, n in totals.items() if min(t, 1) == c) for c in (0, 1)], float)
-    return train(texts, toxic, (real / np.maximum(got, 1))[toxic])
+    return train(Split([r["text"] for r in rows]), toxic, (real / np.maximum(got, 1))[toxic])
 
 
 def scores(docs: DataFrame, model: Model | None, text: str = "text") -> Column:
