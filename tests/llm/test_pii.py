@@ -132,3 +132,25 @@ def test_odd_rows(spark):
     assert got[0] == (None, None) and got[4] == ("[PHONE]", 7) and got[3][0].endswith(" mail [EMAIL]")
     assert pii.find_private(docs.limit(0)).count() == 0 and pii.redact(docs.limit(0)).count() == 0
     assert pii.redacted("a@b.co,1.2.3.4", None) == "[EMAIL],[IP]"
+
+
+def test_tokens_of_any_length(spark):
+    assert pii.candidates("key " + "a1" * 300 + " end", []) == [(4, 604)]
+    assert pii.candidates("see " + "a" * 400 + "7.", []) == [(4, 405)]
+    rnd = random.Random(6)
+    docs, _ = labelled(spark)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    made = lambda n: "".join(rnd.choice(signs) for _ in range(n))
+    tokens = {1000: f"token {made(300)}", 1001: f"password={''.join(rnd.choice('0123456789abcdef') for _ in range(700))}", 1002: f"secret {made(20_000)}"}
+    long = spark.createDataFrame([(i, f"the report {x} was seen") for i, x in tokens.items()], "doc_id bigint, text string")
+    clean = {r["doc_id"]: r["text"] for r in pii.redact(docs.union(long)).collect()}
+    for i, token in tokens.items():
+        assert token[-200:] not in clean[i] and len(clean[i]) < 60, clean[i][:80]
+
+
+def test_one_token_takes_linear_time():
+    for text in ("a" * 400_000 + "1", "1a" * 200_000, "-a" * 200_000 + "1", "password=" + "0f" * 200_000, "a=" * 200_000 + "1"):
+        base = pii.base_spans(text)
+        for start, end in pii.candidates(text, base):
+            pii.votes(text, start, end, False)
+            assert len(pii.features(text, start, end)) <= pii.WIDTH

@@ -22,7 +22,6 @@ from .common import by_value
 KINDS = ("email", "ip", "card", "phone")
 #: Kinds the method adds: credentials, and anything else private that no fixed pattern takes.
 ADDED = ("secret", "other")
-LONGEST = 256
 WIDTH = 1024
 PER_PATTERN = 200
 SAMPLE = 8000
@@ -88,8 +87,7 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     at = 0
     while (m := SIGNS.search(text, at)) is not None:
         start = m.start()
-        low = max(at, start - LONGEST)
-        while start > low and text[start - 1] not in EDGES:
+        while start > at and text[start - 1] not in EDGES:
             start -= 1
         end = m.end()
         while end < len(text) and text[end] not in EDGES:
@@ -98,7 +96,7 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
         stop = end
         while stop > start and text[stop - 1] in ".:!?":
             stop -= 1
-        if 6 <= stop - start <= LONGEST:
+        if stop - start >= 6:
             found.append((start, stop))
     ends, fresh = -1, []
     for start, end in sorted(found):
@@ -167,8 +165,8 @@ def features(text: str, start: int, end: int) -> list[int]:
     named = [f"len{min(len(span) // 4, 16)}", f"digits{min(sum(c.isdigit() for c in span), 20)}", f"before {before(text, start)}", "bias"]
     after = WORD.match(text, end + 1)
     named.append(f"after {after[0].lower() if after else ''}")
-    marked = f"^{shape[:64]}$"
-    named += [marked[i:i + 3] for i in range(len(marked) - 2)]
+    marked = f"^{shape}$"
+    named += {marked[i:i + 3] for i in range(len(marked) - 2)}
     named += [f"has {c}" for c in "@.-+()=_:/ " if c in span]
     return sorted({zlib.crc32(x.encode()) % WIDTH for x in named})
 
@@ -312,8 +310,8 @@ def find_private(docs: DataFrame, w: np.ndarray | None = None, *, fitted: bool =
     """``doc_id``, counts of the fixed kinds, ``base`` and ``spans`` (``kind:start:end`` in code points) of every row.
 
     Without ``fitted`` the classifier is first fitted on ``docs`` itself. A null text counts as empty. A text of any length
-    is read whole; a token of more than ``LONGEST`` characters is no candidate. Rows repeated in the table each come back;
-    an empty table gives an empty result. Equal starts are ordered by kind. Other columns are not read.
+    is read whole, and so is a token of any length. Rows repeated in the table each come
+    back; an empty table gives an empty result. Equal starts are ordered by kind. Other columns are not read.
     """
     w = w if fitted else fit(docs, text=text)
     rows = docs.select(F.col(f"`{key}`").alias("doc_id"), span_columns(w, F.col(f"`{text}`")).alias("x"))
