@@ -91,3 +91,10 @@ def test_token_count(spark):
     texts = ["", " ", "a", " a", "a ", "\x0ba\x0c\rb\x1cc d", None]
     found = spark.createDataFrame([(t,) for t in texts], "t string").select(token_count(__import__("pyspark").sql.functions.col("t"))).collect()
     assert [r[0] for r in found] == [words(t) for t in texts]
+
+
+def test_a_small_last_block_stays_beside_a_huge_one(spark):
+    rows = spark.range(41).selectExpr("id AS doc_id", "CASE WHEN id = 0 THEN repeat('w ', 3000000) END AS text", "'x' AS source")
+    found = mix_sources(rows).where("mix_pass = 0").select("doc_id").collect()
+    assert sorted(r[0] for r in found) == list(range(41))
+    assert mix_sources(rows, budget=0).count() == 0 and mix_sources(rows.where("doc_id > 0"), budget=1).count() >= 1

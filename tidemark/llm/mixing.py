@@ -109,7 +109,8 @@ def mix_sources(
     dealt = (
         cells.join(passes, "s")
         .withColumn("before", F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("tokens") + F.col("pass") * F.col("total"))
-        .where(F.col("before") < F.col("goal") - 1e-6 * F.col("total"))
+        # Tokens are whole numbers, so half of one is tolerance enough; without a budget the first pass is whole by definition.
+        .where((F.col("before") < F.col("goal") - F.least(F.lit(0.5), F.col("goal") / 2)) | (F.lit(budget is None) & (F.col("pass") == 0)))
         .select(
             F.col("s").alias(s), F.col("b").alias(b), F.col("pass").alias("mix_pass"),
             F.least(F.col("before") / F.col("goal"), F.lit(1.0)).alias("mix_position"),
