@@ -123,3 +123,24 @@ def test_a_model_can_take_the_place_of_tf_idf(spark):
     frame = spark.createDataFrame([(1, "ab"), (2, "abc"), (3, "ab"), (4, None)], "id BIGINT, text STRING")
     found = {r.id: r.vector for r in vectors.embed_texts(frame, encoder=lengths).collect()}
     assert found == {1: [2.0, 1.0], 2: [3.0, 1.0], 3: [2.0, 1.0], 4: None}
+
+
+def test_batch_search_in_cells_equals_single_searches(spark, points):
+    index = vectors.CellIndex.build(points, lists=6)
+    queries = points.filter("id < 12").select(F.col("id").alias("query_id"), "vector")
+    found = index.search_batch(spark, queries, 5, 2).collect()
+    for q in queries.collect()[:4]:
+        single = [r.id for r in index.search(spark, q.vector, 5, 2).collect()]
+        assert [r.id for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == q.query_id] == single
+    exact = vectors.cosine_topk_batch(points, queries, 5)
+    assert vectors.recall(index.search_batch(spark, queries, 5, 6), exact, ("query_id", "id")).first().asDict() == {"expected": 60, "found": 60, "recall": 1.0}
+
+
+def test_index_recall_over_many_queries(spark):
+    from tidemark.plans import vector_reports
+
+    sf = "/root/testdata/sf0.001"
+    queries = vector_reports.tables.points(spark, sf).filter("id % 100 = 0").count()
+    found = vector_reports.cell_search_recall(spark, sf).first()
+    assert queries > 1 and found["expected"] == 25 * queries and found["recall"] >= 0.9
+    assert vector_reports.cell_recall_bound(spark, sf).first().asDict() == {"expected": 25, "enough": True}

@@ -147,17 +147,23 @@ def cosine_topk(
 
 
 def cosine_topk_batch(
-    points: DataFrame, queries: DataFrame, k: int, vector: str = "vector", query_block: int = QUERY_BLOCK, point_block: int = POINT_BLOCK
+    points: DataFrame, queries: DataFrame, k: int, vector: str = "vector", query_block: int = QUERY_BLOCK, point_block: int = POINT_BLOCK,
+    within: str | None = None,
 ) -> DataFrame:
     """The ``k`` best points for every query ``(query_id, vector)``.
 
+    With ``within``, a column of both, a query meets only points of its own value there; it may have a row per value.
+
     Points and queries are cut into blocks of bounded size by hash. Each pair of blocks meets in one group, which
     multiplies two matrices and keeps ``k`` rows per query, so only those go to the final ranking. Nothing but the two
     counts reaches the driver. A vector without length has similarity 0, a null one takes no part.
     """
     check_range("k", k, SEARCH_ROWS)
-    left = points.filter(F.col(vector).isNotNull()).select(F.col("id").cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v"))
-    right = queries.filter(F.col("vector").isNotNull()).select(F.col("query_id").cast("bigint").alias("query_id"), F.col("vector").cast("array<double>").alias("v"))
+    part = (F.col(within).cast("string") if within else F.lit("")).alias("part")
+    left = points.filter(F.col(vector).isNotNull()).select(F.col("id").cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v"), part)
+    right = queries.filter(F.col("vector").isNotNull()).select(
+        F.col("query_id").cast("bigint").alias("query_id"), F.col("vector").cast("array<double>").alias("v"), part
+    )
     rows, columns = (max(1, math.ceil(df.count() / size)) for df, size in ((left, point_block), (right, query_block)))
     blocks = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     slot = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
@@ -183,7 +189,7 @@ def cosine_topk_batch(
                     found.append(pd.DataFrame({"query_id": query, "id": ids[best], "score": scores[best]}))
         return pd.concat(found) if found else pd.DataFrame({"query_id": [], "id": [], "score": []}).astype({"query_id": "int64", "id": "int64"})
 
-    met = left.groupBy("row", "column").cogroup(right.groupBy("row", "column")).applyInPandas(search, "query_id bigint, id bigint, score double")
+    met = left.groupBy("row", "column", "part").cogroup(right.groupBy("row", "column", "part")).applyInPandas(search, "query_id bigint, id bigint, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return met.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
@@ -235,10 +241,24 @@ class CellIndex:
         nearest = [int(cell) for cell in np.argsort(-closeness)[:probes]]
         return cosine_topk(self.cells(spark).filter(F.col("cell").isin(nearest)), query, k, spec, self.vector)
 
+    def search_batch(self, spark: SparkSession, queries: DataFrame, k: int, probes: int) -> DataFrame:
+        """The ``k`` best points of its ``probes`` nearest cells for every query ``(query_id, vector)``."""
+        units = self.centres / np.maximum(np.linalg.norm(self.centres, axis=1, keepdims=True), 1e-300)
+
+        def assign(batches):
+            for asked in batches:
+                if len(asked):
+                    closeness = np.array(asked["vector"].tolist(), dtype=np.float64) @ units.T
+                    yield asked.assign(cell=np.argsort(-closeness, axis=1)[:, :probes].tolist())
+
+        wanted = queries.filter(F.col("vector").isNotNull()).select(F.col("query_id").cast("bigint").alias("query_id"), F.col("vector").cast("array<double>").alias("vector"))
+        placed = wanted.mapInPandas(assign, "query_id bigint, vector array<double>, cell array<int>").withColumn("cell", F.explode("cell"))
+        return cosine_topk_batch(self.cells(spark), placed, k, self.vector, within="cell")
+
 
-def recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:
-    """Share of the exact result that the approximate one found."""
-    hits = exact.join(approximate.select("id", F.lit(True).alias("_hit")), "id", "left")
+def recall(approximate: DataFrame, exact: DataFrame, on: Sequence[str] = ("id",)) -> DataFrame:
+    """Share of the exact result that the approximate one found; for results of many queries ``on`` also names the query."""
+    hits = exact.join(approximate.select(*on, F.lit(True).alias("_hit")), list(on), "left")
     return hits.agg(
         F.count(F.lit(1)).alias("expected"), F.count_if("_hit").alias("found"),
         F.try_divide(F.count_if("_hit"), F.count(F.lit(1))).alias("recall"),
