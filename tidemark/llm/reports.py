@@ -8,12 +8,13 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, mixing, mtree, pii, quality, repeats, simhash, slots, style_tree, toxicity
+from . import bpe, fill_middle, mixing, mtree, pii, prefix_trie, quality, repeats, simhash, slots, style_tree, token_counts, toxicity
 from .common import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(fn):
@@ -85,6 +86,23 @@ def op10_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return style_tree.main_texts(table(spark, sf_dir, "pages"))
 
 
+@query
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), BYTE_VOCABULARY)
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_nodes(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_middle.restore(fill_middle.fill_middle(table(spark, sf_dir, "documents")))
+    digests = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 ORACLES["op6_m_tree"] = """
 WITH usable AS (
     SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
@@ -185,3 +203,61 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND rejected_by IS NULL AS kept, coalesce(rejected_by, '') AS rejected_by
 FROM judged LEFT JOIN hit USING (r)
 """
+
+ORACLES["op12_prefix_trie"] = """
+WITH own AS (
+    SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), bytes_of AS (
+    SELECT DISTINCT c, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)) AS b FROM own
+), convs AS (
+    SELECT c, c - c % 100 AS base, xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], b), lambda crc, x:
+           list_reduce(list_concat([xor(crc, x)], [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]), lambda a, z: xor(a >> 1, (a & 1) * 3988292384)))) % 6 AS h
+    FROM bytes_of
+), turns AS (
+    SELECT convs.c, pos, 0 AS side, role, text FROM convs JOIN own ON own.c = base WHERE pos <= h
+    UNION ALL SELECT convs.c, pos, 1, role, text FROM convs JOIN own ON own.c = convs.c WHERE pos > h
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY c ORDER BY side, pos) AS depth FROM turns
+), prefixes AS (
+    SELECT c, depth, length(text) AS chars, list(sha256(length(role) || ':' || role || text)) OVER (PARTITION BY c ORDER BY depth) AS path FROM placed
+    UNION ALL SELECT c, 0, 0, CAST([] AS VARCHAR[]) FROM convs
+), marked AS (
+    SELECT *, depth = max(depth) OVER (PARTITION BY c) AS ends FROM prefixes
+), nodes AS (
+    SELECT path, depth, min(c) AS conv_id, count(*) AS n_convs, any_value(chars) * (count(*) - 1) AS saved,
+           CAST(count(*) = count(*) FILTER (WHERE ends) AS BIGINT) AS leaf,
+           sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256
+    FROM marked GROUP BY path, depth
+), reached AS (
+    SELECT path[1:k] AS path, leaf, saved FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM nodes)
+), totals AS (
+    SELECT path, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens FROM reached GROUP BY path
+), children AS (
+    SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN totals t ON t.path = n.path LEFT JOIN children c ON c.path = n.path LEFT JOIN nodes p ON p.path = n.path[1:n.depth - 1] AND n.depth > 0
+"""
+
+ORACLES["op13_fill_middle"] = """
+WITH docs AS (
+    SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents
+), drawn AS (
+    SELECT *, list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(x, i, 8) AS BIGINT)) AS h FROM docs
+), cut AS (
+    SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+           CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+                WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM drawn
+), parts AS (
+    SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
