@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import vectors
+from tidemark.operators import ann, vectors
 
 
 @pytest.fixture(scope="module")
@@ -50,15 +50,15 @@ def test_topk_bounds_and_single_query(points):
 
 def test_all_cells_give_the_exact_result(spark, points):
     query = points.filter("id = 9").first().vector
-    index = vectors.CellIndex.build(points, lists=4)
+    index = ann.CellIndex.build(points, lists=4)
     exact = vectors.cosine_topk(points, query, 10)
-    assert vectors.recall(index.search(spark, query, 10, probes=4), exact).first()["recall"] == 1.0
+    assert vectors.recall(index.search(spark, query, 10, probes=4, rerank=300), exact).first()["recall"] == 1.0
 
 
 def test_cells_that_are_not_probed_are_not_read(spark, points):
     import re
 
-    index = vectors.CellIndex.build(points, lists=4)
+    index = ann.CellIndex.build(points, lists=4)
     plan = index.search(spark, points.first().vector, 3, probes=1)._jdf.queryExecution().toString()
     assert re.search(r"PartitionFilters: \[.*cell", plan)
 
@@ -126,14 +126,15 @@ def test_a_model_can_take_the_place_of_tf_idf(spark):
 
 
 def test_batch_search_in_cells_equals_single_searches(spark, points):
-    index = vectors.CellIndex.build(points, lists=6)
+    index = ann.CellIndex.build(points, lists=6)
     queries = points.filter("id < 12").select(F.col("id").alias("query_id"), "vector")
     found = index.search_batch(spark, queries, 5, 2).collect()
     for q in queries.collect()[:4]:
         single = [r.id for r in index.search(spark, q.vector, 5, 2).collect()]
         assert [r.id for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == q.query_id] == single
     exact = vectors.cosine_topk_batch(points, queries, 5)
-    assert vectors.recall(index.search_batch(spark, queries, 5, 6), exact, ("query_id", "id")).first().asDict() == {"expected": 60, "found": 60, "recall": 1.0}
+    whole = vectors.recall(index.search_batch(spark, queries, 5, 6, rerank=300), exact, ("query_id", "id")).first().asDict()
+    assert whole == {"expected": 60, "found": 60, "recall": 1.0, "queries": 12}
 
 
 def test_index_recall_over_many_queries(spark):
@@ -144,3 +145,58 @@ def test_index_recall_over_many_queries(spark):
     found = vector_reports.cell_search_recall(spark, sf).first()
     assert queries > 1 and found["expected"] == 25 * queries and found["recall"] >= 0.9
     assert vector_reports.cell_recall_bound(spark, sf).first().asDict() == {"expected": 25, "enough": True}
+
+
+def test_codes_are_searched_before_vectors(spark, points):
+    """The pass over the cells reads ids and codes; vectors are read for the best by code."""
+    import re
+
+    index = ann.CellIndex.build(points, lists=4)
+    plan = index.search(spark, points.first().vector, 3, probes=1)._jdf.queryExecution().executedPlan().toString()
+    schemas = re.findall(r"ReadSchema: struct<([^>]*(?:<[^>]*>)?[^>]*)>", plan)
+    assert any("code" in s and "vector" not in s for s in schemas)
+    assert index.candidates(spark, points.limit(3).select(F.col("id").alias("query_id"), "vector"), 7).groupBy("query_id").count().first()["count"] <= 7
+
+
+def test_product_codes_equal_a_plain_search(spark):
+    rng = np.random.default_rng(5)
+    units = ann.unit_rows(rng.normal(size=(400, 8)))
+    books = [ann.codebook(units[:, :4], 16), ann.codebook(units[:, 4:], 16)]
+    codes = ann.encode(units, books)
+    for row in range(0, 400, 37):
+        for j, piece in enumerate((units[row, :4], units[row, 4:])):
+            assert codes[row, j] == min(range(16), key=lambda e: (round(sum((books[j][e] - piece) ** 2), 12), e))
+    near = np.concatenate([books[0][codes[:, 0]], books[1][codes[:, 1]]], axis=1)
+    table = ann.query_tables(units[:1], books)[0]
+    assert np.allclose(ann.code_scores(table, codes), near @ units[0])
+    assert len(ann.codebook(np.ones((9, 4)), 16)) == 1
+
+
+def test_every_vector_lies_in_its_two_nearest_cells(spark, points):
+    index = ann.CellIndex.build(points, lists=5)
+    rows = index.cells(spark).select("id", "cell", "home", "vector").collect()
+    assert len(rows) == 600 == sum(index.sizes.values())
+    near = {r.id: set(np.argsort(-(ann.unit_rows([r.vector]) @ index.centres.T)[0])[:2]) for r in rows}
+    for i, cells in near.items():
+        assert {r.cell for r in rows if r.id == i} == cells
+    assert len({r.id for r in index.search(spark, rows[0].vector, 50, probes=5, rerank=300).collect()}) == 50
+
+
+def test_index_is_found_again(spark, points, tmp_path):
+    built = ann.CellIndex.build(points, path=str(tmp_path / "index"))
+    found = ann.CellIndex.open(spark, built.path)
+    query = points.filter("id = 7").first().vector
+    spec = {"must": [{"key": "label", "match": 1}]}
+    assert [r.id for r in found.search(spark, query, 9, spec=spec).collect()] == [r.id for r in built.search(spark, query, 9, spec=spec).collect()]
+    assert {r.label for r in found.search(spark, query, 9, spec=spec).collect()} == {1} and found.probes == built.probes
+
+
+def test_index_of_odd_points(spark):
+    schema = "id BIGINT, vector ARRAY<FLOAT>, label INT"
+    odd = spark.createDataFrame([(1, None, 0), (2, [0.0] * 8, 1), (3, [1.0] * 8, 1), (4, [1.0] * 8, 2)], schema)
+    index = ann.CellIndex.build(odd)
+    assert [r.id for r in index.search(spark, [1.0] * 8, 5).collect()] == [3, 4, 2]
+    queries = spark.createDataFrame([(1, [1.0] * 8), (2, None)], "query_id BIGINT, vector ARRAY<FLOAT>")
+    assert [(r.query_id, r.id) for r in index.search_batch(spark, queries, 5).orderBy("rank").collect()] == [(1, 3), (1, 4), (1, 2)]
+    empty = ann.CellIndex.build(spark.createDataFrame([], schema))
+    assert empty.search(spark, [1.0] * 8, 5).collect() == [] == empty.search_batch(spark, queries, 5).collect()

@@ -9,14 +9,12 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.json_text import sorted_json
 from ..functions.scalars import check_range, iso_text
 from ..functions.vectors import as_vector, cosine_similarity, l2_distance
 from ..schemas import EMBEDDING_DIM, SEARCH_ROWS
-from ..session import fresh_path
 from .mutations import upsert_points
 from .reads import active_only, missing_ids, recent_records, semi_by_ids
 from .spread import salted_join
@@ -147,22 +145,18 @@ def cosine_topk(
 
 
 def cosine_topk_batch(
-    points: DataFrame, queries: DataFrame, k: int, vector: str = "vector", query_block: int = QUERY_BLOCK, point_block: int = POINT_BLOCK,
-    within: str | None = None,
+    points: DataFrame, queries: DataFrame, k: int, vector: str = "vector", query_block: int = QUERY_BLOCK, point_block: int = POINT_BLOCK
 ) -> DataFrame:
     """The ``k`` best points for every query ``(query_id, vector)``.
 
-    With ``within``, a column of both, a query meets only points of its own value there; it may have a row per value.
-
     Points and queries are cut into blocks of bounded size by hash. Each pair of blocks meets in one group, which
     multiplies two matrices and keeps ``k`` rows per query, so only those go to the final ranking. Nothing but the two
     counts reaches the driver. A vector without length has similarity 0, a null one takes no part.
     """
     check_range("k", k, SEARCH_ROWS)
-    part = (F.col(within).cast("string") if within else F.lit("")).alias("part")
-    left = points.filter(F.col(vector).isNotNull()).select(F.col("id").cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v"), part)
+    left = points.filter(F.col(vector).isNotNull()).select(F.col("id").cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v"))
     right = queries.filter(F.col("vector").isNotNull()).select(
-        F.col("query_id").cast("bigint").alias("query_id"), F.col("vector").cast("array<double>").alias("v"), part
+        F.col("query_id").cast("bigint").alias("query_id"), F.col("vector").cast("array<double>").alias("v")
     )
     rows, columns = (max(1, math.ceil(df.count() / size)) for df, size in ((left, point_block), (right, query_block)))
     blocks = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -189,7 +183,7 @@ def cosine_topk_batch(
                     found.append(pd.DataFrame({"query_id": query, "id": ids[best], "score": scores[best]}))
         return pd.concat(found) if found else pd.DataFrame({"query_id": [], "id": [], "score": []}).astype({"query_id": "int64", "id": "int64"})
 
-    met = left.groupBy("row", "column", "part").cogroup(right.groupBy("row", "column", "part")).applyInPandas(search, "query_id bigint, id bigint, score double")
+    met = left.groupBy("row", "column").cogroup(right.groupBy("row", "column")).applyInPandas(search, "query_id bigint, id bigint, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return met.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
@@ -203,63 +197,11 @@ def distance_threshold(
     return near.withColumn("similarity", cosine_similarity(stored, wanted)).orderBy("distance", "id").limit(limit)
 
 
-class CellIndex:
-    """Approximate search: vectors are stored in a folder per cell around a centre, a query reads only the nearest cells.
-
-    The centres are few (``lists``) and live on the driver.
-    """
-
-    def __init__(self, centres: np.ndarray, path: str, schema: StructType, vector: str):
-        self.centres = centres
-        self.path = path
-        self.schema = schema
-        self.vector = vector
-
-    @classmethod
-    def build(
-        cls, points: DataFrame, lists: int, vector: str = "vector", seed: int = 7, sample: int = 100_000, path: str | None = None
-    ) -> CellIndex:
-        """Centres come from at most ``sample`` points, those with the smallest hash of their id; every point is stored."""
-        from pyspark.ml.clustering import KMeans
-        from pyspark.ml.functions import array_to_vector
-
-        features = points.filter(F.col(vector).isNotNull()).withColumn("_features", array_to_vector(F.col(vector).cast("array<double>")))
-        drawn = features.select("id", "_features").orderBy(F.xxhash64("id"), "id").limit(sample)
-        means = KMeans(k=lists, seed=seed, featuresCol="_features", predictionCol="cell", distanceMeasure="cosine")
-        model = means.fit(drawn)
-        assigned = model.transform(features).drop("_features")
-        path = path or fresh_path(points.sparkSession, "cells")
-        assigned.hint("rebalance", "cell").write.partitionBy("cell").parquet(path)
-        return cls(np.array(model.clusterCenters()), path, assigned.schema, vector)
-
-    def cells(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(self.schema).parquet(self.path)
-
-    def search(self, spark: SparkSession, query: Sequence[float], k: int, probes: int, spec: dict | None = None) -> DataFrame:
-        wanted = np.asarray(query, dtype=np.float64)
-        closeness = self.centres @ wanted / np.maximum(np.linalg.norm(self.centres, axis=1), 1e-300)
-        nearest = [int(cell) for cell in np.argsort(-closeness)[:probes]]
-        return cosine_topk(self.cells(spark).filter(F.col("cell").isin(nearest)), query, k, spec, self.vector)
-
-    def search_batch(self, spark: SparkSession, queries: DataFrame, k: int, probes: int) -> DataFrame:
-        """The ``k`` best points of its ``probes`` nearest cells for every query ``(query_id, vector)``."""
-        units = self.centres / np.maximum(np.linalg.norm(self.centres, axis=1, keepdims=True), 1e-300)
-
-        def assign(batches):
-            for asked in batches:
-                if len(asked):
-                    closeness = np.array(asked["vector"].tolist(), dtype=np.float64) @ units.T
-                    yield asked.assign(cell=np.argsort(-closeness, axis=1)[:, :probes].tolist())
-
-        wanted = queries.filter(F.col("vector").isNotNull()).select(F.col("query_id").cast("bigint").alias("query_id"), F.col("vector").cast("array<double>").alias("vector"))
-        placed = wanted.mapInPandas(assign, "query_id bigint, vector array<double>, cell array<int>").withColumn("cell", F.explode("cell"))
-        return cosine_topk_batch(self.cells(spark), placed, k, self.vector, within="cell")
-
-
 def recall(approximate: DataFrame, exact: DataFrame, on: Sequence[str] = ("id",)) -> DataFrame:
     """Share of the exact result that the approximate one found; for results of many queries ``on`` also names the query."""
     hits = exact.join(approximate.select(*on, F.lit(True).alias("_hit")), list(on), "left")
+    asked = [F.count_distinct("query_id").alias("queries")] if "query_id" in on else []
     return hits.agg(
         F.count(F.lit(1)).alias("expected"), F.count_if("_hit").alias("found"),
-        F.try_divide(F.count_if("_hit"), F.count(F.lit(1))).alias("recall"),
+        F.try_divide(F.count_if("_hit"), F.count(F.lit(1))).alias("recall"), *asked,
     )
