@@ -128,10 +128,15 @@ def create_events(ledger: DataFrame, incoming: DataFrame, as_of: datetime | str
     return ledger.unionByName(new_ledger_rows(ledger, incoming, as_of, order))
 
 
-def new_ledger_rows(ledger: DataFrame, incoming: DataFrame, as_of: datetime | str | Column, order: str = "event_id") -> DataFrame:
-    """The rows that ``incoming`` adds to the ledger, with the ids that follow its own."""
+def new_ledger_rows(
+    ledger: DataFrame, incoming: DataFrame, as_of: datetime | str | Column, order: str = "event_id", highest: int | None = None
+) -> DataFrame:
+    """The rows that ``incoming`` adds to the ledger, with the ids that follow its own.
+
+    ``ledger`` may be the part of it that can hold an incoming key, if ``highest`` gives its largest id.
+    """
     fresh = unseen_events(dedupe_by_key(incoming, order=order), ledger)
-    highest = ledger.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).scalar()
+    highest = ledger.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).scalar() if highest is None else F.lit(highest)
     now = instant(as_of)
     text = F.lit(None).cast("string")
     stamp = F.lit(None).cast("timestamp_ntz")

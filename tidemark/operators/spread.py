@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -73,14 +74,38 @@ def rank_levels(levels: DataFrame, key: str, value: str, cuts: int | None = None
     )
 
 
+def heavy_keys(df: DataFrame, on: Sequence[str], parts: int) -> list[tuple[int, int]]:
+    """Hashes of keys that hold more than one ``parts``-th of the rows, with in how many pieces to split them.
+
+    One pass with a frequent-items sketch, whose error is about a third of that share; a key that is off by it is split one
+    piece more or less. There are at most ``parts`` such keys.
+    """
+    keyed = df.select(F.xxhash64(*on).alias("_key"))
+    tracked = min(1_000_000, max(10_000, 8 * parts))
+    total, top = keyed.agg(F.count(F.lit(1)), F.expr(f"approx_top_k(_key, {min(parts, tracked)}, {tracked})")).first()
+    share = max(1.0, total / parts)
+    return [(item["item"], math.ceil(item["count"] / share)) for item in top or [] if item["count"] > share]
+
+
 def salted_join(
-    many: DataFrame, one: DataFrame, on: Sequence[str], how: str = "inner", salts: int | None = None, salt_by: Column | None = None
+    many: DataFrame, one: DataFrame, on: Sequence[str], how: str = "inner", salts: int | None = None, salt_by: Column | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join where one key may hold a large share of ``many``; ``one`` has at most one row per key.
 
-    The many side is spread over ``salts`` sub-keys, the one side is repeated once per sub-key.
+    Only heavy keys are salted, each by its own number of rows: their rows in ``many`` are spread over that many sub-keys, their
+    row in ``one`` is repeated as often. All others join as they are. Heavy is what holds more than one ``salts``-th of the rows, so
+    the copies are at most twice ``salts`` in all. ``counted`` has the keys of ``many`` where those are cheaper to count.
     """
     salts = salts or spread_over(many, 16)
-    spread = many.withColumn("_salt", F.pmod(F.xxhash64(salt_by) if salt_by is not None else F.xxhash64(*many.columns), F.lit(salts)))
-    copies = one.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    heavy = heavy_keys(counted if counted is not None else many, on, salts)
+    if not heavy:
+        return many.join(one, list(on), how)
+    # No more than ``salts`` rows, so it may go to every task.
+    pieces = F.broadcast(many.sparkSession.createDataFrame(heavy, "_key BIGINT, _pieces INT"))
+    number = F.coalesce("_pieces", F.lit(1))
+    marked = lambda df: df.withColumn("_key", F.xxhash64(*on)).join(pieces, "_key", "left").withColumn("_n", number)
+    mixed = F.xxhash64(salt_by) if salt_by is not None else F.xxhash64(*many.columns)
+    spread = marked(many).withColumn("_salt", F.pmod(mixed, F.col("_n")).cast("int")).drop("_key", "_pieces", "_n")
+    copies = marked(one).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).drop("_key", "_pieces", "_n")
     return spread.join(copies, [*on, "_salt"], how).drop("_salt")

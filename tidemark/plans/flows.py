@@ -8,8 +8,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.scalars import instant
-from ..operators import analytics, documents, events, mutations, quality
-from ..session import settle
+from ..operators import analytics, deltas, documents, events, mutations, quality
+from ..session import scratch, settle
 from ..sources import files, months, versions
 
 
@@ -111,3 +111,69 @@ def export_and_trim(spark: SparkSession, archive_path: str, target: str, days: i
 def refresh_stats(spark: SparkSession, records: DataFrame, root: str, as_of: datetime | str | Column) -> int:
     """Rebuild the hourly table as a new version; when it fails, readers keep the old one."""
     return versions.write_version(analytics.hourly_stats(records, as_of), root)
+
+
+def _numbers(spark: SparkSession, path: str, column: str) -> list[int]:
+    """The numbers of the complete folders ``column=n``."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    disk = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in disk.listStatus(where)] if disk.exists(where) else []
+    done = lambda name: disk.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}/_SUCCESS"))
+    return sorted(int(n.removeprefix(f"{column}=")) for n in names if n.startswith(f"{column}=") and done(n))
+
+
+def log_change(log: str, change_id: int, before: DataFrame, after: DataFrame) -> None:
+    """Keep the signed rows of a change for the next refresh. A change that is logged already stays as it is."""
+    if change_id not in _numbers(after.sparkSession, log, "change_id"):
+        rows = deltas.row_changes(before, after)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{log}/change_id={change_id}")
+
+
+def change_records(
+    spark: SparkSession, path: str, log: str, change_id: int, ids: DataFrame, change: Callable[[DataFrame], DataFrame]
+) -> None:
+    """Change the rows named by ``ids`` in their months and log the difference. ``change`` leaves ids and times alone and may run twice.
+
+    The log comes first, so a job that stops in between finishes the table in a second run and logs nothing more.
+    """
+    with scratch(spark):
+        before = settle(months.read_months(spark, path).drop("ym").join(ids.select("id").distinct(), "id", "left_semi"), "rows-before")
+        after = settle(change(before), "rows-after")
+        log_change(log, change_id, before, after)
+        touched = months.months_of(before)
+        if touched:
+            rest = months.read_months(spark, path, months=touched).drop("ym").join(before.select("id"), "id", "left_anti")
+            months.replace_months(rest.select(*after.columns).unionByName(after), path, touched)
+
+
+def refresh_hours(spark: SparkSession, records_path: str, parts_path: str, log: str) -> list[str]:
+    """Bring the hourly parts up to the newest logged change; returns the months that were read and rewritten.
+
+    A month notes the last change it holds, so a refresh that stopped half-way goes on where it was.
+    """
+    newest = max(_numbers(spark, log, "change_id"), default=0)
+    runs = f"{parts_path}-refreshed"
+    last = max(_numbers(spark, runs, "change_id"), default=0)
+    if newest <= last:
+        return []
+    with scratch(spark):
+        changes = spark.read.schema(f"{deltas.CHANGE}, change_id BIGINT").parquet(log).filter(F.col("change_id").between(last + 1, newest))
+        touched = months.months_of(changes)
+        stored = months.read_months(spark, parts_path, deltas.PARTS, touched)
+        held = {r["ym"]: r["applied"] for r in stored.groupBy("ym").agg(F.max("applied").alias("applied")).collect()}
+        for month, applied in held.items():
+            changes = changes.filter((months.month_of("timestamp") != month) | (F.col("change_id") > applied))
+        merged = settle(deltas.merged_parts(stored, deltas.delta_parts(changes)), "merged-parts")
+        if not merged.filter("stale").isEmpty():
+            merged = deltas.looked_up(merged, months.read_months(spark, records_path, months=touched))
+        rest = stored.join(merged.select("hour", "source"), ["hour", "source"], "left_anti")
+        parts = rest.select("hour", "source", *deltas.SUMS, "low", "high").unionByName(merged.drop("stale"))
+        if touched:
+            months.replace_months(parts.withColumn("applied", F.lit(newest).cast("bigint")), parts_path, touched, "hour")
+    spark.range(0).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{runs}/change_id={newest}")
+    return touched
+
+
+def read_hours(spark: SparkSession, parts_path: str) -> DataFrame:
+    """The hourly table as of the last refresh."""
+    return analytics.combine_hours(months.read_months(spark, parts_path, deltas.PARTS).filter("rows > 0"), with_list=True)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import month_of
 from ..operators import joins, mutations, quality
 from ..session import fresh_path
-from ..sources import files, tables, versions
+from ..sources import files, months, tables, versions
 from ..sources.tables import table
 from .registry import report, with_views
 from .views import ACTIVE, CHECKED, COLUMNS, POINTS, RECORDS, REQUESTS
@@ -288,6 +288,39 @@ def refreshed_stats(spark, sf):
     return versions.read_version(spark, root).select("hour", "record_count", "avg_value", "materialized_at")
 
 
+@report(
+    "refreshed_hours",
+    f"""{with_views(RECORDS)}, active AS (
+      SELECT *, CASE WHEN id % 19 = 2 THEN 500.0 ELSE value END AS now, processed OR id % 10 = 1 AS done
+      FROM records WHERE id % 17 <> 3 AND (deleted_at IS NULL OR id % 22 = 0))
+    SELECT date_trunc('hour', "timestamp")::TIMESTAMP AS hour, count(*) AS record_count, count(*) FILTER (WHERE done) AS processed_count,
+      round(avg(coalesce(now, 0)), 4) AS avg_value, min(now) AS min_value, max(now) AS max_value, count(DISTINCT source) AS unique_sources,
+      array_to_string(list_sort(list(DISTINCT source)), ',') AS source_list,
+      round(count(*) FILTER (WHERE done) / count(*) * 100, 2) AS processed_pct FROM active GROUP BY 1""",
+)
+def refreshed_hours(spark, sf):
+    """The hourly table after inserts, deletes, undeletes and updates, each followed by a refresh of what it touched."""
+    from . import flows
+
+    rows = tables.records(spark, sf)
+    path, parts, log = months.new_table(spark, rows), fresh_path(spark, "hours"), fresh_path(spark, "changes")
+    flows.log_change(log, 1, rows.limit(0), rows)
+    flows.refresh_hours(spark, path, parts, log)
+    now = tables.newest(rows)
+    value = F.concat(F.lit('{"value": 500, "was": "'), F.col("id").cast("string"), F.lit('"}'))
+    steps = [
+        ("id % 17 = 3", lambda df: mutations.soft_delete(df, df.select("id"), now)),
+        ("id % 22 = 0 AND id % 17 <> 3", lambda df: mutations.undelete(df, df.select("id"))),
+        ("id % 10 = 1", lambda df: mutations.mark_processed(df, df.select("id"), now)),
+        ("id % 19 = 2", lambda df: df.withColumn("raw_data", value)),
+    ]
+    for number, (which, change) in enumerate(steps, 2):
+        flows.change_records(spark, path, log, number, rows.filter(which).select("id"), change)
+        if number != 3:
+            flows.refresh_hours(spark, path, parts, log)
+    return flows.read_hours(spark, parts)
+
+
 @report(
     "upserted_points",
     f"""{with_views(POINTS)} SELECT id, CAST(CASE WHEN label < 5 THEN label + 100 ELSE label END AS BIGINT) AS label, round(vector[1], 6) AS first FROM points

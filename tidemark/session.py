@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,11 +48,30 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
+_scopes = threading.local()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``settle`` writes inside are removed at the end. For work whose result is written before then, such as a micro-batch."""
+    outer = getattr(_scopes, "paths", None)
+    _scopes.paths = paths = []
+    try:
+        yield
+    finally:
+        _scopes.paths = outer
+        for path in paths:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def settle(df: DataFrame, label: str, *by: str) -> DataFrame:
     """Write a frame that is read more than once and continue from the written table, in folders of the columns ``by``.
 
-    The table outlives lost executors, unlike a cached frame, and is never recomputed.
+    The table outlives lost executors, unlike a cached frame, and is never recomputed. Inside ``scratch`` it lasts until its end.
     """
     path = fresh_path(df.sparkSession, label)
+    if getattr(_scopes, "paths", None) is not None:
+        _scopes.paths.append(path)
     (df.write.partitionBy(*by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

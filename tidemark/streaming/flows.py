@@ -13,10 +13,10 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.scalars import event_time, from_event_time, number_at
 from ..operators.analytics import combine_hours
-from ..operators.events import dead_letter_json, dead_letters, new_ledger_rows, parse_events
+from ..operators.events import dead_letter_json, dead_letters, dedupe_by_key, new_ledger_rows, parse_events
 from ..schemas import LEDGER
-from ..session import settle
-from ..sources import months
+from ..session import scratch, settle
+from ..sources import months, runs
 from ..sources.files import metric_lines
 from .sources import batch_folder
 
@@ -69,13 +69,14 @@ def upsert_batches(df: DataFrame, out: str, checkpoint: str, keys: list[str], at
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        changed = settle(batch, "changed-rows")
-        touched = months.months_of(changed, at)
-        if touched:
-            shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in changed.schema)
-            stored = months.read_months(spark, out, shape, touched).drop("ym")
-            merged = changed.unionByName(stored.join(changed.select(*keys), keys, "left_anti").select(*changed.columns))
-            months.replace_months(merged, out, touched, at)
+        with scratch(spark):
+            changed = settle(batch, "changed-rows")
+            touched = months.months_of(changed, at)
+            if touched:
+                shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in changed.schema)
+                stored = months.read_months(spark, out, shape, touched).drop("ym")
+                merged = changed.unionByName(stored.join(changed.select(*keys), keys, "left_anti").select(*changed.columns))
+                months.replace_months(merged, out, touched, at)
 
     return each_batch(df, write, checkpoint, "update")
 
@@ -88,27 +89,30 @@ def latest_rows(spark: SparkSession, out: str) -> DataFrame:
 def consume_to_ledger(log: DataFrame, out: str, checkpoint: str, as_of: str) -> DataStreamWriter:
     """Good events become pending ledger rows, one per idempotency key; the first that arrives wins.
 
-    Every micro-batch writes the rows it adds into its own folder, and compares with the folders of the others. So a
-    batch that is run again replaces its own rows by the same ones.
+    The ledger lies in runs of hash buckets (``sources.runs``): a micro-batch opens only buckets whose filter may have one of its
+    keys. A batch that is run again replaces its own rows by the same ones.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        parsed = parse_events(batch)
-        good = parsed.filter("error IS NULL").withColumnRenamed("key", "idempotency_key").withColumn("_place", F.struct("part", "off"))
-        ledger = read_ledger(spark, out, [batch_id])
-        new_ledger_rows(ledger, good, as_of, "_place").write.mode("overwrite").parquet(batch_folder(out, batch_id))
+        ledger = ledger_runs(spark, out)
+        with scratch(spark):
+            ledger.merge(batch_id)
+            good = parse_events(batch).filter("error IS NULL").withColumnRenamed("key", "idempotency_key").withColumn("_place", F.struct("part", "off"))
+            firsts = settle(dedupe_by_key(good, order="_place"), "first-events")
+            held = ledger.holding(firsts.select("idempotency_key"), but=batch_id)
+            ledger.add(new_ledger_rows(held, firsts, as_of, "_place", ledger.top(but=batch_id)), batch_id)
 
     return each_batch(log, write, checkpoint)
 
 
-def read_ledger(spark: SparkSession, out: str, but: list[int] | None = None) -> DataFrame:
-    """The ledger that ``consume_to_ledger`` has written, without the rows of the batches ``but``."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(out)
-    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
-        return spark.createDataFrame([], LEDGER)
-    rows = spark.read.schema(f"{LEDGER}, batch_id BIGINT").parquet(out)
-    return rows.filter(~F.col("batch_id").isin(but or [])).drop("batch_id")
+def ledger_runs(spark: SparkSession, out: str) -> runs.KeyedRuns:
+    return runs.KeyedRuns(spark, out, LEDGER, "idempotency_key")
+
+
+def read_ledger(spark: SparkSession, out: str) -> DataFrame:
+    """The ledger that ``consume_to_ledger`` has written."""
+    return ledger_runs(spark, out).rows()
 
 
 def hourly_parts_stream(records: DataFrame, lateness: str = "1 hour", value_path: str = "$.value") -> DataFrame:
