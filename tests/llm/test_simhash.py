@@ -149,3 +149,12 @@ def test_variants(spark):
     full, five = [r["v"] for r in df.collect()]
     assert len(set(full)) == 64 and full[0] == 0xFFFFFFFE and full[33] == 1 << 37 | 1 << 32 | 0xFFFFFFFD
     assert five[0] == 4 and five[33] == 1 << 37 | 1 << 32
+
+
+def test_checksum_of_very_many_links(spark):
+    """More links than a sum of their hashes could hold in a long."""
+    from tidemark.llm.components import _mark
+
+    links = spark.range(20_000_000).selectExpr("id AS a", "id + 1 AS b")
+    mark = _mark(links)
+    assert mark[0] == 20_000_000 and mark == _mark(links.repartition(3)) and mark != _mark(links.where("a <> 17"))
