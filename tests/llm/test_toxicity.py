@@ -110,3 +110,26 @@ def test_rows_that_do_not_fit_give_way():
     assert toxicity.picked([5, 90, 5, 5, 5], 3, 20) == [0, 2, 3] and toxicity.picked([90, 80], 3, 20) == [1] and toxicity.picked([], 3, 20) == []
     lengths = np.array([3, 3, 50, 1, 1, 1])
     assert [b.tolist() for b in toxicity.batches(np.arange(6), lengths, 2, 10)] == [[0, 1], [2], [3, 4], [5]]
+
+
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    """The query in a session whose workers cannot import the package."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+from tidemark.session import build_session
+from tidemark.llm import toxicity
+spark = build_session("bare", "local[2]", **{{"spark.sql.shuffle.partitions": "2", "spark.ui.enabled": "false"}})
+docs = spark.range(80).selectExpr("id AS doc_id", "IF(id % 2 = 0, 'a vile slur', 'a kind word') AS text", "'en' AS lang")
+rated = toxicity.rate(docs, docs.selectExpr("doc_id", "CAST(doc_id % 2 = 0 AS INT) AS toxic"))
+assert spark.range(1).mapInPandas(lambda b: (x.assign(id=0 if __import__("importlib.util").util.find_spec("tidemark") is None else 1) for x in b), "id bigint").first()[0] == 0
+print("rows", rated.count(), rated.where("predicted = 1").count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | {"PYSPARK_PYTHON": sys.executable}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 80 40" in done.stdout, done.stderr[-2000:]

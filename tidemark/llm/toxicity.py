@@ -293,14 +293,15 @@ def scores(docs: DataFrame, model: Model | None, text: str = "text") -> Column:
     """Score column of a text; one half for all without a model."""
     if model is None:
         return F.lit(0.5)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain values: an object of a class of this package could not be read where executors have no copy of it.
+    sent = docs.sparkSession.sparkContext.broadcast((model.known, model.table, model.filters, model.biases, model.out, model.bias))
     mark = zlib.crc32(model.table.tobytes() + model.out.tobytes())
 
     @by_value(T.DoubleType(), keeps=True)
     def scored(text):
         kept = kept_in_worker("toxicity")
         if kept.get("mark") != mark:
-            own = sent.value
+            own = Model(*sent.value)
             kept.clear()
             kept.update(mark=mark, model=own, sums=own.sums(), rows=Rows(own.known))
         own, sums, rows = kept["model"], kept["sums"], kept["rows"]
