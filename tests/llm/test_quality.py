@@ -137,3 +137,30 @@ def test_chosen_cutoffs_equal_the_sql(spark, tmp_path):
     expected = sorted(cursor.fetchall(), key=repr)
     assert sorted(map(tuple, op1_quality_rules(spark, str(tmp_path)).select(*columns).collect()), key=repr) == expected
     assert any(r[columns.index("rejected_by")] for r in expected)
+
+
+def test_repeated_rows_are_one_trial(spark):
+    rows, labels = rows_of(spark, 3000)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    marks = spark.createDataFrame(labels, "doc_id bigint, quality int")
+    once = quality.judge(docs, marks)[1].collect()
+    four = quality.judge(docs.union(docs).union(docs).union(docs), marks)[1].collect()
+    assert sorted(map(tuple, once), key=repr) == sorted(map(tuple, four), key=repr)
+
+
+def test_repeated_rows_equal_the_sql(spark, tmp_path):
+    import duckdb
+
+    from tidemark.llm.reports import ORACLES
+
+    rows, labels = rows_of(spark, 2400)
+    rows += [(i, text + " extra ###", lang) for i, text, lang in rows[::3]] + rows[::2] + [(None, "words " * 70, "en")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id bigint, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    duck = duckdb.connect()
+    for name in ("documents", "labels"):
+        duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    cursor = duck.execute(ORACLES["op1_quality_rules"])
+    columns = [c[0] for c in cursor.description]
+    expected = sorted(cursor.fetchall(), key=repr)
+    assert sorted(map(tuple, op1_quality_rules(spark, str(tmp_path)).select(*columns).collect()), key=repr) == expected

@@ -182,7 +182,7 @@ def judge(
 
     A row that fails the base rule is never kept and takes no part in the calibration. A null text counts as no words, a
     null stratum is a stratum of its own, a document labelled both good and bad is good, rows repeated in the table are
-    each judged. Where labels are too few to certify any cutoff (for the defaults about 600 good rows in the stratum),
+    each judged but count as one labelled document. Where labels are too few to certify any cutoff (for the defaults about 600 good rows in the stratum),
     nothing is rejected beyond the base rule. An empty table gives an empty result.
     """
     q = docs.select(F.col(f"`{key}`").alias("doc_id"), stratum_of(stratum).alias("stratum"), measured(F.col(f"`{text}`")).alias("q"))
@@ -190,6 +190,9 @@ def judge(
     cells = {rule: cell(of(F.col)) for rule, of in RULES.items()}
     flat = flat.withColumns({"base_failed": base_failed(F.col), **cells})
     marked = flat.where(~F.col("base_failed")).join(one_label(labels, key, label), F.col("doc_id") == F.col("id"))
+    # Rows repeated under one key are no independent trials: a document is one, by its row of the highest cells.
+    highest = F.max(F.struct(*sorted(RULES), "stratum", "good")).alias("x")
+    marked = marked.groupBy("id").agg(highest).select("x.*")
     chosen = settle(cutoffs(marked, risk, error), "quality-cutoffs")
     wide = by_stratum(chosen)
     verdict = flat.join(wide, "stratum", "left").withColumn("rejected_by", rejecting(F.col))

@@ -181,9 +181,13 @@ WITH docs AS (
     SELECT * EXCLUDE (value), CAST(least(floor(value * 1000), 1000) AS INTEGER) AS place FROM values_of
 ), marks AS (
     SELECT doc_id, max(quality) = 1 AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id
+), trials AS (
+    SELECT r FROM (SELECT r, row_number() OVER (PARTITION BY doc_id ORDER BY places DESC, stratum DESC) AS nth FROM (
+        SELECT r, doc_id, stratum, list(place ORDER BY rule) AS places FROM cells WHERE NOT base_failed AND doc_id IS NOT NULL GROUP BY ALL))
+    WHERE nth = 1
 ), tally AS (
     SELECT stratum, rule, place, count(*) FILTER (WHERE good) AS g, count(*) FILTER (WHERE NOT good) AS b
-    FROM cells JOIN marks USING (doc_id) WHERE NOT base_failed GROUP BY ALL
+    FROM cells JOIN trials USING (r) JOIN marks USING (doc_id) GROUP BY ALL
 ), running AS (
     SELECT *, sum(g) OVER down AS k, sum(b) OVER down AS hits, sum(g) OVER (PARTITION BY stratum, rule) AS n
     FROM tally WINDOW down AS (PARTITION BY stratum, rule ORDER BY place DESC)
