@@ -66,3 +66,13 @@ def test_one_hot_key(spark):
     rows = slots.shard_by_bytes(docs).collect()
     assert len(rows) == 3000
     check(rows)
+
+
+def test_hot_keys_and_hot_rows_spread(spark):
+    """Half the rows under one key, a third of all rows equal: shards stay within a hundredth."""
+    docs = spark.range(12_000).selectExpr("IF(id % 2 = 0, 5, id) AS doc_id", "IF(id % 6 < 2, 'same', repeat('a', CAST(id % 97 AS INT))) AS text")
+    docs = docs.unionByName(spark.range(6000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "'same' AS text"))
+    rows = slots.shard_by_bytes(docs).collect()
+    assert len(rows) == 18_000
+    load = check(rows)
+    assert max(load.values()) - min(load.values()) <= 0.01 * sum(load.values())

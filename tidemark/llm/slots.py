@@ -10,14 +10,17 @@ import json
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ..session import fresh_path
+from ..operators.spread import heavy_keys
+from ..session import fresh_path, settle
 
 SLOTS = 4096
+#: Equal rows of more than this part of the table are spread over slots.
+HOT = 256
 
 
-def slot_of(key: Column, slots: int = SLOTS) -> Column:
-    """Slot of a key; null keys share one slot."""
-    return F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")
+def slot_of(*record: Column, slots: int = SLOTS) -> Column:
+    """Slot of a record."""
+    return F.pmod(F.xxhash64(*record), F.lit(slots)).cast("int")
 
 
 def slot_sizes(rows: DataFrame, slots: int = SLOTS) -> list[tuple[int, int]]:
@@ -90,15 +93,22 @@ def shard_by_bytes(docs: DataFrame, shards: int = 8, slots: int = SLOTS, *, key:
     The law is ``bytes``: sizes (UTF-8 bytes of the text plus 1) are near equal over the shards, as near as whole slots
     allow. ``slot`` counts a shard's rows from 0 without gaps, in the order of virtual slot, key and text checksum.
 
-    A null text has no bytes (size 1, checksum 0). Null keys share a slot. Repeated rows each get a place of their own.
-    An empty table gives an empty result. Other columns are not read.
+    A record's slot follows from key, checksum and size, so the rows of one key, or without any, spread. Equal rows share a slot
+    unless they are more than a ``HOT``-th of the table; those spread by their number in the written table of sizes.
+
+    A null text has no bytes (size 1, checksum 0). Repeated rows each get a place of their own. An empty table gives an empty
+    result. Other columns are not read.
     """
     spark = docs.sparkSession
-    rows = docs.select(
+    record = ["doc_id", "text_crc32", "size"]
+    rows = settle(docs.select(
         F.col(f"`{key}`").alias("doc_id"),
         (F.coalesce(F.octet_length(F.col(f"`{text}`")), F.lit(0)).cast("bigint") + 1).alias("size"),
-        F.crc32(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")).alias("text_crc32"),
-    ).withColumn("virtual_slot", slot_of(F.col("doc_id"), slots))
+        F.crc32(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")).alias("text_crc32"), F.monotonically_increasing_id().alias("row"),
+    ), "sizes")
+    hot = [key for key, _ in heavy_keys(rows, record, HOT)]
+    number = F.when(F.xxhash64(*record).isin(hot), F.col("row")).otherwise(F.lit(0)) if hot else F.lit(0)
+    rows = rows.withColumn("virtual_slot", slot_of(*map(F.col, record), number, slots=slots))
     sizes = slot_sizes(rows, slots)
     first = first_map(slots, shards)
     path = store_map(spark, {1: first, 2: rebalanced(first, [b for b, _ in sizes], shards)}, sizes)
