@@ -215,8 +215,8 @@ def prefix_nodes(turns: DataFrame) -> DataFrame:
         *KEY, "conv_id", "n_convs", "up", (F.col("n_convs") == F.col("n_ends")).cast("bigint").alias("n_leaves"),
         ((F.col("n_convs") - 1) * F.col("chars")).alias("saved_tokens"),
     ), "nodes")
-    above = F.size("up") - F.lit(2)
-    parent = [F.when(F.col("depth") > 0, F.col("depth") - 1).alias("depth"), F.get("up", above).alias("p1"), F.get("up", above + 1).alias("p2")]
+    last = F.size("up") - F.lit(2)
+    parent = [F.when(F.col("depth") > 0, F.col("depth") - 1).alias("depth"), F.get("up", last).alias("p1"), F.get("up", last + 1).alias("p2")]
     children = nodes.where("depth > 0").groupBy(*parent).agg(F.count("*").alias("n_children"))
     totals = _subtree_totals(nodes, prefixes, deepest or 0)
     empty = hashlib.sha256(b"").hexdigest()
@@ -225,7 +225,8 @@ def prefix_nodes(turns: DataFrame) -> DataFrame:
     )
     up = nodes.select(*[F.col(k).alias(f"parent_{k}") for k in KEY], F.col("conv_id").alias("parent_conv_id"))
     keyed = rows.select("*", *[c.alias(f"parent_{k}") for c, k in zip(parent, KEY)])
-    linked = salted_join(keyed, up, [f"parent_{k}" for k in KEY], "left", salt_by=F.col("p1"))
+    above = nodes.select(*[c.alias(f"parent_{k}") for c, k in zip(parent, KEY)])
+    linked = salted_join(keyed, up, [f"parent_{k}" for k in KEY], "left", salt_by=F.col("p1"), counted=above)
     return linked.select(
         "conv_id", "depth", "parent_conv_id", "n_convs", F.coalesce("n_children", F.lit(0)).cast("bigint").alias("n_children"), "n_leaves", "saved_tokens",
         F.coalesce("ends_sha256", F.lit(empty)).alias("ends_sha256"),
