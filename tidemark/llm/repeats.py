@@ -52,7 +52,7 @@ def _tables() -> dict:
             powers = np.full(BLOCK + SPAN + 2, b, np.uint64)
             powers[0] = 1
             kept[name] = np.multiply.accumulate(powers)
-        kept["bytes"] = np.random.default_rng(50).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+        kept["bytes"], kept["others"] = (np.random.default_rng(n).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1) for n in (50, 51))
     return kept
 
 
@@ -405,20 +405,109 @@ def sort_stretches(batches):
         yield out
 
 
-def strings_of(stretch: Column) -> Column:
-    """Array of ``(start, string)`` of a stretch."""
-    starts = F.sequence(F.lit(0), F.octet_length(stretch) - SPAN)
-    return F.transform(starts, lambda i: F.struct(i.alias("start"), F.substring(stretch, i + 1, F.lit(SPAN)).alias("string")))
+STRINGS = pa.schema([("bucket", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("doc", pa.binary()), ("uid", pa.binary()), ("first", pa.binary()), ("stop", pa.binary())])
+STRINGS_DDL = "bucket int, a binary, b binary, doc binary, uid binary, first binary, stop binary"
+#: Strings that a task gathers before it compares and sends them.
+STRINGS_AT_ONCE = 400_000
+
+
+def _string_hashes(data: np.ndarray, offsets: np.ndarray):
+    """128 bits of every string of some stretches: row, place in the row, two hashes."""
+    tables, n = _tables(), int(offsets[-1] - offsets[0])
+    own = data[offsets[0]:offsets[-1]]
+    hashes = []
+    for name in ("bytes", "others"):
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(tables[name][own] * tables["up"][:n], out=sums[1:])
+        hashes.append(mixed((sums[SPAN:] - sums[:-SPAN]) * tables["down"][:n - SPAN + 1]))
+    counts = np.maximum(np.diff(offsets) - SPAN + 1, 0)
+    row = np.repeat(np.arange(len(counts)), counts)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+    at = offsets[:-1][row] - offsets[0] + place
+    return row, place, hashes[0][at], hashes[1][at]
+
+
+def _covered_strings(a, b, doc, uid, first):
+    """Those that a smaller document has, as merged intervals ``(uid, first, stop)``; and the others as they came, each once."""
+    order = np.lexsort((first, uid, doc, b, a))
+    a, b, doc, uid, first = (x[order] for x in (a, b, doc, uid, first))
+    if not len(a):
+        return (uid, first, first), (a, b, doc, uid, first)
+    heads = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+    least = np.repeat(doc[heads], np.diff(np.r_[heads, len(a)]))
+    gone = doc > least
+    u, f = uid[gone], first[gone]
+    order = np.lexsort((f, u))
+    u, f = u[order], f[order]
+    head = np.flatnonzero(np.r_[True, (u[1:] != u[:-1]) | (f[1:] > f[:-1] + SPAN)]) if len(u) else np.zeros(0, int)
+    ends = np.r_[head[1:] - 1, len(u) - 1] if len(u) else head
+    return (u[head], f[head], f[ends] + SPAN), tuple(x[~gone] for x in (a, b, doc, uid, first))
+
+
+def send_strings(buckets: int):
+    """Stretches of hot anchors to their strings by hash. What a task can tell by itself goes on as intervals: of a string in
+    several documents only the smallest one's travels, so a hot string is a row per task, not one per document."""
 
+    def run(batches):
+        waiting, held = [], 0
 
-def hot_strings(stretches: DataFrame) -> DataFrame:
-    """As ``sort_stretches``, for anchors with very many stretches: each string's smallest document is a partial
-    aggregate, joined back by string, so that no anchor has to fit a task."""
-    each = stretches.select("uid", "doc", "first", F.explode(strings_of(F.col("bytes"))).alias("x")).select(
-        "uid", "doc", (F.col("first") + F.col("x.start")).alias("first"), F.col("x.string").alias("string")
-    )
-    least = each.groupBy("string").agg(F.min("doc").alias("least"))
-    return each.join(least, "string").where("doc > least").select("uid", "first", (F.col("first") + SPAN).alias("stop"))
+        def flush():
+            told, (a, b, doc, uid, first) = _covered_strings(*(np.concatenate(x) for x in zip(*waiting)))
+            to = (a % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(to, kind="stable")
+            cuts = np.flatnonzero(np.r_[True, np.diff(to[order]) != 0]) if len(to) else np.zeros(0, int)
+            rows = []
+            for x, y in zip(cuts, np.r_[cuts[1:], len(to)]):
+                at = order[x:y]
+                rows.append((int(to[at[0]]), *(v[at].tobytes() for v in (a, b, doc, uid, first)), None))
+            if len(told[0]):
+                rows.append((int(mixed(told[0][:1].view(np.uint64))[0] % np.uint64(buckets)), None, None, None, *(v.tobytes() for v in told)))
+            return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows), STRINGS)], schema=STRINGS)
+
+        for batch in slices(batches, 256):
+            uid, doc, first = (batch.column(i).to_numpy() for i in range(3))
+            data, offsets = as_bytes(batch.column(3))
+            i = 0
+            while i < len(uid):
+                j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + BLOCK, side="right")) - 1)
+                j = min(j, len(uid))
+                row, place, a, b = _string_hashes(data, offsets[i:j + 1])
+                waiting.append((a, b, doc[i:j][row], uid[i:j][row], first[i:j][row] + place))
+                held += len(row)
+                i = j
+            if held >= STRINGS_AT_ONCE:
+                yield flush()
+                waiting, held = [], 0
+        if held:
+            yield flush()
+
+    return run
+
+
+def compare_strings(batches):
+    """Rows sorted by bucket to ``(uid, first, stop)``."""
+
+    def solved(rows: list[dict]):
+        parts = [[np.frombuffer(r[c], np.uint64 if c in "ab" else np.int64) for c in ("a", "b", "doc", "uid", "first")] for r in rows if r["a"] is not None]
+        found = [_covered_strings(*(np.concatenate(x) for x in zip(*parts)))[0]] if parts else []
+        found += [tuple(np.frombuffer(r[c], np.int64) for c in ("uid", "first", "stop")) for r in rows if r["a"] is None]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], names=["uid", "first", "stop"])
+
+    kept = []
+    for batch in slices(batches, 64):
+        for row in batch.to_pylist():
+            if kept and row["bucket"] != kept[0]["bucket"]:
+                yield solved(kept)
+                kept = []
+            kept.append(row)
+    if kept:
+        yield solved(kept)
+
+
+def hot_strings(stretches: DataFrame, buckets: int) -> DataFrame:
+    """As ``sort_stretches``, for anchors with very many stretches: their strings meet by hash, so no anchor has to fit a task."""
+    sent = stretches.select("uid", "doc", "first", "bytes").mapInArrow(send_strings(buckets), STRINGS_DDL)
+    return sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(compare_strings, "uid bigint, first bigint, stop bigint")
 
 
 RESULT = T.StructType([
@@ -471,7 +560,7 @@ def repeated_strings(docs: DataFrame, *, key: str = "doc_id", text: str = "text"
     hot = settle(stretches.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > TOGETHER).select("h"), "repeats-hot")
     few = stretches.join(hot, "h", "left_anti").select("uid", "doc", "first", "bytes", "h")
     many = stretches.join(hot, "h", "left_semi").select("uid", "doc", "first", "bytes")
-    solved = few.repartition("h").sortWithinPartitions("h").mapInArrow(sort_stretches, "uid bigint, first bigint, stop bigint").union(hot_strings(many))
+    solved = few.repartition("h").sortWithinPartitions("h").mapInArrow(sort_stretches, "uid bigint, first bigint, stop bigint").union(hot_strings(many, 4 * int(buckets)))
     spans = solved.groupBy("uid").agg(F.collect_set(F.struct("first", "stop")).alias("found"))
     texts = found.where("raw IS NOT NULL").select("uid", "raw", "covered").dropDuplicates(["uid"])
     changed = texts.join(spans, "uid", "left").select("uid", cut_out("raw", "covered", "found").alias("x")).where("x.n_removed > 0")
