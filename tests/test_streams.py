@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from tidemark.session import fresh_path
-from tidemark.streaming import flows, sources, stateful
+from tidemark.streaming import flows, offset_log, sources, stateful
 
 
 def land(df, path, mode="append"):
@@ -95,3 +95,33 @@ def test_caller_hook_gets_every_batch(spark):
     hook = lambda batch, batch_id: (seen.append(batch_id), batch.write.mode("overwrite").parquet(sources.batch_folder(out, batch_id)))
     sources.run_available(flows.each_batch(sources.table_stream(spark, path, "id BIGINT"), hook, f"{out}-checkpoint"))
     assert seen == [0] and spark.read.parquet(out).count() == 5
+
+
+def test_offsets_are_the_position_of_the_stream(spark):
+    """A restart goes on at the committed offsets, a replay from given ones gives the same events, segments before them are not opened."""
+    path, out = fresh_path(spark, "offset-log"), fresh_path(spark, "out")
+    fields = "topic STRING, part INT, off BIGINT, key STRING, value BINARY"
+    rows = [("t", p, i, f"k{i}", bytearray(b'{"event_type":"a","payload":%d}' % i)) for p in (0, 1) for i in range(25)]
+    log = spark.createDataFrame(rows, fields).withColumn("ts", F.lit("2024-03-01 00:00:00").cast("timestamp_ntz")).select("topic", "part", "off", "key", "ts", "value")
+
+    def run(target, starting=None):
+        stream = offset_log.offset_log(spark, path, starting, rows_a_segment=10)
+        query = sources.run_available(stream.select("part", "off").writeStream.format("parquet").option("path", target).option("checkpointLocation", f"{target}-checkpoint"))
+        return query.lastProgress
+
+    def offsets(target):
+        return sorted(tuple(r) for r in spark.read.parquet(target).collect())
+
+    offset_log.land_log(log.filter("off < 12"), path, 10)
+    run(out)
+    assert offsets(out) == [(p, i) for p in (0, 1) for i in range(12)]
+    offset_log.land_log(log.filter("off >= 12"), path, 10)
+    progress = run(out)
+    assert offsets(out) == [(p, i) for p in (0, 1) for i in range(25)]
+    assert '"0": 25' in str(progress["sources"][0]["endOffset"]).replace("'", '"')
+    replay = f"{out}-replay"
+    run(replay, {0: 20, 1: 23})
+    assert offsets(replay) == [(0, i) for i in range(20, 25)] + [(1, 23), (1, 24)]
+    reader = offset_log.OffsetReader({"path": path, "rowsasegment": "10", "startingoffsets": "{}"})
+    asked = reader.partitions({"0": 20, "1": 23}, reader.latestOffset())
+    assert [(r.part, r.start, r.end) for r in asked] == [(0, 20, 25), (1, 23, 25)]
