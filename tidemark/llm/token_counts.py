@@ -17,18 +17,19 @@ An overlap without such a place is widened fourfold, and the chunks with it, unt
 
 from __future__ import annotations
 
-import hashlib
+import json
 import os
 import re
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType
 from tokenizers import Tokenizer
 
 from ..session import settle
-from .bpe import WHITE, Recent, byte_letters, read_vocabulary
+from .bpe import WHITE, byte_letters, read_vocabulary
 from .common import ROWS_AT_ONCE, by_value, kept_in_worker, no_cycles
 
 #: Code points of a chunk (longer texts are cut) and of the part it shares with the chunk before.
@@ -37,6 +38,11 @@ WIDER = 4
 INSIDE, BETWEEN = 0, 1
 #: A run never crosses from a sign to white space, and into a sign only from one space; these pieces are whole runs.
 PIECES = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+").findall
+#: Fixed value: the runs that a byte-level vocabulary of this kind merges within.
+RUNS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Texts whose runs are no longer go whole to the faster of two encoders, whose time grows with the square of a run.
+SHORT_RUN = 256
+LONG_SPACE = re.compile(f"[{WHITE}]{{{SHORT_RUN + 1}}}").search
 #: Fixed classes of ASCII; 0 stands for all that is not ASCII.
 LETTER, DIGIT, OTHER, SPACE = 1, 2, 3, 4
 
@@ -48,11 +54,23 @@ def _classes() -> np.ndarray:
     return out
 
 
-class Counter(Recent):
-    """Piece of a text -> number of its tokens, and the library's encoder with what splicing needs to know."""
+def _by_ranks(spec: dict) -> tiktoken.Encoding | None:
+    """The same merges as a table of ranks; None for a vocabulary that such a table does not describe."""
+    cut, model = spec["pre_tokenizer"], spec["model"]
+    plain = cut["type"] == "ByteLevel" and cut["use_regex"] and not cut["add_prefix_space"] and not spec["normalizer"] and not model["ignore_merges"]
+    letters = byte_letters()
+    byte = {x: b for b, x in enumerate(letters)}
+    merged = ["".join(pair if isinstance(pair, list) else pair.split(" ")) for pair in model["merges"]]
+    if not plain or len({*letters, *merged}) != 256 + len(merged):
+        return None
+    ranks = {bytes([byte[x] for x in token]): rank for rank, token in enumerate([*letters, *merged])}
+    return tiktoken.Encoding("ranks", pat_str=RUNS, mergeable_ranks=ranks, special_tokens={})
+
+
+class Counter:
+    """Numbers of tokens, and the library's encoder with what splicing needs to know."""
 
     def __init__(self, file_text: str):
-        super().__init__()
         self.library = Tokenizer.from_str(file_text)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.cut_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
@@ -60,9 +78,15 @@ class Counter(Recent):
         self.sizes = np.zeros(max(self.names) + 1, np.int64)
         self.sizes[list(self.names)] = [len(s) for s in self.names.values()]
         self.classes = _classes()
+        self.ranks = _by_ranks(json.loads(file_text))
 
-    def make(self, piece: str) -> int:
-        return len(self.library.encode(piece, add_special_tokens=False))
+    def count_segment(self, text: str) -> int:
+        if self.ranks is None:
+            return len(self.library.encode(text, add_special_tokens=False))
+        if max(map(len, text.split()), default=0) <= SHORT_RUN and not LONG_SPACE(text):
+            return len(self.ranks.encode_ordinary(text))
+        sizes = ((self.ranks.encode_ordinary(p) if len(p) <= SHORT_RUN else self.library.encode(p, add_special_tokens=False)) for p in PIECES(text))
+        return sum(map(len, sizes))
 
     def segments(self, text: str) -> list[str]:
         """The texts between special tokens, each encoded by itself."""
@@ -72,7 +96,7 @@ class Counter(Recent):
 
     def count(self, text: str) -> int:
         parts = self.segments(text)
-        return len(parts) - 1 + sum([sum(map(self.__getitem__, PIECES(part))) for part in parts])
+        return len(parts) - 1 + sum(map(self.count_segment, parts))
 
     def boundaries(self, text: str) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Number of tokens, and of every boundary that may serve as a splice: code point, tokens before it, kind, ids beside it."""
@@ -115,7 +139,7 @@ class Counter(Recent):
 def _counter(file_text: str) -> Counter:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     kept = kept_in_worker("token counts")
-    mark = hashlib.sha1(file_text.encode()).digest()
+    mark = hash(file_text)  # computed once for the broadcast text, not for every row
     if mark not in kept:
         kept.clear()
         kept[mark] = Counter(file_text)
