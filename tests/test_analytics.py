@@ -118,3 +118,17 @@ def test_salted_join_equals_the_join(spark):
     for how in ("inner", "left", "left_semi", "left_anti"):
         expected = sorted(many.join(one, "k", how).collect(), key=str)
         assert sorted(spread.salted_join(many, one, ["k"], how, salts=4).collect(), key=str) == expected
+
+
+def test_stored_sketches_unite_over_ranges_and_batches(spark):
+    rows = spark.range(60_000).select(
+        F.concat(F.lit("s"), F.col("id") % 20_000).alias("source"), F.lit(None).cast("timestamp_ntz").alias("deleted_at"),
+        F.timestamp_micros(F.col("id") * 1_000_000 + 1_704_067_200_000_000).cast("timestamp_ntz").alias("timestamp"),
+    )
+    halves = [analytics.distinct_sketches(rows.filter(F.crc32("source") % 2 == i)) for i in (0, 1)]
+    both = halves[0].unionByName(halves[1])
+    found = analytics.estimated_distinct(both, "2024-01-01", "2024-01-02").first()["estimate"]
+    assert abs(found - 20_000) <= 0.05 * 20_000
+    hour = analytics.estimated_distinct(both, "2024-01-01 01:00:00", "2024-01-01 02:00:00").first()["estimate"]
+    assert abs(hour - 3600) <= 0.05 * 3600
+    assert analytics.estimated_distinct(both, "2030-01-01", "2030-01-02").first()["estimate"] == 0

@@ -321,6 +321,24 @@ def refreshed_hours(spark, sf):
     return flows.read_hours(spark, parts)
 
 
+@report(
+    "estimated_readings",
+    f"""{ON_RECORDS} SELECT count(DISTINCT raw_data) AS readings, true AS close FROM active
+    WHERE "timestamp" >= TIMESTAMP '2024-01-05 00:00:00' AND "timestamp" < TIMESTAMP '2024-01-25 00:00:00'""",
+)
+def estimated_readings(spark, sf):
+    """Distinct readings of a range from stored sketches of the hot and the archived hours, within three standard errors of the exact count."""
+    from ..operators import analytics
+
+    rows, path = tables.records(spark, sf), fresh_path(spark, "sketches")
+    for tier in ("timestamp < '2024-01-15 00:30:00'", "timestamp >= '2024-01-15 00:30:00'"):
+        months.append_months(analytics.distinct_sketches(rows.filter(tier), "raw_data"), path, "hour")
+    stored = months.read_months(spark, path, analytics.SKETCHES)
+    found = analytics.estimated_distinct(stored, "2024-01-05 00:00:00", "2024-01-25 00:00:00")
+    exact = mutations.active_only(rows).filter("timestamp >= '2024-01-05' AND timestamp < '2024-01-25'").agg(F.count_distinct("raw_data").alias("n")).scalar()
+    return found.withColumn("readings", exact).select("readings", (F.abs(F.col("estimate") - F.col("readings")) <= 0.05 * F.col("readings")).alias("close"))
+
+
 @report(
     "upserted_points",
     f"""{with_views(POINTS)} SELECT id, CAST(CASE WHEN label < 5 THEN label + 100 ELSE label END AS BIGINT) AS label, round(vector[1], 6) AS first FROM points
