@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 
@@ -102,7 +103,8 @@ def salted_join(
     if not heavy:
         return many.join(one, list(on), how)
     # No more than ``salts`` rows, so it may go to every task.
-    pieces = F.broadcast(many.sparkSession.createDataFrame(heavy, "_key BIGINT, _pieces INT"))
+    listed = F.from_json(F.lit(json.dumps([{"_key": k, "_pieces": n} for k, n in heavy])), "array<struct<_key: bigint, _pieces: int>>")
+    pieces = F.broadcast(many.sparkSession.range(1).select(F.inline(listed)))
     number = F.coalesce("_pieces", F.lit(1))
     marked = lambda df: df.withColumn("_key", F.xxhash64(*on)).join(pieces, "_key", "left").withColumn("_n", number)
     mixed = F.xxhash64(salt_by) if salt_by is not None else F.xxhash64(*many.columns)
