@@ -8,9 +8,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.scalars import instant
-from ..operators import analytics, deltas, documents, events, mutations, quality
+from ..operators import analytics, deltas, documents, events, mutations, quality, reads
 from ..session import scratch, settle
-from ..sources import files, months, versions
+from ..sources import files, months, positions, versions, zones
 
 
 def scrape_job(
@@ -177,3 +177,35 @@ def refresh_hours(spark: SparkSession, records_path: str, parts_path: str, log:
 def read_hours(spark: SparkSession, parts_path: str) -> DataFrame:
     """The hourly table as of the last refresh."""
     return analytics.combine_hours(months.read_months(spark, parts_path, deltas.PARTS).filter("rows > 0"), with_list=True)
+
+
+def refresh_positions(spark: SparkSession, index: positions.PositionIndex, log: str) -> None:
+    """Bring the counts for deep pages up to the newest logged change."""
+    index.refresh(log, max(_numbers(spark, log, "change_id"), default=0))
+    index.merge()
+
+
+def extract_changes(spark: SparkSession, path: str, target: str, runs: str, as_of: datetime | str) -> int:
+    """Append what changed in the records after the last run, up to ``as_of``, to ``target``, a folder per run; returns the number of rows.
+
+    Only files that hold a change are read. The folder is written before the run is logged: a run that stopped in between is repeated
+    from the same moment and replaces its folder. A logged run, or an earlier ``as_of``, extracts nothing more.
+    """
+    done = spark.read.parquet(runs) if _holds(spark, runs) else spark.createDataFrame([], "status STRING, completed_at TIMESTAMP_NTZ")
+    last = reads.last_success(done).first()["last_run"]
+    until = spark.range(1).select(instant(as_of).alias("t"), F.date_format(instant(as_of), "yyyyMMddHHmmssSSSSSS").alias("name")).first()
+    if until["t"] <= last:
+        return 0
+    zone = zones.ZoneMap(spark, path)
+    zone.note()
+    changed = zone.changed_since(last).filter(F.col("updated_at") <= instant(as_of))
+    folder = f"{target}/run={until['name']}"
+    changed.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
+    rows = spark.read.schema(changed.schema).parquet(folder).count()
+    log_run(spark, runs, "extract", as_of, rows)
+    return rows
+
+
+def _holds(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)

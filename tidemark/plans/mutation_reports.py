@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import month_of
 from ..operators import joins, mutations, quality
 from ..session import fresh_path
-from ..sources import files, months, tables, versions
+from ..sources import files, months, positions, tables, versions
 from ..sources.tables import table
 from .registry import report, with_views
 from .views import ACTIVE, CHECKED, COLUMNS, POINTS, RECORDS, REQUESTS
@@ -321,6 +321,47 @@ def refreshed_hours(spark, sf):
     return flows.read_hours(spark, parts)
 
 
+@report(
+    "extracted_changes",
+    f"""{with_views(RECORDS)} SELECT id, source, id % 10 = 4 OR processed AS processed, "timestamp",
+      CASE WHEN id % 10 = 4 THEN TIMESTAMP '2024-03-01 00:00:00' ELSE updated_at END AS updated_at,
+      CAST(CASE WHEN id % 10 = 4 THEN 2 ELSE 1 END AS BIGINT) AS run
+    FROM records UNION ALL SELECT id, source, processed, "timestamp", updated_at, 1 FROM records WHERE id % 10 = 4""",
+)
+def extracted_changes(spark, sf):
+    """Two extracts: the whole table, then, from the files that hold a change, rows marked since."""
+    from . import flows
+
+    rows = tables.records(spark, sf)
+    path, log, target, runs = months.new_table(spark, rows), *(fresh_path(spark, n) for n in ("changes", "extract", "extract-runs"))
+    flows.extract_changes(spark, path, target, runs, "2024-02-20 00:00:00")
+    mark = lambda df: mutations.mark_processed(df, df.select("id"), "2024-03-01 00:00:00")
+    flows.change_records(spark, path, log, 1, rows.filter("id % 10 = 4").select("id"), mark)
+    flows.extract_changes(spark, path, target, runs, "2024-03-02 00:00:00")
+    number = F.when(F.col("run").cast("string") < "20240301", 1).otherwise(2)
+    return spark.read.parquet(target).select("id", "source", "processed", "timestamp", "updated_at", number.alias("run"))
+
+
+@report(
+    "indexed_offset_page",
+    f"""{with_views(RECORDS)} SELECT {COLUMNS.replace("updated_at, deleted_at", "updated_at")} FROM records
+    WHERE deleted_at IS NULL AND id % 17 <> 3 ORDER BY id LIMIT 100 OFFSET 600""",
+)
+def indexed_offset_page(spark, sf):
+    """A page behind 600 active rows after deletes, from the ranges of ids that the index names."""
+    from . import flows
+
+    rows = tables.records(spark, sf)
+    path, log = months.new_table(spark, rows), fresh_path(spark, "changes")
+    index = positions.PositionIndex(spark, fresh_path(spark, "positions"), width=512)
+    flows.log_change(log, 1, rows.limit(0), rows)
+    flows.refresh_positions(spark, index, log)
+    gone = lambda df: mutations.soft_delete(df, df.select("id"), AS_OF)
+    flows.change_records(spark, path, log, 2, rows.filter("id % 17 = 3").select("id"), gone)
+    flows.refresh_positions(spark, index, log)
+    return index.page(months.read_months(spark, path).drop("ym"), 600, 100).drop("deleted_at")
+
+
 @report(
     "estimated_readings",
     f"""{ON_RECORDS} SELECT count(DISTINCT raw_data) AS readings, true AS close FROM active
