@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -132,3 +133,35 @@ def test_stored_sketches_unite_over_ranges_and_batches(spark):
     hour = analytics.estimated_distinct(both, "2024-01-01 01:00:00", "2024-01-01 02:00:00").first()["estimate"]
     assert abs(hour - 3600) <= 0.05 * 3600
     assert analytics.estimated_distinct(both, "2030-01-01", "2030-01-02").first()["estimate"] == 0
+
+
+def outlier_rows(df):
+    return sorted((r.id, r.source, r.value, r.percentile_rank) for r in df.collect())
+
+
+def test_outliers_by_bars_equal_the_full_ranking(spark, make_records):
+    rnd = random.Random(6)
+    raw = lambda i: rnd.choice(['{"value": %d}' % rnd.randint(-50, 50), '{"value": %f}' % rnd.gauss(0, 9), "{}", '{"value": 7}'])
+    many = [(i, "big" if i < 2500 else "few", f"2024-0{1 + i % 3}-15 10:00:00", raw(i), False, None if i % 9 else "2024-04-01 00:00:00") for i in range(2520)]
+    same = [(5000 + i, "same", "2024-01-15 10:00:00", '{"value": 1}') for i in range(50)] + [(6000, "one", "2024-01-15 10:00:00", "{}"), (6001, None, "2024-01-15 10:00:00", "{}")]
+    rows = make_records(*many, *same)
+    sketches = analytics.value_sketches(rows)
+    for share in (0.0, 0.02, 0.3, 1.0):
+        assert outlier_rows(analytics.percentile_outliers_over(rows, sketches, share)) == outlier_rows(analytics.percentile_outliers(rows, share))
+    few = analytics.value_bars(sketches, 0.02).filter("source = 'big'").first()
+    above = rows.filter(f"source = 'big' AND deleted_at IS NULL AND coalesce(try_cast(get_json_object(raw_data, '$.value') AS double), 0) >= {few.bar}")
+    assert few.total == 2222 and above.count() < 0.1 * few.total  # a small share is shuffled
+
+
+def test_a_bar_that_is_too_high_loses_nothing(spark, make_records, monkeypatch):
+    rows = make_records(*[(i, "ab"[i % 2], "2024-01-15 10:00:00", '{"value": %d}' % i) for i in range(100)])
+    sketches = analytics.value_sketches(rows)
+    whole = outlier_rows(analytics.percentile_outliers(rows, 0.2))
+    true_bars = analytics.value_bars
+    monkeypatch.setattr(analytics, "value_bars", lambda s, share: true_bars(s, share).withColumn("bar", F.when(F.col("source") == "a", 96.0).otherwise(F.col("bar"))))
+    assert outlier_rows(analytics.percentile_outliers_over(rows, sketches, 0.2)) == whole
+
+
+def test_outliers_of_nothing(spark, make_records):
+    rows = make_records((1, "a", "2024-01-15 10:00:00", "{}")).limit(0)
+    assert analytics.percentile_outliers_over(rows, analytics.value_sketches(rows), 0.1).collect() == []

@@ -1,5 +1,8 @@
+import random
+
 from pyspark.sql import functions as F
 
+from tidemark.operators import ratelimit
 from tidemark.session import fresh_path
 from tidemark.streaming import flows, offset_log, sources, stateful
 
@@ -63,16 +66,40 @@ def test_state_carries_over_micro_batches(spark):
 def test_state_of_a_quiet_key_is_dropped(spark):
     path, out = fresh_path(spark, "requests"), fresh_path(spark, "decisions")
     schema = "event_id BIGINT, key STRING, ts TIMESTAMP_NTZ"
-    batches = [[(0, "a", "00:00:00"), (1, "b", "00:00:01")], [(2, "b", "00:30:00")], [(3, "b", "00:30:01"), (4, "a", "00:30:02")]]
+    batches = [
+        [(0, "a", "00:00:00"), (1, "b", "00:00:01")], [(2, "b", "00:30:00")], [(3, "b", "00:30:01"), (4, "a", "00:30:02")],
+        [(5, None, "00:45:00")], [(6, None, "01:00:00")],
+    ]
     states = []
     for batch in batches:
         rows = spark.createDataFrame(batch, "event_id BIGINT, key STRING, at STRING")
         land(rows.select("event_id", "key", F.concat(F.lit("2024-03-01 "), "at").cast("timestamp_ntz").alias("ts")), path)
         decided = stateful.dedupe_ttl_stream(sources.table_stream(spark, path, schema), 60, "1 minute")
-        query = sources.run_available(decided.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-checkpoint"))
-        states.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
-    assert {r.event_id: r.accepted for r in spark.read.parquet(out).collect()} == {0: True, 1: True, 2: True, 3: False, 4: True}
-    assert states[1] == 1  # the state of the key that stayed quiet is gone
+        sources.run_available(decided.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-checkpoint"))
+        held = spark.read.format("statestore").option("stateVarName", "last").load(f"{out}-checkpoint")
+        states.append({r.k for r in held.select("key.key").withColumnRenamed("key", "k").collect()})
+    expected = {0: True, 1: True, 2: True, 3: False, 4: True, 5: True, 6: True}
+    assert {r.event_id: r.accepted for r in spark.read.parquet(out).collect()} == expected
+    assert states[1] == {"b"} and states[4] <= {None}  # what stayed quiet is gone
+
+
+def test_ttl_stream_equals_the_batch_rule_over_restarts(spark):
+    """Rows a few seconds apart, in five micro-batches that are each a run of its own."""
+    path, out = fresh_path(spark, "requests"), fresh_path(spark, "decisions")
+    schema = "event_id BIGINT, key STRING, ts TIMESTAMP_NTZ"
+    rnd, clock, rows = random.Random(4), 0, []
+    for i in range(300):
+        clock += rnd.choice([0, 200, 900, 4_000, 31_000])
+        rows.append((i, rnd.choice(["a", "a", "b", "c"]), clock))
+    whole = spark.createDataFrame(rows, "event_id BIGINT, key STRING, ms BIGINT")
+    whole = whole.select("event_id", "key", F.expr("TIMESTAMP_NTZ '2024-03-01 00:00:00' + make_dt_interval(0, 0, 0, ms / 1000.0)").alias("ts"))
+    for part in range(5):
+        land(whole.filter(F.floor(F.col("event_id") / 60) == part), path)
+        decided = stateful.dedupe_ttl_stream(sources.table_stream(spark, path, schema), 30, "1 minute")
+        sources.run_available(decided.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-checkpoint"))
+    found = {r.event_id: r.accepted for r in spark.read.parquet(out).collect()}
+    assert found == {r.event_id: r.accepted for r in ratelimit.dedupe_ttl(whole, 30).collect()} and len(found) == 300
+    assert set(found.values()) == {True, False}
 
 
 def test_a_repeated_batch_changes_no_ledger(spark):

@@ -11,7 +11,8 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.scalars import check_range, hour_of, instant, number_at, pct
+from ..functions.scalars import check_range, hour_of, instant, month_of, number_at, pct
+from ..session import settle
 from ..schemas import SUMMARY_HOURS, TOP_HOURS, TOP_ROWS
 from .reads import active_only, by_source, newest_first, recent
 from .spread import rank_levels, value_levels
@@ -20,6 +21,11 @@ VALUE_PATH = "$.value"
 #: Two to this many registers a sketch: a standard error of 1.6 %.
 SKETCH_BITS = 12
 SKETCHES = "hour TIMESTAMP_NTZ, sketch BINARY"
+#: Size of a quantile sketch: its ranks are off by about 0.2 %.
+QUANTILE_K = 1600
+#: By how much of the rows a bar from sketches is set lower than asked.
+BAR_SLACK = 0.01
+VALUE_SKETCHES = "month TIMESTAMP_NTZ, source STRING, total BIGINT, sketch BINARY"
 
 
 def hour_source_parts(df: DataFrame, average: Column, low_high: Column) -> DataFrame:
@@ -231,6 +237,40 @@ def percentile_outliers(df: DataFrame, top_share: float, value_path: str = VALUE
     return rows.join(kept.select("source", "value", F.round("percentile_rank", 4).alias("percentile_rank")), ["source", "value"])
 
 
+def value_sketches(df: DataFrame, value_path: str = VALUE_PATH) -> DataFrame:
+    """Rows and a sketch of the values per month and source. Sketches of batches and tiers add up; a month that lost rows is sketched anew."""
+    rows = _ranked_values(active_only(df).filter(F.col("timestamp").isNotNull()), value_path)
+    month = F.to_timestamp_ntz(month_of("timestamp"), F.lit("yyyyMM")).alias("month")
+    return rows.groupBy(month, "source").agg(F.count(F.lit(1)).alias("total"), F.kll_sketch_agg_double("value", F.lit(QUANTILE_K)).alias("sketch"))
+
+
+def value_bars(sketches: DataFrame, top_share: float) -> DataFrame:
+    """``source``, ``total`` rows, and a ``bar`` that the values of the top share very probably reach."""
+    merged = sketches.filter("source IS NOT NULL").groupBy("source").agg(F.sum("total").alias("total"), F.kll_merge_agg_double("sketch").alias("sketch"))
+    share = max(0.0, 1 - top_share - BAR_SLACK)
+    return merged.select("source", "total", F.kll_sketch_get_quantile_double("sketch", F.lit(share)).alias("bar"))
+
+
+def percentile_outliers_over(df: DataFrame, sketches: DataFrame, top_share: float, value_path: str = VALUE_PATH) -> DataFrame:
+    """``percentile_outliers`` of whole months, given their sketches: only values above a bar are shuffled and ranked.
+
+    Ranks are exact, as all higher values are above the bar too. That a bar let enough rows through is counted; a source
+    whose bar was too high, by the sketch's error, is ranked without one.
+    """
+    rows = _ranked_values(active_only(df).filter(F.col("timestamp").isNotNull()), value_path)
+    bars = settle(value_bars(sketches, top_share), "value-bars")
+    levels = settle(value_levels(rows.join(bars, "source").filter("value >= bar"), "source", "value"), "value-levels")
+    passed = levels.groupBy("source").agg(F.sum("ties").alias("passed"))
+    wanted = F.floor(F.lit(top_share) * (F.col("total") - 1)) + 1
+    short = settle(bars.join(passed, "source", "left").filter(F.coalesce("passed", F.lit(0)) < wanted), "short-bars")
+    if not short.isEmpty():
+        levels = levels.unionByName(value_levels(rows.join(short, "source").filter("value < bar"), "source", "value"))
+    ranked = rank_levels(levels, "source", "value").drop("total").join(bars.select("source", "total"), "source")
+    share = F.coalesce(F.try_divide((F.col("rank") - 1).cast("double"), F.col("total") - 1), F.lit(0.0))
+    kept = ranked.withColumn("percentile_rank", share).filter(F.col("percentile_rank") <= top_share)
+    return rows.join(kept.select("source", "value", F.round("percentile_rank", 4).alias("percentile_rank")), ["source", "value"])
+
+
 def group_summary(df: DataFrame, keys: Sequence[str], mean_max: str, total: str) -> DataFrame:
     """Mean and maximum of one column and the sum of another per group."""
     return df.groupBy(*keys).agg(

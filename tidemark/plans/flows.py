@@ -185,6 +185,12 @@ def refresh_positions(spark: SparkSession, index: positions.PositionIndex, log:
     index.merge()
 
 
+def sketch_months(spark: SparkSession, records_path: str, sketches_path: str, touched: list[str]) -> None:
+    """Sketch the values of months anew, after rows of them came, went or changed."""
+    rows = months.read_months(spark, records_path, months=touched).drop("ym")
+    months.replace_months(analytics.value_sketches(rows), sketches_path, touched, "month")
+
+
 def extract_changes(spark: SparkSession, path: str, target: str, runs: str, as_of: datetime | str) -> int:
     """Append what changed in the records after the last run, up to ``as_of``, to ``target``, a folder per run; returns the number of rows.
 

@@ -362,6 +362,28 @@ def indexed_offset_page(spark, sf):
     return index.page(months.read_months(spark, path).drop("ym"), 600, 100).drop("deleted_at")
 
 
+@report(
+    "outliers_by_sketch",
+    f"""{with_views(RECORDS)} SELECT id, source, "timestamp", value, processed, round(p, 4) AS percentile_rank FROM (
+      SELECT id, source, "timestamp", coalesce(value, 0) AS value, processed,
+        percent_rank() OVER (PARTITION BY source ORDER BY coalesce(value, 0) DESC) AS p FROM records
+      WHERE deleted_at IS NULL AND id % 17 <> 3) WHERE p <= 0.05""",
+)
+def outliers_by_sketch(spark, sf):
+    """The top twentieth of every source after deletes, from stored sketches of the archived and the hot months."""
+    from ..operators import analytics
+    from . import flows
+
+    rows = tables.records(spark, sf)
+    path, log, stored = months.new_table(spark, rows), fresh_path(spark, "changes"), fresh_path(spark, "value-sketches")
+    flows.sketch_months(spark, path, stored, months.months_of(rows))
+    gone = rows.filter("id % 17 = 3")
+    flows.change_records(spark, path, log, 1, gone.select("id"), lambda df: mutations.soft_delete(df, df.select("id"), AS_OF))
+    flows.sketch_months(spark, path, stored, months.months_of(gone))
+    sketches = months.read_months(spark, stored, analytics.VALUE_SKETCHES)
+    return analytics.percentile_outliers_over(months.read_months(spark, path).drop("ym"), sketches, 0.05)
+
+
 @report(
     "estimated_readings",
     f"""{ON_RECORDS} SELECT count(DISTINCT raw_data) AS readings, true AS close FROM active

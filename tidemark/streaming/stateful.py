@@ -10,15 +10,18 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.scalars import epoch_micros, event_time
-from ..operators.ratelimit import Rule, sliding_window_rule, token_bucket_rule, ttl_rule
+from ..operators.ratelimit import Rule, sliding_window_rule, token_bucket_rule
 from ..schemas import DEDUPE_TTL_SECONDS, MAX_DELIVERIES, SLIDING_LIMIT, SLIDING_SECONDS, TOKEN_CAPACITY, TOKEN_REFILL_PER_SECOND
 
 DECISION = "key string, event_id bigint, ts timestamp_ntz, allowed boolean, remaining double, wait_seconds double"
 STATE = "state string"
+ACCEPTED = "key string, event_id bigint, ts timestamp_ntz, accepted boolean"
 LATENESS = "1 hour"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def _decide(requests: DataFrame, make_rule: Callable[[], Rule], quiet_seconds: float, lateness: str) -> DataFrame:
@@ -62,8 +65,51 @@ def sliding_window_stream(
     return decided.withColumnRenamed("wait_seconds", "reset_in")
 
 
-def dedupe_ttl_stream(events: DataFrame, ttl_seconds: int = DEDUPE_TTL_SECONDS, lateness: str = LATENESS) -> DataFrame:
-    return _decide(events, lambda: ttl_rule(ttl_seconds), ttl_seconds, lateness).select("key", "event_id", "ts", F.col("allowed").alias("accepted"))
+def dedupe_ttl_stream(events: DataFrame, ttl_seconds: float = DEDUPE_TTL_SECONDS, lateness: str = LATENESS) -> DataFrame:
+    """``accepted`` for the first event of a key and for those over ``ttl_seconds`` after the last accepted one.
+
+    The state of a key is one number, kept by the engine in RocksDB, and a timer on event time removes it: as soon as the watermark,
+    ``lateness`` behind the newest event, is past the time to live, nothing of the key is left. (The engine's own time to live runs on
+    the clock of the machine, so a replay would not decide as the first run did.) Events behind the watermark are not decided.
+    """
+    ttl = int(ttl_seconds * 1_000_000)
+
+    class Accepted(StatefulProcessor):
+        """``last`` holds the time of the newest accepted event. Defined here, so that it is shipped by value."""
+
+        def init(self, handle):
+            self.handle, self.last = handle, handle.getValueState("last", "micros BIGINT")
+
+        def _gone_at(self, micros):
+            """The first millisecond at which every later event is accepted anyway."""
+            return (micros + ttl) // 1000 + 1
+
+        def handleInputRows(self, key, rows, timerValues):
+            batch = pd.concat(list(rows)).sort_values(["micros", "event_id"])
+            held = self.last.get()[0] if self.last.exists() else None
+            last, accepted = held, []
+            for micros in batch["micros"]:
+                accepted.append(last is None or int(micros) - last > ttl)
+                last = int(micros) if accepted[-1] else last
+            if last != held:
+                if held is not None:
+                    self.handle.deleteTimer(self._gone_at(held))
+                self.last.update((last,))
+                self.handle.registerTimer(self._gone_at(last))
+            yield pd.DataFrame({"key": key[0], "event_id": batch["event_id"], "ts": batch["ts"], "accepted": accepted})
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            self.last.clear()
+            yield from ()
+
+        def close(self):
+            pass
+
+    # The operator exists on this store only. A query that restarts keeps the store noted in its checkpoint.
+    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    timed = events.withColumn("_at", event_time("ts")).withWatermark("_at", lateness)
+    timed = timed.select("key", "event_id", "ts", epoch_micros("ts").alias("micros"), "_at")
+    return timed.groupBy("key").transformWithStateInPandas(Accepted(), ACCEPTED, "append", "eventTime")
 
 
 def retry_stream(deliveries: DataFrame, max_attempts: int = MAX_DELIVERIES) -> DataFrame:
