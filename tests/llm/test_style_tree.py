@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import Counter
 from html.parser import HTMLParser
 
@@ -175,3 +176,14 @@ def test_whole_child_sequences_at_any_depth(spark):
     assert cleaned(spark, pages) == {i: "\n".join(t) for i, t in enumerate(texts)}
     rows = style_tree.nodes_of.func(pa.array(["<div>x" * 5_000]))[0]
     assert len(rows) <= 4 * 5_000
+
+
+def test_open_elements_close_however_deep():
+    """A paragraph, list item or cell ends where the next begins, under any number of inline elements left open."""
+    for start, end in (("<p>", ""), ("<ul><li>", "</ul>"), ("<table><tr><td>", "</table>")):
+        inner = re.search(r"<(\w+)>$", start).group(1)
+        for depth in (1, 63, 64, 500):
+            page = style_tree.Page(f"<body>{start}one {'<b>' * depth}two<{inner}>three{end}</body>")
+            assert [b[0] for b in page.blocks] == ["one two", "three"]
+            around = [page.places[page.places[b[3]][1]][1] for b in page.blocks]
+            assert around[0] == around[1]  # the second lies beside the first, not below it

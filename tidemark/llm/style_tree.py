@@ -157,7 +157,7 @@ class Page:
 
         def pop() -> None:
             gone = stack.pop()
-            opened[gone.name] -= 1
+            opened[gone.name].pop()
             if gone.block and not gone.out and gone.at >= 0:
                 self.styles.append((gone.at, number(*gone.children), len(gone.children)))
 
@@ -211,8 +211,8 @@ class Page:
                     new = Element(value, top.node, out, top.main, top.at)
                 if top.block:
                     top.children.append(shown)
+                opened.setdefault(value, []).append(len(stack))
                 stack.append(new)
-                opened[value] = opened.get(value, 0) + 1
             elif kind == "close":
                 if value in BLOCKS:
                     flush()
@@ -226,15 +226,11 @@ class Page:
 
     @staticmethod
     def _close_to(stack, opened, wanted, fence, pop) -> None:
-        if not any(opened.get(w) for w in wanted):
-            return
-        for i in range(len(stack) - 1, max(0, len(stack) - 64), -1):
-            if stack[i].name in fence:
-                return
-            if stack[i].name in wanted:
-                while len(stack) > i:
-                    pop()
-                return
+        """Close the innermost open element of ``wanted``, however deep, unless one of ``fence`` lies at or above it on the stack."""
+        at = max((opened[w][-1] for w in wanted if opened.get(w)), default=0)
+        if at and all(not opened.get(f) or opened[f][-1] < at for f in fence):
+            while len(stack) > at:
+                pop()
 
     def main_text(self, noise: frozenset[int] | set[int] = frozenset()) -> str:
         """The kept blocks, one a line. ``noise`` are the nodes whose branches are noise on the page's host."""
