@@ -55,13 +55,21 @@ def test_binomial_tail(n, p):
     assert quality.at_most(n, n, p) == 1.0 and quality.at_most(-1, n, p) == 0.0
 
 
-def test_certified_cutoffs():
-    # 2000 good rows below cell 300, a few above; bad rows from 500 on.
-    cells, good, bad = [100, 200, 320, 500, 700], [1500, 500, 4, 0, 0], [0, 0, 0, 30, 20]
-    assert quality.certified(cells, good, bad, 0.01, 0.01) == (500, 0, 50)
-    assert quality.certified(cells, [g // 100 for g in good], bad, 0.01, 0.01)[0] is None  # too few labels
-    assert quality.certified(cells, good, [5, 0, 0, 0, 0], 0.01, 0.01)[0] is None  # nothing bad where it is allowed to reject
-    assert quality.certified([0, 10], [5000, 0], [50, 0], 0.01, 0.01)[0] is None
+def test_certified_levels():
+    levels, good, bad = [0.02, 0.1, 0.5, None], [0, 4, 60, 1936], [30, 20, 5, 0]
+    assert quality.certified(levels, good, bad, 0.01, 0.01) == (0.1, 4, 50)
+    assert quality.certified(levels, good, bad, 0.1, 0.01) == (0.1, 4, 50)  # the last level would lose more good than it gains
+    assert quality.certified(levels, [g // 100 for g in good], bad, 0.01, 0.01)[0] is None  # too few labels
+    assert quality.certified([0.02, None], [5, 1995], [5, 0], 0.01, 0.01)[0] is None  # no surplus
+    assert quality.certified([None], [5000], [50], 0.01, 0.01)[0] is None
+
+
+def test_path_goes_from_pure_to_mixed_cutoffs():
+    rule = ["symbols"] * 4 + ["lines"] * 3
+    cells, good, bad = [0, 70, 300, 400, 0, 50, 90], [90, 0, 0, 0, 80, 5, 5], [0, 4, 3, 2, 2, 0, 7]
+    # All symbol cutoffs from 70 on are as pure as the mildest, so only that is a step; lines lose more from 50 than from 90.
+    assert sorted(quality.drawn_path(rule, cells, good, bad)) == [("lines", 90, 6 / 8), ("symbols", 70, 1 / 10)]
+    assert quality.drawn_path(["lines"], [0], [3], [9]) == []
 
 
 def rows_of(spark, n=6000):
@@ -164,3 +172,15 @@ def test_repeated_rows_equal_the_sql(spark, tmp_path):
     columns = [c[0] for c in cursor.description]
     expected = sorted(cursor.fetchall(), key=repr)
     assert sorted(map(tuple, op1_quality_rules(spark, str(tmp_path)).select(*columns).collect()), key=repr) == expected
+
+
+def test_something_is_certified_on_a_thousand_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    judged, chosen = quality.judge(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
+    found = [r for r in chosen.collect() if r["cutoff"] is not None]
+    assert "=en" in {r["stratum"] for r in found}
+    marks = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    rows = [r for r in judged.where("NOT base_failed AND stratum = '=en'").collect() if marks.get(r["doc_id"]) is not None]
+    lost = [not r["kept"] for r in rows if marks[r["doc_id"]] == 1]
+    gone = [not r["kept"] for r in rows if marks[r["doc_id"]] == 0]
+    assert sum(lost) <= quality.RISK * len(lost) and sum(gone) >= 0.7 * len(gone)

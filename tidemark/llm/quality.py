@@ -1,16 +1,19 @@
 """Quality rules with risk-controlled cutoffs.
 
-Each rule turns a text into a number that grows with some fault. On labelled rows, per stratum and rule, cutoffs are
-tried from the mildest to the strictest; one is certified while the exact binomial test shows that it rejects at most
-the allowed part of good documents. Trying cutoffs in a fixed order needs no correction; over strata and rules the error
-is split evenly (Bonferroni). Of the certified cutoffs the one with the largest surplus of bad over good documents
-rejected is used, and among equals the mildest.
+Each rule turns a text into a number that grows with some fault. A quarter of the labelled documents draws, per stratum,
+one path of ever stricter cutoffs for all rules together: those come first that reject the fewest good documents for the
+bad ones. The others, which the path has not seen, are the holdout: along the path, joint cutoffs are certified while the
+exact binomial test shows that all rules together reject at most the allowed part of good documents. Tests in a fixed order
+need no correction; over strata the error is split evenly (Bonferroni). Of the certified cutoffs those with the largest
+surplus of bad over good documents rejected are used, and among equals the mildest.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -115,47 +118,83 @@ def _fraction(a: float, b: float, x: float) -> float:
     return out
 
 
-def certified(cells: list[int], good: list[int], bad: list[int], risk: float, error: float) -> tuple[int | None, int, int]:
-    """``(cutoff, good rejected, bad rejected)`` for one stratum and rule: rows with a cell at or above the cutoff go.
+def drawn_path(rule: list[str], cells: list[int], good: list[int], bad: list[int]) -> list[tuple[str, int, float]]:
+    """``(rule, cutoff, level)`` of one stratum, from the counts per rule and cell of the documents that draw the path.
 
-    None if no cutoff can be certified or if no certified one rejects more bad rows than good ones.
+    The level of a cutoff is (good + 1) / (bad + 1) over the documents at or above it, or that of a milder cutoff of the rule if it is lower.
+    Only cutoffs that lower the level of their rule are listed, and only below 1, where more bad than good documents go.
+    """
+    tails, k, hits, last = {}, 0, 0, None
+    for r, at, g, b in sorted(zip(rule, cells, good, bad), key=lambda x: (x[0], -x[1])):
+        if r != last:
+            k, hits, last = 0, 0, r
+        k, hits = k + g, hits + b
+        if at >= 1:
+            tails.setdefault(r, []).append((at, (k + 1.0) / (hits + 1.0)))
+    out = []
+    for r, steps in tails.items():
+        least = 1.0
+        for at, level in reversed(steps):
+            if level < least:
+                least = level
+                out.append((r, at, level))
+    return out
+
+
+def certified(levels: list[float], good: list[int], bad: list[int], risk: float, error: float) -> tuple[float | None, int, int]:
+    """``(level, good rejected, bad rejected)`` for the holdout of one stratum: documents of that level or a lower one go.
+
+    Documents that no cutoff of the path reaches have a null level. None if no level can be certified or if no certified one
+    rejects more bad documents than good ones.
     """
     n, best, k, hits = sum(good), (None, 0, 0), 0, 0
-    for at, g, b in sorted(zip(cells, good, bad), reverse=True):
+    for level, g, b in sorted(x for x in zip(levels, good, bad) if x[0] is not None and not math.isnan(x[0])):
         k, hits = k + g, hits + b
-        if at < 1 or at_most(k, n, risk) > error:
+        if at_most(k, n, risk) > error:
             break
         if hits - k > best[2] - best[1]:
-            best = (at, k, hits)
+            best = (level, k, hits)
     return best
 
 
 def cutoffs(marked: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """Certified cutoffs ``(stratum, rule, cutoff, n_good, good_rejected, bad_rejected)``.
+    """Certified cutoffs ``(stratum, rule, cutoff, n_good, good_rejected, bad_rejected)``; the counts are those of all rules of the stratum together.
 
-    ``marked`` has one labelled row per document: ``stratum``, ``good`` and a cell per rule. Rows are counted per cell
-    before anything is gathered, so that a stratum and rule come to one task as at most ``GRID`` + 1 counts. ``risk``
-    bounds the part of good documents of a stratum that all rules together reject; it is split over the rules.
+    ``marked`` has one labelled row per document: ``id``, ``stratum``, ``good`` and a cell per rule. Rows are counted per cell
+    before anything is gathered, so that a stratum comes to one task as at most ``GRID`` + 1 counts per rule, and then as a
+    count per level of its path. ``risk`` bounds the part of good documents of a stratum that all rules together reject.
     """
+    n_good, n_bad = F.sum(F.col("good").cast("bigint")).alias("n_good"), F.sum((~F.col("good")).cast("bigint")).alias("n_bad")
+    draws = F.substring(F.sha2(F.col("id").cast("string"), 256), 1, 1) < "4"
     pairs = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("at")) for r in RULES])).alias("x")
-    counts = settle(
-        marked.select("stratum", "good", pairs).groupBy("stratum", F.col("x.rule").alias("rule"), F.col("x.at").alias("at"))
-        .agg(F.sum(F.col("good").cast("bigint")).alias("n_good"), F.sum((~F.col("good")).cast("bigint")).alias("n_bad")),
-        "quality-cells",
-    )
-    strata = counts.select("stratum").distinct().count()
-    part, split = risk / len(RULES), error / max(1, strata * len(RULES))
+    drawing = marked.where(draws).select("stratum", "good", pairs).groupBy("stratum", F.col("x.rule").alias("rule"), F.col("x.at").alias("at")).agg(n_good, n_bad)
+
+    def draw(rows: pd.DataFrame) -> pd.DataFrame:
+        found = drawn_path(rows["rule"].tolist(), rows["at"].tolist(), rows["n_good"].tolist(), rows["n_bad"].tolist())
+        return pd.DataFrame([(rows["stratum"].iloc[0], *x) for x in found], columns=["stratum", "rule", "at", "level"])
+
+    path = settle(drawing.groupBy("stratum").applyInPandas(draw, "stratum string, rule string, at int, level double"), "quality-path")
+    steps = path.groupBy("stratum").agg(F.sort_array(F.collect_list(F.struct("level", "rule", "at"))).alias("steps"))
+    # Steps are sorted by level, so the first that a document reaches is its own.
+    reached = F.filter("steps", lambda s: reduce(or_, [(s["rule"] == r) & (s["at"] <= F.col(r)) for r in RULES]))
+    held = marked.where(~draws).join(steps, "stratum", "left").select("stratum", "good", F.get(reached, F.lit(0))["level"].alias("level"))
+    counts = settle(held.groupBy("stratum", "level").agg(n_good, n_bad), "quality-levels")
+    split = error / max(1, counts.select("stratum").distinct().count())
 
     def choose(rows: pd.DataFrame) -> pd.DataFrame:
-        found = certified(rows["at"].tolist(), rows["n_good"].tolist(), rows["n_bad"].tolist(), part, split)
-        first = rows.iloc[0]
+        found = certified(rows["level"].tolist(), rows["n_good"].tolist(), rows["n_bad"].tolist(), risk, split)
         return pd.DataFrame(
-            [(first["stratum"], first["rule"], found[0], int(rows["n_good"].sum()), found[1], found[2])],
-            columns=["stratum", "rule", "cutoff", "n_good", "good_rejected", "bad_rejected"],
-        ).astype({"cutoff": "Int64"})
-
-    return counts.groupBy("stratum", "rule").applyInPandas(
-        choose, "stratum string, rule string, cutoff bigint, n_good bigint, good_rejected bigint, bad_rejected bigint"
+            [(rows["stratum"].iloc[0], found[0], int(rows["n_good"].sum()), found[1], found[2])],
+            columns=["stratum", "most", "n_good", "good_rejected", "bad_rejected"],
+        ).astype({"most": "float64"})
+
+    chosen = counts.groupBy("stratum").applyInPandas(choose, "stratum string, most double, n_good bigint, good_rejected bigint, bad_rejected bigint")
+    # A stratum without a certified level comes with a missing number, which Spark orders above all others.
+    allowed = chosen.withColumn("most", F.when(~F.isnan("most"), F.col("most")))
+    cut = F.min(F.when(F.col("level") <= F.col("most"), F.col("at"))).cast("bigint").alias("cutoff")
+    return (
+        allowed.join(path, "stratum", "left").groupBy("stratum", "rule", "n_good", "good_rejected", "bad_rejected").agg(cut)
+        .select("stratum", "rule", "cutoff", "n_good", "good_rejected", "bad_rejected")
     )
 
 
@@ -182,8 +221,8 @@ def judge(
 
     A row that fails the base rule is never kept and takes no part in the calibration. A null text counts as no words, a
     null stratum is a stratum of its own, a document labelled both good and bad is good, rows repeated in the table are
-    each judged but count as one labelled document. Where labels are too few to certify any cutoff (for the defaults about 600 good rows in the stratum),
-    nothing is rejected beyond the base rule. An empty table gives an empty result.
+    each judged but count as one labelled document. Where labels are too few to certify any cutoff (for the defaults and four strata
+    under 108 good documents in the holdout of the stratum), nothing is rejected beyond the base rule. An empty table gives an empty result.
     """
     q = docs.select(F.col(f"`{key}`").alias("doc_id"), stratum_of(stratum).alias("stratum"), measured(F.col(f"`{text}`")).alias("q"))
     flat = settle(q.select("doc_id", "stratum", "q.*"), "quality-counts")
@@ -192,7 +231,7 @@ def judge(
     marked = flat.where(~F.col("base_failed")).join(one_label(labels, key, label), F.col("doc_id") == F.col("id"))
     # Rows repeated under one key are no independent trials: a document is one, by its row of the highest cells.
     highest = F.max(F.struct(*sorted(RULES), "stratum", "good")).alias("x")
-    marked = marked.groupBy("id").agg(highest).select("x.*")
+    marked = marked.groupBy("id").agg(highest).select("id", "x.*")
     chosen = settle(cutoffs(marked, risk, error), "quality-cutoffs")
     wide = by_stratum(chosen)
     verdict = flat.join(wide, "stratum", "left").withColumn("rejected_by", rejecting(F.col))

@@ -185,21 +185,36 @@ WITH docs AS (
     SELECT r FROM (SELECT r, row_number() OVER (PARTITION BY doc_id ORDER BY places DESC, stratum DESC) AS nth FROM (
         SELECT r, doc_id, stratum, list(place ORDER BY rule) AS places FROM cells WHERE NOT base_failed AND doc_id IS NOT NULL GROUP BY ALL))
     WHERE nth = 1
+), marked AS (
+    SELECT cells.*, good, sha256(CAST(doc_id AS VARCHAR))[1] < '4' AS draws FROM cells JOIN trials USING (r) JOIN marks USING (doc_id)
 ), tally AS (
-    SELECT stratum, rule, place, count(*) FILTER (WHERE good) AS g, count(*) FILTER (WHERE NOT good) AS b
-    FROM cells JOIN trials USING (r) JOIN marks USING (doc_id) GROUP BY ALL
-), running AS (
-    SELECT *, sum(g) OVER down AS k, sum(b) OVER down AS hits, sum(g) OVER (PARTITION BY stratum, rule) AS n
+    SELECT stratum, rule, place, count(*) FILTER (WHERE good) AS g, count(*) FILTER (WHERE NOT good) AS b FROM marked WHERE draws GROUP BY ALL
+), tails AS (
+    SELECT stratum, rule, place, CAST(sum(g) OVER down + 1 AS DOUBLE) / CAST(sum(b) OVER down + 1 AS DOUBLE) AS odds
     FROM tally WINDOW down AS (PARTITION BY stratum, rule ORDER BY place DESC)
+), path AS (
+    SELECT * FROM (SELECT stratum, rule, place AS step, min(odds) OVER (PARTITION BY stratum, rule ORDER BY place) AS level FROM tails WHERE place >= 1)
+    WHERE level < 1
+), held AS (
+    SELECT r, m.stratum, good, min(level) AS level
+    FROM marked m LEFT JOIN path ON path.stratum = m.stratum AND path.rule = m.rule AND step <= place WHERE NOT draws GROUP BY ALL
+), levels AS (
+    SELECT stratum, level, count(*) FILTER (WHERE good) AS g, count(*) FILTER (WHERE NOT good) AS b FROM held GROUP BY ALL
+), running AS (
+    SELECT *, sum(g) OVER up AS k, sum(b) OVER up AS hits, sum(g) OVER (PARTITION BY stratum) AS n
+    FROM levels WINDOW up AS (PARTITION BY stratum ORDER BY level NULLS LAST)
 ), tested AS (
-    SELECT *, CASE WHEN k >= n THEN 1 ELSE list_sum(list_transform(range(0, CAST(k AS BIGINT) + 1), lambda j:
-             exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(0.01) + (n - j) * ln(0.99)))) END
-           > 0.05 / (4 * (SELECT count(DISTINCT stratum) FROM tally)) OR place < 1 AS fails
+    SELECT *, level IS NULL OR CASE WHEN k >= n THEN 1 ELSE list_sum(list_transform(range(0, CAST(k AS BIGINT) + 1), lambda j:
+             exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(0.04) + (n - j) * ln(0.96)))) END
+           > 0.05 / (SELECT count(DISTINCT stratum) FROM levels) AS fails
     FROM running
 ), allowed AS (
-    SELECT *, bool_or(fails) OVER (PARTITION BY stratum, rule ORDER BY place DESC) AS stopped FROM tested
+    SELECT *, bool_or(fails) OVER (PARTITION BY stratum ORDER BY level NULLS LAST) AS stopped FROM tested
+), chosen AS (
+    SELECT stratum, level AS most FROM allowed WHERE NOT stopped AND hits > k
+    QUALIFY row_number() OVER (PARTITION BY stratum ORDER BY hits - k DESC, level) = 1
 ), cuts AS (
-    SELECT stratum, rule, arg_max(place, (hits - k) * 2000 + place) AS cut FROM allowed WHERE NOT stopped AND hits > k GROUP BY stratum, rule
+    SELECT stratum, rule, min(step) AS cut FROM path JOIN chosen USING (stratum) WHERE level <= most GROUP BY stratum, rule
 ), hit AS (
     SELECT r, string_agg(rule, ',' ORDER BY rule) AS rejected_by FROM cells JOIN cuts USING (stratum, rule) WHERE place >= cut GROUP BY r
 )
