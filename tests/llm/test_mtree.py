@@ -79,3 +79,40 @@ def test_tree_prunes_and_stays_exact(same):
         assert tree.search(vectors[q], q, 5, expected[-1][0]) == expected
     if not same:
         assert tree.computed < 0.5 * 4000 * 20  # most distances are never computed
+
+
+def test_trees_out_of_reach_are_not_searched(spark, monkeypatch):
+    monkeypatch.setattr(mtree, "PIVOTS", 16)
+    kept, plain = [], mtree.settle
+
+    def noted(frame, label, *by):
+        out = plain(frame, label, *by)
+        kept.append((label, out))
+        return out
+
+    monkeypatch.setattr(mtree, "settle", noted)
+    rnd = np.random.default_rng(5)
+    centres = rnd.normal(size=(16, 12))
+    centres *= 4 / np.linalg.norm(centres, axis=1)[:, None]
+    rows = {i: (centres[i % 16] + 0.02 * rnd.normal(size=12)).astype(np.float32).tolist() for i in range(1600)}
+    frame = spark.createDataFrame(list(rows.items()), "vec_id bigint, embedding array<float>")
+    found = mtree.top_k(frame, 10, 5)
+    assert rows_of(found) == brute(rows, 10, 5)
+    asked = {label: frame for label, frame in kept}["other-trees"].count()
+    assert asked <= 0.1 * 160 * 15, asked  # of all pairs of a query and another tree
+
+
+def test_reach_never_misses():
+    rnd = np.random.default_rng(6)
+    vectors = (rnd.normal(size=(30, 6)).repeat(40, axis=0) * 200 + rnd.normal(size=(1200, 6)) * 40).astype(np.int64)
+    longest = float((vectors ** 2).sum(axis=1).max())
+    points = mtree.lift(vectors, longest)
+    pivots = points[mtree.far_apart(points, 24)]
+    gaps = np.stack([np.linalg.norm(points - p, axis=1) for p in pivots])
+    cell, radius = gaps.argmin(axis=0), np.full(len(pivots), -np.inf)
+    for i in range(len(pivots)):
+        radius[i] = gaps[i, cell == i].max(initial=-np.inf)
+    for q in range(0, 1200, 30):
+        scores = vectors @ vectors[q]
+        for least in np.sort(scores)[[-2, -6, -60]]:
+            assert set(cell[scores >= least]) <= set(mtree.within(vectors[q], int(least), pivots, radius, longest))

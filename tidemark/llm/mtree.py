@@ -20,6 +20,7 @@ from pyspark.sql.pandas.functions import pandas_udf
 from ..session import settle
 
 PIVOTS = 32
+MOST_PIVOTS = 256
 PIVOT_SAMPLE = 2048
 TREE_ROWS = 16_384
 PAGE = 128
@@ -138,6 +139,18 @@ class Tree:
         return best
 
 
+def within(query: np.ndarray, least: float, pivots: np.ndarray, radius: np.ndarray, longest: float) -> np.ndarray:
+    """Indexes of the pivots whose cell may hold a vector that scores ``least`` or more with the query.
+
+    A cell's vectors lie inside its covering radius and are nearer to its pivot than to any other, which bounds their distance twice.
+    """
+    q = query.astype(np.float64)
+    whole = float(q @ q) + longest
+    apart = np.linalg.norm(pivots - np.append(q, 0.0), axis=1)
+    limit = math.sqrt(max(0.0, whole - 2.0 * least)) + 1e-6 * (1.0 + math.sqrt(whole))
+    return np.flatnonzero(np.maximum(apart - radius, (apart - apart.min()) / 2) <= limit)
+
+
 def scaled(vector: Column) -> Column:
     """floor(256 x) of each component."""
     return F.transform(vector, lambda x: F.floor(x.cast("double") * 256).cast("bigint"))
@@ -164,9 +177,10 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, *, key: str = "vec_id
     smaller key; a query with fewer than ``k`` candidates gives fewer rows, one without any gives none. Scores must fit
     a long.
 
-    Pivots come from a bounded sample (``PIVOT_SAMPLE`` rows) and only decide which tree a vector goes to; every vector is
-    indexed. A pivot with many vectors gets several trees, so that no task holds more than about ``TREE_ROWS`` vectors
-    or ``BLOCK`` queries. Queries first search the tree of their own vector; what they find there bounds the others.
+    Pivots, up to ``MOST_PIVOTS`` with the rows, come from a bounded sample (``PIVOT_SAMPLE`` rows) and only decide which tree a
+    vector goes to; every vector is indexed. A pivot with many vectors gets several trees, so that no task holds more than about
+    ``TREE_ROWS`` vectors or ``BLOCK`` queries. Queries first search the tree of their own vector; what they find there bounds
+    the others, and only trees in cells that can reach this bound are searched.
     """
     v = F.col(f"`{vector}`")
     rows = vectors.where(F.col(f"`{key}`").isNotNull() & usable(v)).select(F.col(f"`{key}`").cast("bigint").alias("id"), scaled(v).alias("v"))
@@ -178,15 +192,19 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, *, key: str = "vec_id
     width = max(1, width)
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(PIVOT_SAMPLE).select("v").collect()
     points = lift(matrix(pd.Series([r["v"] for r in sample]), width), longest)
-    pivots = points[far_apart(points, PIVOTS)]
+    pivots = points[far_apart(points, max(PIVOTS, min(MOST_PIVOTS, n // TREE_ROWS)))]
 
-    @pandas_udf(T.IntegerType())
-    def cell(column: pd.Series) -> pd.Series:
+    @pandas_udf("cell int, gap double")
+    def cell(column: pd.Series) -> pd.DataFrame:
         own = lift(matrix(column, width), longest)
-        return pd.Series(np.stack([((own - p) ** 2).sum(axis=1) for p in pivots]).argmin(axis=0).astype(np.int32))
-
-    dealt = settle(rows.withColumn("cell", cell("v")), "vector-cells")
-    counts = dict(dealt.groupBy("cell").count().collect())
+        gaps = np.stack([np.linalg.norm(own - p, axis=1) for p in pivots])
+        return pd.DataFrame({"cell": gaps.argmin(axis=0).astype(np.int32), "gap": gaps.min(axis=0)})
+
+    dealt = settle(rows.withColumn("x", cell("v")).select("id", "v", "x.*"), "vector-cells")
+    balls = dealt.groupBy("cell").agg(F.count("*").alias("n"), F.max("gap").alias("radius")).collect()
+    counts, radius = {b["cell"]: b["n"] for b in balls}, np.full(len(pivots), -np.inf)
+    for b in balls:
+        radius[b["cell"]] = b["radius"]
     first, parts, trees = [], [], 0
     for i in range(len(pivots)):
         first.append(trees)
@@ -226,11 +244,18 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, *, key: str = "vec_id
             .applyInPandas(search, "query_id bigint, vec_id bigint, score bigint")
         )
 
+    @pandas_udf(T.ArrayType(T.IntegerType()))
+    def reached(column: pd.Series, bound: pd.Series) -> pd.Series:
+        least = bound.fillna(-np.inf)
+        cells = (within(v, b, pivots, radius, longest) if b > -np.inf else range(len(pivots)) for v, b in zip(matrix(column, width), least))
+        return pd.Series([[t for i in own if counts.get(i) for t in range(first[i], first[i] + parts[i])] for own in cells], dtype=object)
+
     home = settle(searched(queries.withColumn("bound", F.lit(None).cast("bigint"))), "home-results")
     bounds = home.groupBy("query_id").agg(F.when(F.count("*") == k, F.min("score")).alias("bound"))
-    others = (
+    others = settle(
         queries.join(bounds, F.col("id") == F.col("query_id"), "left").drop("query_id").withColumnRenamed("tree", "own")
-        .withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).where("tree <> own").select("id", "v", "tree", "block", "bound")
+        .withColumn("tree", F.explode(reached("v", F.col("bound").cast("double")))).where("tree <> own").select("id", "v", "tree", "block", "bound"),
+        "other-trees",
     )
     found = home.union(searched(others)) if trees > 1 else home
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
