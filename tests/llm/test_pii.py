@@ -154,3 +154,32 @@ def test_one_token_takes_linear_time():
         for start, end in pii.candidates(text, base):
             pii.votes(text, start, end, False)
             assert len(pii.features(text, start, end)) <= pii.WIDTH
+
+
+def test_decoys_stay_and_secrets_go(spark):
+    rnd, rows, private = random.Random(12), [], set()
+    some = lambda n, signs: "".join(rnd.choice(signs) for _ in range(n))
+    for i in range(900):
+        words = [rnd.choice("the and report was seen by other people".split()) for _ in range(30)]
+        kind = i % 6
+        if kind == 0:
+            number = some(16, "0123456789")
+            inside = number if not luhn(number) else number[:-1] + str((int(number[-1]) + 1) % 10)
+        elif kind == 1:
+            inside = f"version {rnd.randrange(9)}.{rnd.randrange(99)}.{rnd.randrange(99)}"
+        elif kind == 2:
+            inside = f"order {rnd.randrange(10**5)}"
+        elif kind == 3:
+            inside = f'token = "{some(39, "0123456789abcdef")}a"'
+        elif kind == 4:
+            inside = f"user{rnd.randrange(99)}@mail{rnd.randrange(9)}.example.com"
+        else:
+            inside = "AKIA" + some(15, "ABCDEFGHIJ0123456789") + "7"
+        if kind > 2:
+            private.add(i)
+        rows.append((i, " ".join(words[:15] + [inside] + words[15:])))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r["doc_id"] for r in pii.find_private(docs).collect() if r["spans"]}
+    assert len(found & private) >= 0.98 * len(private)
+    assert len(found - private) <= 0.02 * len(found)
+    assert not pii.SECRET.fullmatch("1234567890123456") and pii.SECRET.fullmatch("key=1234567890123456") and pii.SECRET.fullmatch("123456789012345e")

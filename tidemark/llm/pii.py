@@ -126,7 +126,8 @@ PLAIN_BEFORE = frozenset(
 )
 PRIVATE_NAMES = frozenset("com org net edu gov io de fr es co uk info mail example gmail yahoo outlook akia ghp sk pk xoxb".split())
 
-SECRET = re.compile(r"(?:[A-Z]{4}[0-9A-Z]{16}|(?:[A-Za-z_-]+[=:])?[0-9a-f]{16,}|(?:gh[pous]|sk|pk|xox[abp])[_-][A-Za-z0-9_-]{16,})")
+# A run of hexadecimal digits without any letter is a secret only behind a name.
+SECRET = re.compile(r"(?:[A-Z]{4}[0-9A-Z]{16}|[A-Za-z_-]+[=:][0-9a-f]{16,}|(?=[0-9]*+[a-f])[0-9a-f]{16,}|(?:gh[pous]|sk|pk|xox[abp])[_-][A-Za-z0-9_-]{16,})")
 PLAIN = re.compile(r"(?:[vV]?[0-9]{1,4}(?:[.,:/-][0-9]{1,4}){0,2}[%.]?|[0-9]{1,2}(?:st|nd|rd|th)|[0-9]+(?:px|kg|km|cm|mm|mb|gb|h|min|s)?)")
 MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9+/=_-]{14,}")
 
@@ -144,7 +145,7 @@ def votes(text: str, start: int, end: int, fixed: bool) -> str:
     inner = {w.lower() for w in WORD.findall(span)}
     digits = sum(c.isdigit() for c in span)
     out = (
-        1 if fixed else 0,
+        1 if fixed else -1 if digits >= 14 and CARD.fullmatch(span) else 0,
         1 if SECRET.fullmatch(span) else 0,
         -1 if PLAIN.fullmatch(span) and not fixed else 0,
         1 if "@" in span or inner & PRIVATE_NAMES or any(w.startswith("akia") for w in inner) else 0,
