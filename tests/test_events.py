@@ -1,3 +1,7 @@
+import random
+from datetime import datetime, timedelta
+
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import events, metrics
@@ -119,3 +123,30 @@ def test_transitions_replay(spark):
     assert found[1].processed_at is not None and not found[1].dead_letter_queue
     assert (found[2].status, found[2].dead_letter_queue, found[2].dlq_reason) == ("dead_letter", True, "gone")
     assert found[3].status == "pending"
+
+
+@pytest.mark.parametrize("series", [["handler"], []])
+def test_sustained_alert_over_slices_equals_a_walk(spark, series):
+    rnd = random.Random(8)
+    start = datetime(2024, 1, 1)
+    rows, steps = [], sorted(rnd.sample(range(4000), 1500))
+    for i, step in enumerate(steps):
+        handlers = ["/a", "/b", None] if series else [["/a", "/b"][i % 2]]
+        rows += [(h, start + timedelta(minutes=step), rnd.choice([True, True, True, True, False, None])) for h in handlers]
+    points = spark.createDataFrame(rows + [("/a", None, True)], "handler string, window_start timestamp_ntz, firing boolean")
+    expected = []
+    for key in {r[0] if series else 0 for r in rows}:
+        held = None
+        own = sorted((r[1], r[2]) for r in rows if (r[0] if series else 0) == key and r[2] is not None)
+        for at, on in [*own, (None, False)]:
+            if on:
+                held = (held[0] if held else at, at, held[2] + 1 if held else 1)
+            elif held:
+                seconds = int((held[1] - held[0]).total_seconds())
+                if seconds >= 600:
+                    expected.append(((key,) if series else ()) + (*held, seconds))
+                held = None
+    for width in (86_400, 1_800, 60):
+        found = metrics.sustained_alert(points, series, "firing", 600, slice_seconds=width)
+        assert sorted(map(tuple, found.collect()), key=repr) == sorted(expected, key=repr)
+    assert metrics.sustained_alert(points.limit(0), series, "firing", 600).count() == 0

@@ -114,22 +114,37 @@ def service_down(ups: DataFrame, job: str = "job", at: str = "ts") -> DataFrame:
     return ups.groupBy(job).agg(F.max_by("up", F.struct(at, "up")).alias("up"), F.max(at).alias("last_seen")).filter(F.col("up") == 0)
 
 
-def sustained_alert(points: DataFrame, series: Sequence[str], firing: str, hold_seconds: int, at: str = "window_start") -> DataFrame:
+def sustained_alert(
+    points: DataFrame, series: Sequence[str], firing: str, hold_seconds: int, at: str = "window_start", slice_seconds: int = 86_400
+) -> DataFrame:
     """Stretches of consecutive points where the condition holds for at least ``hold_seconds``.
 
-    ``points`` are evaluations, one per series and step, not raw samples.
+    ``points`` are evaluations, one per series and step, not raw samples; those without a time or with an unknown condition
+    take no part. A series is cut into slices of time. Only the first and the last run of a slice can go on in another, so
+    a task sorts one slice, or two rows per slice, even if there is no series and all points are one timeline.
     """
     series = list(series)
-    keys = series or [F.lit(1)]
-    order = Window.partitionBy(*keys).orderBy(at)
-    changed = F.coalesce((F.col(firing) != F.lag(firing).over(order)).cast("int"), F.lit(0))
+    known = points.filter(F.col(firing).isNotNull() & F.col(at).isNotNull())
+    known = known.withColumn("_slice", F.floor(F.col(at).cast("timestamp").cast("long") / F.lit(slice_seconds)))
+    inside = Window.partitionBy(*series, "_slice").orderBy(at)
+    changed = F.coalesce((F.col(firing) != F.lag(firing).over(inside)).cast("int"), F.lit(0))
+    runs = (
+        known.withColumn("_changed", changed)
+        .withColumn("_run", F.sum("_changed").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .groupBy(*series, "_slice", "_run")
+        .agg(F.max(firing).alias("_on"), F.min(at).alias("started_at"), F.max(at).alias("ended_at"), F.count(F.lit(1)).alias("points"))
+        .withColumn("_edge", (F.col("_run") == 0) | (F.col("_run") == F.max("_run").over(Window.partitionBy(*series, "_slice"))))
+        .withColumns({"_own_slice": F.when(~F.col("_edge"), F.col("_slice")), "_own_run": F.when(~F.col("_edge"), F.col("_run"))})
+    )
+    across = Window.partitionBy(*series, "_own_slice", "_own_run").orderBy("_slice", "_run")
+    goes_on = F.col("_on") & F.lag("_on").over(across) & (F.lag("_slice").over(across) != F.col("_slice"))
     stretches = (
-        points.withColumn("_changed", changed)
-        .withColumn("_stretch", F.sum("_changed").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .filter(F.col(firing))
-        .groupBy(*series, "_stretch")
-        .agg(F.min(at).alias("started_at"), F.max(at).alias("ended_at"), F.count(F.lit(1)).alias("points"))
-        .drop("_stretch")
+        runs.withColumn("_new", F.when(goes_on, 0).otherwise(1))
+        .withColumn("_stretch", F.sum("_new").over(across.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .filter("_on")
+        .groupBy(*series, "_own_slice", "_own_run", "_stretch")
+        .agg(F.min("started_at").alias("started_at"), F.max("ended_at").alias("ended_at"), F.sum("points").alias("points"))
+        .drop("_own_slice", "_own_run", "_stretch")
     )
     held = F.timestamp_diff("SECOND", F.col("started_at"), F.col("ended_at"))
     return stretches.withColumn("held_seconds", held).filter(F.col("held_seconds") >= hold_seconds)
