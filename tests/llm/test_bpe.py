@@ -2,12 +2,13 @@
 
 import hashlib
 import random
+import time
 
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tidemark.llm.bpe import NONE, SegmentTree, WordBpe, decode_ids, encode_texts
+from tidemark.llm.bpe import FOREST_ROWS, NONE, Rendered, SegmentTree, WordBpe, decode_ids, encode_texts
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = [
@@ -55,6 +56,49 @@ def test_merges_equal_a_plain_loop(own):
         assert own.encode_word(word) == symbols
 
 
+def made_words(n, seed=9):
+    rnd = random.Random(seed)
+    parts = ["the", "er", "tion", "ou", "in", "q", "zx", "anly", "sh", "éè", "日本"]
+    return list({"".join(rnd.choice(parts) for _ in range(rnd.randint(1, 6))) for _ in range(n)})
+
+
+def test_words_merged_together_equal_the_library(library, own):
+    words = {w for t in ODD + random_texts(500) for w in own.pieces(t) if isinstance(w, str)}
+    # Lengths beside those at which a word takes larger trees, or one of its own; more words than one forest takes.
+    words |= {("thering" * 20)[:n] for n in range(1, 130)} | {"é" * n for n in range(1, 70)}
+    words |= set(made_words(2 * FOREST_ROWS))
+    found = list(own.encode_words(list(words)))
+    assert len(found) == len(words) == len(dict(found))
+    for word, ids in found:
+        assert ids == own.encode_word(word), word
+    by_word = dict(found)
+    for word in made_words(500):
+        assert by_word.get(word, own.encode_word(word)) == library.encode(word, add_special_tokens=False).ids
+    assert list(own.encode_words([])) == []
+
+
+def test_more_words_than_memory_holds(own):
+    known = Rendered(own)
+    known.size = 20
+    for seed in (1, 2, 1):
+        words = made_words(300, seed) + ["x" * 100, own.special["<|endoftext|>"]]
+        table = known.table([words, words[:5], []])
+        assert table.keys() == set(words)
+        assert all(table[w] == known.make(w) for w in words)
+        assert len(known) <= 20 and len(known.older) <= 20
+
+
+def test_new_words_together_take_less_time(own):
+    words = made_words(20_000)
+    start = time.process_time()
+    for word in words:
+        own.encode_word(word)
+    alone = time.process_time() - start
+    start = time.process_time()
+    assert sum(1 for _ in own.encode_words(words)) == len(words)
+    assert time.process_time() - start < alone * 0.6
+
+
 def test_segment_tree():
     rnd = random.Random(1)
     for n in (1, 2, 3, 7, 64, 65):

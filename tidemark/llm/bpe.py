@@ -3,6 +3,9 @@
 Merges of one word are chosen by a segment tree over the ranks of adjacent pairs. Its root holds the lowest rank and,
 among equal ranks, the leftmost place; a merge changes three leaves, each in logarithmic time, and encoding ends when the
 root holds no mergeable pair. A word of n symbols so takes O(n log n) steps, however long it is.
+
+New words of some texts are merged together: a forest keeps the trees of words of like length as rows of one array, and each
+step makes the next merge of every word that has one. Longer words have a tree of their own.
 """
 
 from __future__ import annotations
@@ -11,7 +14,8 @@ import hashlib
 import json
 import re
 import unicodedata
-from itertools import chain
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -26,6 +30,12 @@ PLACE, SHORT = 1 << 32, 1 << 12
 CACHED_CHARS = 64
 #: Entries of the younger half of a cache; see ``Recent``.
 CACHED_WORDS = 120_000
+#: Leaves of a forest's trees: a word takes the smallest that holds it and a place on either side.
+FOREST_LEAVES = (16, 64)
+#: Words of a forest, so that its arrays take a few MB whatever the number of new words.
+FOREST_ROWS = 1 << 12
+#: Code points of the texts whose new words are merged together, unless one text has more.
+CHARS_AT_ONCE = 1 << 20
 #: White space as Unicode defines it; str.split() also cuts at \\x1c-\\x1f.
 WHITE = "\t-\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
@@ -63,6 +73,62 @@ class SegmentTree:
             nodes[i] = value
 
 
+class Forest:
+    """Segment trees of many words, one row for each: the tree's nodes, symbols, and links to the places on either side.
+
+    Places 0 and n + 1 of a word of n symbols hold ``pad``, which no merge knows.
+    """
+
+    def __init__(self, symbols: np.ndarray, pad: int, ranks, products: np.ndarray):
+        self.pad, self.ranks, self.products = pad, ranks, products
+        self.rows, self.half = rows, half = symbols.shape
+        self.symbols = symbols.ravel()
+        self.after = np.tile(np.arange(1, half + 1), rows)
+        self.before = np.tile(np.arange(-1, half - 1), rows)
+        self.nodes = np.full((rows, 2 * half), NONE)
+        self.nodes[:, half:2 * half - 1] = self.leaves(symbols[:, :-1], symbols[:, 1:], np.arange(half - 1))
+        width = half
+        while width > 1:
+            np.minimum(self.nodes[:, width:2 * width:2], self.nodes[:, width + 1:2 * width:2], out=self.nodes[:, width // 2:width])
+            width //= 2
+        self.nodes = self.nodes.ravel()
+
+    def leaves(self, left: np.ndarray, right: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Rank and place in one number; ``NONE`` for a pair without a merge."""
+        ranks = self.ranks(left, right)
+        return np.where(ranks < 0, NONE, ranks * self.half + place)
+
+    def put(self, trees: np.ndarray, places: np.ndarray, values: np.ndarray) -> None:
+        """Sets leaves of the trees that start at the given nodes, and all nodes above them, level by level."""
+        nodes, at = self.nodes, places + self.half
+        nodes[trees + at] = values
+        for _ in range(self.half.bit_length() - 1):
+            at >>= 1
+            child = trees + 2 * at
+            nodes[trees + at] = np.minimum(nodes[child], nodes[child + 1])
+
+    def merge(self) -> np.ndarray:
+        """The symbols left of every row, with ``pad`` at all other places."""
+        symbols, after, before, half = self.symbols, self.after, self.before, self.half
+        rows = np.arange(self.rows)
+        while True:
+            best = self.nodes[2 * half * rows + 1]
+            open_ = best != NONE
+            rows, best = rows[open_], best[open_]
+            if not len(rows):
+                return symbols.reshape(self.rows, half)
+            start, trees = half * rows, 2 * half * rows
+            i, merged = best % half, self.products[best // half]
+            j = after[start + i]
+            k, h = after[start + j], before[start + i]
+            symbols[start + i], symbols[start + j] = merged, self.pad
+            after[start + i], before[start + k] = k, i
+            values = np.concatenate([
+                np.full(len(rows), NONE), self.leaves(merged, symbols[start + k], i), self.leaves(symbols[start + h], merged, h)
+            ])
+            self.put(np.tile(trees, 3), np.concatenate([j, i, h]), values)
+
+
 class Recent(dict):
     """A bounded memory: when it is full it becomes the older half, and what is asked for again moves up."""
 
@@ -73,13 +139,16 @@ class Recent(dict):
         found = self.older.pop(key, None)
         if found is None:
             found = self.make(key)
-            if isinstance(key, str) and len(key) > CACHED_CHARS:
-                return found
+        self.keep(key, found)
+        return found
+
+    def keep(self, key, found) -> None:
+        if isinstance(key, str) and len(key) > CACHED_CHARS:
+            return
         if len(self) >= self.size:
             self.older = dict(self)
             self.clear()
         self[key] = found
-        return found
 
 
 class Words(Recent):
@@ -114,6 +183,46 @@ class WordBpe:
         letters = byte_letters()
         self.first = [self.ids[x] for x in letters]
         self.last = [self.ids[x + self.end] for x in letters]
+        self.pad = max(self.names) + 1
+        pairs = sorted((a * (self.pad + 1) + b, rank, merged) for (a, b), (rank, merged) in self.merges.items())
+        # The last key is above all others, so that a search always ends at one.
+        self.pair_keys = np.array([p[0] for p in pairs] + [NONE], np.int64)
+        self.pair_ranks = np.array([p[1] for p in pairs] + [-1], np.int64)
+        self.products = np.zeros(len(model["merges"]), np.int64)
+        self.products[self.pair_ranks[:-1]] = [p[2] for p in pairs]
+
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of symbols, -1 for a pair that is not merged."""
+        keys = left * (self.pad + 1) + right
+        at = np.searchsorted(self.pair_keys, keys)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], -1)
+
+    def encode_words(self, words: list[str]) -> Iterator[tuple[str, list[int]]]:
+        """Each word once with its ids, in no order; short words together."""
+        raw = [w.encode("utf-8", "replace") for w in words]
+        sizes = np.array([len(r) for r in raw], np.int64)
+        first, last = np.array(self.first, np.int64), np.array(self.last, np.int64)
+        low = 0
+        groups = []
+        for half in FOREST_LEAVES:
+            fit = np.flatnonzero((sizes > low) & (sizes <= half - 2))
+            groups += [(half, fit[i:i + FOREST_ROWS]) for i in range(0, len(fit), FOREST_ROWS)]
+            low = half - 2
+        for half, chosen in groups:
+            size = sizes[chosen, None]
+            place = np.arange(half)
+            symbols = np.full((len(chosen), half), self.pad, np.int64)
+            symbols[(place > 0) & (place <= size)] = first[np.frombuffer(b"".join([raw[i] for i in chosen]), np.uint8)]
+            symbols[np.arange(len(chosen)), size[:, 0]] = last[[raw[i][-1] for i in chosen]]
+            merged = Forest(symbols, self.pad, self.ranks, self.products).merge()
+            left = merged != self.pad
+            ids, ends = merged[left].tolist(), np.cumsum(left.sum(axis=1)).tolist()
+            start = 0
+            for i, end in zip(chosen.tolist(), ends):
+                yield words[i], ids[start:end]
+                start = end
+        for i in np.flatnonzero(sizes > low).tolist():
+            yield words[i], self.encode_word(words[i])
 
     def encode_word(self, word: str) -> list[int]:
         raw = word.encode("utf-8", "replace")
@@ -182,15 +291,35 @@ class WordBpe:
 
 
 class Rendered(Recent):
-    """Word, or id of a special token -> (ids as text, tokens as text, ids), filled on demand."""
+    """Word, or id of a special token -> (ids as text, tokens as text, ids as bytes)."""
 
     def __init__(self, bpe: WordBpe):
         super().__init__()
         self.bpe = bpe
-
-    def make(self, piece: str | int) -> tuple[str, str, list[int]]:
-        ids = [piece] if isinstance(piece, int) else self.bpe.encode_word(piece)
-        return " ".join(map(str, ids)), self.bpe.decode(ids), ids
+        self.digits = {i: str(i) for i in bpe.names}
+
+    def entry(self, ids: list[int]) -> tuple[str, str, bytes]:
+        digits, names = self.digits, self.bpe.names
+        return " ".join([digits[i] for i in ids]), " ".join([names[i] for i in ids]), array("i", ids).tobytes()
+
+    def make(self, piece: str | int) -> tuple[str, str, bytes]:
+        return self.entry([piece] if isinstance(piece, int) else self.bpe.encode_word(piece))
+
+    def table(self, texts: list[list[str | int]]) -> dict[str | int, tuple[str, str, bytes]]:
+        """The entries of all pieces of some texts; words that are not in memory are merged together."""
+        out, new, get = {}, [], self.get
+        for piece in set().union(*texts):
+            found = get(piece)
+            if found is not None:
+                out[piece] = found
+            elif isinstance(piece, int) or piece in self.older:
+                out[piece] = self[piece]
+            else:
+                new.append(piece)
+        for word, ids in self.bpe.encode_words(new):
+            out[word] = self.entry(ids)
+            self.keep(word, out[word])
+        return out
 
 
 def _rendered(file_text: str) -> Rendered:
@@ -210,6 +339,22 @@ def read_vocabulary(spark: SparkSession, path: str) -> str:
         return file.read()
 
 
+def _some_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int | None], list[str]]]:
+    """Keys and texts of a few rows at a time; null text as empty."""
+    for batch, start in ((b, i) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE)):
+        part = batch.slice(start, ROWS_AT_ONCE)
+        keys, texts, size = [], [], 0
+        for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+            keys.append(key)
+            texts.append(text or "")
+            size += len(texts[-1])
+            if size >= CHARS_AT_ONCE:
+                yield keys, texts
+                keys, texts, size = [], [], 0
+        if keys:
+            yield keys, texts
+
+
 def encode_texts(docs: DataFrame, vocabulary: str, *, key: str = "doc_id", text: str = "text", ids: bool = True) -> DataFrame:
     """``doc_id``, ``ids`` (array of ints), ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` of every row.
 
@@ -226,18 +371,19 @@ def encode_texts(docs: DataFrame, vocabulary: str, *, key: str = "doc_id", text:
 
     def run(batches):
         known = _rendered(sent.value)
-        bpe = known.bpe
-        for batch, start in ((b, i) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE)):
+        for keys, texts in _some_texts(batches):
             out = []
-            part = batch.slice(start, ROWS_AT_ONCE)
             with no_cycles():
-                for doc, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    found = list(map(known.__getitem__, bpe.pieces(value or "")))
+                pieces = [known.bpe.pieces(t) for t in texts]
+                entry = known.table(pieces).__getitem__
+                for doc, words in zip(keys, pieces):
+                    found = list(map(entry, words))
+                    raw = b"".join([x[2] for x in found])
                     row = (
-                        sum([len(x[2]) for x in found]), hashlib.sha256(" ".join([x[0] for x in found]).encode()).hexdigest(),
+                        len(raw) // 4, hashlib.sha256(" ".join([x[0] for x in found]).encode()).hexdigest(),
                         hashlib.sha256(" ".join([x[1] for x in found]).encode()).hexdigest(),
                     )
-                    out.append((doc, np.fromiter(chain.from_iterable([x[2] for x in found]), np.int32, row[0]), *row) if ids else (doc, *row))
+                    out.append((doc, np.frombuffer(raw, np.int32), *row) if ids else (doc, *row))
             yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out), shape)], schema=shape)
 
     rows = docs.select(F.col(f"`{key}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text"))
