@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import ratelimit
@@ -102,6 +104,62 @@ def test_ttl_stream_equals_the_batch_rule_over_restarts(spark):
     assert set(found.values()) == {True, False}
 
 
+@pytest.mark.parametrize("in_memory, batch", [(10_000, 100), (300, 100), (50, 100), (1, 1), (64, 7)])
+def test_rows_of_a_group_come_in_order_from_runs_on_disk(monkeypatch, in_memory, batch):
+    monkeypatch.setattr(stateful, "ROWS_IN_MEMORY", in_memory)
+    monkeypatch.setattr(stateful, "ROWS_AT_ONCE", 40)
+    rnd = np.random.default_rng(in_memory)
+    rows = np.column_stack([rnd.integers(-50, 50, 1000), rnd.integers(0, 5, 1000), np.arange(1000)])
+    pieces = list(stateful._in_order(rows[i : i + batch] for i in range(0, 1000, batch)))
+    found = np.concatenate(pieces)
+    assert max(map(len, pieces)) <= 40 and found[:, :2].tolist() == sorted(rows[:, :2].tolist())
+    assert sorted(found.tolist()) == sorted(rows.tolist())
+
+
+@pytest.mark.parametrize("in_memory", [100_000, 50])
+def test_outcomes_over_restarts_with_a_state_per_block_of_messages(spark, monkeypatch, in_memory):
+    """A call and a state per message took 2 ms each; adjacent messages share them, whatever the offsets."""
+    monkeypatch.setattr(stateful, "ROWS_IN_MEMORY", in_memory)
+    monkeypatch.setattr(stateful, "ROWS_AT_ONCE", 30)
+    path, out = fresh_path(spark, "deliveries"), fresh_path(spark, "outcomes")
+    schema = "part INT, off BIGINT, attempt_no INT, ok BOOLEAN"
+    rnd = random.Random(7)
+    offsets = [*range(1000, 1100), None, -1, -1024, -1025, 2**62, 2**62 + 1]
+    counters, tried, expected = {}, {}, {}
+    for _ in range(3):
+        rows = []
+        for part in (0, 1, None):
+            for off in offsets:
+                for _ in range(rnd.choice([0, 1, 4])):
+                    n = tried[part, off] = tried.get((part, off), 0) + 1
+                    ok = rnd.choice([True, False, False, False, None])
+                    failures = counters[part, off] = 0 if ok else counters.get((part, off), 0) + 1
+                    expected[part, off, n] = ("done" if ok else "dead_letter" if failures == 3 else "retry", failures)
+                    counters[part, off] = failures % 3
+                    rows.append((part, off, n, ok))
+        rnd.shuffle(rows)
+        land(spark.createDataFrame(rows, schema), path)
+        decided = stateful.retry_stream(sources.table_stream(spark, path, schema))
+        sources.run_available(decided.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-checkpoint"))
+    found = spark.read.parquet(out).collect()
+    assert {(r.part, r.off, r.attempt_no): (r.outcome, r.attempts) for r in found} == expected and len(found) == len(expected)
+    assert sum(n > 0 for n in counters.values()) > 100
+    # Per part: the offsets from 1000 lie in two blocks, and the others in four more, one of them without an offset.
+    assert spark.read.format("statestore").load(f"{out}-checkpoint").count() <= 3 * 6
+
+
+def test_a_lower_limit_after_a_restart(spark):
+    """Four failures are pending when the limit becomes 3: the next one is the dead letter, and the count starts again."""
+    path, out = fresh_path(spark, "deliveries"), fresh_path(spark, "outcomes")
+    schema = "part INT, off BIGINT, attempt_no INT, ok BOOLEAN"
+    for limit, attempts in ((9, range(1, 5)), (3, range(5, 10))):
+        land(spark.createDataFrame([(0, 7, n, False) for n in attempts], schema), path)
+        decided = stateful.retry_stream(sources.table_stream(spark, path, schema), limit)
+        sources.run_available(decided.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-checkpoint"))
+    found = [(r.attempts, r.outcome) for r in spark.read.parquet(out).orderBy("attempt_no").collect()]
+    assert found == [(n, "retry") for n in range(1, 5)] + [(5, "dead_letter"), (1, "retry"), (2, "retry"), (3, "dead_letter"), (1, "retry")]
+
+
 def test_a_repeated_batch_changes_no_ledger(spark):
     path, out = fresh_path(spark, "log"), fresh_path(spark, "ledger")
     value = bytearray(b'{"event_type":"a","payload":1}')
