@@ -1,10 +1,15 @@
 import random
+import tracemalloc
+from types import SimpleNamespace
+from unittest.mock import MagicMock
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import ratelimit
+from tidemark.plans import stream_reports
 from tidemark.session import fresh_path
 from tidemark.streaming import flows, offset_log, sources, stateful
 
@@ -160,6 +165,77 @@ def test_a_lower_limit_after_a_restart(spark):
     assert found == [(n, "retry") for n in range(1, 5)] + [(5, "dead_letter"), (1, "retry"), (2, "retry"), (3, "dead_letter"), (1, "retry")]
 
 
+@pytest.mark.parametrize("stream, batch", [(stateful.token_bucket_stream, ratelimit.token_bucket), (stateful.sliding_window_stream, ratelimit.sliding_window)])
+def test_decisions_from_runs_on_disk_over_restarts(spark, monkeypatch, stream, batch):
+    monkeypatch.setattr(stateful, "ROWS_IN_MEMORY", 20)
+    monkeypatch.setattr(stateful, "ROWS_AT_ONCE", 7)
+    path, out = fresh_path(spark, "requests"), fresh_path(spark, "decisions")
+    rnd, clock, rows = random.Random(5), 0, []
+    for i in range(400):
+        clock += rnd.choice([0, 200, 900, 4_000, 131_000] if i % 50 else [0])
+        rows.append((i, rnd.choice(["a", "a", "b"]), clock))
+    rnd.shuffle(rows)
+    whole = spark.createDataFrame(rows, "event_id BIGINT, key STRING, ms BIGINT")
+    whole = whole.select("event_id", "key", F.expr("TIMESTAMP_NTZ '2024-03-01 00:00:00.000001' + make_dt_interval(0, 0, 0, ms / 1000.0)").alias("ts"))
+    for part in (F.col("event_id") < 250, F.col("event_id") >= 250):
+        land(whole.filter(part), path)
+        decided = stream(sources.table_stream(spark, path, "event_id BIGINT, key STRING, ts TIMESTAMP_NTZ"), 3)
+        sources.run_available(decided.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-checkpoint"))
+    found, expected = spark.read.parquet(out), batch(whole, 3)
+    same = lambda df: sorted((r.event_id, r.key, r.ts, r.allowed, *(round(r[c], 6) for c in df.columns[4:])) for r in df.collect())
+    assert same(found) == same(expected.select(*found.columns))
+    assert {r.allowed for r in found.collect()} == {True, False}
+
+
+def test_requests_of_a_key_do_not_lie_in_memory(spark):
+    """All of a key's rows and decisions of a micro-batch were held at once, several hundred bytes a request."""
+    requests = MagicMock()
+    for name in ("withColumn", "withWatermark", "select", "groupBy"):
+        getattr(requests, name).return_value = requests
+    stateful.token_bucket_stream(requests)
+    decide = requests.applyInPandasWithState.call_args.args[0]
+    kept = []
+    state = SimpleNamespace(exists=False, hasTimedOut=False, update=kept.append, setTimeoutTimestamp=kept.append, getCurrentWatermarkMs=lambda: 0)
+
+    def batches():
+        for i in reversed(range(80)):
+            ids = np.arange(i * 10_000, (i + 1) * 10_000)
+            yield pd.DataFrame({"event_id": ids, "ts": (ids * 1_000_000).astype("datetime64[us]"), "micros": ids * 1_000_000})
+
+    tracemalloc.start()
+    try:
+        n = 0
+        for decided in decide(("k",), batches(), state):
+            assert decided["event_id"].iloc[0] == n and decided["event_id"].is_monotonic_increasing
+            n += len(decided)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == 800_000 and kept[1] == 799_999_000 + 121_000 + 1
+    assert most < 100e6, f"{most / 1e6:.0f} MB"
+
+
+def test_micro_batches_of_requests_are_bounded_and_in_order(spark, monkeypatch):
+    """The whole table came as one micro-batch; the engine writes what that holds of a key into one buffer outside the heap."""
+    monkeypatch.setattr(stream_reports, "ROWS_PER_BATCH", 200, raising=False)
+    table, out = fresh_path(spark, "tables"), fresh_path(spark, "decisions")
+    at = F.lit("2024-03-01 00:00:00").cast("timestamp_ntz")
+    kinds = F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit(None).cast("string")), (F.col("id") * F.col("id") % 3 + 1).cast("int"))
+    rows = spark.range(1000).select(F.col("id").alias("event_id"), at.alias("ts"), "id", kinds.alias("event_type"), F.lit(1.0).alias("value"), F.lit("{}").alias("props"))
+    rows.withColumnRenamed("id", "user_id").orderBy(F.xxhash64("event_id")).write.parquet(f"{table}/events.parquet")
+    monkeypatch.setattr(stream_reports, "_event_stream", lambda spark, sf: sources.table_stream(spark, f"{sf}/events.parquet", stream_reports.EVENTS))
+    requests = stream_reports._request_stream(spark, table)
+    query = sources.run_available(
+        requests.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-checkpoint")
+    )
+    sizes = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    assert sum(sizes) == 1000 and len(sizes) >= 4 and max(sizes) < 400
+    decided = {r.event_id: (r.key, r.allowed, r.remaining) for r in stream_reports.streamed_token_bucket(spark, table).collect()}
+    log = ratelimit.token_bucket(spark.read.parquet(out).filter("key IS NOT NULL"))
+    expected = {r.event_id: (r.key, r.allowed, round(r.remaining, 6)) for r in log.collect()}
+    assert {i: d for i, d in decided.items() if d[0] is not None} == expected and len(decided) == 1000
+
+
 def test_a_repeated_batch_changes_no_ledger(spark):
     path, out = fresh_path(spark, "log"), fresh_path(spark, "ledger")
     value = bytearray(b'{"event_type":"a","payload":1}')

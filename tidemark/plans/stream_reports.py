@@ -15,6 +15,7 @@ from .metric_reports import SLIDING_FOLD, TOKEN_FOLD
 from .views import ACTIVE, EVENT_LOG, RECORDS
 
 ON_LOG = with_views(EVENT_LOG)
+ROWS_PER_BATCH = 4_000_000
 
 
 def _landed_log(spark, sf) -> str:
@@ -144,10 +145,9 @@ def streamed_metric_snapshot(spark, sf):
 
 
 def _request_stream(spark, sf):
-    at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), F.col("event_id").cast("decimal(18,6)")
-    )
-    return _event_stream(spark, sf).select("event_id", F.col("event_type").alias("key"), at.alias("ts"))
+    """The requests by time, ``ROWS_PER_BATCH`` in a micro-batch: the engine holds what a micro-batch brings of a key in one buffer."""
+    landed = sources.land_in_order(tables.request_log(spark, sf), fresh_path(spark, "requests"), ["ts", "event_id"], ROWS_PER_BATCH)
+    return sources.table_stream(spark, landed, "event_id BIGINT, key STRING, ts TIMESTAMP_NTZ", files_per_batch=1)
 
 
 def _decided(spark, decided, label: str):

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..schemas import LOG, RECORDS_TOPIC
+from ..session import scratch, settle
 
 
 def kafka_log(spark: SparkSession, servers: str, topic: str = RECORDS_TOPIC, starting: str = "earliest", **options: str) -> DataFrame:
@@ -34,6 +37,23 @@ def table_stream(
     return reader.parquet(path)
 
 
+def land_in_order(rows: DataFrame, path: str, order: Sequence[str], rows_per_file: int) -> str:
+    """Parquet files of about ``rows_per_file`` rows with a range of ``order`` each, written one after another; returns the path.
+
+    The file source takes files by age, so a stream with one file per batch gets the ranges in order, in batches of bounded size.
+    """
+    files = -(-rows.count() // rows_per_file)
+    if files <= 1:
+        rows.coalesce(1).write.parquet(path)
+        return path
+    with scratch(rows.sparkSession):
+        ranged = rows.repartitionByRange(files, *order).withColumn("_range", F.spark_partition_id())
+        ranged = settle(ranged, "ranges", "_range")
+        for i in range(files):
+            ranged.filter(F.col("_range") == i).drop("_range").coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 def kafka_sink(messages: DataFrame, servers: str, topic: str, checkpoint: str) -> DataStreamWriter:
     """Writer for ``value`` texts into a topic."""
     return messages.writeStream.format("kafka").options(

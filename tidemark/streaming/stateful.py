@@ -100,6 +100,7 @@ def _decide(requests: DataFrame, make_rule: Callable[[], Rule], quiet_seconds: f
 
     A key that has been quiet for ``quiet_seconds`` is in its first state again. Its state is dropped when the watermark,
     ``lateness`` behind the newest request, has passed that time. Requests behind the watermark are not decided.
+    The requests of a key are sorted in runs of bounded size and decided piece by piece, however many a micro-batch brings.
     """
 
     def decide(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -107,19 +108,23 @@ def _decide(requests: DataFrame, make_rule: Callable[[], Rule], quiet_seconds: f
             state.remove()
             return
         rule = make_rule()
-        rows = pd.concat(list(batches)).sort_values(["micros", "event_id"])
         current = rule.read_state(state.get[0]) if state.exists else None
-        out = []
-        for event_id, ts, micros in zip(rows["event_id"], rows["ts"], rows["micros"]):
-            current, allowed, left, wait = rule.step(current, int(micros))
-            out.append((key[0], int(event_id), ts, bool(allowed), float(left), float(wait)))
+        for rows in _in_order(_whole(rows["micros"], rows["event_id"]) for rows in batches):
+            out = []
+            for micros in rows[:, 0].tolist():
+                current, allowed, left, wait = rule.step(current, micros)
+                out.append((bool(allowed), float(left), float(wait)))
+            decided = pd.DataFrame(out, columns=["allowed", "remaining", "wait_seconds"])
+            decided.insert(0, "key", key[0])
+            decided.insert(1, "event_id", rows[:, 1])
+            decided.insert(2, "ts", rows[:, 0].astype("datetime64[us]"))
+            yield decided
         state.update((rule.write_state(current),))
-        forgotten = int(rows["micros"].iloc[-1] / 1000 + quiet_seconds * 1000) + 1
+        forgotten = int(micros / 1000 + quiet_seconds * 1000) + 1
         state.setTimeoutTimestamp(max(forgotten, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=["key", "event_id", "ts", "allowed", "remaining", "wait_seconds"])
 
     timed = requests.withColumn("_at", event_time("ts")).withWatermark("_at", lateness)
-    timed = timed.select("key", "event_id", "ts", epoch_micros("ts").alias("micros"), "_at")
+    timed = timed.select("key", "event_id", epoch_micros("ts").alias("micros"), "_at")
     return timed.groupBy("key").applyInPandasWithState(decide, DECISION, STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
